@@ -190,19 +190,27 @@ def recall_of_exact(spark, folder):
 
 @query(
     "streaming_upsert",
-    """SELECT user_id::VARCHAR AS id, event_type, value FROM events
+    """SELECT user_id::VARCHAR AS id, event_type, value, event_id, epoch_us(ts) AS seen FROM events
     QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""",
 )
 def streaming_upsert_query(spark, folder):
-    """Events as a stream of files in time order, upserted batch by batch."""
-    events = Tables(spark, folder).events.withColumn("id", F.col("user_id").cast("string"))
+    """Events as a stream of files in no particular order, upserted batch by batch."""
+    events = Tables(spark, folder).events.select(
+        F.col("user_id").cast("string").alias("id"),
+        "event_type",
+        "value",
+        "event_id",
+        F.unix_micros(F.col("ts").cast("timestamp")).alias("seen"),
+    )
     source = scratch_path(spark, "events")
-    events.repartitionByRange(3, "ts").sortWithinPartitions("ts").write.parquet(source)
+    events.repartitionByRange(3, "seen").write.parquet(source)
     schema = (
         Schema("users")
         .add("id", "string", primary_key=True)
         .add("event_type", "string", nullable=True)
         .add("value", "double", nullable=True)
+        .add("event_id", "int64")
+        .add("seen", "int64")
     )
     made = Collection.create(spark, scratch_path(spark, "users"), schema)
     stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(source)
@@ -210,7 +218,7 @@ def streaming_upsert_query(spark, folder):
         stream,
         made,
         name="users",
-        order=["ts", "event_id"],
+        order=["seen", "event_id"],
         checkpoint=scratch_path(spark, "checkpoint"),
     )
     running.awaitTermination()

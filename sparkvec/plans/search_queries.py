@@ -129,11 +129,11 @@ def filter_equality(spark, folder):
 
 @query(
     "filter_range",
-    "SELECT p_partkey, p_size, p_retailprice FROM part WHERE p_retailprice BETWEEN 950 AND 1200 AND p_size < 20",
+    "SELECT p_partkey, p_size, p_retailprice FROM part WHERE p_retailprice BETWEEN 905 AND 1200 AND p_size < 20",
 )
 def filter_range(spark, folder):
     part = Tables(spark, folder).part
-    return where(part, "p_retailprice between 950 and 1200 and p_size < 20").select(
+    return where(part, "p_retailprice between 905 and 1200 and p_size < 20").select(
         "p_partkey", "p_size", "p_retailprice"
     )
 

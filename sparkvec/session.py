@@ -53,13 +53,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{_shared_dir(spark).rstrip('/')}/sparkvec-{name}-{uuid.uuid4().hex}"
 
 
-def settle(df: DataFrame) -> DataFrame:
+def settle(df: DataFrame, spark: SparkSession | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Used where one result feeds several jobs that must agree even when an
-    executor is lost in between: the written files replace the lineage.
+    executor is lost in between: the written files replace the lineage. ``spark``
+    is the session that reads it (a micro-batch arrives in a session of its own).
     """
-    spark = df.sparkSession
-    path = scratch_path(spark, "settled")
+    path = scratch_path(df.sparkSession, "settled")
     df.write.mode("errorifexists").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return (spark or df.sparkSession).read.schema(df.schema).parquet(path)

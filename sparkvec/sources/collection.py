@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field, replace
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -130,18 +130,39 @@ class Collection:
         )
         return _result_rows(done, snap.schema.pk)
 
-    def upsert(self, batch: DataFrame, *, order: Sequence[str] | None = None, applied: dict | None = None) -> DataFrame:
+    def upsert(
+        self,
+        batch: DataFrame,
+        *,
+        order: Sequence[str] | None = None,
+        newest: bool = False,
+        applied: dict | None = None,
+    ) -> DataFrame:
+        """Insert or overwrite; the last row of a key by ``order`` wins.
+
+        With ``newest`` a stored row that is later by the ``order`` fields also
+        wins over the batch, so late batches cannot set a document back.
+        """
         snap = self.snapshot()
         pk = snap.schema.pk
         done = self._judged(snap, batch, "upsert", order)
         last = writes._one_per_key(done.where("code = 'ok'"), pk, last=True)
 
+        if newest and not order:
+            raise InvalidArgument("newest needs the order fields")
+
         def change(base: DataFrame) -> DataFrame:
-            held = base.select(pk, F.col(DOC_ID).alias("_old"))
+            stored = F.struct(*[F.col(c) for c in order]) if newest else F.lit(None)
+            held = base.select(pk, F.col(DOC_ID).alias("_old"), stored.alias("_stored"))
             known = last.join(held, pk, "left")
+            if newest:
+                later = F.col("_stored") > F.struct(*[F.col(c) for c in order])
+                stale = known.where(F.coalesce(later, F.lit(False))).select(pk)
+                known = known.join(stale, pk, "left_anti")
+            known = known.drop("_stored")
             old = known.where("_old is not null").withColumn(DOC_ID, F.col("_old")).drop("_old")
             new = self._with_ids(known.where("_old is null").drop("_old"), snap)
-            kept = base.join(last.select(pk), pk, "left_anti")
+            kept = base.join(known.select(pk), pk, "left_anti")
             return kept.unionByName(writes._like(old, base)).unionByName(writes._like(new, base))
 
         self._rewrite(snap, self._groups(last), change, applied=applied)
@@ -325,8 +346,10 @@ class Collection:
             },
             sort_keys=True,
         )
-        rows = [(facts, part) for part in snap.parts] or [(facts, None)]
-        entry = self.spark.createDataFrame(rows, "facts string, part string").coalesce(1)
+        folders = F.from_json(F.lit(json.dumps(snap.parts)), "array<string>")
+        entry = self.spark.range(0, 1, 1, 1).select(
+            F.lit(facts).alias("facts"), F.explode_outer(folders).alias("part")
+        )
         try:
             entry.write.mode("errorifexists").json(f"{self.path}/log/v={snap.version}")
         except AnalysisException as taken:
@@ -380,7 +403,8 @@ class Collection:
         judged = settle(
             read.withColumn("_bad", F.coalesce("_unread", error_column(read, target)))
             .withColumn(GROUP, writes.key_group(snap.schema.pk, snap.digits))
-            .drop("_unread")
+            .drop("_unread"),
+            self.spark,
         )
         good = judged.where("_bad is null").drop("_bad")
         classify = {
@@ -396,19 +420,25 @@ class Collection:
             F.lit("invalid_argument").alias("code"),
             F.col("_bad").alias("message"),
         )
-        return settle(done.unionByName(rejected))
+        judged = done.unionByName(rejected)
+        # An upsert adds constants only; the others joined the base and are kept.
+        return judged if op == "upsert" else settle(judged)
 
     def _with_ids(self, rows: DataFrame, snap: Snapshot) -> DataFrame:
         return writes.assign_doc_ids(rows, pk=snap.schema.pk, start=snap.next_id, digits=max(snap.digits, 2))
 
-    def _write(self, rows: DataFrame, snap: Snapshot, number: int, sort_by: Sequence[str] = ()) -> list[str]:
-        """Write rows of commit ``number`` and list the folders that came out."""
+    def _write(
+        self, rows: DataFrame, snap: Snapshot, number: int, sort_by: Sequence[str] = ()
+    ) -> tuple[list[str], int]:
+        """Write rows of commit ``number``: the folders that came out and the next id."""
         struct = self._struct(snap.schema)
         # A name of its own, so that a writer that loses the race harms nothing.
         commit = f"c={number}-{uuid.uuid4().hex[:8]}"
         table = f"{self.path}/data/{commit}"
         # AQE merges small groups and splits large ones after this shuffle.
+        top = Observation()
         spread = rows.select(*struct.names).hint("rebalance", F.col(GROUP))
+        spread = spread.observe(top, F.max(DOC_ID).alias("id"))
         if sort_by:
             spread = spread.sortWithinPartitions(GROUP, *sort_by)
         writer = spread.write.mode("errorifexists").partitionBy(GROUP)
@@ -417,37 +447,28 @@ class Collection:
         writer.parquet(table)
         files = self.spark.read.schema(struct).parquet(table).inputFiles()
         groups = {g for f in files for g in re.findall(rf"/{GROUP}=([^/]+)/", f)}
-        return [f"{commit}/{GROUP}={g}" for g in sorted(groups)]
-
-    def _next_id(self, snap: Snapshot, new_parts: Sequence[str]) -> int:
-        top = self._read(snap, new_parts).agg(F.max(DOC_ID)).first()[0]  # one column
-        return snap.next_id if top is None else max(snap.next_id, top + 1)
+        last = top.get.get("id")
+        next_id = snap.next_id if last is None else max(snap.next_id, last + 1)
+        return [f"{commit}/{GROUP}={g}" for g in sorted(groups)], next_id
 
     def _append(self, snap: Snapshot, rows: DataFrame) -> None:
         number = snap.version + 1
-        added = self._write(rows, snap, number)
-        self._log(
-            replace(
-                snap,
-                version=number,
-                parts=(*snap.parts, *added),
-                next_id=self._next_id(snap, added),
-            )
-        )
+        added, next_id = self._write(rows, snap, number)
+        self._log(replace(snap, version=number, parts=(*snap.parts, *added), next_id=next_id))
 
     def _rewrite(self, snap: Snapshot, groups: set[str], change, *, applied: dict | None = None) -> None:
         number = snap.version + 1
         old = self._parts_of(snap, groups)
         base = self._read(snap, old)
         rows = change(base.drop(GROUP)).withColumn(GROUP, writes.key_group(snap.schema.pk, snap.digits))
-        added = self._write(rows, snap, number) if groups else []
+        added, next_id = self._write(rows, snap, number) if groups else ([], snap.next_id)
         kept = tuple(p for p in snap.parts if p not in set(old))
         self._log(
             replace(
                 snap,
                 version=number,
                 parts=(*kept, *added),
-                next_id=self._next_id(snap, added),
+                next_id=next_id,
                 applied={**snap.applied, **(applied or {})},
             )
         )
@@ -457,7 +478,7 @@ class Collection:
         base = self._read(snap, snap.parts)
         changed = replace(snap, schema=schema)
         rows = change(base.drop(GROUP)).withColumn(GROUP, writes.key_group(schema.pk, snap.digits))
-        added = self._write(rows, changed, number, sort_by)
+        added, _ = self._write(rows, changed, number, sort_by)
         self._log(replace(changed, version=number, parts=tuple(added)))
 
 

@@ -24,9 +24,11 @@ def apply_batch(
     The batch number is part of the same commit as the rows, so a batch replayed
     after a failure is either wholly there (and skipped) or not there at all.
     """
-    if collection.snapshot().applied.get(name, -1) >= batch_id:
+    snap = collection.snapshot()
+    if snap.applied.get(name, -1) >= batch_id:
         return False
-    collection.upsert(batch, order=order, applied={name: batch_id})
+    newest = all(c in snap.schema for c in order)
+    collection.upsert(batch, order=order, newest=newest, applied={name: batch_id})
     return True
 
 
@@ -39,9 +41,10 @@ def streaming_upsert(
     checkpoint: str,
     trigger: dict | None = None,
 ) -> StreamingQuery:
-    """Start the stream: within a batch and across batches the last row of a key wins.
+    """Start the stream: the last row of a key by ``order`` wins.
 
-    Batches are applied in stream order; ``order`` decides within a batch.
+    That holds across batches too, late ones included, when the collection stores
+    the ``order`` fields; otherwise batches count in the order they arrive.
     """
 
     def sink(batch: DataFrame, batch_id: int) -> None:
