@@ -16,6 +16,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..errors import InvalidArgument
 from ..functions.predicates import predicate
@@ -185,6 +186,7 @@ def merge_records(first: DataFrame, second: DataFrame, *, pk: str) -> DataFrame:
 
     A field the second record carries wins, an explicit null included; the
     ``_present`` arrays say which fields a record carries (all, if there is none).
+    A column has one type, so fields whose types clash come out as text.
     """
     fields = list(dict.fromkeys([c for c in first.columns + second.columns if c not in (pk, PRESENT)]))
 
@@ -202,10 +204,12 @@ def merge_records(first: DataFrame, second: DataFrame, *, pk: str) -> DataFrame:
         has_b = F.coalesce(F.array_contains("_b", c), F.lit(False))
         has_a = F.coalesce(F.array_contains("_a", c), F.lit(False))
         value = None
+        clash = _clash(first, second, c)
         if c in second.columns:
-            value = F.when(has_b, F.col(f"_b_{c}"))
+            new = F.col(f"_b_{c}")
+            value = F.when(has_b, new.cast("string") if clash else new)
         if c in first.columns:
-            old = F.col(f"_a_{c}")
+            old = F.col(f"_a_{c}").cast("string") if clash else F.col(f"_a_{c}")
             value = F.when(has_a, old) if value is None else value.when(has_a, old)
         columns.append(value.alias(c))
     present = F.array_distinct(
@@ -217,6 +221,14 @@ def merge_records(first: DataFrame, second: DataFrame, *, pk: str) -> DataFrame:
     return both.select(pk, *columns, F.sort_array(present).alias(PRESENT))
 
 
+def _clash(first: DataFrame, second: DataFrame, name: str) -> bool:
+    """Whether the two sides give a field types only text can hold together."""
+    if name not in first.columns or name not in second.columns:
+        return False
+    kinds = [df.schema[name].dataType for df in (first, second)]
+    return kinds[0] != kinds[1] and not all(isinstance(k, T.NumericType) for k in kinds)
+
+
 def write_summary(results: DataFrame) -> DataFrame:
     """One row: how many documents succeeded and how many did not."""
     ok = F.col("code") == "ok"

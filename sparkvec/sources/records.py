@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import types as vt
-from ..functions.codec import truncate_fp16
+from ..functions.codec import pack, truncate_fp16, unpack
 from ..schema import META, Field, Schema
 
 PRESENT = "_present"
@@ -139,19 +139,41 @@ def split_valid(df: DataFrame, schema: Schema) -> tuple[DataFrame, DataFrame]:
     return checked.where("error is null").drop("error"), checked.where("error is not null")
 
 
-def conform_column(field: Field, column: Column) -> Column:
+def conform_column(field: Field, column: Column, source: T.DataType) -> Column:
+    """``column`` (of type ``source``) as the declared type; null if it has no such form.
+
+    Vectors may arrive as lists or in packed form, whichever the field stores.
+    """
     kind = vt.spark_type(field.type)
+    listed = isinstance(source, T.ArrayType)
     if vt.is_sparse(field.type):
-        column = F.when(
-            column.isNotNull(),
-            F.struct(
-                column.getField("indices").try_cast(kind["indices"].dataType).alias("indices"),
-                column.getField("values").try_cast(kind["values"].dataType).alias("values"),
-            ),
-        )
-        return column
-    column = column.try_cast(kind)
-    return truncate_fp16(column) if field.type == "vector_fp16" else column
+        if not isinstance(source, T.StructType):
+            return F.lit(None).cast(kind)
+        parts = [
+            _element_cast(column.getField(n), kind[n].dataType).alias(n) for n in ("indices", "values")
+        ]
+        return F.when(column.isNotNull(), F.struct(*parts))
+    if vt.is_bits(field.type) and listed:
+        return pack(column, field.type.removeprefix("vector_"))
+    if field.is_vector and isinstance(kind, T.ArrayType) and isinstance(source, T.BinaryType):
+        return unpack(column, field.type.removeprefix("vector_"))
+    if isinstance(kind, T.ArrayType):
+        if not listed:
+            return F.lit(None).cast(kind)
+        column = _element_cast(column, kind)
+        return truncate_fp16(column) if field.type == "vector_fp16" else column
+    if isinstance(source, (T.ArrayType, T.StructType, T.MapType)):
+        return F.lit(None).cast(kind)
+    return column.try_cast(kind)
+
+
+def _element_cast(column: Column, kind: T.ArrayType) -> Column:
+    """Cast an array; one element that cannot be cast makes the whole array null."""
+    cast = column.try_cast(kind)
+    lost = F.exists(
+        F.zip_with(column, cast, lambda old, new: old.isNotNull() & new.isNull()), lambda x: x
+    )
+    return F.when(~lost, cast)
 
 
 def conform_records(
@@ -171,7 +193,7 @@ def conform_records(
             out.append(empty.alias(field.name, metadata=meta))
             continue
         raw = F.col(f"`{field.name}`")
-        value = conform_column(field, raw)
+        value = conform_column(field, raw, df.schema[field.name].dataType)
         out.append(value.alias(field.name, metadata=meta))
         problems.append(
             F.when(
