@@ -7,10 +7,13 @@ queries (Bachrach et al. 2014). Rows with no place in the space come back as NaN
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import metrics
+from .arrow import dense_block, list_column_at
 
 
 def _unit(block: np.ndarray) -> np.ndarray:
@@ -37,16 +40,15 @@ def lift_queries(metric: str, block: np.ndarray) -> np.ndarray:
     return np.column_stack([block, np.zeros(len(block))])
 
 
-def lifted_column(metric: str, field: str, max_norm: float | None) -> Column:
-    """The same lift as a Catalyst expression, for training centroids."""
-    vector = F.transform(F.col(field), lambda x: x.cast("double"))
-    if metric == "l2":
-        return vector
-    if metric == "cosine":
-        size = metrics.norm(field)
-        return F.transform(vector, lambda x: F.try_divide(x, size))
-    rest = F.sqrt(F.greatest(F.lit(0.0), F.lit(max_norm**2) - metrics.squared_norm(field)))
-    return F.concat(vector, F.array(rest))
+def lifted_column(metric: str, field: str, dimension: int, max_norm: float | None) -> Column:
+    """The lifted vectors as a column, for training centroids."""
+
+    @F.arrow_udf(T.ArrayType(T.DoubleType()))
+    def lifted(vectors: pa.Array) -> pa.Array:
+        rows, block = dense_block(vectors, dimension)
+        return list_column_at(rows, lift_members(metric, block, max_norm), len(vectors), pa.float64())
+
+    return lifted(F.col(field))
 
 
 def lifted_distance(metric: str, score: Column, query_sq_norm: Column, max_norm: float | None) -> Column:

@@ -76,7 +76,8 @@ def train_centroids(
         rows = rows.where(metrics.squared_norm(field) > 0)
     if fraction is not None:
         rows = rows.sample(fraction=fraction, seed=seed)
-    features = rows.select(array_to_vector(spaces.lifted_column(metric, field, top)).alias("features"))
+    lifted = spaces.lifted_column(metric, field, dimension, top)
+    features = rows.select(array_to_vector(lifted).alias("features"))
     model = KMeans(k=n_list, maxIter=n_iters, seed=seed).fit(features)
     points = np.unique(np.array(model.clusterCenters()), axis=0)
     return Centroids(points, metric, dimension, top)

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,6 +28,7 @@ from ..session import settle
 from .tiles import BLOCK_BYTES, arrow_schema, block_rows, rank_hits, scan_topk, tile_topk
 
 PIVOTS = 256
+FIRST_FETCH = 2048
 _ROUNDING = 1e-6
 
 
@@ -44,13 +46,22 @@ def largest_norm(df: DataFrame, field: str) -> float:
     return df.select(F.coalesce(F.max(metrics.norm(field)), F.lit(0.0)).alias("m")).first()["m"]
 
 
-def bounded_block(queries: DataFrame, dimension: int, block_bytes: int = BLOCK_BYTES):
+def bounded_block(queries: DataFrame, dimension: int = 0, block_bytes: int = BLOCK_BYTES):
     """``(qids, vectors)`` on the driver, or None when over the size bound.
 
-    ``limit(bound + 1)`` keeps the check itself bounded.
+    A first fetch of at most ``FIRST_FETCH`` rows settles small query sides in
+    one job and shows the dimension if it is not declared; ``limit(bound + 1)``
+    keeps the second one bounded as well.
     """
+
+    def take(n: int) -> pa.Table:
+        return queries.select("qid", "vector").limit(n).toArrow()
+
+    table = take(FIRST_FETCH + 1)
+    dimension = dimension or _first_dimension(table["vector"])
     bound = block_rows(dimension, block_bytes)
-    table = queries.select("qid", "vector").limit(bound + 1).toArrow()
+    if table.num_rows > FIRST_FETCH and bound > FIRST_FETCH:
+        table = take(bound + 1)
     if table.num_rows > bound:
         return None
     table = table.filter(table["qid"].is_valid())
@@ -58,6 +69,11 @@ def bounded_block(queries: DataFrame, dimension: int, block_bytes: int = BLOCK_B
     return _one_per_id(table["qid"].combine_chunks().take(pa.array(rows)), block)
 
 
+def _first_dimension(vectors: pa.ChunkedArray) -> int:
+    sizes = pc.drop_null(pc.list_value_length(vectors))
+    return sizes[0].as_py() if len(sizes) else 0
+
+
 def _one_per_id(qids: pa.Array, block: np.ndarray):
     """A repeated query id keeps its smallest vector, as ``fold_queries`` does."""
     group = np.unique(qids.to_numpy(zero_copy_only=False), return_inverse=True)[1]
@@ -98,7 +114,7 @@ def knn_join(
         raise InvalidArgument("top_k must be a positive integer")
     asked = queries.select(F.col(qid).alias("qid"), F.col(query_field or field).alias("vector"))
     members = where(df, filter).select(F.col(pk).alias("pk"), F.col(field).alias("vector"))
-    dimension = field_of(df.schema[field]).dimension or vector_dimension(asked, "vector")
+    dimension = field_of(df.schema[field]).dimension
     top = largest_norm(df, field) if metric in ("ip", "mipsl2") else None
 
     if strategy in ("auto", "scan"):
@@ -111,6 +127,7 @@ def knn_join(
             raise InvalidArgument("the query side is over the broadcast bound")
     elif strategy != "pivot":
         raise InvalidArgument(f"unknown strategy '{strategy}'")
+    dimension = dimension or vector_dimension(asked, "vector")
     return _pivot_join(asked, members, k, metric, dimension, top, pivots, block_bytes)
 
 

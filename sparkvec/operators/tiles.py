@@ -20,6 +20,7 @@ from ..functions.topk import Hits, Scorer
 
 BLOCK_BYTES = 64 << 20
 SPREAD_QUERIES = 256
+STATIC_CELLS = 1024
 
 
 def block_rows(dimension: int, block_bytes: int = BLOCK_BYTES) -> int:
@@ -81,6 +82,39 @@ def rank_hits(hits: DataFrame, k: int, metric: str, repeats: bool = False) -> Da
     return ranked.select("qid", "rank", "pk", "score")
 
 
+def tile_sizes(members: DataFrame, probes: DataFrame, limit: int) -> dict[int, tuple[int, int]]:
+    """Member and query blocks of every cell that has both, from one small job.
+
+    The result has one entry per cell, and the number of cells is fixed when the
+    cells are made.
+    """
+
+    def counted(rows: DataFrame, side: int) -> DataFrame:
+        return rows.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).withColumn("side", F.lit(side))
+
+    found: dict[int, list[int]] = {}
+    for row in counted(members, 0).unionByName(counted(probes, 1)).collect():
+        found.setdefault(row["cell"], [0, 0])[row["side"]] = -(-row["n"] // limit)
+    return {cell: (m, q) for cell, (m, q) in found.items() if m and q and cell is not None}
+
+
+def _tiled(rows: DataFrame, sizes, *, own: str, other: str, n_own: str, n_other: str, key: str) -> DataFrame:
+    """Place each row in one block of its own side and in every block of the other."""
+    columns = ["cell", "mb", "qb", key, "vector"]
+    if all(m == q == 1 for m, q in sizes.values()) and len(sizes) <= STATIC_CELLS:
+        # One tile per cell: a plain filter, which also prunes directories.
+        alone = rows.where(F.col("cell").isin(sorted(sizes)))
+        return alone.withColumn("mb", F.lit(0)).withColumn("qb", F.lit(0)).select(*columns)
+    local = [(cell, m, q) for cell, (m, q) in sorted(sizes.items())]
+    table = rows.sparkSession.createDataFrame(local, "cell int, n_m int, n_q int")
+    return (
+        rows.join(F.broadcast(table), "cell")
+        .withColumn(own, F.pmod(F.xxhash64(key), F.col(n_own)).cast("int"))
+        .withColumn(other, F.explode(F.sequence(F.lit(0), F.col(n_other) - 1)))
+        .select(*columns)
+    )
+
+
 def tile_topk(
     members: DataFrame,
     probes: DataFrame,
@@ -96,32 +130,9 @@ def tile_topk(
     ``members`` is ``(pk, vector, cell)``, ``probes`` is ``(qid, vector, cell)``,
     both with one row per key and cell.
     """
-    limit = block_rows(dimension, block_bytes)
-
-    def blocks(counted: DataFrame, name: str) -> DataFrame:
-        return counted.groupBy("cell").agg(
-            F.ceil(F.count(F.lit(1)) / F.lit(limit)).cast("int").alias(name)
-        )
-
-    # One row per cell that is probed and has members: bounded by the number of
-    # cells, which is fixed when the cells are made.
-    sizes = F.broadcast(blocks(members, "n_m").join(blocks(probes, "n_q"), "cell"))
-
-    def numbers(n: str) -> F.Column:
-        return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-
-    left = (
-        members.join(sizes, "cell")
-        .withColumn("mb", F.pmod(F.xxhash64("pk"), F.col("n_m")).cast("int"))
-        .withColumn("qb", numbers("n_q"))
-        .select("cell", "mb", "qb", "pk", "vector")
-    )
-    right = (
-        probes.join(sizes, "cell")
-        .withColumn("qb", F.pmod(F.xxhash64("qid"), F.col("n_q")).cast("int"))
-        .withColumn("mb", numbers("n_m"))
-        .select("cell", "mb", "qb", "qid", "vector")
-    )
+    sizes = tile_sizes(members, probes, block_rows(dimension, block_bytes))
+    left = _tiled(members, sizes, own="mb", other="qb", n_own="n_m", n_other="n_q", key="pk")
+    right = _tiled(probes, sizes, own="qb", other="mb", n_own="n_q", n_other="n_m", key="qid")
     schema = hit_schema(probes.schema["qid"].dataType, members.schema["pk"].dataType)
     out = arrow_schema(schema)
 
