@@ -72,10 +72,12 @@ def cosine_distance(a: Column | str, b: Column | str) -> Column:
 
 def mips_l2(ip: Column, query_sq_norm: Column, max_norm: Column) -> Column:
     """Distance after appending sqrt(M^2 - |x|^2); orders like inner product."""
-    return F.sqrt(F.greatest(F.lit(0.0), max_norm * max_norm + query_sq_norm - ip * 2.0))
+    rest = max_norm * max_norm + query_sq_norm - ip * 2.0
+    # Not greatest(): it would turn an undefined product into a perfect hit.
+    return F.sqrt(F.when(rest < 0, F.lit(0.0)).otherwise(rest))
 
 
-def _defined(score: Column) -> Column:
+def defined(score: Column) -> Column:
     return F.when(~F.isnan(score), score)
 
 
@@ -92,7 +94,21 @@ def score(metric: str, a: Column | str, q: Column | str, max_norm: Column | None
         if max_norm is None:
             raise InvalidArgument("mipsl2 needs the maximum norm of the collection")
         raw = mips_l2(inner_product(a, q), squared_norm(q), max_norm)
-    return _defined(raw)
+    return defined(raw)
+
+
+def largest_norm(field: str, dimension: int | None = None) -> Column:
+    """Aggregate: maximum norm of the finite vectors (of one dimension), 0 if none."""
+
+    @F.arrow_udf("double")
+    def norms(column: pa.Array) -> pa.Array:
+        rows, block = dense_block(column, dimension)
+        with np.errstate(all="ignore"):
+            size = np.sqrt(running_sum(np.ascontiguousarray(block.T) ** 2))
+        size[~np.isfinite(size)] = np.nan
+        return scatter(rows, size, len(column))
+
+    return F.coalesce(F.max(norms(F.col(field))), F.lit(0.0))
 
 
 def running_sum(columns: np.ndarray) -> np.ndarray:

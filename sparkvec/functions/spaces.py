@@ -41,12 +41,14 @@ def lift_queries(metric: str, block: np.ndarray) -> np.ndarray:
 
 
 def lifted_column(metric: str, field: str, dimension: int, max_norm: float | None) -> Column:
-    """The lifted vectors as a column, for training centroids."""
+    """The lifted vectors as a column, for training centroids; null without a place."""
 
     @F.arrow_udf(T.ArrayType(T.DoubleType()))
     def lifted(vectors: pa.Array) -> pa.Array:
         rows, block = dense_block(vectors, dimension)
-        return list_column_at(rows, lift_members(metric, block, max_norm), len(vectors), pa.float64())
+        block = lift_members(metric, block, max_norm)
+        sound = np.isfinite(block).all(axis=1)
+        return list_column_at(rows[sound], block[sound], len(vectors), pa.float64())
 
     return lifted(F.col(field))
 

@@ -50,12 +50,6 @@ class Centroids:
         return spaces.lift_queries(self.metric, block)
 
 
-def usable(df: DataFrame, field: str, dimension: int) -> DataFrame:
-    """Rows whose vector is complete, finite and of the right dimension."""
-    bad = F.exists(field, lambda x: x.isNull() | F.isnan(x.cast("double")) | (F.abs(x.cast("double")) == float("inf")))
-    return df.where((F.size(field) == dimension) & ~bad)
-
-
 def train_centroids(
     df: DataFrame,
     field: str,
@@ -70,14 +64,12 @@ def train_centroids(
     the cells but never which rows are indexed."""
     metrics.check_metric(metric)
     dimension = vector_dimension(df, field)
-    top = largest_norm(df, field) if metric in ("ip", "mipsl2") else None
-    rows = usable(df.select(field), field, dimension)
-    if metric == "cosine":
-        rows = rows.where(metrics.squared_norm(field) > 0)
+    top = largest_norm(df, field, dimension) if metric in ("ip", "mipsl2") else None
+    rows = df.select(field)
     if fraction is not None:
         rows = rows.sample(fraction=fraction, seed=seed)
     lifted = spaces.lifted_column(metric, field, dimension, top)
-    features = rows.select(array_to_vector(lifted).alias("features"))
+    features = rows.select(lifted.alias("v")).where("v is not null").select(array_to_vector("v").alias("features"))
     model = KMeans(k=n_list, maxIter=n_iters, seed=seed).fit(features)
     points = np.unique(np.array(model.clusterCenters()), axis=0)
     return Centroids(points, metric, dimension, top)

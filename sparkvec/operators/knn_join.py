@@ -41,9 +41,9 @@ def vector_dimension(df: DataFrame, field: str) -> int:
     return row["n"] if row else 0
 
 
-def largest_norm(df: DataFrame, field: str) -> float:
+def largest_norm(df: DataFrame, field: str, dimension: int) -> float:
     """Maximum vector norm: one double, found by a map-side combined aggregate."""
-    return df.select(F.coalesce(F.max(metrics.norm(field)), F.lit(0.0)).alias("m")).first()["m"]
+    return df.select(metrics.largest_norm(field, dimension).alias("m")).first()["m"]
 
 
 def bounded_block(queries: DataFrame, dimension: int = 0, block_bytes: int = BLOCK_BYTES):
@@ -105,21 +105,27 @@ def knn_join(
     metric: str = "l2",
     filter: str | Column | None = None,
     strategy: str = "auto",
+    max_norm: float | None = None,
     pivots: int = PIVOTS,
     block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
-    """Rows ``(qid, rank, pk, score)``: the k nearest of ``df`` for each query."""
+    """Rows ``(qid, rank, pk, score)``: the k nearest of ``df`` for each query.
+
+    ``max_norm`` fixes the norm mipsl2 refers to when ``df`` is part of a whole.
+    """
     metrics.check_metric(metric)
     if k <= 0:
         raise InvalidArgument("top_k must be a positive integer")
     asked = queries.select(F.col(qid).alias("qid"), F.col(query_field or field).alias("vector"))
     members = where(df, filter).select(F.col(pk).alias("pk"), F.col(field).alias("vector"))
     dimension = field_of(df.schema[field]).dimension
-    top = largest_norm(df, field) if metric in ("ip", "mipsl2") else None
 
     if strategy in ("auto", "scan"):
         block = bounded_block(asked, dimension, block_bytes)
         if block is not None:
+            top = max_norm
+            if metric == "mipsl2" and top is None:
+                top = largest_norm(df, field, block[1].shape[1])
             tasks = 4 * df.sparkSession.sparkContext.defaultParallelism
             hits = scan_topk(members, *block, k=k, metric=metric, max_norm=top, tasks=tasks)
             return rank_hits(hits, k, metric)
@@ -128,7 +134,14 @@ def knn_join(
     elif strategy != "pivot":
         raise InvalidArgument(f"unknown strategy '{strategy}'")
     dimension = dimension or vector_dimension(asked, "vector")
-    return _pivot_join(asked, members, k, metric, dimension, top, pivots, block_bytes)
+    top = largest_norm(df, field, dimension) if metric in ("ip", "mipsl2") else None
+    if metric != "mipsl2" or max_norm is None:
+        return _pivot_join(asked, members, k, metric, dimension, top, pivots, block_bytes)
+    # Same order as ip; the score refers to the norm that was asked for.
+    ranked = _pivot_join(asked, members, k, "ip", dimension, top, pivots, block_bytes)
+    sizes = fold_queries(asked).select("qid", metrics.squared_norm("vector").alias("q_sq"))
+    score = metrics.mips_l2(F.col("score"), F.col("q_sq"), F.lit(max_norm))
+    return ranked.join(sizes, "qid").select("qid", "rank", "pk", score.alias("score"))
 
 
 # -- exact join by pivots ---------------------------------------------------

@@ -35,9 +35,9 @@ def _looks_like_vector(struct_field) -> bool:
     return declared is None and struct_field.dataType.simpleString() in ("array<float>", "array<double>")
 
 
-def max_norm(df: DataFrame, field: str) -> Column:
+def max_norm(df: DataFrame, field: str, dimension: int) -> Column:
     """Largest vector norm of the collection, as a scalar subquery."""
-    return df.select(F.coalesce(F.max(metrics.norm(field)), F.lit(0.0)).alias("m")).scalar()
+    return df.select(metrics.largest_norm(field, dimension).alias("m")).scalar()
 
 
 def scored(
@@ -55,13 +55,14 @@ def scored(
     if not len(vector):
         raise InvalidArgument("query vector must be set")
     query = metrics.literal_vector(vector)
-    top = max_norm(collection if collection is not None else df, field) if metric == "mipsl2" else None
+    whole = collection if collection is not None else df
+    top = max_norm(whole, field, len(vector)) if metric == "mipsl2" else None
     if engine == "sql":
         score = metrics.score(metric, field, query, top)
     elif engine == "arrow":
         score = metrics.score_against(metric, vector)(F.col(field))
         if metric == "mipsl2":
-            score = metrics.mips_l2(score, metrics.squared_norm(query), top)
+            score = metrics.defined(metrics.mips_l2(score, metrics.squared_norm(query), top))
     else:
         raise InvalidArgument(f"unknown scoring engine '{engine}'")
     return df.withColumn(name, score).where(F.col(name).isNotNull())

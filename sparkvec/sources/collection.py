@@ -21,12 +21,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..errors import AlreadyExists, InvalidArgument, NotFound
+from ..functions.metrics import closest_first
 from ..functions.predicates import predicate
 from ..operators import ddl, stats, writes
 from ..operators.fetch import fetch
+from ..operators.knn_join import knn_join
 from ..operators.search import DOC_ID, knn
+from ..operators.tiles import rank_hits
 from ..schema import Field, Index, Schema, schema_from_json, schema_to_json
 from ..session import settle
+from ..types import is_bits, is_sparse
 from .records import PRESENT, conform_records, error_column
 
 GROUP = "pk_group"
@@ -193,19 +197,98 @@ class Collection:
         rows = self._read(snap, self._parts_of(snap, groups)).drop(GROUP, DOC_ID)
         return fetch(rows, keys, pk=pk, position=position)
 
-    def search(self, field: str, vector: Sequence[float], *, metric: str | None = None, **options) -> DataFrame:
-        """Exact search; the metric defaults to the field's index, else l2."""
+    def search(
+        self,
+        field: str,
+        vector: Sequence[float],
+        *,
+        metric: str | None = None,
+        late_fetch: bool = False,
+        **options,
+    ) -> DataFrame:
+        """Exact search; the metric defaults to the field's index, else l2.
+
+        ``late_fetch`` first finds the k keys from the key, vector and filter
+        columns alone, then reads the output fields from those keys' groups only:
+        worth it when the output fields are wide.
+        """
         snap = self.snapshot()
-        declared = snap.schema[field]
-        if not declared.is_vector:
-            raise InvalidArgument(f"field '{field}' is not a vector field")
+        declared = self._vector_field(snap, field)
         if len(vector) != declared.dimension:
             raise InvalidArgument(
                 f"query vector has dimension {len(vector)}, expected {declared.dimension}"
             )
-        chosen = metric or (declared.index.metric if declared.index else None) or "l2"
+        pk = snap.schema.pk
+        options["metric"] = metric or _metric(declared)
         rows = self._read(snap, snap.parts).drop(GROUP)
-        return knn(rows, field, vector, pk=snap.schema.pk, metric=chosen, **options)
+        if not late_fetch:
+            return knn(rows, field, vector, pk=pk, **options)
+        full = knn(rows, field, vector, pk=pk, **options)
+        narrow = {k: v for k, v in options.items() if k not in ("include_vector", "include_doc_id")}
+        narrow["output_fields"] = [pk]
+        found = knn(rows, field, vector, pk=pk, **narrow).select(pk, "score").collect()  # k rows
+        hits = self.spark.createDataFrame(found, full.select(pk, "score").schema)
+        keyed = hits.withColumn(GROUP, writes.key_group(pk, snap.digits))
+        wanted = self._read(snap, self._parts_of(snap, self._groups(keyed))).where(
+            F.col(pk).isin([r[pk] for r in found])
+        )
+        order = closest_first(options["metric"], F.col("score"))
+        return hits.join(wanted, pk).select(full.columns).orderBy(order, F.col(pk).asc())
+
+    def search_many(
+        self,
+        queries: DataFrame,
+        field: str,
+        *,
+        qid: str,
+        query_field: str | None = None,
+        k: int = 10,
+        metric: str | None = None,
+        filter: str | None = None,
+        n_probe: int | None = None,
+        ef: int | None = None,
+        linear: bool = False,
+    ) -> DataFrame:
+        """Rows ``(qid, rank, pk, score)`` for a table of query vectors.
+
+        With an index table its nearest cells are searched (``n_probe`` of them, or
+        enough to hold ``ef`` members); rows written since it was built are searched
+        exactly, so nothing new is missed and nothing deleted comes back. Without
+        one, or with ``linear``, the search is exact.
+        """
+        from ..operators import index as ivf
+
+        snap = self.snapshot()
+        declared = self._vector_field(snap, field)
+        pk, chosen = snap.schema.pk, metric or _metric(declared)
+        shape = dict(qid=qid, pk=pk, field=field, query_field=query_field, k=k)
+        facts = snap.indexes.get(field)
+        if facts is None or linear or facts["metric"] != chosen:
+            rows = self._read(snap, snap.parts).drop(GROUP)
+            return knn_join(queries, rows, metric=chosen, filter=filter, **shape)
+        table, cells = self.index(field)
+        built = set(self.snapshot(facts["version"]).parts)
+        fresh = [p for p in snap.parts if p not in built]
+        # A group that lost a folder was rewritten: all its current rows are fresh.
+        rewritten = sorted({self._group_of(p) for p in built - set(snap.parts)})
+        if rewritten:
+            table = table.where(~writes.key_group(pk, snap.digits).isin(rewritten))
+        if ef is not None:
+            found = ivf.ann_knn(queries, table, cells, ef=ef, filter=filter, **shape)
+        else:
+            found = ivf.ivf_knn(queries, table, cells, n_probe=n_probe, filter=filter, **shape)
+        if not fresh:
+            return found
+        rows = self._read(snap, fresh).drop(GROUP)
+        new = knn_join(queries, rows, metric=chosen, filter=filter, max_norm=cells.max_norm, **shape)
+        return rank_hits(found.drop("rank").unionByName(new.drop("rank")), k, chosen)
+
+    @staticmethod
+    def _vector_field(snap: Snapshot, field: str) -> Field:
+        declared = snap.schema[field]
+        if not declared.is_vector or is_sparse(declared.type) or is_bits(declared.type):
+            raise InvalidArgument(f"field '{field}' is not a dense vector field")
+        return declared
 
     # -- schema changes ------------------------------------------------------
 
@@ -266,6 +349,7 @@ class Collection:
             cells.table(self.spark).coalesce(1).write.parquet(f"{table}/centroids")
             indexes[name] = {
                 "table": table,
+                "version": snap.version,
                 "metric": cells.metric,
                 "dimension": cells.dimension,
                 "max_norm": cells.max_norm,
@@ -314,7 +398,8 @@ class Collection:
         )
         for name, facts in snap.indexes.items():
             table = self.spark.read.parquet(f"{facts['table']}/cells")
-            share = stats.index_completeness(df, table, pk=snap.schema.pk)
+            held = df.where(F.col(name).isNotNull())
+            share = stats.index_completeness(held, table, pk=snap.schema.pk)
             out = out.unionByName(
                 share.select(
                     F.lit("index_completeness").alias("metric"),
@@ -482,5 +567,9 @@ class Collection:
         self._log(replace(changed, version=number, parts=tuple(added)))
 
 
+def _metric(declared: Field) -> str:
+    return (declared.index.metric if declared.index else None) or "l2"
+
+
 def _result_rows(done: DataFrame, pk: str) -> DataFrame:
     return done.select(F.col(pk).alias("pk"), "op", "code", "message")

@@ -88,6 +88,9 @@ def test_search(spark, made):
     assert [(r["id"], r["score"]) for r in hits] == [("doc-0", 0.0)]
     numbered = made.search("embedding", [1.0, 0.0, 0.0, 0.0], k=2, include_doc_id=True, filter="title = 't'")
     assert all(isinstance(r["_doc_id"], int) for r in numbered.collect())
+    plain = made.search("embedding", [1.0, 0.0, 0.0, 0.0], k=3, include_vector=True)
+    late = made.search("embedding", [1.0, 0.0, 0.0, 0.0], k=3, include_vector=True, late_fetch=True)
+    assert plain.columns == late.columns and plain.collect() == late.collect()
     with pytest.raises(InvalidArgument):
         made.search("embedding", [1.0])
     with pytest.raises(InvalidArgument):
@@ -144,6 +147,15 @@ def test_index_life(spark, tmp_path):
     full = ivf.ivf_knn(c.scan(), table, cells, n_probe=len(cells.points), **every)
     exact = knn_join(c.scan(), c.scan(), **every)
     assert set(full.collect()) == set(exact.collect())
+    # Changes after the build: fresh rows are found, stale ones are not returned.
+    c.insert(docs(spark, ("new", [50.0, 1.0, 0.0, 0.0], "n")))
+    c.upsert(docs(spark, ("doc-4", [0.0, 0.0, 0.0, 77.0], "moved")))
+    c.delete(spark.createDataFrame([("doc-8",)], "id string"))
+    ask = dict(qid="id", k=3)
+    got = c.search_many(c.scan(), "embedding", n_probe=len(cells.points), **ask)
+    assert set(got.collect()) == set(c.search_many(c.scan(), "embedding", linear=True, **ask).collect())
+    assert "doc-8" not in {r["pk"] for r in got.collect()}
+    assert c.search_many(c.scan(), "embedding", ef=10, filter="title = 'n'", **ask).count() == c.scan().count()
     c.drop_index("embedding")
     assert c.schema["embedding"].index is None
     with pytest.raises(NotFound):
