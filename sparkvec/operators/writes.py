@@ -4,7 +4,8 @@ Every batch row gets one result row ``(pk, op, code, message)``. A lakehouse
 ``MERGE`` can replace the snapshot half without touching the result half.
 
 ``order`` names the columns that give the batch its sequence; without it the row
-order of the input is used. Base keys are unique, so joins on the key are only
+order of the input is used. Where the outcome hangs on that order (a repeated key
+in an insert or a delete) the batch is first written to the shared folder. Base keys are unique, so joins on the key are only
 ever skewed on the batch side, and the batch is reduced per key before it meets
 the base.
 """
@@ -20,6 +21,7 @@ from pyspark.sql import types as T
 
 from ..errors import InvalidArgument
 from ..functions.predicates import predicate
+from ..session import settle
 from ..sources.records import PRESENT
 
 _POS = "_pos"
@@ -33,11 +35,23 @@ class WriteResult:
 
 
 def sequenced(batch: DataFrame, order: Sequence[str] | None) -> DataFrame:
+    """Add the position of every row; a batch that carries one keeps it."""
+    if _POS in batch.columns:
+        return batch
     # The row number within the input settles rows that share an order value.
     place = F.monotonically_increasing_id()
     return batch.withColumn(_POS, F.struct(*[F.col(c) for c in order or ()], place.alias("_row")))
 
 
+def _fixed(batch: DataFrame, order: Sequence[str] | None) -> DataFrame:
+    """Sequenced batch whose positions are the same however often it is read.
+
+    Row numbers depend on how Spark happened to partition the input, so they are
+    written down once; snapshot and result rows then agree on which row was first.
+    """
+    return batch if _POS in batch.columns else settle(sequenced(batch, order))
+
+
 def _one_per_key(batch: DataFrame, pk: str, last: bool) -> DataFrame:
     # Spark runs this as a group limit of one row per key before the shuffle, so
     # a key with very many copies costs one row per task.
@@ -90,7 +104,7 @@ def classify_insert(base: DataFrame, batch: DataFrame, *, pk: str, order=None) -
         .when(_is_repeat(), F.lit("document repeated in batch"))
         .otherwise(F.lit(""))
     )
-    return _classified(sequenced(batch, order), base, pk, code, message, "insert")
+    return _classified(_fixed(batch, order), base, pk, code, message, "insert")
 
 
 def insert(base: DataFrame, batch: DataFrame, *, pk: str, order=None) -> WriteResult:
@@ -164,7 +178,7 @@ def classify_delete(base: DataFrame, keys: DataFrame, *, pk: str, order=None) ->
     gone = F.col("_held") & ~_is_repeat()
     code = F.when(gone, F.lit("ok")).otherwise(F.lit("not_found"))
     message = F.when(gone, F.lit("")).otherwise(F.lit("document not found"))
-    return _classified(sequenced(keys, order), base, pk, code, message, "delete")
+    return _classified(_fixed(keys, order), base, pk, code, message, "delete")
 
 
 def delete(base: DataFrame, keys: DataFrame, *, pk: str, order=None) -> WriteResult:

@@ -200,7 +200,7 @@ def streaming_upsert_query(spark, folder):
         "event_type",
         "value",
         "event_id",
-        F.unix_micros(F.col("ts").cast("timestamp")).alias("seen"),
+        F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col("ts")).alias("seen"),
     )
     source = scratch_path(spark, "events")
     events.repartitionByRange(3, "seen").write.parquet(source)

@@ -498,8 +498,8 @@ class Collection:
             "upsert": writes.classify_upsert,
         }[op]
         parts = [] if op == "upsert" else self._parts_of(snap, self._groups(good))
-        done = classify(self._read(snap, parts), good, pk=snap.schema.pk, order=["_pos"])
-        rejected = writes.sequenced(judged.where("_bad is not null"), ["_pos"]).select(
+        done = classify(self._read(snap, parts), good, pk=snap.schema.pk)
+        rejected = judged.where("_bad is not null").select(
             *[c for c in judged.columns if c != "_bad"],
             F.lit(op).alias("op"),
             F.lit("invalid_argument").alias("code"),
