@@ -201,6 +201,21 @@ def sign_words(column: Column | str, dimension: int) -> Column:
     return F.when(F.size(column) == dimension, F.array(*[word(s) for s in range(0, dimension, 64)]))
 
 
+def bit_words(column: Column | str) -> Column:
+    """Packed bits (binary) as 64-bit words, padded with zero bits at the end."""
+
+    @F.arrow_udf(T.ArrayType(T.LongType()))
+    def words(cells: pa.Array) -> pa.Array:
+        lengths = pc.fill_null(pc.binary_length(cells), 0).to_numpy(zero_copy_only=False)
+        counts = -(-lengths // 8)
+        joined = b"".join((c or b"").ljust(8 * n, b"\0") for c, n in zip(cells.to_pylist(), counts.tolist()))
+        offsets = pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32))
+        body = pa.array(np.frombuffer(joined, dtype=">i8").astype(np.int64))
+        return pa.ListArray.from_arrays(offsets, body, mask=cells.is_null() if cells.null_count else None)
+
+    return words(column)
+
+
 def _count_bits(words: Column) -> Column:
     return F.aggregate(words, F.lit(0), lambda acc, w: acc + F.bit_count(w))
 
@@ -216,7 +231,14 @@ def common_bits(a: Column, b: Column) -> Column:
 
 
 def bit_score(metric: str, a: Column, b: Column) -> Column:
-    """The four metrics on bit vectors. mipsl2 takes the word width as norm bound."""
+    """The four metrics on bit vectors. mipsl2 takes the word width as norm bound.
+
+    Vectors of another width have no score.
+    """
+    return F.when(F.size(a) == F.size(b), _bit_score(metric, a, b))
+
+
+def _bit_score(metric: str, a: Column, b: Column) -> Column:
     both = common_bits(a, b).cast("double")
     if metric == "l2":
         return F.sqrt(hamming(a, b).cast("double"))

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from ..errors import InvalidArgument
 from .arrow import dense_block, list_column_at
+from .codec import pack, unpack
 
 # Code range of each quantizer as (steps, lowest code).
 LEVELS = {"int8": (255, -128), "int4": (15, 0)}
@@ -41,6 +42,25 @@ def quantizer_ranges(df: DataFrame, field: str, dimension: int) -> DataFrame:
     return parts.groupBy("dim").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
 
 
+@dataclass(frozen=True)
+class HalfQuantizer:
+    """fp16: two bytes per element, nothing to train."""
+
+    dimension: int
+    kind: str = "fp16"
+
+    def encode(self, column: Column | str) -> Column:
+        return F.when(F.size(column) == self.dimension, pack(column, "fp16"))
+
+    def decode(self, column: Column | str) -> Column:
+        return unpack(column, "fp16")
+
+
+def trained(df: DataFrame, field: str, kind: str, dimension: int) -> HalfQuantizer | Quantizer:
+    """Quantizer of a kind an index may ask for: fp16, int8 or int4."""
+    return HalfQuantizer(dimension) if kind == "fp16" else Quantizer.train(df, field, kind, dimension)
+
+
 @dataclass(frozen=True)
 class Quantizer:
     """Trained ranges: two doubles per dimension."""

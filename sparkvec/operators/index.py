@@ -7,6 +7,7 @@ cell, a static probe list prunes directories and a probe join prunes at run time
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -217,6 +218,54 @@ def ann_knn(
     )
 
 
+def quantized(index: DataFrame, field: str, quantizer) -> DataFrame:
+    """Index table that holds ``codes`` in place of the vectors."""
+    return index.withColumn("codes", quantizer.encode(F.col(field))).drop(field)
+
+
+def ivf_knn_refined(
+    queries: DataFrame,
+    codes: DataFrame,
+    originals: DataFrame,
+    cells: Centroids,
+    quantizer,
+    *,
+    qid: str,
+    pk: str,
+    field: str,
+    query_field: str | None = None,
+    k: int = 10,
+    scale_factor: float = 1.0,
+    n_probe: int | None = None,
+    ef: int | None = None,
+    filter: str | Column | None = None,
+    radius: float | None = None,
+    block_bytes: int = BLOCK_BYTES,
+) -> DataFrame:
+    """Search an index of codes for ``k * scale_factor`` hits per query, then rank
+    those by the original vectors."""
+    if scale_factor < 1.0:
+        raise InvalidArgument("scale_factor must be at least 1")
+    shape = dict(
+        qid=qid, pk=pk, field=field, query_field=query_field,
+        k=math.ceil(k * scale_factor), filter=filter, block_bytes=block_bytes,
+    )
+    decoded = codes.withColumn(field, quantizer.decode(F.col("codes")))
+    if ef is not None:
+        wide = ann_knn(queries, decoded, cells, ef=ef, **shape)
+    else:
+        wide = ivf_knn(queries, decoded, cells, n_probe=n_probe, **shape)
+    asked = fold_queries(queries.select(F.col(qid).alias("qid"), F.col(query_field or field).alias("vector")))
+    members = originals.select(F.col(pk).alias("pk"), F.col(field).alias("member"))
+    pairs = wide.select("qid", "pk").join(members, "pk").join(asked, "qid")
+    top = F.lit(cells.max_norm) if cells.max_norm is not None else None
+    score = metrics.score(cells.metric, "member", "vector", top)
+    hits = pairs.select("qid", "pk", score.alias("score")).where("score is not null")
+    if radius is not None:
+        hits = hits.where(F.col("score") >= radius if cells.metric == "ip" else F.col("score") <= radius)
+    return rank_hits(hits, k, cells.metric)
+
+
 def ivf_knn_one(
     index: DataFrame,
     cells: Centroids,

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..errors import InvalidArgument
 from ..functions import metrics
+from ..functions.codec import bit_score, bit_words
 from ..functions.predicates import where
 from ..schema import schema_of
 
@@ -88,6 +89,41 @@ def knn(
     ``output_fields`` empty means every scalar field. ``radius`` keeps hits at or
     within that distance (at or above that value for inner product).
     """
+    candidates, fields = _candidates(df, field, pk, k, filter, output_fields, include_vector, include_doc_id)
+    hits = scored(candidates, field, vector, metric=metric, collection=df, engine=engine)
+    return _closest(hits, [pk, "score", *fields], pk, k, metric, radius)
+
+
+def knn_bits(
+    df: DataFrame,
+    field: str,
+    bits: bytes,
+    *,
+    pk: str,
+    k: int = 10,
+    metric: str = "l2",
+    filter: str | Column | None = None,
+    radius: float | None = None,
+    output_fields: Sequence[str] = (),
+    include_vector: bool = False,
+    include_doc_id: bool = False,
+) -> DataFrame:
+    """The same search over a packed bit-vector field (a binary column)."""
+    metrics.check_metric(metric)
+    if not bits:
+        raise InvalidArgument("query vector must be set")
+    padded = bytes(bits).ljust(-(-len(bits) // 8) * 8, b"\0")
+    query = F.array(
+        *[F.lit(int.from_bytes(padded[i : i + 8], "big", signed=True)) for i in range(0, len(padded), 8)]
+    ).cast("array<bigint>")
+    candidates, fields = _candidates(df, field, pk, k, filter, output_fields, include_vector, include_doc_id)
+    same = candidates.where(F.octet_length(field) == len(bits)).withColumn("_words", bit_words(F.col(field)))
+    hits = same.withColumn("score", bit_score(metric, F.col("_words"), query)).where("score is not null")
+    return _closest(hits, [pk, "score", *fields], pk, k, metric, radius)
+
+
+def _candidates(df, field, pk, k, filter, output_fields, include_vector, include_doc_id):
+    """Filtered rows with the needed columns only, and the fields to return."""
     if isinstance(k, bool) or not isinstance(k, int) or k <= 0:
         raise InvalidArgument("top_k must be a positive integer")
     fields = [c for c in (output_fields or scalar_columns(df)) if c != pk]
@@ -100,17 +136,14 @@ def knn(
         if DOC_ID not in df.columns:
             raise InvalidArgument("the collection carries no document ids")
         fields.append(DOC_ID)
+    return where(df, filter).select(*dict.fromkeys([pk, field, *fields])), fields
 
-    candidates = where(df, filter).select(*dict.fromkeys([pk, field, *fields]))
-    hits = scored(candidates, field, vector, metric=metric, collection=df, engine=engine)
+
+def _closest(hits: DataFrame, columns: Sequence[str], pk: str, k: int, metric: str, radius: float | None) -> DataFrame:
     if radius is not None:
-        within = F.col("score") >= radius if metric == "ip" else F.col("score") <= radius
-        hits = hits.where(within)
-    return (
-        hits.select(pk, "score", *fields)
-        .orderBy(metrics.closest_first(metric, F.col("score")), F.col(pk).asc())
-        .limit(k)
-    )
+        hits = hits.where(F.col("score") >= radius if metric == "ip" else F.col("score") <= radius)
+    order = metrics.closest_first(metric, F.col("score"))
+    return hits.select(*columns).orderBy(order, F.col(pk).asc()).limit(k)
 
 
 def select_fields(df: DataFrame, category: str) -> DataFrame:

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from ..functions import codec, sparse
 from ..functions.quantize import Quantizer, quantizer_ranges
 from ..operators.quantized import knn_quantized, knn_quantized_refined, quantize_table
+from ..operators.search import knn_bits
 from ..sources.records import observed_dimension
 from . import shared
 from .registry import Tables, query
@@ -108,13 +110,14 @@ def _bits_sql(score: str, direction: str) -> str:
     SELECT vec_id, label, round(s, 6) AS score FROM s ORDER BY s {direction}, vec_id LIMIT 10"""
 
 
+# The signs of the fixed query vector, packed.
+_QUERY_BITS = np.packbits(np.array(QUERY) > 0).tobytes()
+
+
 def _knn_bits(spark, folder, metric):
-    query_words = codec.sign_words(F.array(*[F.lit(v) for v in QUERY]), DIMENSION)
-    df = Tables(spark, folder).embeddings.select(
-        "vec_id", "label", codec.bit_score(metric, codec.sign_words("embedding", DIMENSION), query_words).alias("score")
-    )
-    order = F.col("score").desc() if metric == "ip" else F.col("score").asc()
-    return rounded(df.orderBy(order, "vec_id").limit(10))
+    df = Tables(spark, folder).embeddings.select("vec_id", "label", codec.sign_bits("embedding").alias("bits"))
+    hits = knn_bits(df, "bits", _QUERY_BITS, pk="vec_id", metric=metric, output_fields=["label"])
+    return rounded(hits)
 
 
 @query("knn_binary_hamming", _bits_sql("sqrt(count(*) FILTER (WHERE (x > 0) != on_))", "ASC"))
@@ -127,6 +130,17 @@ def knn_binary_ip(spark, folder):
     return _knn_bits(spark, folder, "ip")
 
 
+@query("knn_binary_words", _bits_sql("sqrt(count(*) FILTER (WHERE (x > 0) != on_))", "ASC"))
+def knn_binary_words(spark, folder):
+    """The same search with the words built by plain expressions, nothing stored."""
+    query_words = codec.sign_words(F.array(*[F.lit(v) for v in QUERY]), DIMENSION)
+    words = codec.sign_words("embedding", DIMENSION)
+    df = Tables(spark, folder).embeddings.select(
+        "vec_id", "label", codec.bit_score("l2", words, query_words).alias("score")
+    )
+    return rounded(df.orderBy("score", "vec_id").limit(10))
+
+
 @query(
     "quantize_fp16",
     f"""WITH {_ELEMENTS}, f AS (

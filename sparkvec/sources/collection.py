@@ -15,6 +15,7 @@ import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field, replace
 
+import numpy as np
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +24,7 @@ from pyspark.sql import types as T
 from ..errors import AlreadyExists, InvalidArgument, NotFound
 from ..functions.metrics import closest_first
 from ..functions.predicates import predicate
+from ..functions.quantize import HalfQuantizer, Quantizer, trained
 from ..operators import ddl, stats, writes
 from ..operators.fetch import fetch
 from ..operators.knn_join import knn_join
@@ -247,14 +249,16 @@ class Collection:
         filter: str | None = None,
         n_probe: int | None = None,
         ef: int | None = None,
+        scale_factor: float = 2.0,
         linear: bool = False,
     ) -> DataFrame:
         """Rows ``(qid, rank, pk, score)`` for a table of query vectors.
 
         With an index table its nearest cells are searched (``n_probe`` of them, or
         enough to hold ``ef`` members); rows written since it was built are searched
-        exactly, so nothing new is missed and nothing deleted comes back. Without
-        one, or with ``linear``, the search is exact.
+        exactly, so nothing new is missed and nothing deleted comes back. A quantized
+        index finds ``k * scale_factor`` candidates that the original vectors rank.
+        Without an index, or with ``linear``, the search is exact.
         """
         from ..operators import index as ivf
 
@@ -273,7 +277,20 @@ class Collection:
         rewritten = sorted({self._group_of(p) for p in built - set(snap.parts)})
         if rewritten:
             table = table.where(~writes.key_group(pk, snap.digits).isin(rewritten))
-        if ef is not None:
+        if facts["quantize"]:
+            found = ivf.ivf_knn_refined(
+                queries,
+                table,
+                self._read(snap, snap.parts),
+                cells,
+                self._quantizer(facts),
+                scale_factor=scale_factor,
+                n_probe=n_probe,
+                ef=ef,
+                filter=filter,
+                **shape,
+            )
+        elif ef is not None:
             found = ivf.ann_knn(queries, table, cells, ef=ef, filter=filter, **shape)
         else:
             found = ivf.ivf_knn(queries, table, cells, n_probe=n_probe, filter=filter, **shape)
@@ -344,12 +361,23 @@ class Collection:
             )
             scalars = list(keep) if keep is not None else snap.schema.names("forward")
             rows = df.select(*dict.fromkeys([snap.schema.pk, *scalars, name]))
-            table = f"{self.path}/index/{name}/v={number}"
-            ivf.write_index(ivf.assign(rows, name, cells, soar=bool(index.use_soar)), f"{table}/cells")
+            # A name of its own: an abandoned build is never taken for this one.
+            table = f"{self.path}/index/{name}/v={number}-{uuid.uuid4().hex[:8]}"
+            quantizer = None
+            placed = ivf.assign(rows, name, cells, soar=bool(index.use_soar))
+            if index.quantize:
+                quantizer = trained(df, name, index.quantize, cells.dimension)
+                placed = ivf.quantized(placed, name, quantizer)
+            ivf.write_index(placed, f"{table}/cells")
+            if isinstance(quantizer, Quantizer):
+                ranges = [(i, float(a), float(b)) for i, (a, b) in enumerate(zip(quantizer.lo, quantizer.hi))]
+                stored = self.spark.createDataFrame(ranges, "dim int, lo double, hi double")
+                stored.coalesce(1).write.parquet(f"{table}/ranges")
             cells.table(self.spark).coalesce(1).write.parquet(f"{table}/centroids")
             indexes[name] = {
                 "table": table,
                 "version": snap.version,
+                "quantize": index.quantize,
                 "metric": cells.metric,
                 "dimension": cells.dimension,
                 "max_norm": cells.max_norm,
@@ -366,8 +394,6 @@ class Collection:
 
     def index(self, name: str):
         """``(index table, centroids)`` of an indexed vector field."""
-        import numpy as np
-
         from ..operators.index import Centroids
 
         facts = self.snapshot().indexes.get(name)
@@ -378,6 +404,13 @@ class Collection:
         cells = Centroids(points, facts["metric"], facts["dimension"], facts["max_norm"])
         return self.spark.read.parquet(f"{facts['table']}/cells"), cells
 
+    def _quantizer(self, facts: dict):
+        if facts["quantize"] == "fp16":
+            return HalfQuantizer(facts["dimension"])
+        rows = self.spark.read.parquet(f"{facts['table']}/ranges").orderBy("dim").collect()
+        lo, hi = ([r[c] for r in rows] for c in ("lo", "hi"))
+        return Quantizer(facts["quantize"], np.array(lo), np.array(hi))
+
     def optimize(self, sort_by: Sequence[str] | None = None) -> None:
         """Rewrite the snapshot as few sorted files and rebuild index tables."""
         snap = self.snapshot()
@@ -527,6 +560,9 @@ class Collection:
         if sort_by:
             spread = spread.sortWithinPartitions(GROUP, *sort_by)
         writer = spread.write.mode("errorifexists").partitionBy(GROUP)
+        for f in snap.schema.fields:
+            if f.index is not None and f.index.type == "invert":
+                writer = writer.option(f"parquet.bloom.filter.enabled#{f.name}", "true")
         if snap.schema.max_doc_count_per_segment:
             writer = writer.option("maxRecordsPerFile", snap.schema.max_doc_count_per_segment)
         writer.parquet(table)

@@ -94,6 +94,17 @@ def test_bit_metrics(spark):
     assert row[0] == pytest.approx(math.sqrt(2)) and row[1] == 1 and row[2] == pytest.approx(0.5)
 
 
+def test_packed_bit_search(spark):
+    from sparkvec.operators.search import knn_bits
+
+    rows = [("a", bytes([0xFF, 0x00])), ("b", bytes([0xF0, 0x00])), ("c", bytes([0x0F])), ("d", None)]
+    df = spark.createDataFrame(rows, "id string, bits binary")
+    hits = knn_bits(df, "bits", bytes([0xF0, 0x01]), pk="id", output_fields=["id"]).collect()
+    assert [(r["id"], r["score"]) for r in hits] == [("b", 1.0), ("a", pytest.approx(math.sqrt(5)))]
+    best = knn_bits(df, "bits", bytes([0xFF]), pk="id", metric="ip", output_fields=["id"]).first()
+    assert (best["id"], best["score"]) == ("c", 4.0)
+
+
 @pytest.mark.parametrize(
     "indices, values, message",
     [

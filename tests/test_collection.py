@@ -163,6 +163,19 @@ def test_index_life(spark, tmp_path):
     assert c.search("embedding", [1.0, 0.0, 0.0, 0.0], k=1).first()["id"] == "doc-0"
 
 
+@pytest.mark.parametrize("kind", ["fp16", "int8", "int4"])
+def test_quantized_index(spark, tmp_path, kind):
+    rows = [unit(i) for i in range(30)]
+    c = Collection.create(spark, str(tmp_path / "q"), SCHEMA, docs(spark, *rows))
+    c.create_index("embedding", Index("ivf", metric="l2", n_list=3, n_iters=3, quantize=kind))
+    table, cells = c.index("embedding")
+    assert "embedding" not in table.columns and table.count() == 30
+    ask = dict(qid="id", k=1)
+    # Enough candidates: the original vectors give every document itself.
+    hits = c.search_many(c.scan(), "embedding", n_probe=len(cells.points), scale_factor=10.0, **ask)
+    assert all(r["qid"] == r["pk"] and r["score"] == 0.0 for r in hits.collect()) and hits.count() == 30
+
+
 # -- approximate search ------------------------------------------------------------
 
 
