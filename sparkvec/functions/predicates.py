@@ -30,8 +30,7 @@ FUNCTIONS = frozenset(
     "else between like".split()
 )
 
-_STRING = re.compile(r"""'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*\"""", re.S)
-_QUOTED_NAME = re.compile(r"`([^`]*)`")
+_QUOTED = re.compile(r"""'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*"|`[^`]*`""", re.S)
 _WORD = re.compile(r"[^\W\d]\w*")
 _NUMBER = re.compile(r"(?<![\w.])(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?(?:[lLdDfFsSyY]|[bB][dD])?(?!\w)")
 _PLAIN = re.compile(r"[\s\w().,+\-*/%<>=!|&~\[\]]*\Z")
@@ -42,11 +41,17 @@ def guard(text: str, columns: Iterable[str]) -> str:
     if not isinstance(text, str) or not text.strip():
         raise InvalidArgument("expression must be a non-empty string")
     names = {c.lower() for c in columns}
-    rest = _STRING.sub(" 0 ", text)
-    for quoted in _QUOTED_NAME.findall(rest):
-        if quoted.lower() not in names:
-            raise InvalidArgument(f"unknown column '{quoted}' in expression")
-    rest = _QUOTED_NAME.sub(" 0 ", rest)
+
+    def literal(found: re.Match) -> str:
+        quoted, before = found.group(), text[: found.start()][-1:]
+        if before.isalnum() or before in ("_", "'", '"', "`"):
+            # A prefix (as in r'..') would change where the literal ends.
+            raise InvalidArgument("expression contains an unsupported literal")
+        if quoted[0] == "`" and quoted[1:-1].lower() not in names:
+            raise InvalidArgument(f"unknown column '{quoted[1:-1]}' in expression")
+        return " 0 "
+
+    rest = _QUOTED.sub(literal, text)
     if "--" in rest or "/*" in rest or not _PLAIN.match(rest):
         raise InvalidArgument("expression contains an unsupported character")
     rest = _NUMBER.sub(" 0 ", rest)

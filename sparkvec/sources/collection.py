@@ -1,6 +1,6 @@
 """A collection: one Parquet table at a path, changed snapshot by snapshot.
 
-``path/data/c=N-id/pk_group=G/`` holds the rows written by commit N, grouped by a
+``path/data/_commit=N-id/_group=G/`` holds the rows written by commit N, grouped by a
 hash of the key; ``path/log/v=N/`` lists, as rows, the folders that make up
 snapshot N together with the schema. A commit writes its data first and its log
 entry last, and two writers racing for the same number cannot both succeed. A
@@ -35,7 +35,7 @@ from ..session import settle
 from ..types import is_bits, is_sparse
 from .records import PRESENT, conform_records, error_column
 
-GROUP = "pk_group"
+GROUP = "_group"
 LOG_SCHEMA = "facts string, part string, v int"
 
 
@@ -71,7 +71,7 @@ class Collection:
         ``group_digits`` hex digits of the key hash make 16 ** digits groups: aim
         for a few GB each.
         """
-        schema.validate()
+        _checked(schema)
         self = cls(spark, path)
         if self._versions():
             raise AlreadyExists(f"collection already exists at '{path}'")
@@ -311,7 +311,7 @@ class Collection:
 
     def add_column(self, new: Field, default: str | None = None) -> None:
         snap = self.snapshot()
-        schema = replace(snap.schema, fields=(*snap.schema.fields, new)).validate()
+        schema = _checked(replace(snap.schema, fields=(*snap.schema.fields, new)))
         self._rewrite_all(snap, schema, lambda df: ddl.add_column(df, new, default))
 
     def drop_column(self, name: str) -> None:
@@ -327,7 +327,7 @@ class Collection:
         fields = tuple(
             replace(f, name=new_name) if f.name == name else f for f in snap.schema.fields
         )
-        schema = replace(snap.schema, fields=fields).validate()
+        schema = _checked(replace(snap.schema, fields=fields))
         self._rewrite_all(snap, schema, lambda df: ddl.rename_column(df, name, new_name))
 
     def cast_column(self, new: Field) -> DataFrame:
@@ -488,7 +488,7 @@ class Collection:
         struct = self._struct(snap.schema)
         if not parts:
             return self.spark.createDataFrame([], struct)
-        reader = self.spark.read.schema(T.StructType([*struct.fields, T.StructField("c", T.StringType())]))
+        reader = self.spark.read.schema(T.StructType([*struct.fields, T.StructField("_commit", T.StringType())]))
         base = f"{self.path}/data"
         df = reader.option("basePath", base).parquet(*[f"{base}/{p}" for p in parts])
         return df.select(*[F.col(f"`{f.name}`").alias(f.name, metadata=f.metadata) for f in struct.fields])
@@ -551,7 +551,7 @@ class Collection:
         """Write rows of commit ``number``: the folders that came out and the next id."""
         struct = self._struct(snap.schema)
         # A name of its own, so that a writer that loses the race harms nothing.
-        commit = f"c={number}-{uuid.uuid4().hex[:8]}"
+        commit = f"_commit={number}-{uuid.uuid4().hex[:8]}"
         table = f"{self.path}/data/{commit}"
         # AQE merges small groups and splits large ones after this shuffle.
         top = Observation()
@@ -603,6 +603,15 @@ class Collection:
         self._log(replace(changed, version=number, parts=tuple(added)))
 
 
+def _checked(schema: Schema) -> Schema:
+    """Schema rules, plus: names with a leading underscore belong to the table."""
+    schema.validate()
+    taken = [f.name for f in schema.fields if f.name.startswith("_")]
+    if taken:
+        raise InvalidArgument(f"field name '{taken[0]}' may not start with an underscore")
+    return schema
+
+
 def _metric(declared: Field) -> str:
     return (declared.index.metric if declared.index else None) or "l2"
 

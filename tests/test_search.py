@@ -215,6 +215,9 @@ def test_plain_predicates_pass(docs, text):
         "",
         "input_file_name() = ''",
         "id in (table other)",
+        r"category = r'\' or reflect('java.lang.System', 'exit', '1') = ''",
+        "category = 'x''y'",
+        "`id'` = 1 or reflect('x') = `'id`",
     ],
 )
 def test_other_predicates_are_refused(docs, text):
