@@ -32,6 +32,9 @@ class Hits:
         none = np.empty(0, np.int64)
         return Hits(none, none if keys is None else keys[:0], np.empty(0))
 
+    def take(self, rows: np.ndarray) -> "Hits":
+        return Hits(self.query[rows], self.key[rows], self.score[rows])
+
     @staticmethod
     def joined(parts: list["Hits"]) -> "Hits":
         return Hits(
@@ -73,6 +76,7 @@ class Scorer:
         self.metric, self.k = metric, k
         self.q = np.asarray(queries, dtype=np.float64)
         self.q_sq = _sq(self.q)
+        self.q_norm = np.sqrt(self.q_sq)
         self.max_norm = max_norm
         self.descending = metric == "ip"
 
@@ -82,55 +86,94 @@ class Scorer:
             so_far = Hits.empty(keys)
         if not len(block) or not len(self.q):
             return so_far
-        # Work on key ranks: ordering integers is far cheaper than ordering keys.
-        names, rank = np.unique(np.concatenate([so_far.key, keys]), return_inverse=True)
-        old = len(so_far)
-        found = [Hits(so_far.query, rank[:old], so_far.score)]
+        members = _Members(self.metric, block, keys)
+        floor = self._floor(so_far, members.largest_sq)
+        found = []
         step = max(1, _MATRIX_CELLS // len(block))
         for start in range(0, len(self.q), step):
             qs = np.arange(start, min(start + step, len(self.q)))
-            found.append(self._block_hits(qs, block, rank[old:]))
-        kept = best(Hits.joined(found), self.k, self.descending)
+            found.append(self._block_hits(qs, members, floor[qs]))
+        new = Hits.joined(found)
+        if not len(new):
+            return so_far
+        # Only queries with a new hit are ranked again.
+        touched = np.zeros(len(self.q), dtype=bool)
+        touched[new.query] = True
+        again = touched[so_far.query]
+        ranked = self._best_by_key(Hits.joined([so_far.take(again), new]))
+        return Hits.joined([so_far.take(~again), ranked])
+
+    def _best_by_key(self, hits: Hits) -> Hits:
+        # Ordering integers is far cheaper than ordering keys.
+        names, rank = np.unique(hits.key, return_inverse=True)
+        kept = best(Hits(hits.query, rank, hits.score), self.k, self.descending)
         return Hits(kept.query, names[kept.key], kept.score)
 
-    def _block_hits(self, qs, block, keys, thinned: bool = False) -> Hits:
-        x_sq = _sq(block)
-        near = self._near(qs, block, x_sq)
-        if not thinned and near.sum() > 8 * self.k * len(qs) + 65_536:
-            small, small_keys = thin_copies(block, keys, self.k)
-            if len(small) < len(block):
-                return self._block_hits(qs, small, small_keys, thinned=True)
+    def _slack(self, largest_sq: float) -> np.ndarray:
+        """Rounding reach of a closeness value, generously."""
+        if self.metric == "cosine":
+            return _SLACK * self.q_norm
+        reach = self.q_norm * np.sqrt(largest_sq)
+        return _SLACK * (self.q_sq + largest_sq + reach if self.metric == "l2" else reach)
+
+    def _floor(self, so_far: Hits, largest_sq: float) -> np.ndarray:
+        """Least closeness that can still matter: that of the current k-th hit."""
+        n = len(self.q)
+        worst = np.full(n, np.inf if self.descending else -np.inf)
+        (np.minimum if self.descending else np.maximum).at(worst, so_far.query, so_far.score)
+        with np.errstate(all="ignore"):
+            if self.metric == "l2":
+                value = (self.q_sq - worst**2) / 2
+            elif self.metric == "ip":
+                value = worst
+            elif self.metric == "cosine":
+                value = (1.0 - worst) * self.q_norm
+            else:
+                value = (self.max_norm**2 + self.q_sq - worst**2) / 2
+            value = value - self._slack(largest_sq)
+        full = np.bincount(so_far.query, minlength=n) >= self.k
+        return np.where(full & np.isfinite(value), value, -np.inf)
+
+    def _block_hits(self, qs, members: "_Members", floor: np.ndarray) -> Hits:
+        near = self._near(qs, members, floor)
+        if not members.thinned and np.count_nonzero(near) > 8 * self.k * len(qs) + 65_536:
+            thin = members.thin(self.k)
+            if len(thin.keys) < len(members.keys):
+                return self._block_hits(qs, thin, floor)
         qi, xi = np.nonzero(near)
+        used, place = np.unique(xi, return_inverse=True)
+        names, rank = np.unique(members.keys[used], return_inverse=True)
         found = Hits.empty()
         for start in range(0, len(qi), _PAIR_CHUNK):
             part = slice(start, start + _PAIR_CHUNK)
-            scores = self._exact(qs[qi[part]], xi[part], block)
+            scores = self._exact(qs[qi[part]], xi[part], members.block)
             ok = ~np.isnan(scores)
-            chunk = Hits(qs[qi[part]][ok], keys[xi[part]][ok], scores[ok])
+            chunk = Hits(qs[qi[part]][ok], rank[place[part]][ok], scores[ok])
             found = best(Hits.joined([found, chunk]), self.k, self.descending)
-        return found
+        return Hits(found.query, names[found.key], found.score)
 
-    def _near(self, qs, block, x_sq) -> np.ndarray:
+    def _near(self, qs, members: "_Members", floor: np.ndarray) -> np.ndarray:
         """Candidates: at or within rounding reach of the k-th place."""
+        wild = ~np.isfinite(self.q_sq[qs])
         with np.errstate(all="ignore"):
-            gram = self.q[qs] @ block.T
-            q_sq = self.q_sq[qs][:, None]
-            reach = np.sqrt(q_sq) * np.sqrt(x_sq.max(initial=0.0, where=np.isfinite(x_sq)))
+            q = self.q[qs]
             if self.metric == "l2":
-                value = q_sq + x_sq[None, :] - 2.0 * gram
-                slack = _SLACK * (q_sq + x_sq.max(initial=0.0, where=np.isfinite(x_sq)) + reach)
-            elif self.metric == "cosine":
-                value = -gram / (np.sqrt(q_sq) * np.sqrt(x_sq)[None, :])
-                slack = _SLACK
-            else:
-                value, slack = -gram, _SLACK * reach
-        odd = ~np.isfinite(value)
-        value[odd] = np.inf
-        if value.shape[1] <= self.k:
-            return np.ones(value.shape, dtype=bool)
-        kth = np.partition(value, self.k - 1, axis=1)[:, self.k - 1 : self.k]
-        # Overflowing or non-finite pairs are always rescored exactly.
-        return (value <= kth + slack) | odd | ~np.isfinite(kth)
+                q = np.column_stack([q, np.ones(len(q))])
+            close = q @ members.compared.T
+        if members.wild.any():
+            close[:, members.wild] = -np.inf
+        open_ = np.flatnonzero(np.isneginf(floor) & ~wild)
+        cut = floor.copy()
+        if len(open_) and close.shape[1] > self.k:
+            at = close.shape[1] - self.k
+            kth = np.partition(close[open_], at, axis=1)[:, at]
+            cut[open_] = kth - self._slack(members.largest_sq)[qs[open_]]
+        near = close >= cut[:, None]
+        # Pairs whose product may overflow are always scored exactly.
+        near[:, members.wild] = True
+        near[wild] = True
+        near[:, members.void] = False
+        return near
 
     def _exact(self, qi, xi, block) -> np.ndarray:
         a, b = block[xi].T, self.q[qi].T
@@ -147,6 +190,31 @@ class Scorer:
             return np.sqrt(np.maximum(0.0, self.max_norm * self.max_norm + q_sq - ip * 2.0))
 
 
+class _Members:
+    """A block of members in the form the matrix product compares.
+
+    A larger product means closer: x and -|x|^2 / 2 for l2, x / |x| for cosine, x
+    itself for the other two.
+    """
+
+    def __init__(self, metric: str, block: np.ndarray, keys: np.ndarray, thinned: bool = False):
+        self.metric, self.block, self.keys, self.thinned = metric, block, keys, thinned
+        sq = _sq(block)
+        self.wild = ~np.isfinite(sq)
+        self.void = sq == 0 if metric == "cosine" else np.zeros(len(sq), dtype=bool)
+        self.largest_sq = float(sq.max(initial=0.0, where=~self.wild))
+        with np.errstate(all="ignore"):
+            if metric == "l2":
+                self.compared = np.column_stack([block, sq / -2])
+            elif metric == "cosine":
+                self.compared = block / np.where(self.void, 1.0, np.sqrt(sq))[:, None]
+            else:
+                self.compared = block
+
+    def thin(self, k: int) -> "_Members":
+        return _Members(self.metric, *thin_copies(self.block, self.keys, k), thinned=True)
+
+
 def _sq(block: np.ndarray) -> np.ndarray:
     with np.errstate(all="ignore"):
         return np.einsum("ij,ij->i", block, block)
