@@ -58,9 +58,3 @@ def list_column_at(rows: np.ndarray, block: np.ndarray, n: int, kind: pa.DataTyp
         pa.array(ends), pa.array(block.ravel(), type=kind), mask=pa.array(~present)
     )
 
-
-def binary_column_at(rows: np.ndarray, cells: list[bytes], n: int) -> pa.Array:
-    out: list[bytes | None] = [None] * n
-    for row, cell in zip(rows.tolist(), cells):
-        out[row] = cell
-    return pa.array(out, type=pa.binary())

@@ -78,6 +78,28 @@ def _by_length(lengths: np.ndarray):
         yield int(width), np.flatnonzero(lengths == width)
 
 
+def _in_order(parts: list[pa.Array], rows: list[np.ndarray]) -> pa.Array:
+    """One column from parts that hold the given row positions."""
+    place = np.argsort(np.concatenate(rows), kind="stable")
+    return pa.concat_arrays(parts).take(pa.array(place))
+
+
+def _binary_rows(block: np.ndarray) -> pa.Array:
+    n, width = block.shape
+    offsets = (np.arange(n + 1) * width).astype(np.int32)
+    buffers = [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(block).tobytes())]
+    return pa.Array.from_buffers(pa.binary(), n, buffers)
+
+
+def _binary_bytes(cells: pa.Array) -> np.ndarray:
+    """All bytes of a binary column without nulls, end to end."""
+    _, offsets, data = cells.cast(pa.binary()).buffers()
+    ends = np.frombuffer(offsets, dtype=np.int32)[cells.offset : cells.offset + len(cells) + 1]
+    if data is None or not len(cells):
+        return np.empty(0, np.uint8)
+    return np.frombuffer(data, dtype=np.uint8)[ends[0] : ends[-1]]
+
+
 def _check(encoding: str) -> str:
     if encoding not in ENCODINGS:
         raise InvalidArgument(f"unknown encoding '{encoding}'")
@@ -95,17 +117,14 @@ def pack(column: Column | str, encoding: str) -> Column:
         if values.null_count:
             owner = np.repeat(np.arange(len(lengths)), np.maximum(lengths, 0))
             lengths[owner[values.is_null().to_numpy(zero_copy_only=False)]] = -1
-        out: list[bytes | None] = [None] * len(vectors)
+        parts, order = [], []
         for width, rows in _by_length(lengths):
             flat = vectors.take(pa.array(rows)).flatten().to_numpy(zero_copy_only=False)
-            if width == 0:
-                cells = [b""] * len(rows)
-            else:
-                block = _encode_flat(flat.reshape(len(rows), width), encoding)
-                cells = [row.tobytes() for row in block]
-            for row, cell in zip(rows.tolist(), cells):
-                out[row] = cell
-        return pa.array(out, type=pa.binary())
+            block = flat.reshape(len(rows), width)
+            parts.append(_binary_rows(_encode_flat(block, encoding) if width else block.astype(np.uint8)))
+            order.append(rows)
+        missing = np.flatnonzero(lengths < 0)
+        return _in_order([*parts, pa.nulls(len(missing), pa.binary())], [*order, missing])
 
     return packed(column)
 
@@ -138,16 +157,12 @@ def unpack(column: Column | str, encoding: str) -> Column:
         lengths[lengths % _ELEMENT_BYTES.get(encoding, 1) != 0] = -1
         parts, order = [], []
         for width, rows in _by_length(lengths):
-            joined = b"".join(cells.take(pa.array(rows)).to_pylist())
-            raw = np.frombuffer(joined, dtype=np.uint8).reshape(len(rows), width)
+            raw = _binary_bytes(cells.take(pa.array(rows))).reshape(len(rows), width)
             block = _decode_flat(raw, encoding) if width else np.zeros((len(rows), 0))
             parts.append(list_column(np.ascontiguousarray(block), element))
             order.append(rows)
         missing = np.flatnonzero(lengths < 0)
-        parts.append(pa.nulls(len(missing), pa.list_(element)))
-        order.append(missing)
-        together = pa.concat_arrays(parts)
-        return together.take(pa.array(np.argsort(np.concatenate(order), kind="stable")))
+        return _in_order([*parts, pa.nulls(len(missing), pa.list_(element))], [*order, missing])
 
     return unpacked(column)
 

@@ -12,7 +12,7 @@ from ..operators.writes import assign_doc_ids
 from ..sources.records import null_profile
 from . import shared
 from .registry import Tables, query
-from .shared import DIMENSION, QUERY, articles, join_sql, knn_sql, rounded, vectors
+from .shared import QUERY, articles, join_sql, knn_sql, rounded, vectors
 
 
 def _flat(metric: str):

@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
 
 from sparkvec import Field, InvalidArgument
 from sparkvec.operators import ddl, writes
