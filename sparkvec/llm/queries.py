@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..plans.registry import Plan, Tables
-from . import minhash
+from . import minhash, packing
 
 PLANS: dict[str, Plan] = {}
 SQL: dict[str, str] = {}
@@ -24,3 +24,8 @@ def query(name: str, sql: str | None = None):
 @query("op10_minhash_near_dedup")
 def _(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(Tables(spark, folder).documents)
+
+
+@query("op3_first_fit_packing")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(Tables(spark, folder).documents)
