@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..plans.registry import Plan, Tables
-from . import minhash, packing
+from . import minhash, packing, pii
 
 PLANS: dict[str, Plan] = {}
 SQL: dict[str, str] = {}
@@ -29,3 +29,8 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 @query("op3_first_fit_packing")
 def _(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(Tables(spark, folder).documents)
+
+
+@query("op8_weak_pii")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.summary(Tables(spark, folder).documents)
