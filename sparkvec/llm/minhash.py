@@ -13,7 +13,8 @@ never all its pairs. Each edge is confirmed on the full sets. A second pass look
 only at buckets whose members are still in different components, and tests the
 members outside the bucket's largest component against the rest. So a pair that
 shares a bucket is tested or already connected: nothing is capped, and a bucket of
-copies costs its size.
+copies costs its size. The second pass compares sets inside its tasks, in blocks of
+bounded size, and only links leave them.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import settle
@@ -184,14 +185,14 @@ def near_duplicates(
     classes = settle(
         filled.groupBy("f1", "f2", "n").agg(F.min("doc_id").alias("id"), F.any_value("keys").alias("keys"))
     )
-    rows_ = classes.select("id", F.explode("keys").alias("key"))
+    rows_ = classes.select("id", F.col("n").cast("int").alias("n"), F.explode("keys").alias("key"))
     centres = rows_.groupBy("key").agg(F.min("id").alias("centre"), F.max("id").alias("far")).where("centre < far")
     members = settle(rows_.join(centres.select("key", "centre"), "key"))
     pairs = members.where("centre < id").select(F.col("centre").alias("a"), F.col("id").alias("b")).distinct()
     texts = settle(docs.join(members.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi"))
     links = settle(_confirm(pairs, texts, numerator, denominator))
     found = components(links)
-    links = links.unionByName(settle(_confirm(_unresolved(members, found), texts, numerator, denominator)))
+    links = links.unionByName(settle(_second_pass(members, found, texts, numerator, denominator)))
     found = components(links)
 
     labels = classes.select("f1", "f2", "n", "id").join(found, "id", "left").select(
@@ -209,22 +210,111 @@ def near_duplicates(
     )
 
 
-def _unresolved(members: DataFrame, found: DataFrame) -> DataFrame:
-    """Pairs of buckets whose members are in several components.
+#: Rows of one side of a block, and words of their sets.
+BLOCK_ROWS, BLOCK_WORDS = 1024, 2_000_000
 
-    Each member outside the bucket's largest component meets the members of other
-    components; the largest one's own members are not paired with each other.
+
+def _second_pass(members: DataFrame, found: DataFrame, texts: DataFrame, numerator: int, denominator: int) -> DataFrame:
+    """Links between the components of each bucket that still has several.
+
+    The members outside the bucket's largest component meet all its members that belong
+    to other components. A block holds a part of the former and a part of all; a bucket
+    has as many blocks as its size asks for.
     """
-    labelled = members.join(found, "id", "left").select("key", "id", F.coalesce("component", "id").alias("label"))
-    sizes = labelled.groupBy("key", "label").agg(F.count("*").alias("size"))
-    mains = (
+    labelled = members.join(found, "id", "left").select("key", "id", "n", F.coalesce("component", "id").alias("label"))
+    sizes = labelled.groupBy("key", "label").agg(F.count("*").alias("size"), F.sum("n").alias("words"))
+    largest = F.struct("size", -F.col("label"))
+    open_ = (
         sizes.groupBy("key")
-        .agg(F.max_by("label", F.struct("size", -F.col("label"))).alias("main"), F.count("*").alias("labels"))
+        .agg(
+            F.max_by("label", largest).alias("main"),
+            F.max_by("words", largest).alias("main_words"),
+            F.max("size").alias("main_size"),
+            F.count("*").alias("labels"),
+            F.sum("size").alias("size"),
+            F.sum("words").alias("words"),
+        )
         .where("labels > 1")
-        .select("key", "main")
+        .select("key", "main", _blocks("size", "words").alias("of_all"), _blocks("size - main_size", "words - main_words").alias("of_odd"))
+    )
+    rows = settle(labelled.join(open_, "key"))
+    used = rows.select(F.col("id").alias("doc_id")).distinct()
+    sets = texts.join(used, "doc_id", "left_semi").mapInArrow(_set_maker, "id long, shingles binary")
+    odd = rows.where("label <> main").select(
+        "key",
+        F.pmod(F.xxhash64("id"), "of_odd").alias("i"),
+        F.explode(F.sequence(F.lit(0), F.col("of_all") - 1)).alias("j"),
+        F.lit(True).alias("odd"),
+        "id",
+        "label",
+        "main",
     )
-    open_ = settle(labelled.join(mains, "key"))
-    odd = open_.where("label <> main").select("key", F.col("id").alias("a"), F.col("label").alias("la"))
-    rest = open_.select("key", F.col("id").alias("b"), F.col("label").alias("lb"), "main")
-    # A pair of two odd members comes once, by id.
-    return odd.join(rest, "key").where("la <> lb and (lb = main or a < b)").select("a", "b").distinct()
+    rest = rows.select(
+        "key",
+        F.explode(F.sequence(F.lit(0), F.col("of_odd") - 1)).alias("i"),
+        F.pmod(F.xxhash64("id"), "of_all").alias("j"),
+        F.lit(False).alias("odd"),
+        "id",
+        "label",
+        "main",
+    )
+    blocks = odd.unionByName(rest).join(sets, "id").groupBy("key", "i", "j")
+    return blocks.applyInArrow(_block_linker(numerator, denominator), "a long, b long").distinct()
+
+
+def _blocks(rows: str, words: str) -> Column:
+    return F.expr(f"cast(greatest(1, ceil(({rows}) / {BLOCK_ROWS}), ceil(({words}) / {BLOCK_WORDS})) as int)")
+
+
+def _set_maker(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for whole in batches:
+        for a, b in chunks(whole, "text"):
+            part = whole.slice(a, b - a)
+            sets = pa.array([s.tobytes() for s in shingle_sets(part.column("text"))], pa.binary())
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), sets], names=["id", "shingles"])
+
+
+def overlaps(left: list[np.ndarray], right: list[np.ndarray], columns: int = 4096) -> np.ndarray:
+    """Sizes of the intersections of each left set with each right set.
+
+    Products of 0/1 matrices over the elements that both sides hold, some columns at a
+    time, so memory follows the block and not the number of elements.
+    """
+    counts = np.zeros((len(left), len(right)), np.float32)
+    sides = []
+    for sets in (left, right):
+        row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+        sides.append((row, np.concatenate(sets) if sets else np.zeros(0, np.uint64)))
+    shared = np.intersect1d(sides[0][1], sides[1][1])
+    sides = [(row[k], np.searchsorted(shared, x[k])) for row, x in sides for k in [np.isin(x, shared)]]
+    sides = [(row[o], x[o]) for row, x in sides for o in [np.argsort(x, kind="stable")]]
+    for start in range(0, len(shared), columns):
+        mats = []
+        for (row, x), sets in zip(sides, (left, right), strict=True):
+            a, b = np.searchsorted(x, [start, start + columns])
+            mat = np.zeros((len(sets), columns), np.float32)
+            mat[row[a:b], x[a:b] - start] = 1
+            mats.append(mat)
+        counts += mats[0] @ mats[1].T
+    return np.rint(counts).astype(np.int64)
+
+
+def _block_linker(numerator: int, denominator: int):
+    def run(table: pa.Table) -> pa.Table:
+        odd = table["odd"].to_numpy(zero_copy_only=False)
+        ids, labels, main = (table[c].to_numpy() for c in ("id", "label", "main"))
+        sets = [np.frombuffer(s.as_buffer(), np.uint64) for s in table["shingles"]]
+        left, right = np.flatnonzero(odd), np.flatnonzero(~odd)
+        both = overlaps([sets[i] for i in left], [sets[i] for i in right])
+        n = np.array([len(s) for s in sets], np.int64)
+        union = n[left][:, None] + n[right][None, :] - both
+        # A pair of two odd members is looked at once, from its smaller id.
+        apart = labels[left][:, None] != labels[right][None, :]
+        once = (labels[right] == main[right])[None, :] | (ids[left][:, None] < ids[right][None, :])
+        a, b = np.nonzero((both * denominator >= numerator * union) & apart & once)
+        # One link to each other component is enough to join the two.
+        _, first = np.unique(np.stack([a, labels[right][b]]), axis=1, return_index=True)
+        a, b = a[first], b[first]
+        return pa.table({"a": ids[left][a], "b": ids[right][b]})
+
+    return run
