@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..plans.registry import Plan, Tables
-from . import minhash, packing, pii
+from . import language, minhash, packing, pii, quality
 
 PLANS: dict[str, Plan] = {}
 SQL: dict[str, str] = {}
@@ -34,3 +34,19 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 @query("op8_weak_pii")
 def _(spark: SparkSession, folder: str) -> DataFrame:
     return pii.summary(Tables(spark, folder).documents)
+
+
+@query("op9_language_id")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents: their ``lang`` is the declared language, their source the host."""
+    return language.identify(language.document_evidence(Tables(spark, folder).documents)).withColumnRenamed("id", "doc_id")
+
+
+@query("language_id_pages")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    return language.identify(language.page_evidence(Tables(spark, folder).pages)).withColumnRenamed("id", "page_id")
+
+
+@query("op2_weak_label_quality")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.classify(Tables(spark, folder).documents)

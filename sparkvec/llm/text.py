@@ -113,12 +113,43 @@ def word_hashes(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.nd
     return np.concatenate(hashes), np.searchsorted(np.concatenate(starts), bounds)
 
 
-def chunks(batch: pa.RecordBatch, column: str, most: int = 4 << 20) -> Iterator[tuple[int, int]]:
-    """Row ranges of a batch with about ``most`` bytes of text each, one row at least."""
+def chunks(batch: pa.RecordBatch, column: str, most: int = 4 << 20, rows: int = 1 << 20) -> Iterator[tuple[int, int]]:
+    """Row ranges of a batch with about ``most`` bytes of text and at most ``rows`` rows, one at least."""
     _, bounds = utf8(batch.column(column))
     at = 0
     while at < batch.num_rows:
         stop = int(np.searchsorted(bounds, bounds[at] + most, side="right")) - 1
-        stop = min(max(stop, at + 1), batch.num_rows)
+        stop = min(max(stop, at + 1), at + rows, batch.num_rows)
         yield at, stop
         at = stop
+
+
+def gram_counts(data: np.ndarray, bounds: np.ndarray, bins: int, letters_only: bool = False, size: int = 3) -> np.ndarray:
+    """How often each hashed run of ``size`` bytes occurs in each row: rows x bins.
+
+    With ``letters_only`` letters are folded and all other ASCII becomes a blank.
+    """
+    lo, hi = int(bounds[0]), int(bounds[-1])
+    out = np.zeros((len(bounds) - 1, bins), np.float32)
+    for at in range(lo, hi, SLICE):
+        part = data[at : min(at + SLICE + size - 1, hi)]
+        part = (_LETTERS if letters_only else _IDENTITY)[part].astype(np.uint32)
+        if len(part) < size:
+            break
+        grams = np.zeros(len(part) - size + 1, np.uint32)
+        for k in range(size):
+            grams = grams * np.uint32(0x01000193) + part[k : len(part) - size + 1 + k]
+        grams = ((grams * np.uint32(0x9E3779B1)) >> np.uint32(12)) % np.uint32(bins)
+        first = int(np.searchsorted(bounds, at, side="right")) - 1
+        for row in range(first, len(bounds) - 1):
+            a, b = max(int(bounds[row]), at) - at, min(int(bounds[row + 1]) - size + 1, at + SLICE) - at
+            if bounds[row] >= at + SLICE:
+                break
+            if b > a:
+                out[row] += np.bincount(grams[a:b], minlength=bins)
+    return out
+
+
+_IDENTITY = np.arange(256, dtype=np.uint8)
+_LETTERS = _FOLD.copy()
+_LETTERS[:128] = np.where((_LETTERS[:128] >= 97) & (_LETTERS[:128] <= 122), _LETTERS[:128], 32)
