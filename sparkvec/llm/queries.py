@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..plans.registry import Plan, Tables
-from . import language, minhash, packing, pii, quality
+from . import language, lattice_lm, minhash, packing, pii, quality
 
 PLANS: dict[str, Plan] = {}
 SQL: dict[str, str] = {}
@@ -50,3 +50,8 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 @query("op2_weak_label_quality")
 def _(spark: SparkSession, folder: str) -> DataFrame:
     return quality.classify(Tables(spark, folder).documents)
+
+
+@query("op5_lattice_lm")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    return lattice_lm.score(Tables(spark, folder).documents)
