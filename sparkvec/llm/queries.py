@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..plans.registry import Plan, Tables
-from . import language, lattice_lm, minhash, packing, pii, quality
+from . import language, lattice_lm, minhash, packing, pii, quality, vector_dedup
 
 PLANS: dict[str, Plan] = {}
 SQL: dict[str, str] = {}
@@ -55,3 +55,8 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 @query("op5_lattice_lm")
 def _(spark: SparkSession, folder: str) -> DataFrame:
     return lattice_lm.score(Tables(spark, folder).documents)
+
+
+@query("op4_cross_polytope_dedup")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    return vector_dedup.near_duplicates(Tables(spark, folder).embeddings)
