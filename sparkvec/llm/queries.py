@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..plans.registry import Plan, Tables
-from . import language, lattice_lm, minhash, packing, pii, quality, vector_dedup
+from . import collision_ann, language, lattice_lm, minhash, packing, pii, quality, vector_dedup
 
 PLANS: dict[str, Plan] = {}
 SQL: dict[str, str] = {}
@@ -60,3 +61,9 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 @query("op4_cross_polytope_dedup")
 def _(spark: SparkSession, folder: str) -> DataFrame:
     return vector_dedup.near_duplicates(Tables(spark, folder).embeddings)
+
+
+@query("op6_collision_counting_ann")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten nearest of each vector whose id is divisible by 100."""
+    return collision_ann.search(Tables(spark, folder).embeddings, F.col("id") % 100 == 0)
