@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.registry import Plan, Tables
-from . import collision_ann, language, lattice_lm, minhash, packing, pii, quality, vector_dedup
+from . import collision_ann, language, lattice_lm, minhash, packing, pii, quality, token_counts, vector_dedup
 
 PLANS: dict[str, Plan] = {}
 SQL: dict[str, str] = {}
@@ -67,3 +67,8 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 def _(spark: SparkSession, folder: str) -> DataFrame:
     """The ten nearest of each vector whose id is divisible by 100."""
     return collision_ann.search(Tables(spark, folder).embeddings, F.col("id") % 100 == 0)
+
+
+@query("op1_token_counts", token_counts.sql())
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts.count_tokens(Tables(spark, folder).documents)
