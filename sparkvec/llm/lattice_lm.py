@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..session import settle
+from .pieces import least_count
 from .text import chunks
 
 VOCABULARY = "piece_bpe_32k.model"
@@ -335,7 +336,7 @@ def score(
             (model + F.lit(float(np.log10(1 - end)))).alias("model"),
         )
     )
-    common = scored.where(F.col("seen") >= _least_count(scored, frequent)).select("word", "known", "base", "model").toArrow()
+    common = scored.where(F.col("seen") >= least_count(scored, frequent)).select("word", "known", "base", "model").toArrow()
     own_end = (float(np.log10((ends + 1) / smooth)), float(np.log10(end)), int(ends > 0))
     numbered = docs.select("doc_id", "text", F.monotonically_increasing_id().alias("row"))
     spec = StructType().add("word", "binary").add("row", "long").add("times", "long").add(docs.schema["doc_id"])
@@ -353,15 +354,3 @@ def score(
     )
     return summed.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")
 
-
-def _least_count(scored: DataFrame, frequent: int) -> int:
-    """The smallest power-like count that at most ``frequent`` words reach."""
-    step = F.floor(F.log2("seen") * 4).cast("int")
-    steps = scored.groupBy(step.alias("step")).agg(F.count("*").alias("n"), F.min("seen").alias("least")).collect()
-    held, least = 0, 1 << 62
-    for r in sorted(steps, key=lambda r: -r["step"]):
-        held += r["n"]
-        if held > frequent:
-            break
-        least = r["least"]
-    return least

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.registry import Plan, Tables
-from . import collision_ann, language, lattice_lm, minhash, packing, pii, quality, token_counts, vector_dedup
+from . import collision_ann, language, lattice_lm, minhash, packing, pieces, pii, quality, token_counts, vector_dedup
 
 PLANS: dict[str, Plan] = {}
 SQL: dict[str, str] = {}
@@ -72,3 +72,8 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 @query("op1_token_counts", token_counts.sql())
 def _(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.count_tokens(Tables(spark, folder).documents)
+
+
+@query("op7_lattice_pieces")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    return pieces.digest(Tables(spark, folder).documents, pieces.piece_table(spark))
