@@ -65,7 +65,7 @@ def page_evidence(pages: DataFrame) -> DataFrame:
     visible = F.regexp_replace(F.regexp_replace(bare, r"<[^>]*>", " "), r"&[A-Za-z0-9#]{1,10};", " ")
     declared = F.regexp_extract("html", r"""(?i)<html\b[^>]*?\blang\s*=\s*["']?([A-Za-z]{2,3})""", 1)
     host = F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1)
-    return evidence(pages, "page_id", visible, declared, F.regexp_replace(host, r"^(www|m)\.", ""))
+    return evidence(pages, "page_id", visible, declared, F.regexp_replace(host, r"(?i)^(www|m)\.", ""))
 
 
 def _gram_counter(languages: list[str]):
