@@ -22,8 +22,9 @@ from pyspark.sql import types as T
 from ..errors import InvalidArgument
 from ..functions import metrics, spaces
 from ..functions.arrow import dense_block
-from ..functions.predicates import where
-from .knn_join import CellStats, fold_queries, knn_join, largest_norm, nearest, route, vector_dimension
+from ..functions.predicates import predicate, where
+from ..session import settle
+from .knn_join import CellStats, as_mips, fold_queries, knn_join, largest_norm, nearest, route, vector_dimension
 from .search import knn
 from .tiles import BLOCK_BYTES, arrow_schema, rank_hits, tile_topk
 
@@ -58,17 +59,13 @@ def train_centroids(
     n_list: int = N_LIST,
     n_iters: int = N_ITERS,
     metric: str = "l2",
-    fraction: float | None = None,
     seed: int = 17,
 ) -> Centroids:
-    """k-means over the collection. ``fraction`` trains on part of it, which moves
-    the cells but never which rows are indexed."""
+    """k-means over the collection."""
     metrics.check_metric(metric)
     dimension = vector_dimension(df, field)
     top = largest_norm(df, field, dimension) if metric in ("ip", "mipsl2") else None
     rows = df.select(field)
-    if fraction is not None:
-        rows = rows.sample(fraction=fraction, seed=seed)
     lifted = spaces.lifted_column(metric, field, dimension, top)
     features = rows.select(lifted.alias("v")).where("v is not null").select(array_to_vector("v").alias("features"))
     model = KMeans(k=n_list, maxIter=n_iters, seed=seed).fit(features)
@@ -144,24 +141,39 @@ def nearest_cells(cells: Centroids, lifted: np.ndarray, n_probe: int) -> np.ndar
     return mask
 
 
-def _probe_join(queries, index, cells: Centroids, choose, *, qid, pk, field, query_field, k, filter, radius, repeats, block_bytes):
-    asked = fold_queries(
-        queries.select(F.col(qid).alias("qid"), F.col(query_field or field).alias("vector"))
-    )
-    probes = route(asked, lambda block, _: choose(cells.lift_queries(block)), cells.dimension)
-    members = where(index, filter).select(F.col(pk).alias("pk"), F.col(field).alias("vector"), "cell")
-    hits = tile_topk(
-        members,
-        probes,
-        k=k,
-        metric=cells.metric,
-        dimension=cells.dimension,
-        max_norm=cells.max_norm,
-        block_bytes=block_bytes,
+def _probe_join(queries, index, cells: Centroids, choose, *, qid, pk, field, query_field, k, filter, radius, max_norm, block_bytes):
+    """Search the cells that ``choose(lifted, stats)`` picks, and more until they hold k.
+
+    The statistics count the members that pass the filter, so a query has k hits
+    wherever k members pass. mipsl2 ranks by the product and gets its score last.
+    """
+    repeats = "spill" in index.columns
+    passing = where(index, filter)
+    stats = CellStats.measure(passing, cells.points)
+    # A row is in two cells at most.
+    need = 2 * k if repeats else k
+
+    def picked(block, _):
+        lifted = cells.lift_queries(block)
+        mask = choose(lifted, stats) | stats.first_cells(lifted, need)
+        mask[:, stats.count == 0] = False
+        return mask
+
+    asked = settle(
+        fold_queries(
+            queries.select(F.col(qid).alias("qid"), F.col(query_field or field).alias("vector")), cells.dimension
+        )
     )
+    probes = settle(route(asked, picked, cells.dimension))
+    members = passing.select(F.col(pk).alias("pk"), F.col(field).alias("vector"), "cell")
+    metric = "ip" if cells.metric == "mipsl2" else cells.metric
+    hits = tile_topk(members, probes, k=k, metric=metric, dimension=cells.dimension, block_bytes=block_bytes)
+    ranked = rank_hits(hits, k, metric, repeats)
+    if cells.metric == "mipsl2":
+        ranked = as_mips(ranked, asked, cells.max_norm if max_norm is None else max_norm)
     if radius is not None:
-        hits = hits.where(F.col("score") >= radius if cells.metric == "ip" else F.col("score") <= radius)
-    return rank_hits(hits, k, cells.metric, repeats)
+        ranked = ranked.where(F.col("score") >= radius if cells.metric == "ip" else F.col("score") <= radius)
+    return ranked
 
 
 def ivf_knn(
@@ -177,16 +189,21 @@ def ivf_knn(
     n_probe: int | None = None,
     filter: str | Column | None = None,
     radius: float | None = None,
+    max_norm: float | None = None,
     block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
-    """Rows ``(qid, rank, pk, score)`` from the ``n_probe`` nearest cells."""
+    """Rows ``(qid, rank, pk, score)`` from the ``n_probe`` nearest cells.
+
+    Cells are added until they hold k members that pass the filter. ``max_norm`` is
+    the norm that mipsl2 scores refer to, if the collection has grown since training.
+    """
     n = default_probes(cells) if n_probe is None else n_probe
     if n <= 0:
         raise InvalidArgument("n_probe must be positive")
     return _probe_join(
-        queries, index, cells, lambda lifted: nearest_cells(cells, lifted, n),
+        queries, index, cells, lambda lifted, _: nearest_cells(cells, lifted, n),
         qid=qid, pk=pk, field=field, query_field=query_field, k=k, filter=filter,
-        radius=radius, repeats="spill" in index.columns, block_bytes=block_bytes,
+        radius=radius, max_norm=max_norm, block_bytes=block_bytes,
     )
 
 
@@ -203,18 +220,20 @@ def ann_knn(
     ef: int = 64,
     filter: str | Column | None = None,
     radius: float | None = None,
+    max_norm: float | None = None,
     block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """Search with a recall dial: nearest cells until they hold ``ef`` members.
 
-    A larger ``ef`` visits more; one at the collection's size is exact.
+    A larger ``ef`` visits more; one at the collection's size is exact. Members are
+    those that pass the filter.
     """
-    stats = CellStats.measure(index, cells.points)
-    need = max(ef, k)
+    if ef <= 0:
+        raise InvalidArgument("ef must be positive")
     return _probe_join(
-        queries, index, cells, lambda lifted: stats.first_cells(lifted, need),
+        queries, index, cells, lambda lifted, stats: stats.first_cells(lifted, ef),
         qid=qid, pk=pk, field=field, query_field=query_field, k=k, filter=filter,
-        radius=radius, repeats="spill" in index.columns, block_bytes=block_bytes,
+        radius=radius, max_norm=max_norm, block_bytes=block_bytes,
     )
 
 
@@ -240,6 +259,7 @@ def ivf_knn_refined(
     ef: int | None = None,
     filter: str | Column | None = None,
     radius: float | None = None,
+    max_norm: float | None = None,
     block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """Search an index of codes for ``k * scale_factor`` hits per query, then rank
@@ -255,15 +275,19 @@ def ivf_knn_refined(
         wide = ann_knn(queries, decoded, cells, ef=ef, **shape)
     else:
         wide = ivf_knn(queries, decoded, cells, n_probe=n_probe, **shape)
-    asked = fold_queries(queries.select(F.col(qid).alias("qid"), F.col(query_field or field).alias("vector")))
+    asked = fold_queries(
+        queries.select(F.col(qid).alias("qid"), F.col(query_field or field).alias("vector")), cells.dimension
+    )
     members = originals.select(F.col(pk).alias("pk"), F.col(field).alias("member"))
     pairs = wide.select("qid", "pk").join(members, "pk").join(asked, "qid")
-    top = F.lit(cells.max_norm) if cells.max_norm is not None else None
-    score = metrics.score(cells.metric, "member", "vector", top)
-    hits = pairs.select("qid", "pk", score.alias("score")).where("score is not null")
+    metric = "ip" if cells.metric == "mipsl2" else cells.metric
+    hits = pairs.select("qid", "pk", metrics.score(metric, "member", "vector").alias("score")).where("score is not null")
+    ranked = rank_hits(hits, k, metric)
+    if cells.metric == "mipsl2":
+        ranked = as_mips(ranked, asked, cells.max_norm if max_norm is None else max_norm)
     if radius is not None:
-        hits = hits.where(F.col("score") >= radius if cells.metric == "ip" else F.col("score") <= radius)
-    return rank_hits(hits, k, cells.metric)
+        ranked = ranked.where(F.col("score") >= radius if cells.metric == "ip" else F.col("score") <= radius)
+    return ranked
 
 
 def ivf_knn_one(
@@ -273,24 +297,72 @@ def ivf_knn_one(
     *,
     pk: str,
     field: str,
+    k: int = 10,
     n_probe: int | None = None,
+    filter: str | Column | None = None,
     linear: bool = False,
+    exact: bool = False,
+    max_norm: float | None = None,
     **options,
 ) -> DataFrame:
-    """One query vector: the probe list is a filter on the partition column."""
-    table = index
-    if "spill" in index.columns and linear:
-        table = table.where(~F.col("spill"))
-    if not linear:
-        n = default_probes(cells) if n_probe is None else n_probe
+    """One query vector: the probe list is a filter on the partition column.
+
+    Cells are added until they hold k members that pass the filter. With ``exact`` the
+    k-th distance found there bounds the cells of a second look, and the answer is that
+    of a full scan.
+    """
+    repeats = "spill" in index.columns
+    table = where(index, filter)
+    metric = "ip" if cells.metric == "mipsl2" else cells.metric
+    search = dict(pk=pk, metric=metric, k=k)
+    if linear:
+        table = table.where(~F.col("spill")) if repeats else table
+    else:
+        stats = CellStats.measure(table, cells.points)
         lifted = cells.lift_queries(np.asarray([vector], dtype=np.float64))
-        chosen = np.flatnonzero(nearest_cells(cells, lifted, n)[0])
-        table = table.where(F.col("cell").isin([int(c) for c in chosen]))
-        if "spill" in index.columns:
-            # A row in two probed cells is kept where it is primary if possible.
-            table = table.dropDuplicates([pk])
+        mask = stats.first_cells(lifted, 2 * k if repeats else k)
+        if not exact:
+            mask |= nearest_cells(cells, lifted, default_probes(cells) if n_probe is None else n_probe)
+        mask[:, stats.count == 0] = False
+        if exact:
+            first = knn(_in_cells(table, mask, pk, k if repeats else 0, field, vector, metric), field, vector, **search)
+            reach = _reach(first.select("score").collect(), k, cells, vector)  # k scores
+            mask |= stats.reachable(lifted, reach)
+        table = _in_cells(table, mask, pk, k if repeats else 0, field, vector, metric)
     keep = [c for c in table.columns if c not in ("cell", "distance", "spill")]
-    return knn(table.select(*keep), field, vector, pk=pk, metric=cells.metric, **options)
+    if cells.metric != "mipsl2":
+        return knn(table.select(*keep), field, vector, **search, **options)
+    # Ranked by the product; the score and the radius refer to the norm asked for.
+    radius = options.pop("radius", None)
+    found = knn(table.select(*keep), field, vector, **search, **options)
+    q_sq = float(np.dot(vector, vector))
+    top = cells.max_norm if max_norm is None else max_norm
+    found = found.withColumn("score", metrics.mips_l2(F.col("score"), F.lit(q_sq), F.lit(top)))
+    return found if radius is None else found.where(F.col("score") <= radius)
+
+
+def _in_cells(table: DataFrame, mask: np.ndarray, pk: str, repeated: int, field: str, vector, metric: str) -> DataFrame:
+    """The rows of the masked cells; of rows that are in two, the best ``repeated`` once each."""
+    table = table.where(F.col("cell").isin([int(c) for c in np.flatnonzero(mask[0])]))
+    if not repeated:
+        return table
+    # The two places of a row have one score, so twice as many rows hold the best k.
+    score = metrics.score_against(metric, vector)(F.col(field))
+    scored = table.withColumn("_score", metrics.defined(score)).where("_score is not null")
+    best = scored.orderBy(metrics.closest_first(metric, F.col("_score")), F.col(pk).asc()).limit(2 * repeated)
+    return best.dropDuplicates([pk]).drop("_score")
+
+
+def _reach(found: list, k: int, cells: Centroids, vector) -> np.ndarray:
+    """Lifted distance of the k-th hit; without bound if there are fewer."""
+    if len(found) < k:
+        return np.array([np.inf])
+    worst = found[-1]["score"]
+    if cells.metric == "l2":
+        return np.array([worst])
+    if cells.metric == "cosine":
+        return np.array([math.sqrt(max(0.0, 2.0 * worst))])
+    return np.array([math.sqrt(max(0.0, cells.max_norm**2 + float(np.dot(vector, vector)) - 2.0 * worst))])
 
 
 def knn_adaptive(
@@ -303,16 +375,17 @@ def knn_adaptive(
     field: str,
     filter: str | Column,
     ratio: float = 0.1,
-    n_probe: int | None = None,
     **options,
 ) -> DataFrame:
-    """Exact search when few rows pass the filter, index search otherwise."""
-    passing = where(df, filter).count()
-    if passing <= ratio * df.count():
+    """A scan when few rows pass the filter, else the index; the answer is the same.
+
+    One pass counts both; the index branch visits every cell that could hold a hit.
+    """
+    hit = predicate(df, filter)
+    counts = df.agg(F.count("*").alias("rows"), F.count_if(hit).alias("passing")).first()
+    if counts["passing"] <= ratio * counts["rows"]:
         return knn(df, field, vector, pk=pk, metric=cells.metric, filter=filter, **options)
-    return ivf_knn_one(
-        index, cells, vector, pk=pk, field=field, n_probe=n_probe, filter=filter, **options
-    )
+    return ivf_knn_one(index, cells, vector, pk=pk, field=field, filter=filter, exact=True, **options)
 
 
 def recall_at_k(found: DataFrame, exact: DataFrame) -> DataFrame:
@@ -331,7 +404,7 @@ def recall_at_k(found: DataFrame, exact: DataFrame) -> DataFrame:
 
 def recall_curve(queries, df, index, cells, n_probes: Sequence[int], *, qid, pk, field, k=10) -> DataFrame:
     """Recall per probe setting against exact search."""
-    exact = knn_join(queries, df, qid=qid, pk=pk, field=field, k=k, metric=cells.metric)
+    exact = settle(knn_join(queries, df, qid=qid, pk=pk, field=field, k=k, metric=cells.metric))
     curve = None
     for n in n_probes:
         found = ivf_knn(queries, index, cells, qid=qid, pk=pk, field=field, k=k, n_probe=n)

@@ -14,7 +14,6 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,11 +32,12 @@ _ROUNDING = 1e-6
 
 
 def vector_dimension(df: DataFrame, field: str) -> int:
-    """Declared dimension, else the size of the first vector found."""
+    """Declared dimension, else the size that most vectors have (the smaller of two)."""
     declared = field_of(df.schema[field]).dimension
     if declared:
         return declared
-    row = df.where(F.col(field).isNotNull()).select(F.size(field).alias("n")).first()
+    sizes = df.where(F.col(field).isNotNull()).groupBy(F.size(field).alias("n")).agg(F.count("*").alias("rows"))
+    row = sizes.orderBy(F.desc("rows"), "n").first()
     return row["n"] if row else 0
 
 
@@ -46,19 +46,17 @@ def largest_norm(df: DataFrame, field: str, dimension: int) -> float:
     return df.select(metrics.largest_norm(field, dimension).alias("m")).first()["m"]
 
 
-def bounded_block(queries: DataFrame, dimension: int = 0, block_bytes: int = BLOCK_BYTES):
+def bounded_block(queries: DataFrame, dimension: int, block_bytes: int = BLOCK_BYTES):
     """``(qids, vectors)`` on the driver, or None when over the size bound.
 
     A first fetch of at most ``FIRST_FETCH`` rows settles small query sides in
-    one job and shows the dimension if it is not declared; ``limit(bound + 1)``
-    keeps the second one bounded as well.
+    one job; ``limit(bound + 1)`` keeps the second one bounded as well.
     """
 
     def take(n: int) -> pa.Table:
         return queries.select("qid", "vector").limit(n).toArrow()
 
     table = take(FIRST_FETCH + 1)
-    dimension = dimension or _first_dimension(table["vector"])
     bound = block_rows(dimension, block_bytes)
     if table.num_rows > FIRST_FETCH and bound > FIRST_FETCH:
         table = take(bound + 1)
@@ -69,28 +67,27 @@ def bounded_block(queries: DataFrame, dimension: int = 0, block_bytes: int = BLO
     return _one_per_id(table["qid"].combine_chunks().take(pa.array(rows)), block)
 
 
-def _first_dimension(vectors: pa.ChunkedArray) -> int:
-    sizes = pc.drop_null(pc.list_value_length(vectors))
-    return sizes[0].as_py() if len(sizes) else 0
+REPEATED = "a query id is repeated with different vectors"
 
 
 def _one_per_id(qids: pa.Array, block: np.ndarray):
-    """A repeated query id keeps its smallest vector, as ``fold_queries`` does."""
-    group = np.unique(qids.to_numpy(zero_copy_only=False), return_inverse=True)[1]
-    if len(group) and group.max() + 1 < len(group):
-        order = np.lexsort((*block.T[::-1], group))
-        first = np.flatnonzero(np.r_[True, np.diff(group[order]) != 0])
-        keep = np.sort(order[first])
+    """A query id may be repeated with the same vector only, as in ``fold_queries``."""
+    _, first, group = np.unique(qids.to_numpy(zero_copy_only=False), return_index=True, return_inverse=True)
+    if len(first) < len(block):
+        same = (block == block[first[group]]) | (np.isnan(block) & np.isnan(block[first[group]]))
+        if not same.all():
+            raise InvalidArgument(REPEATED)
+        keep = np.sort(first)
         qids, block = qids.take(pa.array(keep)), block[keep]
     return qids, block
 
 
-def fold_queries(queries: DataFrame) -> DataFrame:
-    return (
-        queries.where(F.col("qid").isNotNull() & F.col("vector").isNotNull())
-        .groupBy("qid")
-        .agg(F.min("vector").alias("vector"))
-    )
+def fold_queries(queries: DataFrame, dimension: int) -> DataFrame:
+    """One row per id among the well-formed vectors; two different ones are an error."""
+    sound = (F.size("vector") == dimension) & ~F.exists("vector", lambda x: x.isNull())
+    folded = queries.where(F.col("qid").isNotNull() & sound).groupBy("qid").agg(F.min("vector").alias("low"), F.max("vector").alias("high"))
+    one = F.when(F.col("low") == F.col("high"), F.col("low")).otherwise(F.raise_error(F.lit(REPEATED)))
+    return folded.select("qid", one.alias("vector"))
 
 
 def knn_join(
@@ -118,14 +115,14 @@ def knn_join(
         raise InvalidArgument("top_k must be a positive integer")
     asked = queries.select(F.col(qid).alias("qid"), F.col(query_field or field).alias("vector"))
     members = where(df, filter).select(F.col(pk).alias("pk"), F.col(field).alias("vector"))
-    dimension = field_of(df.schema[field]).dimension
+    dimension = vector_dimension(df, field)
 
     if strategy in ("auto", "scan"):
         block = bounded_block(asked, dimension, block_bytes)
         if block is not None:
             top = max_norm
             if metric == "mipsl2" and top is None:
-                top = largest_norm(df, field, block[1].shape[1])
+                top = largest_norm(df, field, dimension)
             tasks = 4 * df.sparkSession.sparkContext.defaultParallelism
             hits = scan_topk(members, *block, k=k, metric=metric, max_norm=top, tasks=tasks)
             return rank_hits(hits, k, metric)
@@ -133,13 +130,17 @@ def knn_join(
             raise InvalidArgument("the query side is over the broadcast bound")
     elif strategy != "pivot":
         raise InvalidArgument(f"unknown strategy '{strategy}'")
-    dimension = dimension or vector_dimension(asked, "vector")
     top = largest_norm(df, field, dimension) if metric in ("ip", "mipsl2") else None
     if metric != "mipsl2" or max_norm is None:
         return _pivot_join(asked, members, k, metric, dimension, top, pivots, block_bytes)
     # Same order as ip; the score refers to the norm that was asked for.
     ranked = _pivot_join(asked, members, k, "ip", dimension, top, pivots, block_bytes)
-    sizes = fold_queries(asked).select("qid", metrics.squared_norm("vector").alias("q_sq"))
+    return as_mips(ranked, fold_queries(asked, dimension), max_norm)
+
+
+def as_mips(ranked: DataFrame, asked: DataFrame, max_norm: float) -> DataFrame:
+    """Hits ranked by inner product with their mipsl2 score for one norm."""
+    sizes = asked.select("qid", metrics.squared_norm("vector").alias("q_sq"))
     score = metrics.mips_l2(F.col("score"), F.col("q_sq"), F.lit(max_norm))
     return ranked.join(sizes, "qid").select("qid", "rank", "pk", score.alias("score"))
 
@@ -148,7 +149,7 @@ def knn_join(
 
 
 def _pivot_join(asked, members, k, metric, dimension, top, pivots, block_bytes) -> DataFrame:
-    queries = settle(fold_queries(asked))
+    queries = settle(fold_queries(asked, dimension))
     points = pivot_points(members, metric, dimension, top, pivots)
     # Used by both rounds and by the cell statistics: written once.
     assigned = settle(assign_cells(members, points, metric, dimension, top))

@@ -105,6 +105,8 @@ def _tiled(rows: DataFrame, sizes, *, own: str, other: str, n_own: str, n_other:
         # One tile per cell: a plain filter, which also prunes directories.
         alone = rows.where(F.col("cell").isin(sorted(sizes)))
         return alone.withColumn("mb", F.lit(0)).withColumn("qb", F.lit(0)).select(*columns)
+    # The list of cells is a filter too: a join alone would read every directory.
+    rows = rows.where(F.col("cell").isin(sorted(sizes)))
     local = [(cell, m, q) for cell, (m, q) in sorted(sizes.items())]
     table = rows.sparkSession.createDataFrame(local, "cell int, n_m int, n_q int")
     return (
