@@ -3,7 +3,8 @@
 ``path/data/_commit=N-id/_group=G/`` holds the rows written by commit N, grouped by a
 hash of the key; ``path/log/v=N/`` lists, as rows, the folders that make up
 snapshot N together with the schema. A commit writes its data first and its log
-entry last, and two writers racing for the same number cannot both succeed. A
+entry last. A collection has one writer at a time: a later writer that finds its
+number taken fails, but two that commit in the same moment are not kept apart. A
 write only rewrites the key groups its batch touches; an insert only adds files.
 """
 
@@ -27,7 +28,7 @@ from ..functions.predicates import predicate
 from ..functions.quantize import HalfQuantizer, Quantizer, trained
 from ..operators import ddl, stats, writes
 from ..operators.fetch import fetch
-from ..operators.knn_join import knn_join
+from ..operators.knn_join import as_mips, fold_queries, knn_join, largest_norm
 from ..operators.search import DOC_ID, knn
 from ..operators.tiles import rank_hits
 from ..schema import Field, Index, Schema, schema_from_json, schema_to_json
@@ -53,6 +54,8 @@ class Snapshot:
 class Collection:
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
+        #: What became of each record given to :meth:`create`.
+        self.load_results: DataFrame | None = None
 
     # -- lifecycle -----------------------------------------------------------
 
@@ -65,19 +68,30 @@ class Collection:
         records: DataFrame | None = None,
         *,
         group_digits: int = 1,
+        rejects: str = "fail",
     ) -> "Collection":
         """Validate the schema and start a collection; fail if one is there.
 
         ``group_digits`` hex digits of the key hash make 16 ** digits groups: aim
-        for a few GB each.
+        for a few GB each. If any record cannot be stored, nothing is created, unless
+        ``rejects`` is ``report``: then ``load_results`` has a row for every record.
         """
+        if rejects not in ("fail", "report"):
+            raise InvalidArgument("rejects must be 'fail' or 'report'")
         _checked(schema)
         self = cls(spark, path)
         if self._versions():
             raise AlreadyExists(f"collection already exists at '{path}'")
-        self._log(Snapshot(0, schema, (), group_digits, 0))
-        if records is not None:
-            self.insert(records)
+        first = Snapshot(0, schema, (), group_digits, 0)
+        done = None if records is None else self._judged(first, records, "insert", None)
+        if done is not None and rejects == "fail":
+            bad = done.where("code <> 'ok'").select("message").limit(1).collect()
+            if bad:
+                raise InvalidArgument(f"a record cannot be stored: {bad[0]['message']}")
+        self._log(first)
+        if done is not None:
+            self._append(first, self._with_ids(done.where("code = 'ok'"), first))
+            self.load_results = _result_rows(done, schema.pk)
         return self
 
     @classmethod
@@ -270,13 +284,21 @@ class Collection:
         if facts is None or linear or facts["metric"] != chosen:
             rows = self._read(snap, snap.parts).drop(GROUP)
             return knn_join(queries, rows, metric=chosen, filter=filter, **shape)
+        rewritten, valid, fresh = self._index_state(snap, facts)
+        scan = dict(metric=chosen, filter=filter, **shape)
+        if not valid:
+            # After a change of the schema the index has nothing current to give.
+            return knn_join(queries, self._read(snap, snap.parts).drop(GROUP), **scan)
         table, cells = self.index(field)
-        built = set(self.snapshot(facts["version"]).parts)
-        fresh = [p for p in snap.parts if p not in built]
-        # A group that lost a folder was rewritten: all its current rows are fresh.
-        rewritten = sorted({self._group_of(p) for p in built - set(snap.parts)})
+        if filter is not None and not self._covers(table, filter):
+            return knn_join(queries, self._read(snap, snap.parts).drop(GROUP), **scan)
         if rewritten:
             table = table.where(~writes.key_group(pk, snap.digits).isin(rewritten))
+        top = None
+        if chosen == "mipsl2":
+            # Parts are merged by the product; the score refers to today's largest norm.
+            cells = replace(cells, metric="ip")
+            top = largest_norm(self._read(snap, snap.parts), field, cells.dimension)
         if facts["quantize"]:
             found = ivf.ivf_knn_refined(
                 queries,
@@ -294,11 +316,33 @@ class Collection:
             found = ivf.ann_knn(queries, table, cells, ef=ef, filter=filter, **shape)
         else:
             found = ivf.ivf_knn(queries, table, cells, n_probe=n_probe, filter=filter, **shape)
-        if not fresh:
+        if fresh:
+            rows = self._read(snap, fresh).drop(GROUP)
+            new = knn_join(queries, rows, metric=cells.metric, filter=filter, **shape)
+            found = rank_hits(found.drop("rank").unionByName(new.drop("rank")), k, cells.metric)
+        if top is None:
             return found
-        rows = self._read(snap, fresh).drop(GROUP)
-        new = knn_join(queries, rows, metric=chosen, filter=filter, max_norm=cells.max_norm, **shape)
-        return rank_hits(found.drop("rank").unionByName(new.drop("rank")), k, chosen)
+        asked = queries.select(F.col(qid).alias("qid"), F.col(query_field or field).alias("vector"))
+        return as_mips(found, fold_queries(asked, cells.dimension), top)
+
+    def _index_state(self, snap: Snapshot, facts: dict) -> tuple[list[str], list[str], list[str]]:
+        """Rewritten key groups, folders whose rows the index still has, folders it lacks."""
+        built = set(self.snapshot(facts["version"]).parts)
+        # A group that lost a folder was rewritten: all its current rows are fresh.
+        rewritten = sorted({self._group_of(p) for p in built - set(snap.parts)})
+        valid = [p for p in snap.parts if p in built and self._group_of(p) not in rewritten]
+        return rewritten, valid, [p for p in snap.parts if p not in valid]
+
+    @staticmethod
+    def _covers(table: DataFrame, condition: str) -> bool:
+        """Whether the index table has all columns that the condition names."""
+        try:
+            predicate(table, condition)
+        except InvalidArgument as unknown:
+            if "unknown column" in str(unknown):
+                return False
+            raise
+        return True
 
     @staticmethod
     def _vector_field(snap: Snapshot, field: str) -> Field:
@@ -312,6 +356,8 @@ class Collection:
     def add_column(self, new: Field, default: str | None = None) -> None:
         snap = self.snapshot()
         schema = _checked(replace(snap.schema, fields=(*snap.schema.fields, new)))
+        if not new.nullable:
+            _no_nulls(ddl.add_column(self._read(snap, snap.parts), new, default), new.name)
         self._rewrite_all(snap, schema, lambda df: ddl.add_column(df, new, default))
 
     def drop_column(self, name: str) -> None:
@@ -320,7 +366,9 @@ class Collection:
         if name == snap.schema.pk:
             raise InvalidArgument("the primary key cannot be dropped")
         fields = tuple(f for f in snap.schema.fields if f.name != name)
-        self._log(replace(snap, version=snap.version + 1, schema=replace(snap.schema, fields=fields)))
+        indexes = {k: v for k, v in snap.indexes.items() if k != name}
+        schema = replace(snap.schema, fields=fields)
+        self._log(replace(snap, version=snap.version + 1, schema=schema, indexes=indexes))
 
     def rename_column(self, name: str, new_name: str) -> None:
         snap = self.snapshot()
@@ -328,14 +376,17 @@ class Collection:
             replace(f, name=new_name) if f.name == name else f for f in snap.schema.fields
         )
         schema = _checked(replace(snap.schema, fields=fields))
-        self._rewrite_all(snap, schema, lambda df: ddl.rename_column(df, name, new_name))
+        indexes = {new_name if k == name else k: v for k, v in snap.indexes.items()}
+        self._rewrite_all(replace(snap, indexes=indexes), schema, lambda df: ddl.rename_column(df, name, new_name))
 
     def cast_column(self, new: Field) -> DataFrame:
         """Change type, nullability or dimension; returns the rows that failed."""
         snap = self.snapshot()
         fields = tuple(new if f.name == new.name else f for f in snap.schema.fields)
         schema = replace(snap.schema, fields=fields).validate()
-        _, errors = ddl.cast_column(self._read(snap, snap.parts), new)
+        changed, errors = ddl.cast_column(self._read(snap, snap.parts), new)
+        if not new.nullable:
+            _no_nulls(changed, new.name)
         self._rewrite_all(snap, schema, lambda df: ddl.cast_column(df, new)[0])
         return errors.drop(GROUP, DOC_ID)
 
@@ -381,6 +432,7 @@ class Collection:
                 "metric": cells.metric,
                 "dimension": cells.dimension,
                 "max_norm": cells.max_norm,
+                "keep": None if keep is None else list(keep),
             }
         self._log(replace(snap, version=number, schema=schema, indexes=indexes))
 
@@ -417,8 +469,10 @@ class Collection:
         keys = list(sort_by or snap.schema.names("indexed"))
         keys = [c for c in keys if not snap.schema[c].is_vector]
         self._rewrite_all(snap, snap.schema, lambda df: df, sort_by=[*keys, snap.schema.pk])
-        for name in snap.indexes:
-            self.create_index(name, snap.schema[name].index)
+        for name, facts in snap.indexes.items():
+            keep = facts.get("keep")
+            held = None if keep is None else [c for c in keep if c in snap.schema]
+            self.create_index(name, snap.schema[name].index, keep=held)
 
     def stats(self) -> DataFrame:
         """Rows ``(metric, field, value)``: document count, index completeness."""
@@ -430,8 +484,15 @@ class Collection:
             F.col("doc_count").cast("double").alias("value"),
         )
         for name, facts in snap.indexes.items():
-            table = self.spark.read.parquet(f"{facts['table']}/cells")
             held = df.where(F.col(name).isNotNull())
+            rewritten, valid, _ = self._index_state(snap, facts)
+            if valid:
+                # What a search would not use does not count as indexed.
+                table = self.spark.read.parquet(f"{facts['table']}/cells")
+                if rewritten:
+                    table = table.where(~writes.key_group(snap.schema.pk, snap.digits).isin(rewritten))
+            else:
+                table = held.select(snap.schema.pk).limit(0)
             share = stats.index_completeness(held, table, pk=snap.schema.pk)
             out = out.unionByName(
                 share.select(
@@ -515,11 +576,12 @@ class Collection:
             target = replace(target, fields=tuple(replace(f, nullable=True) for f in fields))
             if snap.schema.pk not in target:
                 raise InvalidArgument("primary key must be set")
+        firm = [f.name for f in snap.schema.fields if not f.nullable and not f.primary_key and f.name in batch.columns]
         kept = [c for c in batch.columns if c in target or c == PRESENT]
         rows = writes.sequenced(batch, order).select(*kept, "_pos")
         read = conform_records(rows, target, errors="_unread", carry=["_pos"])
         judged = settle(
-            read.withColumn("_bad", F.coalesce("_unread", error_column(read, target)))
+            read.withColumn("_bad", F.coalesce("_unread", error_column(read, target), *_given_null(read, firm, op)))
             .withColumn(GROUP, writes.key_group(snap.schema.pk, snap.digits))
             .drop("_unread"),
             self.spark,
@@ -612,6 +674,20 @@ def _checked(schema: Schema) -> Schema:
     return schema
 
 
+def _no_nulls(df: DataFrame, name: str) -> None:
+    if df.where(F.col(f"`{name}`").isNull()).limit(1).count():
+        raise InvalidArgument(f"field '{name}' is not nullable but would hold nulls")
+
+
+def _given_null(read: DataFrame, firm: Sequence[str], op: str) -> list:
+    """An explicit null for a field that is not nullable; absence is judged elsewhere."""
+    if PRESENT in read.columns:
+        return [F.when(F.array_contains(PRESENT, c) & F.col(f"`{c}`").isNull(), F.lit(f"field '{c}' must not be null")) for c in firm]
+    if op != "update":
+        return []
+    return [F.when(F.col(f"`{c}`").isNull(), F.lit(f"field '{c}' must not be null")) for c in firm]
+
+
 def _metric(declared: Field) -> str:
     return (declared.index.metric if declared.index else None) or "l2"
 

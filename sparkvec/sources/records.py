@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from .. import types as vt
 from ..functions.codec import pack, truncate_fp16, unpack
+from ..functions.sparse import sparse_error
 from ..schema import META, Field, Schema
 
 PRESENT = "_present"
@@ -53,7 +54,12 @@ def _vector_error(field: Field, column: Column) -> Column:
     name = field.name
     if vt.is_sparse(field.type):
         last = F.array_max(column.getField("indices"))
-        return F.when(
+        broken = sparse_error(column.getField("indices"), column.getField("values"))
+        holes = F.when(
+            F.exists(column.getField("indices"), lambda x: x.isNull()) | F.exists(column.getField("values"), lambda x: x.isNull()),
+            F.lit(f"vector field '{name}' has a null element"),
+        )
+        high = F.when(
             last >= field.dimension,
             F.concat(
                 F.lit(f"vector field '{name}' has index "),
@@ -61,6 +67,7 @@ def _vector_error(field: Field, column: Column) -> Column:
                 F.lit(f", expected below {field.dimension}"),
             ),
         )
+        return F.when(column.isNotNull(), F.coalesce(holes, broken, high))
     actual = observed_dimension(field, column)
     expected = -(-field.dimension // 8) * 8 if vt.is_bits(field.type) else field.dimension
     wrong = F.when(
@@ -152,6 +159,8 @@ def conform_column(field: Field, column: Column, source: T.DataType) -> Column:
         parts = [
             _element_cast(column.getField(n), kind[n].dataType).alias(n) for n in ("indices", "values")
         ]
+        if field.type == "sparse_vector_fp16":
+            parts[1] = truncate_fp16(column.getField("values").try_cast(kind["values"].dataType)).alias("values")
         return F.when(column.isNotNull(), F.struct(*parts))
     if vt.is_bits(field.type) and listed:
         return pack(column, field.type.removeprefix("vector_"))

@@ -21,6 +21,8 @@ def apply_batch(
 ) -> bool:
     """Upsert one micro-batch unless the collection already holds it.
 
+    ``name`` names one run of numbered batches: a stream with a new checkpoint counts
+    from 0 again and needs a name of its own, as :func:`streaming_upsert` gives it.
     The batch number is part of the same commit as the rows, so a batch replayed
     after a failure is either wholly there (and skipped) or not there at all.
     """
@@ -47,8 +49,14 @@ def streaming_upsert(
     the ``order`` fields; otherwise batches count in the order they arrive.
     """
 
+    run: list[str] = []
+
     def sink(batch: DataFrame, batch_id: int) -> None:
-        apply_batch(collection, batch, batch_id, name=name, order=order)
+        if not run:
+            # The id lives as long as the checkpoint, and batch numbers with it.
+            facts = collection.spark.read.schema("id string").json(f"{checkpoint.rstrip('/')}/metadata")
+            run.append(facts.first()["id"])
+        apply_batch(collection, batch, batch_id, name=f"{name}@{run[0]}", order=order)
 
     return (
         stream.writeStream.queryName(name)

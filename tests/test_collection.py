@@ -1,3 +1,5 @@
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -232,7 +234,7 @@ def test_adaptive_and_single_query(world):
     q = [0.1] * 64
     args = dict(pk="vec_id", field="embedding")
     few = ivf.knn_adaptive(df, table, cells, q, filter="label = 2", ratio=0.5, **args).collect()
-    many = ivf.knn_adaptive(df, table, cells, q, filter="label = 2", ratio=0.0, n_probe=8, **args).collect()
+    many = ivf.knn_adaptive(df, table, cells, q, filter="label = 2", ratio=0.0, **args).collect()
     linear = ivf.ivf_knn_one(table, cells, q, linear=True, filter="label = 2", **args).collect()
     assert few == many == linear and len(few) == 10
 
@@ -283,3 +285,69 @@ def test_stream_resumes(spark, tmp_path):
     spark.createDataFrame([("a", 5, 5)], "id string, v int, at bigint").write.mode("append").parquet(source)
     run()
     assert sorted(tuple(r) for r in c.scan().collect()) == [("a", 5, 5), ("b", 1, 1)]
+
+
+def test_create_refuses_records_it_cannot_store(spark, tmp_path):
+    schema = Schema("c").add("id", "string", primary_key=True).add("v", "vector_fp32", dimension=2)
+    rows = [("a", [1.0, 0.0]), ("a", [0.0, 1.0]), ("b", [1.0]), (None, [1.0, 1.0]), ("c", [2.0, 2.0])]
+    records = spark.createDataFrame(rows, "id string, v array<float>")
+    with pytest.raises(InvalidArgument):
+        Collection.create(spark, str(tmp_path / "a"), schema, records)
+    with pytest.raises(NotFound):
+        Collection.open(spark, str(tmp_path / "a"))
+    made = Collection.create(spark, str(tmp_path / "b"), schema, records, rejects="report")
+    assert made.load_results.count() == 5 and made.load_results.where("code = 'ok'").count() == 2
+    assert made.scan().count() == 2
+
+
+def test_a_new_checkpoint_is_a_new_run(spark, tmp_path):
+    schema = Schema("c").add("id", "string", primary_key=True).add("n", "int64")
+    made = Collection.create(spark, str(tmp_path / "c"), schema)
+    for run in ("one", "two"):
+        source = str(tmp_path / run)
+        spark.createDataFrame([(run, 1)], "id string, n long").write.parquet(source)
+        stream = spark.readStream.schema("id string, n long").parquet(source)
+        streaming_upsert(stream, made, name="s", order=["n"], checkpoint=str(tmp_path / f"check-{run}")).awaitTermination()
+    assert {r.id for r in made.scan().collect()} == {"one", "two"}
+
+
+def test_writes_judge_nulls_and_sparse_vectors(spark, tmp_path):
+    schema = (
+        Schema("c")
+        .add("id", "string", primary_key=True)
+        .add("n", "int32")
+        .add("s", "sparse_vector_fp32", dimension=10, nullable=True)
+    )
+    made = Collection.create(spark, str(tmp_path / "c"), schema)
+    kind = "id string, n int, s struct<indices: array<bigint>, values: array<float>>"
+    rows = [("a", 1, None), ("b", 2, ([5, 1, 1], [1.0] * 3)), ("c", 3, ([-3], [1.0])), ("d", 4, ([1, 2], [1.0])), ("e", 5, ([0, 9], [1.0, 2.0]))]
+    for write in (made.insert, made.upsert):
+        codes = {r.pk: r.code for r in write(spark.createDataFrame(rows, kind)).collect()}
+        assert {k for k, c in codes.items() if c == "invalid_argument"} == {"b", "c", "d"}
+    changed = made.update(spark.createDataFrame([("a", None), ("e", 9)], "id string, n int")).collect()
+    assert {r.pk: r.code for r in changed} == {"a": "invalid_argument", "e": "ok"}
+    assert {r.id: r.n for r in made.scan().collect()} == {"a": 1, "e": 9}
+
+
+def test_index_state_after_writes(spark, tmp_path):
+    rows = [(str(i), [float(i % 5), float(i)]) for i in range(40)]
+    schema = Schema("c").add("id", "string", primary_key=True).add("v", "vector_fp32", dimension=2, index={"type": "ivf", "metric": "l2", "n_list": 4})
+    made = Collection.create(spark, str(tmp_path / "c"), schema, spark.createDataFrame(rows, "id string, v array<float>"))
+    made.create_index("v", Index("ivf", metric="l2", n_list=4, n_iters=2))
+
+    def share():
+        return made.stats().where("metric = 'index_completeness'").first()["value"]
+
+    assert share() == 1.0
+    made.update(spark.createDataFrame(rows, "id string, v array<float>"))
+    assert share() == 0.0
+
+
+def test_tiled_cells_are_pruned(spark, tmp_path):
+    df = spark.createDataFrame([(i, [float(i % 7), float(i)]) for i in range(200)], "pk long, v array<double>")
+    cells = ivf.train_centroids(df, "v", n_list=8, n_iters=2)
+    ivf.write_index(ivf.assign(df, "v", cells), str(tmp_path / "x"))
+    stored = spark.read.parquet(str(tmp_path / "x"))
+    found = ivf.ivf_knn(df.limit(3), stored, cells, qid="pk", pk="pk", field="v", k=2, n_probe=1, block_bytes=16 * 8)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*cell#\d+ (IN \(|= )", plan)
