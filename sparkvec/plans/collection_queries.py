@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import functions as F
 
+from ..functions.metrics import literal_vector, squared_l2
 from ..functions.quantize import trained
+from ..functions.spaces import lifted_column
 from ..operators import index as ivf
-from ..operators.knn_join import knn_join
+from ..operators.knn_join import knn_join, largest_norm
 from ..operators.layout import write_arranged
-from ..schema import Index, Schema
+from ..schema import Field, Index, Schema
 from ..session import scratch_path
 from ..sources.collection import Collection
 from ..streaming.upsert import streaming_upsert
@@ -29,10 +32,10 @@ def create_collection(spark, folder):
     return shared.measured(_created(spark, folder).scan(), "embedding")
 
 
-@query("scan_collection", "SELECT vec_id::VARCHAR AS id, label FROM embeddings WHERE label >= 5")
+@query("scan_collection", "SELECT vec_id::VARCHAR AS id, label FROM embeddings")
 def scan_collection(spark, folder):
     made = _created(spark, folder)
-    return Collection.open(spark, made.path).scan().where("label >= 5").select("id", "label")
+    return Collection.open(spark, made.path).scan().select("id", "label")
 
 
 @query("optimize_compact", _EMBEDDINGS)
@@ -94,22 +97,79 @@ def _trained(t: Tables, metric: str = "l2", n_list: int = 16):
     return df, ivf.train_centroids(df, "e", n_list=n_list, n_iters=5, metric=metric)
 
 
-@query("ivf_centroids")
+@query("ivf_centroids", "SELECT true AS bounded, true AS own_cell_nearest, true AS better_than_one_cell")
 def ivf_centroids(spark, folder):
-    _, cells = _trained(Tables(spark, folder))
-    return cells.table(spark)
+    """What k-means must hold: at most k cells, rows in their nearest one, less cost than one cell."""
+    df, cells = _trained(Tables(spark, folder))
+    mean = df.select(F.posexplode("e").alias("i", "x")).groupBy("i").agg(F.avg("x").alias("x"))
+    listed = mean.agg(F.array_sort(F.collect_list(F.struct("i", "x"))).alias("m"))
+    centre = literal_vector(listed.select(F.transform("m", lambda p: p["x"])).first()[0])  # one vector
+    placed = ivf.assign(df, "e", cells)
+    gaps = F.array(*(squared_l2("e", literal_vector(p)) for p in cells.points))
+    return placed.agg(
+        F.lit(len(cells.points) <= 16).alias("bounded"),
+        (F.max(F.abs(F.sqrt(F.array_min(gaps)) - F.col("distance"))) < 1e-6).alias("own_cell_nearest"),
+        (F.sum(F.col("distance") * F.col("distance")) < F.sum(squared_l2("e", centre))).alias("better_than_one_cell"),
+    )
+
+
+# Cells that SQL can state too: the mean vector of each label, in the metric's space.
+
+
+def _label_cells(t: Tables, metric: str) -> ivf.Centroids:
+    rows = vectors(t).withColumn("e", lifted_column(metric, "e", shared.DIMENSION, None))
+    means = rows.select("label", F.posexplode("e").alias("i", "x")).groupBy("label", "i").agg(F.avg("x").alias("x"))
+    found = means.orderBy("label", "i").collect()  # labels times dimensions
+    return ivf.Centroids(np.array([r["x"] for r in found]).reshape(-1, shared.DIMENSION), metric, shared.DIMENSION)
+
+
+def _cells_sql(metric: str) -> str:
+    """``u``: vectors in the metric's space; ``m``: cells; ``g``: all distances; ``a``: each row's cell."""
+    space = "e" if metric == "l2" else "[x / sqrt(list_inner_product(e, e)) for x in e]"
+    return f"""{shared.VECTORS_SQL}, u AS (SELECT vec_id, label, e, {space} AS y FROM v),
+    x AS (SELECT label, unnest(y) AS x, generate_subscripts(y, 1) AS i FROM u),
+    w AS (SELECT label, list(x ORDER BY i) AS c FROM (SELECT label, i, avg(x) AS x FROM x GROUP BY label, i) GROUP BY label),
+    m AS (SELECT row_number() OVER (ORDER BY label) - 1 AS cell, c FROM w),
+    g AS (SELECT vec_id, label, cell, y, c, e, list_distance(y, c) AS d FROM u, m),
+    a AS (SELECT * FROM g QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY d, cell) = 1)"""
 
 
-@query("ivf_assign")
+# The second place of a row: least |r'|^2 + (r . r' / |r|)^2, with r and r' its residuals.
+_SPILL_SQL = """b AS (SELECT g.vec_id, g.cell, g.d, g.e, g.label FROM a JOIN g USING (vec_id) WHERE g.cell <> a.cell
+    QUALIFY row_number() OVER (PARTITION BY g.vec_id ORDER BY g.d * g.d + pow(
+      list_inner_product([z[1] - z[2] for z in list_zip(a.y, a.c)], [z[1] - z[2] for z in list_zip(g.y, g.c)]) / a.d, 2), g.cell) = 1)"""
+
+
+def _probed_sql(metric: str, probes: int, need: int, k: int = 10, members: str = "a", where: str = "true") -> str:
+    """Exact ranking inside the cells that a probe visits: ``probes`` of them, or until they hold ``need``."""
+    score = "list_distance(q.e, h.e)" if metric == "l2" else "list_cosine_distance(h.e, q.e)"
+    return f"""z AS (SELECT cell, count(*) AS n FROM {members} WHERE {where} GROUP BY cell),
+    r AS (SELECT vec_id AS qid, cell, row_number() OVER w AS place FROM g WINDOW w AS (PARTITION BY vec_id ORDER BY d, cell)),
+    o AS (SELECT qid, cell, place, coalesce(sum(n) OVER (PARTITION BY qid ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING
+      AND 1 PRECEDING), 0) AS before FROM r JOIN z USING (cell)),
+    p AS (SELECT qid, cell FROM o WHERE place <= {probes} OR before < {need}),
+    s AS (SELECT DISTINCT p.qid, h.vec_id AS pk, {score} AS s FROM p JOIN (SELECT * FROM {members} WHERE {where}) h USING (cell)
+      JOIN v q ON q.vec_id = p.qid),
+    n AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY s, pk) AS n FROM s)
+    SELECT qid, n::INTEGER AS rank, pk, round(s, 6) AS score FROM n WHERE n <= {k}"""
+
+
+@query("ivf_assign", f"WITH {_cells_sql('l2')} SELECT vec_id, cell::INTEGER AS cell, round(d, 6) AS distance FROM a")
 def ivf_assign(spark, folder):
-    df, cells = _trained(Tables(spark, folder))
-    return ivf.assign(df, "e", cells).select("vec_id", "cell", "distance")
+    t = Tables(spark, folder)
+    return rounded(ivf.assign(vectors(t), "e", _label_cells(t, "l2")).select("vec_id", "cell", "distance"), "distance")
 
 
-@query("ivf_soar_assign")
+@query(
+    "ivf_soar_assign",
+    f"""WITH {_cells_sql('l2')}, {_SPILL_SQL}
+    SELECT vec_id, cell::INTEGER AS cell, round(d, 6) AS distance, false AS spill FROM a
+    UNION ALL SELECT vec_id, cell::INTEGER, round(d, 6), true FROM b""",
+)
 def ivf_soar_assign(spark, folder):
-    df, cells = _trained(Tables(spark, folder))
-    return ivf.assign(df, "e", cells, soar=True).select("vec_id", "cell", "distance", "spill")
+    t = Tables(spark, folder)
+    placed = ivf.assign(vectors(t), "e", _label_cells(t, "l2"), soar=True)
+    return rounded(placed.select("vec_id", "cell", "distance", "spill"), "distance")
 
 
 def _stored_index(spark, df, cells, **options):
@@ -127,8 +187,26 @@ def _probed(metric: str, n_probe: int | None, **options):
     return plan
 
 
-query("ivf_knn")(_probed("l2", None))
-query("ivf_soar_knn")(_probed("l2", 2, soar=True))
+def _by_label(metric: str, search=ivf.ivf_knn, soar: bool = False, **options):
+    def plan(spark, folder):
+        t = Tables(spark, folder)
+        cells = _label_cells(t, metric)
+        stored = _stored_index(spark, vectors(t), cells, soar=soar)
+        return rounded(search(vectors(t), stored, cells, qid="vec_id", pk="vec_id", field="e", **options))
+
+    return plan
+
+
+_BOTH = "c2 AS (SELECT vec_id, cell, e, label FROM a UNION ALL SELECT vec_id, cell, e, label FROM b)"
+query("ivf_knn", f"WITH {_cells_sql('l2')}, {_probed_sql('l2', 1, 10)}")(_by_label("l2"))
+query("ivf_soar_knn", f"WITH {_cells_sql('l2')}, {_SPILL_SQL}, {_BOTH}, {_probed_sql('l2', 2, 20, members='c2')}")(
+    _by_label("l2", n_probe=2, soar=True)
+)
+# The filter leaves few members in most cells: probing goes on until ten of them are seen.
+query("ivf_knn_filtered", f"WITH {_cells_sql('l2')}, {_probed_sql('l2', 1, 10, where='vec_id % 9 = 4')}")(
+    _by_label("l2", n_probe=1, filter="vec_id % 9 = 4")
+)
+query("ann_knn", f"WITH {_cells_sql('cosine')}, {_probed_sql('cosine', 0, 64)}")(_by_label("cosine", ivf.ann_knn, ef=64))
 # Probing every cell is exact search, with and without spilled copies.
 query("ivf_knn_full_probe", join_sql("cosine"))(_probed("cosine", 16))
 query("ivf_soar_full_probe", join_sql("ip"))(_probed("ip", 16, soar=True))
@@ -168,12 +246,12 @@ def ivf_knn_refined(spark, folder):
     return rounded(hits)
 
 
-@query("ivf_knn_one_full_probe", knn_sql("l2", columns="label", where="label < 6", k=20))
+@query("ivf_knn_one_full_probe", knn_sql("l2", columns="label", k=20))
 def ivf_knn_one_full_probe(spark, folder):
     df, cells = _trained(Tables(spark, folder))
     stored = _stored_index(spark, df, cells)
     hits = ivf.ivf_knn_one(
-        stored, cells, QUERY, pk="vec_id", field="e", n_probe=len(cells.points), k=20, filter="label < 6"
+        stored, cells, QUERY, pk="vec_id", field="e", n_probe=len(cells.points), k=20
     )
     return rounded(hits)
 
@@ -196,21 +274,58 @@ def knn_adaptive(spark, folder):
     return rounded(hits)
 
 
-@query("ann_knn")
-def ann_knn(spark, folder):
-    df, cells = _trained(Tables(spark, folder), "cosine")
+@query("knn_adaptive_by_index", knn_sql("l2", where="label <> 3"))
+def knn_adaptive_by_index(spark, folder):
+    """Most rows pass: the index answers, visiting every cell that could hold a hit."""
+    df, cells = _trained(Tables(spark, folder))
     stored = _stored_index(spark, df, cells)
-    return rounded(ivf.ann_knn(df, stored, cells, qid="vec_id", pk="vec_id", field="e", ef=64))
+    return rounded(ivf.knn_adaptive(df, stored, cells, QUERY, pk="vec_id", field="e", filter="label <> 3", ratio=0.25))
 
 
-@query("recall_at_k")
-def recall_at_k(spark, folder):
-    df, cells = _trained(Tables(spark, folder), "cosine")
+# Cells trained on the shorter half; longer vectors come later, so the norm grows.
+@query("ivf_mipsl2_after_growth", join_sql("mipsl2"))
+def ivf_mipsl2_after_growth(spark, folder):
+    df = vectors(Tables(spark, folder))
+    cells = ivf.train_centroids(df.where("vec_id % 7 < 4"), "e", n_list=8, n_iters=3, metric="mipsl2")
     stored = _stored_index(spark, df, cells)
-    curve = ivf.recall_curve(df, df, stored, cells, [1, 4, 16], qid="vec_id", pk="vec_id", field="e")
+    top = largest_norm(df, "e", shared.DIMENSION)
+    found = ivf.ivf_knn(df, stored, cells, qid="vec_id", pk="vec_id", field="e", n_probe=len(cells.points), max_norm=top)
+    return rounded(found)
+
+
+_RECALL = " UNION ALL ".join(
+    f"""SELECT {n} AS n_probe, count(DISTINCT x.qid) AS queries, count(*) AS expected, round(avg((f.pk IS NOT NULL)::INTEGER), 6) AS recall
+    FROM ({join_sql('cosine')}) x LEFT JOIN (WITH {_cells_sql('cosine')}, {_probed_sql('cosine', n, 10)}) f ON f.qid = x.qid AND f.pk = x.pk"""
+    for n in (1, 4, 10)
+)
+
+
+@query("recall_at_k", _RECALL)
+def recall_at_k(spark, folder):
+    t = Tables(spark, folder)
+    cells = _label_cells(t, "cosine")
+    stored = _stored_index(spark, vectors(t), cells)
+    curve = ivf.recall_curve(vectors(t), vectors(t), stored, cells, [1, 4, 10], qid="vec_id", pk="vec_id", field="e")
     return rounded(curve, "recall")
 
 
+# Every query comes twice, and once more without its last element.
+@query("knn_join_mixed_dimensions", join_sql("l2"))
+def knn_join_mixed_dimensions(spark, folder):
+    df = vectors(Tables(spark, folder))
+    short = df.withColumn("e", F.slice("e", 1, shared.DIMENSION - 1))
+    asked = short.unionByName(df).unionByName(df)
+    return rounded(knn_join(asked, df, qid="vec_id", pk="vec_id", field="e", strategy="scan"))
+
+
+@query("knn_join_mixed_dimensions_pivot", join_sql("l2"))
+def knn_join_mixed_dimensions_pivot(spark, folder):
+    df = vectors(Tables(spark, folder))
+    short = df.withColumn("e", F.slice("e", 1, shared.DIMENSION - 1))
+    asked = short.unionByName(df).unionByName(df)
+    return rounded(knn_join(asked, df, qid="vec_id", pk="vec_id", field="e", strategy="pivot"))
+
+
 @query("recall_of_exact", "SELECT count(*) AS queries, count(*) * 10 AS expected, 1.0::DOUBLE AS recall FROM embeddings")
 def recall_of_exact(spark, folder):
     df, cells = _trained(Tables(spark, folder), "l2")
@@ -220,6 +335,55 @@ def recall_of_exact(spark, folder):
     return ivf.recall_at_k(found, knn_join(df, df, metric="l2", **every))
 
 
+# -- an index and changes of the schema --------------------------------------------
+
+
+def _indexed(spark, folder) -> Collection:
+    made = _created(spark, folder)
+    made.create_index("embedding", Index("ivf", metric="cosine", n_list=16, n_iters=3))
+    return made
+
+
+def _asked(spark, folder, key: str):
+    return shared.embedding_records(Tables(spark, folder)).select(F.col(key).alias("qid"), "embedding")
+
+
+_JOIN_EMBEDDINGS = """WITH s AS (SELECT a.vec_id::VARCHAR AS qid, b.vec_id::VARCHAR AS pk,
+    list_cosine_distance(b.embedding::DOUBLE[], a.embedding::DOUBLE[]) AS s FROM embeddings a, embeddings b WHERE {where}),
+    n AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY s, pk) AS n FROM s)
+    SELECT qid, n::INTEGER AS rank, pk, round(s, 6) AS score FROM n WHERE n <= 10"""
+
+
+@query("indexed_add_column", _JOIN_EMBEDDINGS.format(where="b.label * 2 >= 4"))
+def indexed_add_column(spark, folder):
+    made = _indexed(spark, folder)
+    made.add_column(Field("twice", "int32", nullable=True), default="label * 2")
+    made.stats()
+    made.optimize()
+    hits = made.search_many(_asked(spark, folder, "id"), "embedding", qid="qid", filter="twice >= 4", n_probe=16)
+    return rounded(hits)
+
+
+@query("indexed_rename_columns", _JOIN_EMBEDDINGS.format(where="b.label >= 2"))
+def indexed_rename_columns(spark, folder):
+    made = _indexed(spark, folder)
+    for old, new in (("id", "key"), ("label", "kind"), ("embedding", "v")):
+        made.rename_column(old, new)
+    made.stats()
+    before = made.search_many(_asked(spark, folder, "id"), "v", qid="qid", query_field="embedding", filter="kind >= 2")
+    made.optimize()
+    after = made.search_many(_asked(spark, folder, "id"), "v", qid="qid", query_field="embedding", filter="kind >= 2", n_probe=16)
+    return rounded(before.intersectAll(after))
+
+
+@query("indexed_drop_vector", "SELECT vec_id::VARCHAR AS id, label, 0 AS indexes FROM embeddings")
+def indexed_drop_vector(spark, folder):
+    made = _indexed(spark, folder)
+    made.drop_column("embedding")
+    made.optimize()
+    return made.scan().withColumn("indexes", F.lit(len(made.snapshot().indexes)))
+
+
 # -- streaming -------------------------------------------------------------------
 
 

@@ -39,16 +39,13 @@ def knn_top_100(spark, folder):
     return rounded(search.knn(df, "e", QUERY, pk="vec_id", metric="cosine", k=100))
 
 
-@query("knn_scoring_in_sql", knn_sql("l2", where="label IN (1, 4, 7)", k=25))
+@query("knn_scoring_in_sql", knn_sql("l2", k=25))
 def knn_scoring_in_sql(spark, folder):
     df = vectors(Tables(spark, folder))
-    hits = search.knn(
-        df, "e", QUERY, pk="vec_id", metric="l2", k=25, filter="label in (1, 4, 7)", engine="sql"
-    )
-    return rounded(hits)
+    return rounded(search.knn(df, "e", QUERY, pk="vec_id", metric="l2", k=25, engine="sql"))
 
 
-@query("knn_output_fields", knn_sql("cosine", columns="lang", where="n_chars > 500", source="a"))
+@query("knn_output_fields", knn_sql("cosine", columns="lang", source="a"))
 def knn_output_fields(spark, folder):
     hits = search.knn(
         articles(Tables(spark, folder)),
@@ -56,7 +53,6 @@ def knn_output_fields(spark, folder):
         QUERY,
         pk="vec_id",
         metric="cosine",
-        filter="n_chars > 500",
         output_fields=["lang"],
     )
     return rounded(hits)

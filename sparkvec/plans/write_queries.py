@@ -55,9 +55,14 @@ def dedupe_batch_last(spark, folder):
     return writes.dedupe_last(Tables(spark, folder).events, pk="user_id", order=["ts", "event_id"])
 
 
-@query("latest_per_key", _LATEST)
+@query(
+    "latest_per_key",
+    "SELECT * FROM events QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY value DESC, event_id DESC) = 1",
+)
 def latest(spark, folder):
-    return latest_per_key(Tables(spark, folder).events, pk="user_id", order=["ts", "event_id"])
+    """The top event by value of each user and type: a key of two columns."""
+    events = Tables(spark, folder).events.withColumn("key", F.struct("user_id", "event_type"))
+    return latest_per_key(events, pk="key", order=["value", "event_id"]).drop("key")
 
 
 @query(
