@@ -54,7 +54,7 @@ def cast_column(df: DataFrame, field: Field) -> tuple[DataFrame, DataFrame]:
     if field.name not in df.columns:
         raise InvalidArgument(f"unknown field '{field.name}'")
     if field_of(df.schema[field.name]).primary_key and field.type != "string":
-        raise InvalidArgument("primary key field must be of type :string")
+        raise InvalidArgument("primary key field must be of type string")
     old = F.col(f"`{field.name}`")
     new = conform_column(field, old, df.schema[field.name].dataType)
     rows = df.withColumn(field.name, new).withMetadata(

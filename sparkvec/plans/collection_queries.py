@@ -376,6 +376,31 @@ def indexed_rename_columns(spark, folder):
     return rounded(before.intersectAll(after))
 
 
+_HITS = """WITH s AS (SELECT a.vec_id::VARCHAR AS qid, b.vec_id::VARCHAR AS pk, b.label AS label,
+    list_cosine_distance(b.embedding::DOUBLE[], a.embedding::DOUBLE[]) AS s FROM embeddings a, embeddings b),
+    n AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY s, pk) AS n FROM s)
+    SELECT qid, n::INTEGER AS rank, pk, round(s, 6) AS score, label FROM n WHERE n <= 10 AND s <= 0.7"""
+
+
+@query("collection_search_fields_radius", _HITS)
+def collection_search_fields_radius(spark, folder):
+    made = _indexed(spark, folder)
+    found = made.search_many(
+        _asked(spark, folder, "id"), "embedding", qid="qid", n_probe=16, radius=0.7, output_fields=["label"]
+    )
+    return rounded(found)
+
+
+@query(
+    "collection_search_ivf",
+    f"WITH {shared.QUERY_SQL}, s AS (SELECT vec_id::VARCHAR AS id, label, list_cosine_distance(embedding::DOUBLE[], q) AS s FROM embeddings, q)"
+    " SELECT id, label, round(s, 6) AS score FROM s WHERE label <> 3 ORDER BY s, id LIMIT 10",
+)
+def collection_search_ivf(spark, folder):
+    made = _indexed(spark, folder)
+    return rounded(made.search("embedding", QUERY, n_probe=16, filter="label <> 3", output_fields=["id", "label"]))
+
+
 @query("indexed_drop_vector", "SELECT vec_id::VARCHAR AS id, label, 0 AS indexes FROM embeddings")
 def indexed_drop_vector(spark, folder):
     made = _indexed(spark, folder)

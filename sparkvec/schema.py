@@ -119,7 +119,10 @@ class Schema:
 
 
 def _problems(schema: Schema):
-    """Yield rule violations in the order they are reported."""
+    """Yield rule violations in the order they are reported.
+
+    The order of the rules is fixed: callers see the first violation only.
+    """
     if not isinstance(schema.name, str) or not schema.name:
         yield "collection name must be a non-empty string"
     if not schema.fields:
@@ -128,12 +131,12 @@ def _problems(schema: Schema):
     if len(keys) != 1:
         yield "schema must have exactly one primary key field"
     elif keys[0].type != "string":
-        yield "primary key field must be of type :string"
+        yield "primary key field must be of type string"
     if len({f.name for f in schema.fields}) != len(schema.fields):
         yield "field names must be unique"
     for f in schema.fields:
         if f.type not in vt.ALL:
-            yield f"unknown data type: :{f.type}"
+            yield f"unknown data type: {f.type}"
     for f in schema.fields:
         if f.is_vector and f.dimension <= 0:
             yield f"vector field '{f.name}' must have dimension > 0"
@@ -143,8 +146,8 @@ def _problems(schema: Schema):
         allowed = vt.VECTOR_INDEXES if f.is_vector else vt.SCALAR_INDEXES
         if f.index.type not in allowed:
             yield (
-                f"index type :{f.index.type} is incompatible with data type "
-                f":{f.type} on field '{f.name}'"
+                f"index type {f.index.type} is incompatible with data type "
+                f"{f.type} on field '{f.name}'"
             )
     size = schema.max_doc_count_per_segment
     if size is not None and (isinstance(size, bool) or not isinstance(size, int) or size <= 0):

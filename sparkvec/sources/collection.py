@@ -220,10 +220,14 @@ class Collection:
         *,
         metric: str | None = None,
         late_fetch: bool = False,
+        n_probe: int | None = None,
+        ef: int | None = None,
         **options,
     ) -> DataFrame:
         """Exact search; the metric defaults to the field's index, else l2.
 
+        With ``n_probe`` or ``ef`` the field's index is searched, as in
+        :meth:`search_many`, and the output fields of the hits are joined.
         ``late_fetch`` first finds the k keys from the key, vector and filter
         columns alone, then reads the output fields from those keys' groups only:
         worth it when the output fields are wide.
@@ -237,6 +241,15 @@ class Collection:
         pk = snap.schema.pk
         options["metric"] = metric or _metric(declared)
         rows = self._read(snap, snap.parts).drop(GROUP)
+        if n_probe is not None or ef is not None:
+            one = self.spark.createDataFrame([(0, [float(x) for x in vector])], "qid int, v array<double>")
+            asked = {c: options[c] for c in ("k", "filter", "radius") if c in options}
+            found = self.search_many(
+                one, field, qid="qid", query_field="v", metric=options["metric"], n_probe=n_probe, ef=ef, **asked
+            ).select(F.col("pk").alias(pk), "score")
+            columns = knn(rows, field, vector, pk=pk, **options).columns
+            order = closest_first(options["metric"], F.col("score"))
+            return found.join(rows, pk).select(columns).orderBy(order, F.col(pk).asc())
         if not late_fetch:
             return knn(rows, field, vector, pk=pk, **options)
         full = knn(rows, field, vector, pk=pk, **options)
@@ -265,20 +278,38 @@ class Collection:
         ef: int | None = None,
         scale_factor: float = 2.0,
         linear: bool = False,
+        radius: float | None = None,
+        output_fields: Sequence[str] | None = None,
     ) -> DataFrame:
         """Rows ``(qid, rank, pk, score)`` for a table of query vectors.
 
+        ``radius`` drops hits that are farther, ``output_fields`` adds fields of the hits.
         With an index table its nearest cells are searched (``n_probe`` of them, or
         enough to hold ``ef`` members); rows written since it was built are searched
         exactly, so nothing new is missed and nothing deleted comes back. A quantized
         index finds ``k * scale_factor`` candidates that the original vectors rank.
         Without an index, or with ``linear``, the search is exact.
         """
+        snap = self.snapshot()
+        chosen = metric or _metric(self._vector_field(snap, field))
+        found = self._hits(
+            snap, queries, field, chosen, qid=qid, query_field=query_field, k=k, filter=filter,
+            n_probe=n_probe, ef=ef, scale_factor=scale_factor, linear=linear,
+        )
+        if radius is not None:
+            found = found.where(F.col("score") >= radius if chosen == "ip" else F.col("score") <= radius)
+        if output_fields is None:
+            return found
+        named = [F.col(c).alias(c) for c in dict.fromkeys(output_fields)]
+        rows = self._read(snap, snap.parts).select(F.col(snap.schema.pk).alias("pk"), *named)
+        return found.join(rows, "pk").select("qid", "rank", "pk", "score", *dict.fromkeys(output_fields))
+
+    def _hits(
+        self, snap: Snapshot, queries, field, chosen, *, qid, query_field, k, filter, n_probe, ef, scale_factor, linear
+    ) -> DataFrame:
         from ..operators import index as ivf
 
-        snap = self.snapshot()
-        declared = self._vector_field(snap, field)
-        pk, chosen = snap.schema.pk, metric or _metric(declared)
+        pk = snap.schema.pk
         shape = dict(qid=qid, pk=pk, field=field, query_field=query_field, k=k)
         facts = snap.indexes.get(field)
         if facts is None or linear or facts["metric"] != chosen:

@@ -17,18 +17,18 @@ def good():
         (Schema("c"), "schema must have at least one field"),
         (Schema("c").add("a", "string"), "schema must have exactly one primary key field"),
         (good().add("b", "string", primary_key=True), "schema must have exactly one primary key field"),
-        (Schema("c").add("id", "int64", primary_key=True), "primary key field must be of type :string"),
+        (Schema("c").add("id", "int64", primary_key=True), "primary key field must be of type string"),
         (good().add("v", "string"), "field names must be unique"),
-        (good().add("x", "no_type"), "unknown data type: :no_type"),
+        (good().add("x", "no_type"), "unknown data type: no_type"),
         (good().add("x", "vector_fp16"), "vector field 'x' must have dimension > 0"),
         (good().add("x", "sparse_vector_fp32"), "vector field 'x' must have dimension > 0"),
         (
             good().add("x", "string", index="hnsw"),
-            "index type :hnsw is incompatible with data type :string on field 'x'",
+            "index type hnsw is incompatible with data type string on field 'x'",
         ),
         (
             good().add("x", "vector_fp32", dimension=2, index="invert"),
-            "index type :invert is incompatible with data type :vector_fp32 on field 'x'",
+            "index type invert is incompatible with data type vector_fp32 on field 'x'",
         ),
         (good().with_segment_size(-1), "max_doc_count_per_segment must be a positive integer"),
     ],
