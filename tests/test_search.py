@@ -9,6 +9,7 @@ from sparkvec.operators import search
 from sparkvec.operators.knn_join import knn_join
 from sparkvec.operators.writes import assign_doc_ids
 
+# Four unit vectors whose expected neighbours are known.
 UNIT = [
     ("doc-1", [1.0, 0.0, 0.0, 0.0], "science"),
     ("doc-2", [0.0, 1.0, 0.0, 0.0], "tech"),
