@@ -1,15 +1,16 @@
 """A corpus pipeline over ``documents``: each stage works on all that the one before kept.
 
-Rows that a stage rejects are found by a number that the row has by its place in the
-input files, so null and repeated ids are fine. The rejected numbers are written first:
-if they are few, Spark broadcasts them by their known size and no text is shuffled.
+Rows that a stage rejects are named by a digest of all their columns, or by a number that
+is stored with them: both stay the same when another job reads the table with other
+splits. So null and repeated ids are fine. The rejected names are written first: if they
+are few, Spark broadcasts them by their known size and no text is shuffled.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkvec.llm import language, minhash, packing, pii, quality
@@ -19,20 +20,27 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 ROW = "__row"
 
 
-def _numbered(docs: DataFrame) -> DataFrame:
-    return docs.withColumn(ROW, F.monotonically_increasing_id())
+def _digest(docs: DataFrame) -> Column:
+    """128 bits of all columns; nulls, which hashes pass over, are told apart."""
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    nulls = F.concat(*(c.isNull().cast("string") for c in columns))
+    return F.struct(F.xxhash64(nulls, *columns).alias("h1"), F.xxhash64(F.lit(1), nulls, *columns).alias("h2"))
 
 
 def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
-    """``docs`` without the rows whose numbers are in ``rejected(id)``."""
-    gone = settle(rejected.select(F.col("id").alias(ROW)))
-    return _numbered(docs).join(gone, ROW, "left_anti").select(docs.columns)
+    """``docs`` with a column ROW, without the rows that ``rejected(id)`` names."""
+    gone = settle(rejected.select(F.col("id").alias(ROW)).distinct())
+    return docs.join(gone, ROW, "left_anti").drop(ROW)
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents stay whose language is known: ``lang`` is what they declare, ``source`` their host."""
-    seen = language.evidence(_numbered(docs), ROW, F.col("text"), F.col("lang"), F.col("source"))
-    return _without(docs, language.identify(seen).where("not kept"))
+    """Documents stay whose language is known: ``lang`` is what they declare, ``source`` their host.
+
+    Equal rows have equal evidence, so a digest of the row can name them.
+    """
+    named = docs.withColumn(ROW, _digest(docs))
+    seen = language.evidence(named, ROW, F.col("text"), F.col("lang"), F.col("source"))
+    return _without(named, language.identify(seen).where("not kept"))
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,14 +52,15 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates stays, the one with the smallest id."""
-    numbered = _numbered(docs)
+    # Equal rows are told apart by a number that is written with them.
+    numbered = settle(docs.withColumn(ROW, F.monotonically_increasing_id()))
     groups = settle(
         minhash.near_duplicates(numbered, id_col=ROW)
         .select(F.col("doc_id").alias("id"), F.col("component_id").alias("group"))
         .join(numbered.select(F.col(ROW).alias("id"), F.col("doc_id").alias("name")), "id")
     )
     first = groups.groupBy("group").agg(F.min_by("id", F.struct(F.col("name").isNull(), "name", "id")).alias("id"))
-    return _without(docs, groups.join(first, "id", "left_anti"))
+    return _without(numbered, groups.join(first, "id", "left_anti"))
 
 
 def pii_redaction(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
