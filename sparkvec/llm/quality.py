@@ -161,14 +161,18 @@ def features(column: pa.Array, measured: np.ndarray) -> np.ndarray:
 
 def fit(x: np.ndarray, soft: np.ndarray, rounds: int = 300, decay: float = 1e-3) -> np.ndarray:
     """Logistic regression on soft labels by accelerated gradient steps; classes weigh alike."""
-    weights, ahead = np.zeros(x.shape[1]), np.zeros(x.shape[1])
-    share = float(np.clip(soft.mean(), 0.02, 0.98)) if len(soft) else 0.5
+    weights, ahead = np.zeros(x.shape[1], np.float32), np.zeros(x.shape[1], np.float32)
+    if not len(soft):
+        return weights
+    share = float(np.clip(soft.mean(), 0.02, 0.98))
     balance = soft * 0.5 / share + (1 - soft) * 0.5 / (1 - share)
-    rate = 4.0 / (np.square(x).sum(axis=1).max() * balance.max() + decay) if len(soft) else 0.0
-    for step in range(rounds if len(soft) else 0):
-        p = 1 / (1 + np.exp(-np.clip(x @ ahead, -30, 30)))
-        moved = ahead - rate * (x.T @ ((p - soft) * balance) / len(soft) + decay * ahead)
-        ahead = moved + (step / (step + 3)) * (moved - weights)
+    rate = 4.0 / (np.einsum("ij,ij->i", x, x).max() * balance.max() + decay)
+    for step in range(rounds):
+        # In the features' own precision: a product in double would copy all of them.
+        p = 1 / (1 + np.exp(-np.clip(x @ ahead, -30, 30).astype(np.float64)))
+        pull = ((p - soft) * balance / len(soft)).astype(np.float32)
+        moved = ahead - np.float32(rate) * (pull @ x + np.float32(decay) * ahead)
+        ahead = moved + np.float32(step / (step + 3)) * (moved - weights)
         weights = moved
     return weights
 
@@ -243,9 +247,13 @@ def classify(
     post, _, _ = accuracies(votes_of(patterns), np.array([r["n"] for r in counted], float))
     known = dict(zip(patterns.tolist(), post.tolist(), strict=True))
     width = TEXT_BINS + MEASURE_BINS + 1
-    drawn = voted.where("features is not null").sort("pattern", "features").limit(2 * sample).collect()
-    x = np.frombuffer(b"".join(r["features"] for r in drawn), np.float32).reshape(-1, width)
-    weights = fit(x, np.array([known[r["pattern"]] for r in drawn]))
+    drawn = voted.where("features is not null").sort("pattern", "features").limit(2 * sample).toArrow()
+    x = np.zeros((drawn.num_rows, width), np.float32)
+    for i, row in enumerate(drawn["features"]):
+        x[i] = np.frombuffer(row.as_buffer(), np.float32)
+    soft = np.array([known[p] for p in drawn["pattern"].to_pylist()])
+    del drawn
+    weights = fit(x, soft)
     spec = StructType([docs.schema["doc_id"]])
     for name, kind in (("n_words", "long"), ("votes", "integer"), ("weak_label", "double"), ("score", "double"), ("kept", "boolean")):
         spec = spec.add(name, kind)
