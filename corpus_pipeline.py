@@ -18,6 +18,8 @@ from sparkvec.session import scratch_path, settle
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 ROW = "__row"
+#: Near copies in the pipeline: similarity 0.8 or more. At 0.8 a pair shares no bucket with chance 1.3e-7.
+NEAR = {"numerator": 80, "denominator": 100, "rows": 5, "bands": 40}
 
 
 def _digest(docs: DataFrame) -> Column:
@@ -55,7 +57,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     # Equal rows are told apart by a number that is written with them.
     numbered = settle(docs.withColumn(ROW, F.monotonically_increasing_id()))
     groups = settle(
-        minhash.near_duplicates(numbered, id_col=ROW)
+        minhash.near_duplicates(numbered, id_col=ROW, **NEAR)
         .select(F.col("doc_id").alias("id"), F.col("component_id").alias("group"))
         .join(numbered.select(F.col(ROW).alias("id"), F.col("doc_id").alias("name")), "id")
     )

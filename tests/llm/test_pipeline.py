@@ -1,6 +1,7 @@
 """The corpus pipeline stage by stage, against plain rules."""
 
 import corpus_pipeline
+from made_texts import prose
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -31,3 +32,22 @@ def test_run_and_empty_table(spark, tmp_path):
     assert 0.5 * docs.count() < packed.select("doc_id").distinct().count() < docs.count()
     docs.where("false").write.parquet(str(tmp_path / "documents.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_near_copies_between_080_and_085(spark):
+    texts, pairs = {}, 60
+    for i in range(pairs):
+        words = prose(i, 150).split()
+        texts[2 * i] = " ".join(words)
+        for place in (20, 70, 120):  # 15 of 146 shingles change: 131 of 161 are shared, 0.814
+            words[place] = "other"
+        texts[2 * i + 1] = " ".join(words)
+    far = prose(999, 150).split()
+    texts[1000] = " ".join(far)
+    for place in (20, 50, 80, 110):  # 126 of 166 are shared, 0.759
+        far[place] = "other"
+    texts[1001] = " ".join(far)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    kept = {r.doc_id for r in corpus_pipeline.near_dedup(spark, docs, SMALL).collect()}
+    assert kept == {2 * i for i in range(pairs)} | {1000, 1001}
+    assert (1 - 0.8 ** corpus_pipeline.NEAR["rows"]) ** corpus_pipeline.NEAR["bands"] < 1e-6
