@@ -29,6 +29,8 @@ LENGTH = 2048
 GROUP = 4096
 VOCABULARY = "byte_bpe_50k.tiktoken"
 END = 1
+#: The mark that the vocabulary's JSON file adds as a special token; its id follows the last rank.
+MARK = "<|endoftext|>"
 
 # Encoding never looks across the start of a run of white space that follows another
 # character, so a text is encoded as a chain of runs, and each distinct run once.
@@ -41,7 +43,8 @@ class Encoder(dict):
     """Run of text -> its ids as little-endian 32-bit bytes; remembers the first runs it meets.
 
     Reads a file of ranks, whose ids are those of the JSON file with the same
-    vocabulary. Strings of special tokens in a text are ordinary text.
+    vocabulary. The mark in a text is one special token in :meth:`whole`; runs and
+    :meth:`ids` take text without marks.
     """
 
     _by_path: dict[str, Encoder] = {}
@@ -52,6 +55,7 @@ class Encoder(dict):
 
         with open(path, "rb") as lines:
             ranks = {base64.b64decode(piece): int(rank) for piece, rank in map(bytes.split, lines)}
+        self.mark = np.array([max(ranks.values()) + 1], "<u4").tobytes()
         self._encode = tiktoken.Encoding(
             os.path.basename(path), pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
         ).encode_ordinary
@@ -81,6 +85,10 @@ class Encoder(dict):
             return self.direct(text)
         return b"".join(map(self.__getitem__, _RUNS.findall(text)))
 
+    def whole(self, text: str) -> bytes:
+        """The ids of a text: each part between marks is encoded by itself."""
+        return self.mark.join(map(self.ids, text.split(MARK)))
+
 
 def _piece_maker(vocabulary: str, length: int, end: int, keep_ids: bool):
     fields = [(x, pa.int64()) for x in ("doc_id", "start", "length", "ids_crc32", "doc_tokens")]
@@ -94,7 +102,7 @@ def _piece_maker(vocabulary: str, length: int, end: int, keep_ids: bool):
                 out: list[list] = [[] for _ in schema.names]
                 part = whole.slice(a, b - a)
                 for doc, text in zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist(), strict=True):
-                    ids = encoder.ids(text or "") + last
+                    ids = encoder.whole(text or "") + last
                     n = len(ids) // 4
                     for start in range(0, n, length):
                         piece = ids[4 * start : 4 * (start + length)]

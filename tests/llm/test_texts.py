@@ -135,6 +135,17 @@ def test_packing(docs, odd_docs, no_docs):
         assert packing.Encoder.at(packing.VOCABULARY).ids(t) == want
 
 
+def test_packing_of_marks(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    mark = "<|endoftext|>"
+    texts = dict(enumerate([f"a{mark}b", mark, f"{mark}{mark}", f"x  {mark}\n\n y {mark} ", f"<{mark}>", "<|endoftext|", f"a\t {mark} b\u2028{mark}", f"word {mark} " * 3000]))
+    assert packing.Encoder.at(packing.VOCABULARY).whole(texts[0]) == np.array([64, 50256, 65], "<u4").tobytes()
+    check_pieces(rows(packing.pack(spark.createDataFrame(list(texts.items()), "doc_id long, text string"))), texts, tokenizer)
+
+
 def test_first_fit_decreasing():
     lengths = np.sort(np.random.default_rng(2).integers(1, 100, 300))[::-1]
     bins, offsets = packing.first_fit_decreasing(lengths, 100)
