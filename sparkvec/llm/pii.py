@@ -47,7 +47,7 @@ _NEEDS: dict[tuple[str, bool], Callable[[Column], Column]] = {
     ("ip", True): lambda t: t.rlike(r"[0-9]\.[0-9]"),
     ("card", True): lambda t: t.rlike(r"[0-9][\x20-]?[0-9][\x20-]?[0-9][\x20-]?[0-9][\x20-]?[0-9]"),
     ("phone", True): lambda t: F.contains(t, F.lit("+")),
-    ("email", False): lambda t: t.rlike(r"(?i)[(\[]at[)\]]| dot |[(\[]dot[)\]]"),
+    ("email", False): lambda t: t.rlike(r"(?i)[(\[]at[)\]]| at [a-z0-9-]{1,63}(?: ?[(\[]dot[)\]] ?| dot |\.)[a-z0-9-]"),
     ("ip", False): lambda t: t.rlike(r":[0-9A-Fa-f]{1,4}:[0-9A-Fa-f]{1,4}:"),
     ("card", False): lambda t: t.rlike(r"[0-9]{4}\.[0-9]{4}"),
     ("phone", False): lambda t: t.rlike(r"[0-9]{3}[\x20.-][0-9]{4}|00[1-9]"),

@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from made_texts import prose
+from pyspark.sql import functions as F
 
 from sparkvec.llm import language, lattice_lm, minhash, packing, pieces, pii, quality, text, token_counts
 
@@ -217,6 +218,20 @@ def test_personal_data(spark, docs, no_docs, odd_docs):
     assert clean[10_003] == "é<card>, <phone> x" and clean[10_010] is None and clean[10_011] == ""
 
 
+def test_every_wider_match_passes_the_cheap_test(spark):
+    joints = {"at": ["(at)", " [at] ", " at ", " AT ", " (At)"], "dot": [".", " dot ", "(dot)", " [DOT] ", "[dot] "]}
+    texts = [f"write to jane.doe{a}mail{d}example.com" for a in joints["at"] for d in joints["dot"]]
+    texts += [f"x jane{a}example{d}com, y" for a in joints["at"] for d in joints["dot"]]
+    texts += ["fe80:0:0:0:1:22:333:4444", "4543.2458.0544.4772", "(555) 123-4567", "555 123 4567", "0049 30 1234567", "001(2)3-4.5 6 7 8 9"]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    for kind, pattern in pii.WIDER.items():
+        seen = docs.select(F.col("text").rlike(pattern).alias("match"), pii._NEEDS[kind, False](F.col("text")).alias("passes"))
+        assert [r for r in seen.where("match").collect() if not r.passes] == [] and seen.where("match").count() > 0
+    spans = {r["text"]: r["wide_email"] for r in rows(pii._with_spans(docs))}
+    assert [s["v"] for s in spans["x jane at example.com, y"]] == ["jane at example.com"]
+    assert all(len(v) == 1 for t, v in spans.items() if "jane" in t)
+
+
 # --- language, quality -----------------------------------------------------------------
 
 
