@@ -252,6 +252,26 @@ def test_language(docs, odd_docs, no_docs):
     assert len(mute) == 10 and all(r["language"] is None and not r["kept"] for r in mute)
 
 
+FOREIGN = [
+    "Все люди рождаются свободными и равными в своем достоинстве и правах. Они наделены разумом и совестью",
+    "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto",
+    "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem",
+    "人人生而自由，在尊严和权利上一律平等。他们赋有理性和良心，并应以兄弟关系的精神相对待。",
+    "0123 4567 89 " * 20,
+    "xqzv kjwq zzxk qwvj pqxz vkqj " * 5 + "wqkxj zvbq",
+]
+
+
+def test_language_none_of_these(spark, docs):
+    clean = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").selectExpr("doc_id id", "text", "lang", "source")
+    other = spark.createDataFrame([(-1 - i, t, "en", None) for i, t in enumerate(FOREIGN)], "id long, text string, lang string, source string")
+    seen = language.evidence(clean.unionByName(other), "id", F.col("text"), F.col("lang"), F.col("source"))
+    got = {r["id"]: r for r in rows(language.identify(seen))}
+    assert [i for i in got if i < 0 and got[i]["kept"]] == []
+    lost = [i for i in got if i >= 0 and not got[i]["kept"]]
+    assert len(lost) <= 0.01 * len(got), lost
+
+
 def test_language_of_pages(spark):
     pages = spark.read.parquet(f"{SMALL}/pages.parquet")
     odd = spark.createDataFrame([(-1, None, None), (-2, "not an address", "<html lang=de>"), (-3, "https://u:p@WWW.x.fr:80/a", "")], "page_id long, url string, html string")
