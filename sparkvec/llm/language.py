@@ -10,8 +10,9 @@ vote is taken out of its prior.
 
 Texts are read twice and never shuffled. What is shuffled is a row of scores for each
 text, joined to the counts of its host: the counts are summed before they move, and the
-join may split a host with a third of all rows. Languages are those that at least one
-row in a thousand declares, so models are bounded whatever the column holds. Counts of values are kept for
+join may split a host with a third of all rows. Languages are all codes that at least
+``LEAST_ROWS`` rows declare, whatever the size of the table; codes have two or three
+letters, so models are bounded whatever the column holds. Counts of values are kept for
 the languages they were seen with alone.
 
 One more hypothesis, "none of these", has a background model: half the mean of the
@@ -37,7 +38,7 @@ BINS = 4096
 WEIGHT = 200
 #: Rows of the wider group that a host or a domain is smoothed with.
 SMOOTH = 10.0
-LEAST_SHARE = 0.001
+LEAST_ROWS = 3
 THRESHOLD = 0.5
 _ROWS = 1000
 
@@ -153,7 +154,7 @@ def identify(
     carried = ["id", "declared", "host", "domain", "suffix"]
     if languages is None:
         named = table.where("declared <> ''")
-        often = named.groupBy("declared").agg(F.count("*").alias("n")).where(F.col("n") >= LEAST_SHARE * named.count())
+        often = named.groupBy("declared").agg(F.count("*").alias("n")).where(F.col("n") >= LEAST_ROWS)
         languages = [r["declared"] for r in often.collect()]
     languages = sorted(set(languages))
     if not languages:

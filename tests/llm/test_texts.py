@@ -272,6 +272,14 @@ def test_language_none_of_these(spark, docs):
     assert len(lost) <= 0.01 * len(got), lost
 
 
+def test_rare_languages_do_not_depend_on_table_size(spark):
+    rare = [(i, FOREIGN[1] + f" {prose(i, 1)}", "fi", "x.fi") for i in range(4)]
+    many = spark.range(100, 6100).selectExpr("id", "concat('the people of the nation and the house ', id % 7, ' went home') text", "'en' lang", "'a.com' source")
+    docs = many.unionByName(spark.createDataFrame(rare, "id long, text string, lang string, source string"))
+    got = {r["id"]: r for r in rows(language.identify(language.evidence(docs, "id", F.col("text"), F.col("lang"), F.col("source"))))}
+    assert len(got) == 6004 and all(got[i]["language"] == "fi" and got[i]["kept"] for i in range(4)) and got[100]["language"] == "en"
+
+
 def test_language_of_pages(spark):
     pages = spark.read.parquet(f"{SMALL}/pages.parquet")
     odd = spark.createDataFrame([(-1, None, None), (-2, "not an address", "<html lang=de>"), (-3, "https://u:p@WWW.x.fr:80/a", "")], "page_id long, url string, html string")
