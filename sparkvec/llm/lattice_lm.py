@@ -19,6 +19,7 @@ never meets in one task. What reaches the driver is bounded by the vocabulary.
 
 from __future__ import annotations
 
+import math
 import os
 import zlib
 from collections import Counter
@@ -37,8 +38,9 @@ from .pieces import least_count
 from .text import chunks
 
 VOCABULARY = "piece_bpe_32k.model"
-#: Longest piece, and longest run of bytes with one lattice; longer words are cut into such runs.
-PIECE_BYTES, RUN_BYTES = 12, 240
+#: Longer words are done one at a time, their edges found in windows of so many bytes; none is cut.
+RUN_BYTES = 240
+WINDOW = 1 << 16
 MARK = b" "
 ROUNDS = 3
 #: Tokens that the vocabulary's own scores weigh when probabilities are re-estimated.
@@ -52,7 +54,7 @@ def vocabulary_pieces(path: str) -> tuple[list[bytes], np.ndarray]:
 
     A score is minus a rank, and probability falls as one over the rank. Every byte is a
     piece. Pieces with capitals never match folded text and are left out, as are those
-    over ``PIECE_BYTES`` and those with a mark inside.
+    with a mark inside, which no word has.
     """
     import sentencepiece
 
@@ -66,7 +68,7 @@ def vocabulary_pieces(path: str) -> tuple[list[bytes], np.ndarray]:
         if model.is_control(i) or model.is_unknown(i) or model.is_byte(i):
             continue
         piece = model.id_to_piece(i).replace("▁", " ").encode()
-        if len(piece) <= PIECE_BYTES and piece == piece.lower() and MARK not in piece[1:]:
+        if piece == piece.lower() and MARK not in piece[1:]:
             found[piece] = 1.0 / (10.0 - min(0.0, max(model.get_score(i), -1e6)))
     for byte in range(256):
         found.setdefault(bytes([byte]), 1e-5)
@@ -80,6 +82,8 @@ class Lattice:
 
     def __init__(self, pieces: list[bytes]):
         keys = np.array([self._hash(x) for x in pieces], np.uint64)
+        self.lengths = {len(x) for x in pieces}
+        self.longest = max(self.lengths)
         self.size, self.shift = 1 << 18, np.uint64(46)
         for attempt in range(1, 1000):
             factor = np.uint64((0x9E3779B97F4A7C15 * (2 * attempt + 1)) % 2**64)
@@ -113,13 +117,14 @@ class Lattice:
             out[hit] = self.index[place + step][hit]
         return out
 
-    def edges(self, runs: np.ndarray) -> list[np.ndarray]:
-        """For each length from 1, the piece that starts at each place of each run, or -1."""
+    def edges(self, runs: np.ndarray) -> list[tuple[int, np.ndarray]]:
+        """For each length with a match, the piece that starts at each place of each run, or -1."""
         width = runs.shape[1]
         h, out = np.zeros(runs.shape, np.uint64), []
-        for n in range(1, min(PIECE_BYTES, width) + 1):
+        for n in range(1, min(self.longest, width) + 1):
             h = h[:, : width - n + 1] * np.uint64(0x100000001B3) + runs[:, n - 1 :].astype(np.uint64) + np.uint64(1)
-            out.append(self._find(h))
+            if n in self.lengths and ((found := self._find(h)) >= 0).any():
+                out.append((n, found))
         return out
 
     @staticmethod
@@ -128,30 +133,56 @@ class Lattice:
         most = stacked.max(axis=0)
         return most + np.log(np.exp(stacked - most).sum(axis=0))
 
-    def forward(self, scores: list[np.ndarray], width: int) -> np.ndarray:
+    def forward(self, scores: list[tuple[int, np.ndarray]], width: int) -> np.ndarray:
         """Log probability of all paths to each place: runs x (width + 1)."""
-        alpha = np.zeros((scores[0].shape[0], width + 1))
+        alpha = np.zeros((scores[0][1].shape[0], width + 1))
         for end in range(1, width + 1):
-            alpha[:, end] = self._sum([alpha[:, end - n] + scores[n - 1][:, end - n] for n in range(1, min(end, len(scores)) + 1)])
+            alpha[:, end] = self._sum([alpha[:, end - n] + score[:, end - n] for n, score in scores if n <= end])
         return alpha
 
-    def backward(self, scores: list[np.ndarray], width: int) -> np.ndarray:
-        beta = np.zeros((scores[0].shape[0], width + 1))
+    def backward(self, scores: list[tuple[int, np.ndarray]], width: int) -> np.ndarray:
+        beta = np.zeros((scores[0][1].shape[0], width + 1))
         for start in range(width - 1, -1, -1):
-            beta[:, start] = self._sum([beta[:, start + n] + scores[n - 1][:, start] for n in range(1, min(width - start, len(scores)) + 1)])
+            beta[:, start] = self._sum([beta[:, start + n] + score[:, start] for n, score in scores if n <= width - start])
         return beta
 
+    def windows(self, run: bytes, backward: bool = False) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(start, end, piece) of all edges of a long run in order of start, a window of starts at a time."""
+        data = np.frombuffer(run, np.uint8)
+        places = range(0, len(data), WINDOW)
+        for at in reversed(places) if backward else places:
+            found = [(n, edge[0]) for n, edge in self.edges(data[None, at : at + WINDOW + self.longest - 1])]
+            starts = [np.flatnonzero(edge[:WINDOW] >= 0) for _, edge in found]
+            start = np.concatenate(starts)
+            end = np.concatenate([s + n for s, (n, _) in zip(starts, found, strict=True)])
+            piece = np.concatenate([edge[s] for s, (_, edge) in zip(starts, found, strict=True)])
+            order = np.argsort(-start if backward else start, kind="stable")
+            yield start[order] + at, end[order] + at, piece[order]
+
+    def path_sums(self, run: bytes, logs: np.ndarray, backward: bool = False) -> np.ndarray:
+        """Log probability of all paths to each place of a long run, or from it."""
+        sums = [-math.inf] * (len(run) + 1)
+        sums[len(run) if backward else 0] = 0.0
+        for start, end, piece in self.windows(run, backward):
+            origin, target = (end, start) if backward else (start, end)
+            for a, b, score in zip(origin.tolist(), target.tolist(), logs[piece].tolist(), strict=True):
+                one, two = sums[a] + score, sums[b]
+                sums[b] = max(one, two) + math.log1p(math.exp(-abs(one - two)))
+        return np.array(sums)
+
 
 def runs_by_width(words: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(index of the word, bytes) of runs of one width at a time, in blocks of bounded size."""
+    """(index of the word, bytes) of marked words of one width at a time, in blocks of bounded size.
+
+    Words over ``RUN_BYTES`` are left to :func:`long_runs`.
+    """
     by_width: dict[int, tuple[list[int], list[bytes]]] = {}
     for i, word in enumerate(words):
         marked = MARK + word
-        for at in range(0, len(marked), RUN_BYTES):
-            run = marked[at : at + RUN_BYTES]
-            which, runs = by_width.setdefault(len(run), ([], []))
+        if len(marked) <= RUN_BYTES:
+            which, runs = by_width.setdefault(len(marked), ([], []))
             which.append(i)
-            runs.append(run)
+            runs.append(marked)
     for width, (which, runs) in by_width.items():
         most = max(1, 200_000 // width)
         for at in range(0, len(runs), most):
@@ -159,9 +190,15 @@ def runs_by_width(words: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]
             yield np.array(which[at : at + most]), np.frombuffer(b"".join(block), np.uint8).reshape(len(block), width)
 
 
-def _scored(edges: list[np.ndarray], logs: np.ndarray) -> list[np.ndarray]:
+def long_runs(words: list[bytes]) -> Iterator[tuple[int, bytes]]:
+    for i, word in enumerate(words):
+        if len(MARK + word) > RUN_BYTES:
+            yield i, MARK + word
+
+
+def _scored(edges: list[tuple[int, np.ndarray]], logs: np.ndarray) -> list[tuple[int, np.ndarray]]:
     padded = np.append(logs, -1e30)  # edge -1
-    return [padded[e] for e in edges]
+    return [(n, padded[e]) for n, e in edges]
 
 
 def log_probabilities(lattice: Lattice, logs: np.ndarray, words: list[bytes]) -> np.ndarray:
@@ -169,7 +206,9 @@ def log_probabilities(lattice: Lattice, logs: np.ndarray, words: list[bytes]) ->
     out = np.zeros(len(words))
     for which, runs in runs_by_width(words):
         alpha = lattice.forward(_scored(lattice.edges(runs), logs), runs.shape[1])
-        np.add.at(out, which, alpha[:, -1])
+        out[which] = alpha[:, -1]
+    for i, run in long_runs(words):
+        out[i] = lattice.path_sums(run, logs)[-1]
     return out
 
 
@@ -181,10 +220,14 @@ def expected_counts(lattice: Lattice, logs: np.ndarray, words: list[bytes], coun
         edges = lattice.edges(runs)
         scores = _scored(edges, logs)
         alpha, beta = lattice.forward(scores, width), lattice.backward(scores, width)
-        for n, (edge, score) in enumerate(zip(edges, scores, strict=True), start=1):
+        for (n, edge), (_, score) in zip(edges, scores, strict=True):
             row, start = np.nonzero(edge >= 0)
             path = alpha[row, start] + score[row, start] + beta[row, start + n] - alpha[row, -1]
             used += np.bincount(edge[row, start], np.exp(path) * counts[which[row]], minlength=len(logs))
+    for i, run in long_runs(words):
+        to, since = lattice.path_sums(run, logs), lattice.path_sums(run, logs, backward=True)
+        for start, end, piece in lattice.windows(run):
+            used += np.bincount(piece, np.exp(to[start] + logs[piece] + since[end] - to[-1]) * counts[i], minlength=len(logs))
     return used
 
 

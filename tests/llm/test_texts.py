@@ -398,3 +398,40 @@ def test_lattice_language_model(docs, odd_docs, no_docs):
     odd = rows(lattice_lm.score(odd_docs, rounds=1))
     assert len(odd) == 10 and all(r["n_tokens"] == 1 for r in odd if r["doc_id"] in (2, 3, 4))
     assert rows(lattice_lm.score(no_docs)) == []
+
+
+def test_lattice_is_whole(monkeypatch):
+    monkeypatch.setattr(lattice_lm, "WINDOW", 100)
+    names, logs = lattice_lm.vocabulary_pieces(lattice_lm.VOCABULARY)
+    known, lattice = dict(zip(names, logs, strict=True)), lattice_lm.Lattice(names)
+    long_pieces = [n for n in names if len(n) > 12]
+    assert len(long_pieces) > 300
+
+    def marginal(w):
+        w, a = b" " + w, [0.0]
+        for end in range(1, len(w) + 1):
+            terms = [a[s] + known[w[s:end]] for s in range(max(0, end - lattice.longest), end) if w[s:end] in known]
+            a.append(max(terms) + math.log(sum(math.exp(t - max(terms)) for t in terms)))
+        return a[-1]
+
+    words = [n.strip() for n in long_pieces[:50]] + [prose(3, 100).replace(" ", "").encode(), b"".join(n.strip() for n in long_pieces), b"x" * 239, b"x" * 240]
+    assert np.allclose(lattice_lm.log_probabilities(lattice, logs, words), [marginal(w) for w in words], rtol=1e-9)
+    used = lattice_lm.expected_counts(lattice, logs, words, np.ones(len(words)))
+    assert math.isclose(sum(n * len(p) for n, p in zip(used, names, strict=True)), sum(len(w) + 1 for w in words), rel_tol=1e-6)
+
+
+def test_long_words_are_encoded_whole(spark):
+    table = pieces.piece_table(spark)
+    scores = {r.piece: (r.score, r.id) for r in table.where("not is_byte").collect()}
+    unknown = min(s for s, _ in scores.values() if s > -1e6) - 10
+    longest = max(map(len, scores))
+    words = ["internationalization" * 20, "人人生而自由在尊严和权利上一律平等" * 9, "😀é" * 100, "https://example.com/" + prose(4, 40).replace(" ", "/"), "x" * 20_000]
+    df = spark.createDataFrame(list(enumerate(words)), "doc_id long, text string")
+    got = {r["doc_id"]: r["ids"] for r in rows(pieces.encode(df, table))}
+    for i, word in enumerate(words):
+        assert got[i] == pieces.best_path(pieces.MARK + word, scores, longest, unknown, 3)[0]
+    assert {r["doc_id"]: (r["n_words"], r["n_pieces"], r["round_trip"]) for r in rows(pieces.digest(df, table))} == {i: (1, len(got[i]), True) for i in got}
+    # The fold and the recursion with back pointers agree where both apply.
+    short = spark.createDataFrame([(pieces.MARK + w,) for w in ["nation", "x1é😀", *prose(7, 20).split(), words[0][:50], words[3][:55]]], "word string")
+    for r in rows(pieces.encode_words(short, table)):
+        assert (r["ids"], r["path_score"]) == pieces.best_path(r["word"], scores, longest, unknown, 3)
