@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.registry import Plan, Tables
-from . import collision_ann, language, lattice_lm, licenses, minhash, packing, pieces, pii, quality, token_counts, vector_dedup
+from . import collision_ann, language, lattice_lm, licenses, minhash, packing, phrases, pieces, pii, quality, token_counts, vector_dedup
 
 PLANS: dict[str, Plan] = {}
 SQL: dict[str, str] = {}
@@ -82,3 +82,8 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 @query("op13_license_scan", licenses.sql())
 def _(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.summary(Tables(spark, folder).documents)
+
+
+@query("op11_phrase_collocations", phrases.SQL)
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.collocations(Tables(spark, folder).documents)
