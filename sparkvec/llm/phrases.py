@@ -35,22 +35,20 @@ LONGEST, LEAST, BEST = 4, 30, 2000
 #: A phrase goes if a longer one with its words has this share of its occurrences, in percent.
 COVERED = 80
 SCALE = 2_000_000
-#: Places of a block, and bytes of a text that are taken apart at a time.
-BLOCK, SLICE = 1 << 22, 4 << 20
+#: Places of a block, its groups in a row, and bytes of a text that are taken apart at a time.
+BLOCK, GROUPS, SLICE = 1 << 20, 1 << 16, 1 << 20
 _END = b"."
 #: Letters are folded; a tab becomes a blank, and all that ends a piece becomes one mark.
 _FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t,;:!?\n\x0b\x0c\r", b"abcdefghijklmnopqrstuvwxyz " + _END * 9)
-_WORDS = "block long, ids array<int>, lang array<string>, word array<string>, seen array<long>"
-_PAIRS = "block long, ids array<int>, first array<long>, last array<long>, seen array<long>"
 
 
-def _slices(text: bytes) -> Iterator[bytes]:
+def _slices(text: bytes, most: int) -> Iterator[bytes]:
     """Parts of a folded text that end with a piece, or at least with a word."""
     at = 0
-    while len(text) - at > SLICE:
-        stop = max(text.rfind(_END, at, at + SLICE), 0) or max(text.rfind(b" ", at, at + SLICE), 0)
+    while len(text) - at > most:
+        stop = max(text.rfind(_END, at, at + most), 0) or max(text.rfind(b" ", at, at + most), 0)
         if stop <= at:
-            ends = [x for x in (text.find(_END, at + SLICE), text.find(b" ", at + SLICE)) if x >= 0]
+            ends = [x for x in (text.find(_END, at + most), text.find(b" ", at + most)) if x >= 0]
             stop = min(ends, default=len(text) - 1)
         yield text[at : stop + 1]
         at = stop + 1
@@ -70,14 +68,28 @@ class _Block:
         self.parts.append(np.fromiter(map(self.words[lang].__getitem__, tokens), np.int32, len(tokens)))
         self.size += len(tokens)
 
-    def row(self) -> pa.RecordBatch:
+    def rows(self) -> Iterator[pa.RecordBatch]:
         ids = np.concatenate([np.zeros(0, np.int32), *self.parts])
-        held = [(i, lang, word) for lang, words in self.words.items() for word, i in words.items() if i >= 0]
-        held.sort()
-        seen = np.bincount(ids[ids >= 0], minlength=len(held))
-        columns = [[self.number], [_packed(ids)], [[x[1] for x in held]], [pa.array([x[2] for x in held], pa.string())], [seen]]
-        kinds = [pa.int64(), pa.list_(pa.int32()), pa.list_(pa.string()), pa.list_(pa.string()), pa.list_(pa.int64())]
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["block", "ids", "lang", "word", "seen"])
+        seen = np.bincount(ids[ids >= 0], minlength=1)
+        yield _row(self.number, ids=_packed(ids))
+        for lang, words in self.words.items():
+            held = [(w, i) for w, i in words.items() if i >= 0]
+            for at in range(0, len(held), GROUPS):
+                local = np.array([i for _, i in held[at : at + GROUPS]])
+                yield _row(self.number, lang=lang, word=pa.array([w for w, _ in held[at : at + GROUPS]], pa.string()), local=local, seen=seen[local])
+
+
+#: A block's row with its places, and rows with its groups.
+_TYPES = {
+    "block": pa.int64(), "ids": pa.list_(pa.int32()), "lang": pa.string(), "word": pa.list_(pa.string()), "first": pa.list_(pa.int64()),
+    "last": pa.list_(pa.int64()), "local": pa.list_(pa.int32()), "seen": pa.list_(pa.int64()),
+}
+_SCHEMA = "block long, ids array<int>, lang string, word array<string>, first array<long>, last array<long>, local array<int>, seen array<long>"
+
+
+def _row(block: int, **values) -> pa.RecordBatch:
+    values["block"] = block
+    return pa.RecordBatch.from_arrays([pa.array([values.get(c)], t) for c, t in _TYPES.items()], names=list(_TYPES))
 
 
 def _packed(ids: np.ndarray) -> np.ndarray:
@@ -86,32 +98,34 @@ def _packed(ids: np.ndarray) -> np.ndarray:
     return ids[~(gap & np.append(False, gap[:-1]))]
 
 
-def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    numbers = count(TaskContext.get().partitionId() << 32)
-    block = _Block(next(numbers))
-    for whole in batches:
-        for a, b in chunks(whole, "text"):
-            part = whole.slice(a, b - a)
-            texts = pc.fill_null(part.column("text"), "").cast(pa.binary()).to_pylist()
-            for lang, text in zip(part.column("lang").to_pylist(), texts, strict=True):
-                for piece in _slices(text.translate(_FOLD)):
-                    block.add(lang, piece)
-                    if block.size >= BLOCK and piece.endswith(_END):
-                        yield block.row()
-                        block = _Block(next(numbers))
-                block.add(lang, _END)
-            if block.size >= BLOCK:
-                yield block.row()
-                block = _Block(next(numbers))
-    yield block.row()
+def _occurrences(places: int, most: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        numbers = count(TaskContext.get().partitionId() << 32)
+        block = _Block(next(numbers))
+        for whole in batches:
+            for a, b in chunks(whole, "text"):
+                part = whole.slice(a, b - a)
+                texts = pc.fill_null(part.column("text"), "").cast(pa.binary()).to_pylist()
+                for lang, text in zip(part.column("lang").to_pylist(), texts, strict=True):
+                    for piece in _slices(text.translate(_FOLD), most):
+                        block.add(lang, piece)
+                        if block.size >= places and piece.endswith(_END):
+                            yield from block.rows()
+                            block = _Block(next(numbers))
+                    block.add(lang, _END)
+                if block.size >= places:
+                    yield from block.rows()
+                    block = _Block(next(numbers))
+        yield from block.rows()
+
+    return run
 
 
 def _extended(left: pa.Table, right: pa.Table) -> pa.Table:
     """The next relation of one block: pairs of neighbours whose both groups are frequent."""
-    empty = pa.schema([("block", pa.int64()), ("ids", pa.list_(pa.int32())), *((c, pa.list_(pa.int64())) for c in ("first", "last", "seen"))])
     if not left.num_rows or not right.num_rows:
-        return empty.empty_table()
-    ids = left["ids"].combine_chunks().flatten().to_numpy(zero_copy_only=False)
+        return pa.schema(list(_TYPES.items())).empty_table()
+    block, ids = left["block"][0].as_py(), left["ids"].combine_chunks().flatten().to_numpy(zero_copy_only=False)
     width = int(ids.max(initial=-1)) + 1
     number = np.full(width + 1, -1, np.int64)
     number[right["local"].to_numpy()] = right["id"].to_numpy()
@@ -120,13 +134,19 @@ def _extended(left: pa.Table, right: pa.Table) -> pa.Table:
     pairs, place, seen = np.unique(ids[at].astype(np.int64) * width + ids[at + 1], return_inverse=True, return_counts=True)
     found = np.full(len(ids), -1, np.int32)
     found[at] = place
-    columns = [_packed(found), number[pairs // max(width, 1)], number[pairs % max(width, 1)], seen]
-    return pa.Table.from_arrays([left["block"], *(pa.array([c], f.type) for c, f in zip(columns, list(empty)[1:], strict=True))], schema=empty)
+    rows = [_row(block, ids=_packed(found))]
+    for a in range(0, len(pairs), GROUPS):
+        part = slice(a, a + GROUPS)
+        local = np.arange(len(pairs))[part]
+        rows.append(_row(block, first=number[pairs[part] // width], last=number[pairs[part] % width], local=local, seen=seen[part]))
+    return pa.Table.from_batches(rows)
 
 
 def _groups(relation: DataFrame, *key: str) -> DataFrame:
     """``(block, local, key..., seen)``: the groups of each block."""
-    return relation.select("block", F.posexplode(F.arrays_zip(*key, "seen")).alias("local", "group")).select("block", "local", "group.*")
+    lists = [c for c in (*key, "local", "seen") if c != "lang"]
+    each = relation.where("ids is null").select("block", *(c for c in key if c == "lang"), F.explode(F.arrays_zip(*lists)).alias("group"))
+    return each.select("block", *(c for c in key if c == "lang"), "group.*")
 
 
 def frequent(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, text_col: str = "text", lang_col: str = "lang") -> tuple[DataFrame, list[DataFrame]]:
@@ -136,7 +156,7 @@ def frequent(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, text_c
     whole; ``first`` and ``last`` are the ids of the phrases one word shorter.
     """
     texts = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.col(text_col).alias("text"))
-    relation = settle(texts.mapInArrow(_occurrences, _WORDS))
+    relation = settle(texts.mapInArrow(_occurrences(BLOCK, SLICE), _SCHEMA))
     groups = _groups(relation, "lang", "word")
     totals = groups.groupBy("lang").agg(F.sum("seen").alias("n"))
 
@@ -153,8 +173,8 @@ def frequent(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, text_c
     for _ in range(1, longest):
         local = _groups(relation, *key).drop("seen").join(counted.select(*key, "id"), list(key))
         local = local.select(F.col("block").alias("place"), "local", "id")
-        step = relation.select("block", "ids").groupBy("block").cogroup(local.groupBy("place"))
-        relation, key = settle(step.applyInArrow(_extended, _PAIRS)), ("first", "last")
+        step = relation.where("ids is not null").select("block", "ids").groupBy("block").cogroup(local.groupBy("place"))
+        relation, key = settle(step.applyInArrow(_extended, _SCHEMA)), ("first", "last")
         counted = numbered(_groups(relation, *key).groupBy(*key).agg(F.sum("seen").alias("a")))
         levels.append(settle(_described(counted, levels[-1])))
     return totals, levels

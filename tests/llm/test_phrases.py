@@ -64,10 +64,9 @@ def test_phrases_match_plain_version(spark, monkeypatch):
     assert {tuple(r) for r in got} == plain(docs, 8, 50)
 
 
-def test_slices_lose_nothing(monkeypatch):
-    monkeypatch.setattr(phrases, "SLICE", 16)
+def test_slices_lose_nothing():
     for text in (b"", b"a" * 100, b"aa bb. cc" * 30, b" " * 50, b"." * 50, b"word " * 20 + b"x" * 90 + b" tail. end"):
-        parts = list(phrases._slices(text))
+        parts = list(phrases._slices(text, 16))
         assert b"".join(parts) == text
         assert b" ".join(parts).replace(b".", b" . ").split() == text.replace(b".", b" . ").split()
 
