@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.registry import Plan, Tables
-from . import collision_ann, language, lattice_lm, licenses, minhash, packing, phrases, pieces, pii, quality, token_counts, vector_dedup
+from . import collision_ann, hard_negatives, language, lattice_lm, licenses, minhash, packing, phrases, pieces, pii, quality, token_counts, vector_dedup
 
 PLANS: dict[str, Plan] = {}
 SQL: dict[str, str] = {}
@@ -87,3 +87,10 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 @query("op11_phrase_collocations", phrases.SQL)
 def _(spark: SparkSession, folder: str) -> DataFrame:
     return phrases.collocations(Tables(spark, folder).documents)
+
+
+@query("op12_hard_negatives", hard_negatives.SQL)
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    """Anchors are rows whose id is divisible by 50; where it is divisible by 7 the label is the next one."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(Tables(spark, folder).embeddings, F.col("id") % 50 == 0, label=moved)
