@@ -36,6 +36,10 @@ MARK = "<|endoftext|>"
 # character, so a text is encoded as a chain of runs, and each distinct run once.
 _RUNS = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
 _OTHER_SPACE = re.compile(r"[^\S \n]")
+# White space as the vocabulary's pattern knows it. The pattern recurses in a run of a
+# million; all of a run but the last character before a word is one piece, so long runs
+# are encoded without it.
+_LONG_SPACE = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{10000,}")
 _REMEMBERED = 300_000
 
 
@@ -56,9 +60,10 @@ class Encoder(dict):
         with open(path, "rb") as lines:
             ranks = {base64.b64decode(piece): int(rank) for piece, rank in map(bytes.split, lines)}
         self.mark = np.array([max(ranks.values()) + 1], "<u4").tobytes()
-        self._encode = tiktoken.Encoding(
+        encoding = tiktoken.Encoding(
             os.path.basename(path), pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
-        ).encode_ordinary
+        )
+        self._encode, self._one_piece = encoding.encode_ordinary, encoding._encode_single_piece
 
     @classmethod
     def at(cls, vocabulary: str) -> Encoder:
@@ -85,9 +90,18 @@ class Encoder(dict):
             return self.direct(text)
         return b"".join(map(self.__getitem__, _RUNS.findall(text)))
 
+    def unmarked(self, text: str) -> bytes:
+        """The ids of a text without marks, whatever white space it has."""
+        out, at = [], 0
+        for run in _LONG_SPACE.finditer(text):
+            stop = run.end() if run.end() == len(text) else run.end() - 1
+            out += [self.ids(text[at : run.start()]), np.array(self._one_piece(text[run.start() : stop]), "<u4").tobytes()]
+            at = stop
+        return b"".join([*out, self.ids(text[at:])])
+
     def whole(self, text: str) -> bytes:
         """The ids of a text: each part between marks is encoded by itself."""
-        return self.mark.join(map(self.ids, text.split(MARK)))
+        return self.mark.join(map(self.unmarked, text.split(MARK)))
 
 
 def _piece_maker(vocabulary: str, length: int, end: int, keep_ids: bool):
