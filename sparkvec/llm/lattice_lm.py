@@ -366,8 +366,8 @@ def score(
     seen_share = (1 - max(once, 1) / in_words) if in_words > 1 else 0.0
     lattice = F.lit(1 - seen_share) * F.exp("marginal")
     whole = F.lit(seen_share / max(in_words, 1)) * F.col("train")
-    # Without a count the sum is the lattice alone, taken as a logarithm: it may be tiny.
-    model = F.when(F.col("train") > 0, F.log10(whole + lattice)).otherwise(
+    # Without a count, or a share for counts, the sum is the lattice alone, taken as a logarithm: it may be tiny.
+    model = F.when((F.col("train") > 0) & F.lit(seen_share > 0), F.log10(whole + lattice)).otherwise(
         F.col("marginal") / F.lit(float(np.log(10))) + F.lit(float(np.log10(1 - seen_share)))
     )
     scored = settle(
