@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from ..session import settle
 from .components import components
 from .text import mix
-from .vectors import matrix, selected, usable
+from .vectors import matrix, selected, units, usable
 
 TABLES, TURNS = 10, 2
 PROBES = 1 + TURNS
@@ -58,7 +58,7 @@ def buckets(vectors: np.ndarray, tables: int = TABLES) -> np.ndarray:
     n, dim = vectors.shape
     width = 1 << max(1, (dim - 1).bit_length())
     x = np.zeros((n, width))
-    x[:, :dim] = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    x[:, :dim] = units(vectors)
     out = np.zeros((n, tables, PROBES), np.int64)
     for table in range(tables):
         axes = []
@@ -75,7 +75,8 @@ def buckets(vectors: np.ndarray, tables: int = TABLES) -> np.ndarray:
         for probe in range(PROBES):
             picked = [a[:, 1] if probe == turn + 1 else best[turn] for turn, a in enumerate(axes)]
             out[:, table, probe] = picked[0] * 2 * width + picked[1]
-    return out
+    # Numbers beyond 31 bits are hashed; buckets that meet by that cost time, no links.
+    return out if 4 * width * width < 1 << 31 else (mix(out.astype(np.uint64)) >> np.uint64(33)).astype(np.int64)
 
 
 def _hasher(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -147,7 +148,7 @@ def _linker(cosine: float):
             rows = np.concatenate([np.arange(x, y) for x, y in zip(a, b, strict=True)])
             vectors = np.zeros((len(ids), int(dim)))
             vectors[rows] = matrix(t["vector"].combine_chunks().take(pa.array(rows)))
-            vectors[rows] /= np.linalg.norm(vectors[rows], axis=1, keepdims=True)
+            vectors[rows] = units(vectors[rows])
             i, j = _close(vectors, a, b, cosine)
             keep = (t["i"].to_numpy()[i] == t["j"].to_numpy()[i]) | (tile[i] != tile[j])
             i, j = i[keep], j[keep]

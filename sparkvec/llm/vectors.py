@@ -32,3 +32,11 @@ def matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
     if not len(column):
         return np.zeros((0, 0))
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
+
+
+def units(vectors: np.ndarray) -> np.ndarray:
+    """Rows of length 1; squares of tiny or huge components neither vanish nor overflow."""
+    # A power of two changes no digit.
+    _, size = np.frexp(np.abs(vectors).max(axis=1, initial=0.0, keepdims=True))
+    vectors = np.ldexp(vectors, -size)
+    return vectors / np.linalg.norm(vectors, axis=1, keepdims=True)

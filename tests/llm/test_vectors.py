@@ -90,3 +90,13 @@ def test_components(spark):
     edges = [(i, i + 1) for i in range(50)] + [(100, 101), (101, 100), (7, 7), (None, 3)] + [(200, k) for k in range(201, 260)]
     got = {r.id: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {i: 0 for i in range(1, 51)} | {101: 100} | {k: 200 for k in range(201, 260)}
+
+
+def test_tiny_huge_and_wide_vectors(spark):
+    rows = [(1, [1e-200, 2e-200]), (2, [2.0, 1.0]), (3, [1e200, 2e200]), (4, [5e-324, 1e-323]), (5, [1.0, 2.0])]
+    got = {r.vec_id: (r.n_links, r.component_id) for r in vector_dedup.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    assert got == {1: (3, 1), 3: (3, 1), 4: (3, 1), 5: (3, 1), 2: (0, 2)}
+    wide = np.random.default_rng(8).normal(size=(2, 40_000))
+    wide = [(i, (wide[i % 2] + 0.001 * i).tolist()) for i in range(4)]
+    got = {r.vec_id: (r.n_links, r.component_id) for r in vector_dedup.near_duplicates(spark.createDataFrame(wide, "vec_id long, embedding array<double>")).collect()}
+    assert got == {0: (1, 0), 2: (1, 0), 1: (1, 1), 3: (1, 1)}
