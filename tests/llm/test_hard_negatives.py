@@ -66,7 +66,7 @@ def test_large_components_and_few_rows(spark):
     exact = {i: [math.floor(256 * x) for x in v] for i, _, v in big}
     for a, p, _, n, ps, ns in got:
         assert ps == min(2**63 - 1, sum(x * y for x, y in zip(exact[a], exact[p], strict=True)))
-        assert ns == max(-(2**63), sum(x * y for x, y in zip(exact[a], exact[n], strict=True)))
+        assert ns == min(2**63 - 1, sum(x * y for x, y in zip(exact[a], exact[n], strict=True)))
     assert hard_negatives.mine(frame(spark, big[:1], "double"), F.col("id") == 0).collect() == []
     assert hard_negatives.mine(frame(spark, []), F.col("id") == 0).collect() == []
 
