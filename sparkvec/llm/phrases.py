@@ -35,8 +35,8 @@ LONGEST, LEAST, BEST = 4, 30, 2000
 #: A phrase goes if a longer one with its words has this share of its occurrences, in percent.
 COVERED = 80
 SCALE = 2_000_000
-#: Places of a block, its groups in a row, and bytes of a text that are taken apart at a time.
-BLOCK, GROUPS, SLICE = 1 << 20, 1 << 16, 1 << 20
+#: Places of a block and of a step in it, its groups in a row, and bytes of a text taken apart at a time.
+BLOCK, STEP, GROUPS, SLICE = 1 << 22, 1 << 19, 1 << 16, 1 << 20
 _END = b"."
 #: Letters are folded; a tab becomes a blank, and all that ends a piece becomes one mark.
 _FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t,;:!?\n\x0b\x0c\r", b"abcdefghijklmnopqrstuvwxyz " + _END * 9)
@@ -129,11 +129,21 @@ def _extended(left: pa.Table, right: pa.Table) -> pa.Table:
     width = int(ids.max(initial=-1)) + 1
     number = np.full(width + 1, -1, np.int64)
     number[right["local"].to_numpy()] = right["id"].to_numpy()
-    held = number[ids] >= 0  # a gap reads the last number, which is none
-    at = np.flatnonzero(held[:-1] & held[1:])
-    pairs, place, seen = np.unique(ids[at].astype(np.int64) * width + ids[at + 1], return_inverse=True, return_counts=True)
-    found = np.full(len(ids), -1, np.int32)
-    found[at] = place
+    held = (number >= 0)[ids]  # a gap reads the last number, which is none
+    both = held[:-1] & held[1:]
+
+    def codes(a: int) -> np.ndarray:
+        at = np.flatnonzero(both[a : a + STEP]) + a
+        return ids[at].astype(np.int64) * width + ids[at + 1]
+
+    # In steps, so that little more than the block itself is held.
+    steps = range(0, len(both), STEP)
+    pairs = np.unique(np.concatenate([np.zeros(0, np.int64), *(np.unique(codes(a)) for a in steps)]))
+    found, seen = np.full(len(ids), -1, np.int32), np.zeros(len(pairs), np.int64)
+    for a in steps:
+        place = np.searchsorted(pairs, codes(a))
+        found[:-1][a : a + STEP][both[a : a + STEP]] = place
+        seen += np.bincount(place, minlength=len(pairs))
     rows = [_row(block, ids=_packed(found))]
     for a in range(0, len(pairs), GROUPS):
         part = slice(a, a + GROUPS)
@@ -171,7 +181,7 @@ def frequent(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, text_c
     )
     levels, key = [words], ("lang", "word")
     for _ in range(1, longest):
-        local = _groups(relation, *key).drop("seen").join(counted.select(*key, "id"), list(key))
+        local = _groups(relation, *key).drop("seen").join(counted.select(*key, "id").hint("shuffle_hash"), list(key))
         local = local.select(F.col("block").alias("place"), "local", "id")
         step = relation.where("ids is not null").select("block", "ids").groupBy("block").cogroup(local.groupBy("place"))
         relation, key = settle(step.applyInArrow(_extended, _SCHEMA)), ("first", "last")
