@@ -75,3 +75,13 @@ def predicate(df: DataFrame, text: str | Column | None, columns: Iterable[str] |
 def where(df: DataFrame, text: str | Column | None) -> DataFrame:
     condition = predicate(df, text)
     return df if condition is None else df.where(condition)
+
+
+def blanked(text: str) -> str:
+    """A guarded expression with its literals blanked, of the same length."""
+    return _QUOTED.sub(lambda m: m.group() if m.group()[0] == "`" else " " * len(m.group()), text)
+
+
+def names_in(text: str) -> set[str]:
+    """The words of a guarded expression outside literals, in lower case."""
+    return {m.group().lower() for m in _WORD.finditer(blanked(text).replace("`", " "))}

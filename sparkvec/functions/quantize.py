@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -55,6 +56,14 @@ class HalfQuantizer:
     def decode(self, column: Column | str) -> Column:
         return unpack(column, "fp16")
 
+    def read(self, column, dimension: int):
+        """Positions and values of a column of codes, inside a task."""
+        column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+        sizes = pc.fill_null(pc.binary_length(column), -1).to_numpy(zero_copy_only=False)
+        rows = np.flatnonzero(sizes == 2 * dimension)
+        raw = b"".join(column.take(pa.array(rows)).to_pylist())
+        return rows, np.frombuffer(raw, "<f2").reshape(len(rows), dimension).astype(np.float64)
+
 
 def trained(df: DataFrame, field: str, kind: str, dimension: int) -> HalfQuantizer | Quantizer:
     """Quantizer of a kind an index may ask for: fp16, int8 or int4."""
@@ -107,6 +116,11 @@ class Quantizer:
 
         return coded(column)
 
+    def read(self, column, dimension: int):
+        """Positions and values of a column of codes, inside a task."""
+        rows, codes = dense_block(column, dimension)
+        return rows, self.values(codes)
+
     def decode(self, column: Column | str) -> Column:
         """array<double> of the values the codes stand for."""
 

@@ -61,6 +61,13 @@ def best(hits: Hits, k: int, descending: bool) -> Hits:
     return Hits(hits.query[order], hits.key[order], hits.score[order])
 
 
+def best_by_key(hits: Hits, k: int, descending: bool) -> Hits:
+    """:func:`best` for keys of any type: ordering integers is far cheaper than ordering keys."""
+    names, rank = np.unique(hits.key, return_inverse=True)
+    kept = best(Hits(hits.query, rank, hits.score), k, descending)
+    return Hits(kept.query, names[kept.key], kept.score)
+
+
 def thin_copies(block: np.ndarray, keys: np.ndarray, k: int):
     """Of identical vectors only the k lowest keys can ever be returned."""
     raw = np.ascontiguousarray(block).view(np.dtype((np.void, block.shape[1] * 8))).ravel()
@@ -104,10 +111,7 @@ class Scorer:
         return Hits.joined([so_far.take(~again), ranked])
 
     def _best_by_key(self, hits: Hits) -> Hits:
-        # Ordering integers is far cheaper than ordering keys.
-        names, rank = np.unique(hits.key, return_inverse=True)
-        kept = best(Hits(hits.query, rank, hits.score), self.k, self.descending)
-        return Hits(kept.query, names[kept.key], kept.score)
+        return best_by_key(hits, self.k, self.descending)
 
     def _slack(self, largest_sq: float) -> np.ndarray:
         """Rounding reach of a closeness value, generously."""

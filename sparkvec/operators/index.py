@@ -24,12 +24,17 @@ from ..functions import metrics, spaces
 from ..functions.arrow import dense_block
 from ..functions.predicates import predicate, where
 from ..session import settle
-from .knn_join import CellStats, as_mips, fold_queries, knn_join, largest_norm, nearest, route, vector_dimension
+from .cell_stats import CellCounts, StoredStats
+from .knn_join import CellStats, as_mips, bounded_block, fold_queries, knn_join, largest_norm, nearest, route, vector_dimension
 from .search import knn
-from .tiles import BLOCK_BYTES, arrow_schema, rank_hits, tile_topk
+from .tiles import BLOCK_BYTES, arrow_schema, probe_scan, rank_hits, tile_topk
 
 N_LIST, N_ITERS = 128, 10
 SOAR_WEIGHT = 1.0
+#: Folder of the statistics inside an index; Spark's readers of the index pass it over.
+STATS = "_stats"
+#: Queries times cells that the driver plans; more are planned in tasks.
+PLANNED = 1 << 24
 
 
 @dataclass(frozen=True)
@@ -141,33 +146,46 @@ def nearest_cells(cells: Centroids, lifted: np.ndarray, n_probe: int) -> np.ndar
     return mask
 
 
-def _probe_join(queries, index, cells: Centroids, choose, *, qid, pk, field, query_field, k, filter, radius, max_norm, block_bytes):
+def _counted(index: DataFrame, cells: Centroids, filter, stats: StoredStats | None) -> CellCounts:
+    """Counts of the members that pass: from stored statistics, else by a pass over the index."""
+    if stats is not None:
+        return stats.load(cells.points, filter, index.columns)
+    return CellCounts(CellStats.measure(where(index, filter), cells.points), np.ones(len(cells.points) + 1, bool))
+
+
+def _probe_join(queries, index, cells: Centroids, choose, *, qid, pk, field, query_field, k, filter, radius, max_norm, block_bytes, stats, read=dense_block):
     """Search the cells that ``choose(lifted, stats)`` picks, and more until they hold k.
 
     The statistics count the members that pass the filter, so a query has k hits
-    wherever k members pass. mipsl2 ranks by the product and gets its score last.
+    wherever k members pass. Query tables under the block bound are planned here and go
+    to the tasks that read their cells; larger ones meet the members in tiles. mipsl2
+    ranks by the product and gets its score last.
     """
     repeats = "spill" in index.columns
     passing = where(index, filter)
-    stats = CellStats.measure(passing, cells.points)
+    counts = _counted(index, cells, filter, stats)
     # A row is in two cells at most.
     need = 2 * k if repeats else k
+    metric = "ip" if cells.metric == "mipsl2" else cells.metric
+    raw = queries.select(F.col(qid).alias("qid"), F.col(query_field or field).alias("vector"))
+    members = passing.select(F.col(pk).alias("pk"), F.col(field).alias("vector"), "cell")
 
-    def picked(block, _):
-        lifted = cells.lift_queries(block)
-        mask = choose(lifted, stats) | stats.first_cells(lifted, need)
-        mask[:, stats.count == 0] = False
+    def picked(lifted, known):
+        mask = choose(lifted, known) | known.first_cells(lifted, need)
+        mask[:, known.count == 0] = False
         return mask
 
-    asked = settle(
-        fold_queries(
-            queries.select(F.col(qid).alias("qid"), F.col(query_field or field).alias("vector")), cells.dimension
-        )
-    )
-    probes = settle(route(asked, picked, cells.dimension))
-    members = passing.select(F.col(pk).alias("pk"), F.col(field).alias("vector"), "cell")
-    metric = "ip" if cells.metric == "mipsl2" else cells.metric
-    hits = tile_topk(members, probes, k=k, metric=metric, dimension=cells.dimension, block_bytes=block_bytes)
+    block = bounded_block(raw, cells.dimension, block_bytes)
+    if block is not None and len(block[1]) * len(cells.points) <= PLANNED:
+        lifted = cells.lift_queries(block[1])
+        mask = picked(lifted, counts.settled(passing, lambda known: picked(lifted, known)))
+        hits = probe_scan(members, *block, mask, k=need, metric=metric, read=read, block_bytes=block_bytes)
+        asked = fold_queries(raw, cells.dimension)
+    else:
+        known = counts.settled(passing, lambda known: known.count > 0)
+        asked = settle(fold_queries(raw, cells.dimension))
+        probes = settle(route(asked, lambda queries, _: picked(cells.lift_queries(queries), known), cells.dimension))
+        hits = tile_topk(members, probes, k=k, metric=metric, dimension=cells.dimension, block_bytes=block_bytes, read=read)
     ranked = rank_hits(hits, k, metric, repeats)
     if cells.metric == "mipsl2":
         ranked = as_mips(ranked, asked, cells.max_norm if max_norm is None else max_norm)
@@ -191,11 +209,15 @@ def ivf_knn(
     radius: float | None = None,
     max_norm: float | None = None,
     block_bytes: int = BLOCK_BYTES,
+    stats: StoredStats | None = None,
+    read=dense_block,
 ) -> DataFrame:
     """Rows ``(qid, rank, pk, score)`` from the ``n_probe`` nearest cells.
 
     Cells are added until they hold k members that pass the filter. ``max_norm`` is
     the norm that mipsl2 scores refer to, if the collection has grown since training.
+    With the index's ``stats`` no pass over the index precedes the search. ``read`` gives
+    the positions and values of a column of members, which may hold codes.
     """
     n = default_probes(cells) if n_probe is None else n_probe
     if n <= 0:
@@ -203,7 +225,7 @@ def ivf_knn(
     return _probe_join(
         queries, index, cells, lambda lifted, _: nearest_cells(cells, lifted, n),
         qid=qid, pk=pk, field=field, query_field=query_field, k=k, filter=filter,
-        radius=radius, max_norm=max_norm, block_bytes=block_bytes,
+        radius=radius, max_norm=max_norm, block_bytes=block_bytes, stats=stats, read=read,
     )
 
 
@@ -222,6 +244,8 @@ def ann_knn(
     radius: float | None = None,
     max_norm: float | None = None,
     block_bytes: int = BLOCK_BYTES,
+    stats: StoredStats | None = None,
+    read=dense_block,
 ) -> DataFrame:
     """Search with a recall dial: nearest cells until they hold ``ef`` members.
 
@@ -233,7 +257,7 @@ def ann_knn(
     return _probe_join(
         queries, index, cells, lambda lifted, stats: stats.first_cells(lifted, ef),
         qid=qid, pk=pk, field=field, query_field=query_field, k=k, filter=filter,
-        radius=radius, max_norm=max_norm, block_bytes=block_bytes,
+        radius=radius, max_norm=max_norm, block_bytes=block_bytes, stats=stats, read=read,
     )
 
 
@@ -261,20 +285,21 @@ def ivf_knn_refined(
     radius: float | None = None,
     max_norm: float | None = None,
     block_bytes: int = BLOCK_BYTES,
+    stats: StoredStats | None = None,
 ) -> DataFrame:
     """Search an index of codes for ``k * scale_factor`` hits per query, then rank
     those by the original vectors."""
     if scale_factor < 1.0:
         raise InvalidArgument("scale_factor must be at least 1")
     shape = dict(
-        qid=qid, pk=pk, field=field, query_field=query_field,
-        k=math.ceil(k * scale_factor), filter=filter, block_bytes=block_bytes,
+        qid=qid, pk=pk, k=math.ceil(k * scale_factor), filter=filter, block_bytes=block_bytes,
     )
-    decoded = codes.withColumn(field, quantizer.decode(F.col("codes")))
+    # Codes are decoded where they are scored; no shuffle moves their values.
+    shape |= dict(field="codes", query_field=query_field or field, read=quantizer.read, stats=stats)
     if ef is not None:
-        wide = ann_knn(queries, decoded, cells, ef=ef, **shape)
+        wide = ann_knn(queries, codes, cells, ef=ef, **shape)
     else:
-        wide = ivf_knn(queries, decoded, cells, n_probe=n_probe, **shape)
+        wide = ivf_knn(queries, codes, cells, n_probe=n_probe, **shape)
     asked = fold_queries(
         queries.select(F.col(qid).alias("qid"), F.col(query_field or field).alias("vector")), cells.dimension
     )
@@ -303,6 +328,7 @@ def ivf_knn_one(
     linear: bool = False,
     exact: bool = False,
     max_norm: float | None = None,
+    stats: StoredStats | None = None,
     **options,
 ) -> DataFrame:
     """One query vector: the probe list is a filter on the partition column.
@@ -318,16 +344,16 @@ def ivf_knn_one(
     if linear:
         table = table.where(~F.col("spill")) if repeats else table
     else:
-        stats = CellStats.measure(table, cells.points)
-        lifted = cells.lift_queries(np.asarray([vector], dtype=np.float64))
-        mask = stats.first_cells(lifted, 2 * k if repeats else k)
+        lifted, need = cells.lift_queries(np.asarray([vector], dtype=np.float64)), 2 * k if repeats else k
+        known = _counted(index, cells, filter, stats).settled(table, lambda known: known.first_cells(lifted, need))
+        mask = known.first_cells(lifted, need)
         if not exact:
             mask |= nearest_cells(cells, lifted, default_probes(cells) if n_probe is None else n_probe)
-        mask[:, stats.count == 0] = False
+        mask[:, known.count == 0] = False
         if exact:
             first = knn(_in_cells(table, mask, pk, k if repeats else 0, field, vector, metric), field, vector, **search)
             reach = _reach(first.select("score").collect(), k, cells, vector)  # k scores
-            mask |= stats.reachable(lifted, reach)
+            mask |= known.reachable(lifted, reach)
         table = _in_cells(table, mask, pk, k if repeats else 0, field, vector, metric)
     keep = [c for c in table.columns if c not in ("cell", "distance", "spill")]
     if cells.metric != "mipsl2":
@@ -375,17 +401,26 @@ def knn_adaptive(
     field: str,
     filter: str | Column,
     ratio: float = 0.1,
+    stats: StoredStats | None = None,
     **options,
 ) -> DataFrame:
     """A scan when few rows pass the filter, else the index; the answer is the same.
 
-    One pass counts both; the index branch visits every cell that could hold a hit.
+    Both numbers come from the index's ``stats`` where these know them, else one pass
+    counts them; the index branch visits every cell that could hold a hit.
     """
     hit = predicate(df, filter)
-    counts = df.agg(F.count("*").alias("rows"), F.count_if(hit).alias("passing")).first()
-    if counts["passing"] <= ratio * counts["rows"]:
+    few = None
+    if stats is not None and "spill" not in index.columns:
+        rows, bound = stats.load(cells.points), stats.load(cells.points, filter, index.columns)
+        if bound.stats.count.sum() <= ratio * rows.stats.count.sum() or bound.known.all():
+            few = bound.stats.count.sum() <= ratio * rows.stats.count.sum()
+    if few is None:
+        counts = df.agg(F.count("*").alias("rows"), F.count_if(hit).alias("passing")).first()
+        few = counts["passing"] <= ratio * counts["rows"]
+    if few:
         return knn(df, field, vector, pk=pk, metric=cells.metric, filter=filter, **options)
-    return ivf_knn_one(index, cells, vector, pk=pk, field=field, filter=filter, exact=True, **options)
+    return ivf_knn_one(index, cells, vector, pk=pk, field=field, filter=filter, exact=True, stats=stats, **options)
 
 
 def recall_at_k(found: DataFrame, exact: DataFrame) -> DataFrame:
@@ -402,17 +437,28 @@ def recall_at_k(found: DataFrame, exact: DataFrame) -> DataFrame:
     )
 
 
-def recall_curve(queries, df, index, cells, n_probes: Sequence[int], *, qid, pk, field, k=10) -> DataFrame:
+def recall_curve(queries, df, index, cells, n_probes: Sequence[int], *, qid, pk, field, k=10, stats: StoredStats | None = None) -> DataFrame:
     """Recall per probe setting against exact search."""
     exact = settle(knn_join(queries, df, qid=qid, pk=pk, field=field, k=k, metric=cells.metric))
     curve = None
     for n in n_probes:
-        found = ivf_knn(queries, index, cells, qid=qid, pk=pk, field=field, k=k, n_probe=n)
+        found = ivf_knn(queries, index, cells, qid=qid, pk=pk, field=field, k=k, n_probe=n, stats=stats)
         row = recall_at_k(found, exact).select(F.lit(n).alias("n_probe"), "queries", "expected", "recall")
         curve = row if curve is None else curve.unionByName(row)
     return curve
 
 
-def write_index(index: DataFrame, path: str) -> None:
-    """Write an index table by cell; a large cell is split over several files."""
+def write_index(index: DataFrame, path: str, *, group: Column | None = None, columns: Sequence[str] | None = None) -> None:
+    """Write an index table by cell, and beside it the statistics of its cells.
+
+    A large cell is split over several files. ``group`` is the group of a row's key, if
+    writes are to leave groups out later; ``columns`` are the scalar columns to sketch.
+    """
     index.hint("rebalance", F.col("cell")).write.mode("errorifexists").partitionBy("cell").parquet(path)
+    stored = index.sparkSession.read.parquet(path)
+    StoredStats.of(stored, group, columns).write(f"{path}/{STATS}")
+
+
+def read_index(spark: SparkSession, path: str, *, grouped: bool = False) -> tuple[DataFrame, StoredStats]:
+    """An index table that :func:`write_index` wrote, and its statistics."""
+    return spark.read.parquet(path), StoredStats.read(spark, f"{path}/{STATS}", grouped)

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from ..functions import metrics
 from ..functions.arrow import dense_block
-from ..functions.topk import Hits, Scorer
+from ..functions.topk import Hits, Scorer, best_by_key
 
 BLOCK_BYTES = 64 << 20
 SPREAD_QUERIES = 256
@@ -126,11 +126,13 @@ def tile_topk(
     dimension: int,
     max_norm: float | None = None,
     block_bytes: int = BLOCK_BYTES,
+    read=dense_block,
 ) -> DataFrame:
     """Hits ``(qid, pk, score)``: up to k per query and tile.
 
     ``members`` is ``(pk, vector, cell)``, ``probes`` is ``(qid, vector, cell)``,
-    both with one row per key and cell.
+    both with one row per key and cell. ``read(column, dimension)`` gives the positions
+    and the block of the members' vectors, which may be codes.
     """
     sizes = tile_sizes(members, probes, block_rows(dimension, block_bytes))
     left = _tiled(members, sizes, own="mb", other="qb", n_own="n_m", n_other="n_q", key="pk")
@@ -142,7 +144,7 @@ def tile_topk(
         if not m.num_rows or not q.num_rows:
             return out.empty_table()
         qrows, queries = dense_block(q["vector"], dimension)
-        mrows, block = dense_block(m["vector"], dimension)
+        mrows, block = read(m["vector"], dimension)
         qids = q["qid"].combine_chunks().take(pa.array(qrows))
         hits = Scorer(metric, queries, k, max_norm).top(block, keys_of(m["pk"])[mrows])
         return hits_table(hits, qids, out)
@@ -186,6 +188,58 @@ def scan_topk(
     return scanned.mapInArrow(scan, schema)
 
 
+def probe_scan(
+    members: DataFrame,
+    qids: pa.Array,
+    queries: np.ndarray,
+    mask: np.ndarray,
+    *,
+    k: int,
+    metric: str,
+    max_norm: float | None = None,
+    read=dense_block,
+    block_bytes: int = BLOCK_BYTES,
+) -> DataFrame:
+    """Hits of a bounded block of queries, each in its own cells; no member is shuffled.
+
+    ``mask`` says which queries (rows) probe which cells; only probed cells are scanned.
+    ``members`` is ``(pk, vector, cell)``. A task gathers members by cell up to the block
+    bound, scores each cell against its queries and keeps the best k per query.
+    ``read(column, dimension)`` gives the positions and the block of a column of vectors.
+    """
+    dimension, most = queries.shape[1], block_rows(queries.shape[1], block_bytes)
+    probed = {int(c): np.flatnonzero(mask[:, c]) for c in np.flatnonzero(mask.any(axis=0))}
+    schema = hit_schema(_spark_type(qids.type), members.schema["pk"].dataType)
+    out = arrow_schema(schema)
+
+    def scan(batches):
+        held, gathered, n = Hits.empty(), {}, 0
+
+        def scored() -> Hits:
+            found = [held] if len(held) else []
+            for cell, parts in gathered.items():
+                own = probed[cell]
+                block, keys = (np.concatenate(x) for x in zip(*parts, strict=True))
+                hits = Scorer(metric, queries[own], k, max_norm).top(block, keys)
+                if len(hits):
+                    found.append(Hits(own[hits.query], hits.key, hits.score))
+            return best_by_key(Hits.joined(found), k, metric == "ip") if found else Hits.empty()
+
+        for batch in batches:
+            rows, block = read(batch["vector"], dimension)
+            keys, cells = keys_of(batch["pk"])[rows], batch["cell"].to_numpy(zero_copy_only=False)[rows]
+            for cell in np.unique(cells):
+                at = cells == cell
+                gathered.setdefault(int(cell), []).append((block[at], keys[at]))
+            n += len(rows)
+            if n >= most:
+                held, gathered, n = scored(), {}, 0
+        yield from hits_table(scored(), qids, out).to_batches()
+
+    inside = members.where(F.col("cell").isin(sorted(probed))) if probed else members.limit(0)
+    return inside.select("pk", "vector", "cell").mapInArrow(scan, schema)
+
+
 def _spark_type(kind: pa.DataType) -> T.DataType:
     from pyspark.sql.pandas.types import from_arrow_type
 

@@ -175,14 +175,14 @@ def ivf_soar_assign(spark, folder):
 def _stored_index(spark, df, cells, **options):
     path = scratch_path(spark, "index")
     ivf.write_index(ivf.assign(df, "e", cells, **options), path)
-    return spark.read.parquet(path)
+    return ivf.read_index(spark, path)
 
 
 def _probed(metric: str, n_probe: int | None, **options):
     def plan(spark, folder):
         df, cells = _trained(Tables(spark, folder), metric)
-        stored = _stored_index(spark, df, cells, **options)
-        return rounded(ivf.ivf_knn(df, stored, cells, qid="vec_id", pk="vec_id", field="e", n_probe=n_probe))
+        stored, facts = _stored_index(spark, df, cells, **options)
+        return rounded(ivf.ivf_knn(df, stored, cells, qid="vec_id", pk="vec_id", field="e", n_probe=n_probe, stats=facts))
 
     return plan
 
@@ -191,8 +191,8 @@ def _by_label(metric: str, search=ivf.ivf_knn, soar: bool = False, **options):
     def plan(spark, folder):
         t = Tables(spark, folder)
         cells = _label_cells(t, metric)
-        stored = _stored_index(spark, vectors(t), cells, soar=soar)
-        return rounded(search(vectors(t), stored, cells, qid="vec_id", pk="vec_id", field="e", **options))
+        stored, facts = _stored_index(spark, vectors(t), cells, soar=soar)
+        return rounded(search(vectors(t), stored, cells, qid="vec_id", pk="vec_id", field="e", stats=facts, **options))
 
     return plan
 
@@ -231,9 +231,10 @@ def ivf_knn_refined(spark, folder):
     quantizer = trained(df, "e", "int8", shared.DIMENSION)
     path = scratch_path(spark, "codes")
     ivf.write_index(ivf.quantized(ivf.assign(df, "e", cells), "e", quantizer), path)
+    codes, facts = ivf.read_index(spark, path)
     hits = ivf.ivf_knn_refined(
         df,
-        spark.read.parquet(path),
+        codes,
         df,
         cells,
         quantizer,
@@ -242,6 +243,7 @@ def ivf_knn_refined(spark, folder):
         field="e",
         n_probe=len(cells.points),
         scale_factor=2.0,
+        stats=facts,
     )
     return rounded(hits)
 
@@ -249,9 +251,9 @@ def ivf_knn_refined(spark, folder):
 @query("ivf_knn_one_full_probe", knn_sql("l2", columns="label", k=20))
 def ivf_knn_one_full_probe(spark, folder):
     df, cells = _trained(Tables(spark, folder))
-    stored = _stored_index(spark, df, cells)
+    stored, facts = _stored_index(spark, df, cells)
     hits = ivf.ivf_knn_one(
-        stored, cells, QUERY, pk="vec_id", field="e", n_probe=len(cells.points), k=20
+        stored, cells, QUERY, pk="vec_id", field="e", n_probe=len(cells.points), k=20, stats=facts
     )
     return rounded(hits)
 
@@ -259,7 +261,7 @@ def ivf_knn_one_full_probe(spark, folder):
 @query("knn_force_linear", knn_sql("mipsl2"))
 def knn_force_linear(spark, folder):
     df, cells = _trained(Tables(spark, folder), "mipsl2")
-    stored = _stored_index(spark, df, cells)
+    stored, _ = _stored_index(spark, df, cells)
     return rounded(ivf.ivf_knn_one(stored, cells, QUERY, pk="vec_id", field="e", linear=True))
 
 
@@ -267,9 +269,9 @@ def knn_force_linear(spark, folder):
 def knn_adaptive(spark, folder):
     # About a tenth of the rows pass, under the ratio: the exact scan answers.
     df, cells = _trained(Tables(spark, folder))
-    stored = _stored_index(spark, df, cells)
+    stored, facts = _stored_index(spark, df, cells)
     hits = ivf.knn_adaptive(
-        df, stored, cells, QUERY, pk="vec_id", field="e", filter="label = 3", ratio=0.25
+        df, stored, cells, QUERY, pk="vec_id", field="e", filter="label = 3", ratio=0.25, stats=facts
     )
     return rounded(hits)
 
@@ -278,8 +280,9 @@ def knn_adaptive(spark, folder):
 def knn_adaptive_by_index(spark, folder):
     """Most rows pass: the index answers, visiting every cell that could hold a hit."""
     df, cells = _trained(Tables(spark, folder))
-    stored = _stored_index(spark, df, cells)
-    return rounded(ivf.knn_adaptive(df, stored, cells, QUERY, pk="vec_id", field="e", filter="label <> 3", ratio=0.25))
+    stored, facts = _stored_index(spark, df, cells)
+    search = dict(pk="vec_id", field="e", filter="label <> 3", ratio=0.25, stats=facts)
+    return rounded(ivf.knn_adaptive(df, stored, cells, QUERY, **search))
 
 
 # Cells trained on the shorter half; longer vectors come later, so the norm grows.
@@ -287,10 +290,10 @@ def knn_adaptive_by_index(spark, folder):
 def ivf_mipsl2_after_growth(spark, folder):
     df = vectors(Tables(spark, folder))
     cells = ivf.train_centroids(df.where("vec_id % 7 < 4"), "e", n_list=8, n_iters=3, metric="mipsl2")
-    stored = _stored_index(spark, df, cells)
+    stored, facts = _stored_index(spark, df, cells)
     top = largest_norm(df, "e", shared.DIMENSION)
-    found = ivf.ivf_knn(df, stored, cells, qid="vec_id", pk="vec_id", field="e", n_probe=len(cells.points), max_norm=top)
-    return rounded(found)
+    every = dict(qid="vec_id", pk="vec_id", field="e", n_probe=len(cells.points))
+    return rounded(ivf.ivf_knn(df, stored, cells, max_norm=top, stats=facts, **every))
 
 
 _RECALL = " UNION ALL ".join(
@@ -304,8 +307,8 @@ _RECALL = " UNION ALL ".join(
 def recall_at_k(spark, folder):
     t = Tables(spark, folder)
     cells = _label_cells(t, "cosine")
-    stored = _stored_index(spark, vectors(t), cells)
-    curve = ivf.recall_curve(vectors(t), vectors(t), stored, cells, [1, 4, 10], qid="vec_id", pk="vec_id", field="e")
+    stored, facts = _stored_index(spark, vectors(t), cells)
+    curve = ivf.recall_curve(vectors(t), vectors(t), stored, cells, [1, 4, 10], qid="vec_id", pk="vec_id", field="e", stats=facts)
     return rounded(curve, "recall")
 
 
@@ -329,9 +332,9 @@ def knn_join_mixed_dimensions_pivot(spark, folder):
 @query("recall_of_exact", "SELECT count(*) AS queries, count(*) * 10 AS expected, 1.0::DOUBLE AS recall FROM embeddings")
 def recall_of_exact(spark, folder):
     df, cells = _trained(Tables(spark, folder), "l2")
-    stored = _stored_index(spark, df, cells)
+    stored, facts = _stored_index(spark, df, cells)
     every = dict(qid="vec_id", pk="vec_id", field="e")
-    found = ivf.ivf_knn(df, stored, cells, n_probe=len(cells.points), **every)
+    found = ivf.ivf_knn(df, stored, cells, n_probe=len(cells.points), stats=facts, **every)
     return ivf.recall_at_k(found, knn_join(df, df, metric="l2", **every))
 
 

@@ -240,6 +240,7 @@ class Collection:
             )
         pk = snap.schema.pk
         options["metric"] = metric or _metric(declared)
+        self._check_filter(snap, options.get("filter"))
         rows = self._read(snap, snap.parts).drop(GROUP)
         if n_probe is not None or ef is not None:
             one = self.spark.createDataFrame([(0, [float(x) for x in vector])], "qid int, v array<double>")
@@ -249,7 +250,8 @@ class Collection:
             ).select(F.col("pk").alias(pk), "score")
             columns = knn(rows, field, vector, pk=pk, **options).columns
             order = closest_first(options["metric"], F.col("score"))
-            return found.join(rows, pk).select(columns).orderBy(order, F.col(pk).asc())
+            found = settle(found, self.spark)
+            return found.join(self._rows_of(snap, found), pk).select(columns).orderBy(order, F.col(pk).asc())
         if not late_fetch:
             return knn(rows, field, vector, pk=pk, **options)
         full = knn(rows, field, vector, pk=pk, **options)
@@ -280,10 +282,14 @@ class Collection:
         linear: bool = False,
         radius: float | None = None,
         output_fields: Sequence[str] | None = None,
+        include_vector: bool = False,
+        include_doc_id: bool = False,
     ) -> DataFrame:
         """Rows ``(qid, rank, pk, score)`` for a table of query vectors.
 
-        ``radius`` drops hits that are farther, ``output_fields`` adds fields of the hits.
+        ``radius`` drops hits that are farther, ``output_fields`` adds fields of the hits,
+        ``include_vector`` and ``include_doc_id`` their vector and document id. These are
+        read from the key groups of the hits alone.
         With an index table its nearest cells are searched (``n_probe`` of them, or
         enough to hold ``ef`` members); rows written since it was built are searched
         exactly, so nothing new is missed and nothing deleted comes back. A quantized
@@ -298,11 +304,25 @@ class Collection:
         )
         if radius is not None:
             found = found.where(F.col("score") >= radius if chosen == "ip" else F.col("score") <= radius)
-        if output_fields is None:
+        wanted = list(dict.fromkeys([*(output_fields or ()), *[field] * include_vector, *[DOC_ID] * include_doc_id]))
+        if not wanted:
             return found
-        named = [F.col(c).alias(c) for c in dict.fromkeys(output_fields)]
-        rows = self._read(snap, snap.parts).select(F.col(snap.schema.pk).alias("pk"), *named)
-        return found.join(rows, "pk").select("qid", "rank", "pk", "score", *dict.fromkeys(output_fields))
+        unknown = [c for c in wanted if c not in snap.schema and c != DOC_ID]
+        if unknown:
+            raise InvalidArgument(f"unknown output field '{unknown[0]}'")
+        pk, found = snap.schema.pk, settle(found, self.spark)
+        rows = self._rows_of(snap, found.select(F.col("pk").alias(pk))).select(F.col(pk).alias("pk"), *[F.col(c).alias(c) for c in wanted])
+        return found.join(rows, "pk").select("qid", "rank", "pk", "score", *wanted)
+
+    def _rows_of(self, snap: Snapshot, hits: DataFrame) -> DataFrame:
+        """The rows of the key groups that ``hits`` (settled, with the key) fall in."""
+        keyed = hits.withColumn(GROUP, writes.key_group(snap.schema.pk, snap.digits))
+        return self._read(snap, self._parts_of(snap, self._groups(keyed))).drop(GROUP)
+
+    def _check_filter(self, snap: Snapshot, condition) -> None:
+        """A filter names today's columns; an index may still hold dropped ones."""
+        if condition is not None:
+            predicate(self._read(snap, ()), condition, columns=snap.schema.names())
 
     def _hits(
         self, snap: Snapshot, queries, field, chosen, *, qid, query_field, k, filter, n_probe, ef, scale_factor, linear
@@ -310,6 +330,7 @@ class Collection:
         from ..operators import index as ivf
 
         pk = snap.schema.pk
+        self._check_filter(snap, filter)
         shape = dict(qid=qid, pk=pk, field=field, query_field=query_field, k=k)
         facts = snap.indexes.get(field)
         if facts is None or linear or facts["metric"] != chosen:
@@ -320,11 +341,13 @@ class Collection:
         if not valid:
             # After a change of the schema the index has nothing current to give.
             return knn_join(queries, self._read(snap, snap.parts).drop(GROUP), **scan)
-        table, cells = self.index(field)
+        table, cells = self._index(facts)
         if filter is not None and not self._covers(table, filter):
             return knn_join(queries, self._read(snap, snap.parts).drop(GROUP), **scan)
         if rewritten:
             table = table.where(~writes.key_group(pk, snap.digits).isin(rewritten))
+        # Indexes written before statistics were kept are measured instead.
+        known = ivf.StoredStats.read(self.spark, f"{facts['table']}/cells/{ivf.STATS}", grouped=True).lacking(rewritten) if facts.get("stats") else None
         top = None
         if chosen == "mipsl2":
             # Parts are merged by the product; the score refers to today's largest norm.
@@ -341,12 +364,13 @@ class Collection:
                 n_probe=n_probe,
                 ef=ef,
                 filter=filter,
+                stats=known,
                 **shape,
             )
         elif ef is not None:
-            found = ivf.ann_knn(queries, table, cells, ef=ef, filter=filter, **shape)
+            found = ivf.ann_knn(queries, table, cells, ef=ef, filter=filter, stats=known, **shape)
         else:
-            found = ivf.ivf_knn(queries, table, cells, n_probe=n_probe, filter=filter, **shape)
+            found = ivf.ivf_knn(queries, table, cells, n_probe=n_probe, filter=filter, stats=known, **shape)
         if fresh:
             rows = self._read(snap, fresh).drop(GROUP)
             new = knn_join(queries, rows, metric=cells.metric, filter=filter, **shape)
@@ -450,7 +474,7 @@ class Collection:
             if index.quantize:
                 quantizer = trained(df, name, index.quantize, cells.dimension)
                 placed = ivf.quantized(placed, name, quantizer)
-            ivf.write_index(placed, f"{table}/cells")
+            ivf.write_index(placed, f"{table}/cells", group=writes.key_group(snap.schema.pk, snap.digits), columns=[c for c in scalars if c != snap.schema.pk])
             if isinstance(quantizer, Quantizer):
                 ranges = [(i, float(a), float(b)) for i, (a, b) in enumerate(zip(quantizer.lo, quantizer.hi))]
                 stored = self.spark.createDataFrame(ranges, "dim int, lo double, hi double")
@@ -464,6 +488,7 @@ class Collection:
                 "dimension": cells.dimension,
                 "max_norm": cells.max_norm,
                 "keep": None if keep is None else list(keep),
+                "stats": True,
             }
         self._log(replace(snap, version=number, schema=schema, indexes=indexes))
 
@@ -477,11 +502,14 @@ class Collection:
 
     def index(self, name: str):
         """``(index table, centroids)`` of an indexed vector field."""
-        from ..operators.index import Centroids
-
         facts = self.snapshot().indexes.get(name)
         if facts is None:
             raise NotFound(f"field '{name}' has no index table")
+        return self._index(facts)
+
+    def _index(self, facts: dict):
+        from ..operators.index import Centroids
+
         rows = self.spark.read.parquet(f"{facts['table']}/centroids").orderBy("cell").collect()
         points = np.array([r["centroid"] for r in rows])
         cells = Centroids(points, facts["metric"], facts["dimension"], facts["max_norm"])
