@@ -35,8 +35,8 @@ LONGEST, LEAST, BEST = 4, 30, 2000
 #: A phrase goes if a longer one with its words has this share of its occurrences, in percent.
 COVERED = 80
 SCALE = 2_000_000
-#: Places of a block and of a step in it, its groups in a row, and bytes of a text taken apart at a time.
-BLOCK, STEP, GROUPS, SLICE = 1 << 22, 1 << 19, 1 << 16, 1 << 20
+#: Places of a block and of a step in it, places or groups of a row, and bytes of a text taken apart at a time.
+BLOCK, STEP, ROW, SLICE = 1 << 21, 1 << 19, 1 << 16, 1 << 20
 _END = b"."
 #: Letters are folded; a tab becomes a blank, and all that ends a piece becomes one mark.
 _FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t,;:!?\n\x0b\x0c\r", b"abcdefghijklmnopqrstuvwxyz " + _END * 9)
@@ -71,20 +71,20 @@ class _Block:
     def rows(self) -> Iterator[pa.RecordBatch]:
         ids = np.concatenate([np.zeros(0, np.int32), *self.parts])
         seen = np.bincount(ids[ids >= 0], minlength=1)
-        yield _row(self.number, ids=_packed(ids))
+        yield from _places(self.number, ids)
         for lang, words in self.words.items():
             held = [(w, i) for w, i in words.items() if i >= 0]
-            for at in range(0, len(held), GROUPS):
-                local = np.array([i for _, i in held[at : at + GROUPS]])
-                yield _row(self.number, lang=lang, word=pa.array([w for w, _ in held[at : at + GROUPS]], pa.string()), local=local, seen=seen[local])
+            for at in range(0, len(held), ROW):
+                local = np.array([i for _, i in held[at : at + ROW]])
+                yield _row(self.number, lang=lang, word=pa.array([w for w, _ in held[at : at + ROW]], pa.string()), local=local, seen=seen[local])
 
 
-#: A block's row with its places, and rows with its groups.
+#: Rows of a block with its places in order, and rows with its groups.
 _TYPES = {
-    "block": pa.int64(), "ids": pa.list_(pa.int32()), "lang": pa.string(), "word": pa.list_(pa.string()), "first": pa.list_(pa.int64()),
+    "block": pa.int64(), "part": pa.int32(), "ids": pa.list_(pa.int32()), "lang": pa.string(), "word": pa.list_(pa.string()), "first": pa.list_(pa.int64()),
     "last": pa.list_(pa.int64()), "local": pa.list_(pa.int32()), "seen": pa.list_(pa.int64()),
 }
-_SCHEMA = "block long, ids array<int>, lang string, word array<string>, first array<long>, last array<long>, local array<int>, seen array<long>"
+_SCHEMA = "block long, part int, ids array<int>, lang string, word array<string>, first array<long>, last array<long>, local array<int>, seen array<long>"
 
 
 def _row(block: int, **values) -> pa.RecordBatch:
@@ -92,10 +92,12 @@ def _row(block: int, **values) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([values.get(c)], t) for c, t in _TYPES.items()], names=list(_TYPES))
 
 
-def _packed(ids: np.ndarray) -> np.ndarray:
-    """``ids`` with each run of gaps as one gap."""
+def _places(block: int, ids: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """The rows of a block's places, each run of gaps as one gap."""
     gap = ids < 0
-    return ids[~(gap & np.append(False, gap[:-1]))]
+    ids = ids[~(gap & np.append(False, gap[:-1]))]
+    for part, at in enumerate(range(0, max(len(ids), 1), ROW)):
+        yield _row(block, part=part, ids=ids[at : at + ROW])
 
 
 def _occurrences(places: int, most: int):
@@ -125,7 +127,8 @@ def _extended(left: pa.Table, right: pa.Table) -> pa.Table:
     """The next relation of one block: pairs of neighbours whose both groups are frequent."""
     if not left.num_rows or not right.num_rows:
         return pa.schema(list(_TYPES.items())).empty_table()
-    block, ids = left["block"][0].as_py(), left["ids"].combine_chunks().flatten().to_numpy(zero_copy_only=False)
+    block, left = left["block"][0].as_py(), left.sort_by("part")
+    ids = left["ids"].combine_chunks().flatten().to_numpy(zero_copy_only=False)
     width = int(ids.max(initial=-1)) + 1
     number = np.full(width + 1, -1, np.int64)
     number[right["local"].to_numpy()] = right["id"].to_numpy()
@@ -144,9 +147,9 @@ def _extended(left: pa.Table, right: pa.Table) -> pa.Table:
         place = np.searchsorted(pairs, codes(a))
         found[:-1][a : a + STEP][both[a : a + STEP]] = place
         seen += np.bincount(place, minlength=len(pairs))
-    rows = [_row(block, ids=_packed(found))]
-    for a in range(0, len(pairs), GROUPS):
-        part = slice(a, a + GROUPS)
+    rows = list(_places(block, found))
+    for a in range(0, len(pairs), ROW):
+        part = slice(a, a + ROW)
         local = np.arange(len(pairs))[part]
         rows.append(_row(block, first=number[pairs[part] // width], last=number[pairs[part] % width], local=local, seen=seen[part]))
     return pa.Table.from_batches(rows)
@@ -183,7 +186,7 @@ def frequent(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, text_c
     for _ in range(1, longest):
         local = _groups(relation, *key).drop("seen").join(counted.select(*key, "id").hint("shuffle_hash"), list(key))
         local = local.select(F.col("block").alias("place"), "local", "id")
-        step = relation.where("ids is not null").select("block", "ids").groupBy("block").cogroup(local.groupBy("place"))
+        step = relation.where("ids is not null").select("block", "part", "ids").groupBy("block").cogroup(local.groupBy("place"))
         relation, key = settle(step.applyInArrow(_extended, _SCHEMA)), ("first", "last")
         counted = numbered(_groups(relation, *key).groupBy(*key).agg(F.sum("seen").alias("a")))
         levels.append(settle(_described(counted, levels[-1])))
