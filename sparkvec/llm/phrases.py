@@ -2,7 +2,7 @@
 
 The relation of a length holds the frequent phrases that begin at each place, in order of
 text piece and place, and is written once per length. It is kept as blocks: an array of a
-few million places in that order, with a gap where a piece ends or no frequent phrase
+million places in that order, with a gap where a piece ends or no frequent phrase
 begins. For the next length the relation is merge-joined with itself on piece and adjacent
 place: in sorted arrays these are neighbours. A phrase of k + 1 words is a pair of phrases
 of k words that overlap in all but their ends, so only occurrences whose both halves are
@@ -36,7 +36,7 @@ LONGEST, LEAST, BEST = 4, 30, 2000
 COVERED = 80
 SCALE = 2_000_000
 #: Places of a block and of a step in it, places or groups of a row, and bytes of a text taken apart at a time.
-BLOCK, STEP, ROW, SLICE = 1 << 21, 1 << 19, 1 << 16, 1 << 20
+BLOCK, STEP, ROW, SLICE = 1 << 20, 1 << 18, 1 << 16, 1 << 20
 _END = b"."
 #: Letters are folded; a tab becomes a blank, and all that ends a piece becomes one mark.
 _FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t,;:!?\n\x0b\x0c\r", b"abcdefghijklmnopqrstuvwxyz " + _END * 9)
@@ -147,6 +147,8 @@ def _extended(left: pa.Table, right: pa.Table) -> pa.Table:
         place = np.searchsorted(pairs, codes(a))
         found[:-1][a : a + STEP][both[a : a + STEP]] = place
         seen += np.bincount(place, minlength=len(pairs))
+    # Workers stay; what earlier blocks took goes back before the next stage needs it.
+    pa.default_memory_pool().release_unused()
     rows = list(_places(block, found))
     for a in range(0, len(pairs), ROW):
         part = slice(a, a + ROW)
