@@ -48,11 +48,16 @@ def _sketch(field: T.StructField) -> Column:
 
 @dataclass(frozen=True)
 class StoredStats:
-    """The tables of an index; ``without`` are groups of keys that no longer count."""
+    """The tables of an index; ``without`` are groups of keys that no longer count.
+
+    With ``loose``, members may be gone that the tables do not know of, and all counts are
+    bounds.
+    """
 
     sketches: DataFrame
     counts: DataFrame | None = None
     without: tuple[str, ...] = ()
+    loose: bool = False
 
     @classmethod
     def of(cls, index: DataFrame, group: Column | None = None, columns: Sequence[str] | None = None) -> "StoredStats":
@@ -72,8 +77,8 @@ class StoredStats:
     def read(cls, spark: SparkSession, path: str, grouped: bool = False) -> "StoredStats":
         return cls(spark.read.parquet(f"{path}/sketches"), spark.read.parquet(f"{path}/counts") if grouped else None)
 
-    def lacking(self, groups: Sequence[str]) -> "StoredStats":
-        return replace(self, without=tuple(groups))
+    def lacking(self, groups: Sequence[str], loose: bool = False) -> "StoredStats":
+        return replace(self, without=tuple(groups), loose=loose)
 
     def load(self, points: np.ndarray, filter: str | Column | None = None, columns: Sequence[str] = ()) -> "CellCounts":
         """What a search needs: one row per cell comes to the driver.
@@ -94,7 +99,7 @@ class StoredStats:
         for row in cells.collect():
             bound = row["rows"] if row["bound"] is None else min(row["bound"], row["rows"])
             count[row["cell"]], radius[row["cell"]] = bound, row["radius"]
-            known[row["cell"]] = bound == 0 or (bool(row["exact"]) and not (self.without and filter is not None))
+            known[row["cell"]] = bound == 0 or (bool(row["exact"]) and not self.loose and not (self.without and filter is not None))
         return CellCounts(CellStats(points, count, radius), known)
 
     def _bounds(self, filter: str, columns: set[str]) -> DataFrame | None:

@@ -13,23 +13,23 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..errors import InvalidArgument
 from ..functions import metrics, spaces
-from ..functions.arrow import dense_block
+from ..functions.arrow import dense_block, list_column
 from ..functions.predicates import predicate, where
 from ..session import settle
 from .cell_stats import CellCounts, StoredStats
-from .knn_join import CellStats, as_mips, bounded_block, fold_queries, knn_join, largest_norm, nearest, route, vector_dimension
+from .knn_join import CellStats, as_mips, bounded_block, fold_queries, knn_join, largest_norm, route, vector_dimension
 from .search import knn
 from .tiles import BLOCK_BYTES, arrow_schema, probe_scan, rank_hits, tile_topk
 
 N_LIST, N_ITERS = 128, 10
+#: Rows of the training sample for each cell.
+PER_CELL = 256
 SOAR_WEIGHT = 1.0
 #: Folder of the statistics inside an index; Spark's readers of the index pass it over.
 STATS = "_stats"
@@ -65,17 +65,89 @@ def train_centroids(
     n_iters: int = N_ITERS,
     metric: str = "l2",
     seed: int = 17,
+    per_cell: int = PER_CELL,
 ) -> Centroids:
-    """k-means over the collection."""
+    """k-means over a sample of about ``per_cell`` rows for each cell.
+
+    The sample fits the points only: :func:`assign` places every row. It is lifted and
+    written once in single precision; a round is one pass in which each task returns a
+    sum for each cell, so a round moves tasks times cells rows whatever the sample's size.
+    A cell that loses all members starts again at a row far from its own cell.
+    """
     metrics.check_metric(metric)
     dimension = vector_dimension(df, field)
     top = largest_norm(df, field, dimension) if metric in ("ip", "mipsl2") else None
     rows = df.select(field)
-    lifted = spaces.lifted_column(metric, field, dimension, top)
-    features = rows.select(lifted.alias("v")).where("v is not null").select(array_to_vector("v").alias("features"))
-    model = KMeans(k=n_list, maxIter=n_iters, seed=seed).fit(features)
-    points = np.unique(np.array(model.clusterCenters()), axis=0)
-    return Centroids(points, metric, dimension, top)
+    share = per_cell * n_list / max(1, df.count())
+    if share < 1:
+        rows = rows.where(F.rand(seed) < share)
+
+    def lifted(batches):
+        for batch in batches:
+            _, block = dense_block(batch[field], dimension)
+            with np.errstate(all="ignore"):
+                block = spaces.lift_members(metric, block, top).astype(np.float32)
+            block = block[np.isfinite(block).all(axis=1)]
+            yield pa.RecordBatch.from_arrays([list_column(block, pa.float32())], names=["v"])
+
+    sample = settle(rows.mapInArrow(lifted, "v array<float>"))
+    width = dimension if metric in ("l2", "cosine") else dimension + 1
+    # Rows by their hash are a draw that does not depend on the table's order.
+    first = sample.distinct().orderBy(F.xxhash64(F.lit(seed), "v"), "v").limit(n_list).toArrow()
+    points = dense_block(first["v"], width)[1]
+    for _ in range(n_iters if len(points) else 0):
+        moved = _round(sample, points, width)
+        if np.allclose(moved, points, rtol=1e-4, atol=1e-6):
+            points = moved
+            break
+        points = moved
+    return Centroids(np.unique(points, axis=0) if len(points) else np.zeros((0, width)), metric, dimension, top)
+
+
+_SUMS = pa.schema([("cell", pa.int32()), ("n", pa.int64()), ("total", pa.list_(pa.float64())), ("gap", pa.float64()), ("far", pa.list_(pa.float32()))])
+
+
+def _round(sample: DataFrame, points: np.ndarray, width: int) -> np.ndarray:
+    """The mean of each point's rows in the sample."""
+    single = points.astype(np.float32)
+
+    def sums(batches):
+        nearest = spaces.Nearest(single)
+        total, n = np.zeros((len(single), width)), np.zeros(len(single), np.int64)
+        gap, far = np.full(len(single), -1.0), np.zeros((len(single), width), np.float32)
+        for batch in batches:
+            block = batch["v"].flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+            if not len(block):
+                continue
+            cell, dist = nearest.find(block)
+            order = np.argsort(cell, kind="stable")
+            starts = np.flatnonzero(np.append(True, np.diff(cell[order]) > 0))
+            own = cell[order][starts]
+            total[own] += np.add.reduceat(block[order], starts, axis=0, dtype=np.float64)
+            n[own] += np.diff(np.append(starts, len(block)))
+            by_gap = np.lexsort((dist, cell))
+            last = by_gap[np.append(starts[1:], len(block)) - 1]
+            wider = dist[last] > gap[own]
+            gap[own[wider]], far[own[wider]] = dist[last][wider], block[last[wider]]
+        held = np.flatnonzero(n)
+        columns = [pa.array(held, pa.int32()), pa.array(n[held]), list_column(total[held], pa.float64()), pa.array(gap[held]), list_column(far[held], pa.float32())]
+        yield pa.RecordBatch.from_arrays(columns, schema=_SUMS)
+
+    def folded(t: pa.Table) -> pa.Table:
+        widest = int(np.argmax(t["gap"].to_numpy()))
+        total = dense_block(t["total"], width)[1].sum(axis=0, keepdims=True)
+        columns = [t["cell"].slice(0, 1), pa.array([t["n"].to_numpy().sum()]), list_column(total, pa.float64()), t["gap"].slice(widest, 1), t["far"].slice(widest, 1)]
+        return pa.Table.from_arrays([c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in columns], schema=_SUMS)
+
+    spec = "cell int, n long, total array<double>, gap double, far array<float>"
+    found = sample.mapInArrow(sums, spec).groupBy("cell").applyInArrow(folded, spec).toArrow()  # one row per cell
+    moved = points.copy()
+    cell = found["cell"].to_numpy()
+    moved[cell] = dense_block(found["total"], width)[1] / found["n"].to_numpy()[:, None]
+    empty = np.setdiff1d(np.arange(len(points)), cell)
+    widest = np.argsort(-found["gap"].to_numpy(), kind="stable")[: len(empty)]
+    moved[empty[: len(widest)]] = dense_block(found["far"], width)[1][widest]
+    return moved
 
 
 def assign(df: DataFrame, field: str, cells: Centroids, *, soar: bool = False, weight: float = SOAR_WEIGHT) -> DataFrame:
@@ -96,12 +168,13 @@ def assign(df: DataFrame, field: str, cells: Centroids, *, soar: bool = False, w
     out = arrow_schema(schema)
 
     def place(batches):
+        nearest = spaces.Nearest(cells.points)
         for batch in batches:
             rows, block = dense_block(batch[field], cells.dimension)
             lifted = cells.lift(block)
             sound = ~np.isnan(lifted).any(axis=1)
             rows, lifted = rows[sound], lifted[sound]
-            cell, gap = nearest(lifted, cells.points)
+            cell, gap = nearest.find(lifted)
             yield emit(batch, rows, cell, gap, False)
             if soar and len(cells.points) > 1:
                 inside = cell < len(cells.points)

@@ -202,12 +202,13 @@ def assign_cells(members, points, metric, dimension, top) -> DataFrame:
     out = arrow_schema(schema)
 
     def assign(batches):
+        nearest = spaces.Nearest(points)
         for batch in batches:
             rows, block = dense_block(batch["vector"], dimension)
             lifted = spaces.lift_members(metric, block, top)
             placed = ~np.isnan(lifted).any(axis=1)
             rows, lifted = rows[placed], lifted[placed]
-            cell, dist = nearest(lifted, points)
+            cell, dist = nearest.find(lifted)
             kept = batch.select(["pk", "vector"]).take(pa.array(rows))
             yield pa.RecordBatch.from_arrays(
                 [*kept.columns, pa.array(cell), pa.array(dist)], schema=out
@@ -216,18 +217,6 @@ def assign_cells(members, points, metric, dimension, top) -> DataFrame:
     return members.select("pk", "vector").mapInArrow(assign, schema)
 
 
-def nearest(lifted: np.ndarray, points: np.ndarray):
-    """Number and distance of the nearest point; ``len(points)`` if none."""
-    if not len(points):
-        return np.zeros(len(lifted), np.int32), np.full(len(lifted), np.inf)
-    gap = spaces.distances(lifted, points)
-    gap[~np.isfinite(gap)] = np.inf
-    cell = gap.argmin(axis=1).astype(np.int32)
-    dist = gap[np.arange(len(gap)), cell]
-    cell[np.isinf(dist)] = len(points)
-    return cell, dist
-
-
 class CellStats:
     """Bounded summary of the cells: points, row counts and radii."""
 

@@ -264,20 +264,23 @@ def key_group(pk: str, digits: int) -> Column:
 
 
 def assign_doc_ids(df: DataFrame, *, pk: str, start: int = 0, digits: int = 3, name: str = "_doc_id") -> DataFrame:
-    """Dense, unique document ids without a single-task sort.
+    """Dense document ids in order of the key's hash group, then of the key.
 
-    Keys are numbered within hash groups (16 ** digits of them) and each group is
-    shifted by the size of the groups before it.
+    The keys alone are sorted by ranges and numbered within their partition; the sizes of
+    the partitions before it shift a partition's numbers. No group of rows has to fit a
+    task, and whole rows move once, to their number. Keys are unique, as in a collection;
+    rows without a key are left out.
     """
-    grouped = df.withColumn("_g", key_group(pk, digits))
-    sizes = grouped.groupBy("_g").agg(F.count(F.lit(1)).alias("_c"))
-    # At most 16 ** digits rows, so a running sum in one task and a broadcast are fine.
-    before = Window.orderBy("_g").rowsBetween(Window.unboundedPreceding, -1)
-    shift = sizes.select("_g", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_shift"))
-    place = F.row_number().over(Window.partitionBy("_g").orderBy(pk))
-    return (
-        grouped.withColumn("_n", place)
-        .join(F.broadcast(shift), "_g")
-        .withColumn(name, F.col("_shift") + F.col("_n") - 1 + start)
-        .drop("_g", "_n", "_shift")
-    )
+    keys = df.where(F.col(pk).isNotNull()).select(pk, key_group(pk, digits).alias("_g"))
+    part = F.spark_partition_id()
+    place = F.monotonically_increasing_id() - F.shiftleft(part.cast("long"), 33)
+    # Written once: numbers must not change when a partition is computed again.
+    placed = settle(keys.repartitionByRange("_g", pk).sortWithinPartitions("_g", pk).select(pk, part.alias("_p"), place.alias("_n")))
+    sizes = sorted((r["_p"], r["n"]) for r in placed.groupBy("_p").agg(F.count("*").alias("n")).collect())  # one row per partition
+    shifts, at = [], start
+    for number, n in sizes:
+        shifts.append((number, at))
+        at += n
+    table = df.sparkSession.createDataFrame(shifts, "_p int, _shift long")
+    numbered = placed.join(F.broadcast(table), "_p").select(pk, (F.col("_shift") + F.col("_n")).alias(name))
+    return df.join(numbered, pk).select(*df.columns, name)

@@ -1,11 +1,17 @@
 """A collection: one Parquet table at a path, changed snapshot by snapshot.
 
 ``path/data/_commit=N-id/_group=G/`` holds the rows written by commit N, grouped by a
-hash of the key; ``path/log/v=N/`` lists, as rows, the folders that make up
+hash of the key; ``path/changes/`` in the same layout holds rows that replace or delete
+earlier rows of their key. ``path/log/v=N/`` lists, as rows, the folders that make up
 snapshot N together with the schema. A commit writes its data first and its log
 entry last. A collection has one writer at a time: a later writer that finds its
-number taken fails, but two that commit in the same moment are not kept apart. A
-write only rewrites the key groups its batch touches; an insert only adds files.
+number taken fails, but two that commit in the same moment are not kept apart.
+
+An insert only adds files; updates, upserts and deletes only add change rows, in
+proportion to their batch. A read lays the last change of a key over the rows that are
+older, in the key groups that have changes; the others are read as they are. After
+``FOLD_AFTER`` commits with changes, and by ``optimize``, the groups they touch are
+rewritten without them.
 """
 
 from __future__ import annotations
@@ -38,6 +44,11 @@ from .records import PRESENT, conform_records, error_column
 
 GROUP = "_group"
 LOG_SCHEMA = "facts string, part string, v int"
+#: What a change row does, and the commit that wrote a row.
+OP, SEQUENCE = "_op", "_seq"
+#: Mark of a folder of changes in the log.
+CHANGE = "~"
+FOLD_AFTER = 16
 
 
 @dataclass(frozen=True)
@@ -49,6 +60,17 @@ class Snapshot:
     next_id: int
     applied: dict = field(default_factory=dict)
     indexes: dict = field(default_factory=dict)
+    changes: tuple[str, ...] = ()
+
+
+@dataclass(frozen=True)
+class IndexState:
+    """Key groups rewritten since an index was built; folders it has, lacks, and changes it does not know."""
+
+    rewritten: tuple[str, ...]
+    valid: tuple[str, ...]
+    fresh: tuple[str, ...]
+    changes: tuple[str, ...]
 
 
 class Collection:
@@ -115,17 +137,18 @@ class Collection:
         return Snapshot(
             number,
             schema_from_json(facts["schema"]),
-            tuple(sorted(r["part"] for r in found if r["part"])),
+            tuple(sorted(r["part"] for r in found if r["part"] and not r["part"].startswith(CHANGE))),
             facts["digits"],
             facts["next_id"],
             facts["applied"],
             facts["indexes"],
+            tuple(sorted(r["part"][len(CHANGE) :] for r in found if r["part"] and r["part"].startswith(CHANGE))),
         )
 
     def scan(self, version: int | None = None, *, internal: bool = False) -> DataFrame:
         """Current rows; ``internal`` keeps the document id and the key group."""
         snap = self.snapshot(version)
-        df = self._read(snap, snap.parts)
+        df = self._rows(snap)
         return df if internal else df.drop(GROUP, DOC_ID)
 
     # -- documents -----------------------------------------------------------
@@ -143,11 +166,8 @@ class Collection:
         good = done.where("code = 'ok'")
         given = [c for c in snap.schema.names() if c in batch.columns]
         extra = [c for c in (PRESENT, "_pos") if c in good.columns]
-        self._rewrite(
-            snap,
-            self._groups(good),
-            lambda base: writes.patched(base, good.select(*given, *extra), snap.schema.pk),
-        )
+        held = self._rows(snap, self._groups(good)).drop(GROUP).join(good.select(snap.schema.pk), snap.schema.pk, "left_semi")
+        self._change(snap, writes.patched(held, good.select(*given, *extra), snap.schema.pk))
         return _result_rows(done, snap.schema.pk)
 
     def upsert(
@@ -171,46 +191,42 @@ class Collection:
         if newest and not order:
             raise InvalidArgument("newest needs the order fields")
 
-        def change(base: DataFrame) -> DataFrame:
-            stored = F.struct(*[F.col(c) for c in order]) if newest else F.lit(None)
-            held = base.select(pk, F.col(DOC_ID).alias("_old"), stored.alias("_stored"))
-            known = last.join(held, pk, "left")
-            if newest:
-                later = F.col("_stored") > F.struct(*[F.col(c) for c in order])
-                stale = known.where(F.coalesce(later, F.lit(False))).select(pk)
-                known = known.join(stale, pk, "left_anti")
-            known = known.drop("_stored")
-            old = known.where("_old is not null").withColumn(DOC_ID, F.col("_old")).drop("_old")
-            new = self._with_ids(known.where("_old is null").drop("_old"), snap)
-            kept = base.join(known.select(pk), pk, "left_anti")
-            return kept.unionByName(writes._like(old, base)).unionByName(writes._like(new, base))
-
-        self._rewrite(snap, self._groups(last), change, applied=applied)
+        stored = F.struct(*[F.col(c) for c in order]) if newest else F.lit(None)
+        base = self._rows(snap, self._groups(last)).drop(GROUP)
+        held = base.select(pk, F.col(DOC_ID).alias("_old"), stored.alias("_stored"))
+        known = last.join(held, pk, "left")
+        if newest:
+            later = F.col("_stored") > F.struct(*[F.col(c) for c in order])
+            known = known.where(~F.coalesce(later, F.lit(False)))
+        # Settled: ids are given to the new keys, and both halves are written.
+        known = settle(known.drop("_stored"), self.spark)
+        old = known.where("_old is not null").withColumn(DOC_ID, F.col("_old")).drop("_old")
+        new = self._with_ids(known.where("_old is null").drop("_old"), snap)
+        self._change(snap, writes._like(old, base).unionByName(writes._like(new, base)), applied=applied)
         return _result_rows(done, pk)
 
     def delete(self, keys: DataFrame, *, order: Sequence[str] | None = None) -> DataFrame:
         snap = self.snapshot()
         pk = snap.schema.pk
         named = keys.withColumn(GROUP, writes.key_group(pk, snap.digits))
-        base = self._read(snap, self._parts_of(snap, self._groups(named)))
-        done = settle(writes.classify_delete(base, named, pk=pk, order=order))
-        gone = done.where("code = 'ok'")
-        self._rewrite(snap, self._groups(gone), lambda b: b.join(gone.select(pk), pk, "left_anti"))
+        done = settle(writes.classify_delete(self._rows(snap, self._groups(named)), named, pk=pk, order=order))
+        self._change(snap, gone=done.where("code = 'ok'").select(pk))
         return _result_rows(done, pk)
 
     def delete_by_filter(self, condition: str) -> None:
         snap = self.snapshot()
-        base = self._read(snap, snap.parts)
+        base = self._rows(snap)
         hit = predicate(base, condition, columns=snap.schema.names())
-        touched = self._groups(base.where(hit))
-        self._rewrite(snap, touched, lambda b: writes.delete_by_filter(b, hit))
+        if hit is None:
+            raise InvalidArgument("filter must be set")
+        self._change(snap, gone=base.where(hit).select(snap.schema.pk))
 
     def fetch(self, keys: DataFrame, *, position: str = "pos") -> DataFrame:
         """Documents for ``(position, key)`` rows; only their key groups are read."""
         snap = self.snapshot()
         pk = snap.schema.pk
         groups = self._groups(keys.withColumn(GROUP, writes.key_group(pk, snap.digits)))
-        rows = self._read(snap, self._parts_of(snap, groups)).drop(GROUP, DOC_ID)
+        rows = self._rows(snap, groups).drop(GROUP, DOC_ID)
         return fetch(rows, keys, pk=pk, position=position)
 
     def search(
@@ -241,7 +257,7 @@ class Collection:
         pk = snap.schema.pk
         options["metric"] = metric or _metric(declared)
         self._check_filter(snap, options.get("filter"))
-        rows = self._read(snap, snap.parts).drop(GROUP)
+        rows = self._rows(snap).drop(GROUP)
         if n_probe is not None or ef is not None:
             one = self.spark.createDataFrame([(0, [float(x) for x in vector])], "qid int, v array<double>")
             asked = {c: options[c] for c in ("k", "filter", "radius") if c in options}
@@ -260,7 +276,7 @@ class Collection:
         found = knn(rows, field, vector, pk=pk, **narrow).select(pk, "score").collect()  # k rows
         hits = self.spark.createDataFrame(found, full.select(pk, "score").schema)
         keyed = hits.withColumn(GROUP, writes.key_group(pk, snap.digits))
-        wanted = self._read(snap, self._parts_of(snap, self._groups(keyed))).where(
+        wanted = self._rows(snap, self._groups(keyed)).where(
             F.col(pk).isin([r[pk] for r in found])
         )
         order = closest_first(options["metric"], F.col("score"))
@@ -317,12 +333,12 @@ class Collection:
     def _rows_of(self, snap: Snapshot, hits: DataFrame) -> DataFrame:
         """The rows of the key groups that ``hits`` (settled, with the key) fall in."""
         keyed = hits.withColumn(GROUP, writes.key_group(snap.schema.pk, snap.digits))
-        return self._read(snap, self._parts_of(snap, self._groups(keyed))).drop(GROUP)
+        return self._rows(snap, self._groups(keyed)).drop(GROUP)
 
     def _check_filter(self, snap: Snapshot, condition) -> None:
         """A filter names today's columns; an index may still hold dropped ones."""
         if condition is not None:
-            predicate(self._read(snap, ()), condition, columns=snap.schema.names())
+            predicate(self._rows(snap, set()), condition, columns=snap.schema.names())
 
     def _hits(
         self, snap: Snapshot, queries, field, chosen, *, qid, query_field, k, filter, n_probe, ef, scale_factor, linear
@@ -334,30 +350,30 @@ class Collection:
         shape = dict(qid=qid, pk=pk, field=field, query_field=query_field, k=k)
         facts = snap.indexes.get(field)
         if facts is None or linear or facts["metric"] != chosen:
-            rows = self._read(snap, snap.parts).drop(GROUP)
+            rows = self._rows(snap).drop(GROUP)
             return knn_join(queries, rows, metric=chosen, filter=filter, **shape)
-        rewritten, valid, fresh = self._index_state(snap, facts)
+        state = self._index_state(snap, facts)
         scan = dict(metric=chosen, filter=filter, **shape)
-        if not valid:
+        if not state.valid:
             # After a change of the schema the index has nothing current to give.
-            return knn_join(queries, self._read(snap, snap.parts).drop(GROUP), **scan)
+            return knn_join(queries, self._rows(snap).drop(GROUP), **scan)
         table, cells = self._index(facts)
         if filter is not None and not self._covers(table, filter):
-            return knn_join(queries, self._read(snap, snap.parts).drop(GROUP), **scan)
-        if rewritten:
-            table = table.where(~writes.key_group(pk, snap.digits).isin(rewritten))
-        # Indexes written before statistics were kept are measured instead.
-        known = ivf.StoredStats.read(self.spark, f"{facts['table']}/cells/{ivf.STATS}", grouped=True).lacking(rewritten) if facts.get("stats") else None
+            return knn_join(queries, self._rows(snap).drop(GROUP), **scan)
+        table, known = self._current(snap, table, state), None
+        if facts.get("stats"):  # else the index is older than these statistics and is measured
+            known = ivf.StoredStats.read(self.spark, f"{facts['table']}/cells/{ivf.STATS}", grouped=True)
+            known = known.lacking(state.rewritten, loose=bool(state.changes))
         top = None
         if chosen == "mipsl2":
             # Parts are merged by the product; the score refers to today's largest norm.
             cells = replace(cells, metric="ip")
-            top = largest_norm(self._read(snap, snap.parts), field, cells.dimension)
+            top = largest_norm(self._rows(snap), field, cells.dimension)
         if facts["quantize"]:
             found = ivf.ivf_knn_refined(
                 queries,
                 table,
-                self._read(snap, snap.parts),
+                self._rows(snap),
                 cells,
                 self._quantizer(facts),
                 scale_factor=scale_factor,
@@ -371,8 +387,8 @@ class Collection:
             found = ivf.ann_knn(queries, table, cells, ef=ef, filter=filter, stats=known, **shape)
         else:
             found = ivf.ivf_knn(queries, table, cells, n_probe=n_probe, filter=filter, stats=known, **shape)
-        if fresh:
-            rows = self._read(snap, fresh).drop(GROUP)
+        if state.rewritten or state.fresh or state.changes:
+            rows = self._fresh(snap, state, facts["version"]).drop(GROUP)
             new = knn_join(queries, rows, metric=cells.metric, filter=filter, **shape)
             found = rank_hits(found.drop("rank").unionByName(new.drop("rank")), k, cells.metric)
         if top is None:
@@ -380,13 +396,30 @@ class Collection:
         asked = queries.select(F.col(qid).alias("qid"), F.col(query_field or field).alias("vector"))
         return as_mips(found, fold_queries(asked, cells.dimension), top)
 
-    def _index_state(self, snap: Snapshot, facts: dict) -> tuple[list[str], list[str], list[str]]:
-        """Rewritten key groups, folders whose rows the index still has, folders it lacks."""
-        built = set(self.snapshot(facts["version"]).parts)
+    def _index_state(self, snap: Snapshot, facts: dict) -> "IndexState":
+        """What of an index still holds, and what it lacks."""
+        then = self.snapshot(facts["version"])
+        built = set(then.parts)
         # A group that lost a folder was rewritten: all its current rows are fresh.
         rewritten = sorted({self._group_of(p) for p in built - set(snap.parts)})
-        valid = [p for p in snap.parts if p in built and self._group_of(p) not in rewritten]
-        return rewritten, valid, [p for p in snap.parts if p not in valid]
+        kept = [p for p in snap.parts if self._group_of(p) not in rewritten]
+        changes = [c for c in snap.changes if c not in then.changes and self._group_of(c) not in rewritten]
+        return IndexState(tuple(rewritten), tuple(p for p in kept if p in built), tuple(p for p in kept if p not in built), tuple(changes))
+
+    def _current(self, snap: Snapshot, table: DataFrame, state: "IndexState") -> DataFrame:
+        """The rows of an index table that no later write has touched."""
+        pk = snap.schema.pk
+        if state.rewritten:
+            table = table.where(~writes.key_group(pk, snap.digits).isin(list(state.rewritten)))
+        if state.changes:
+            table = table.join(self._files(snap, "changes", state.changes).select(pk), pk, "left_anti")
+        return table
+
+    def _fresh(self, snap: Snapshot, state: "IndexState", version: int) -> DataFrame:
+        """Current rows that an index of a version lacks."""
+        rows = self._rows(snap, set(state.rewritten))
+        groups = {self._group_of(c) for c in state.changes} | {self._group_of(p) for p in state.fresh}
+        return rows.unionByName(self._laid(snap, state.fresh, self._of(snap.changes, groups - set(state.rewritten)), since=version))
 
     @staticmethod
     def _covers(table: DataFrame, condition: str) -> bool:
@@ -412,7 +445,7 @@ class Collection:
         snap = self.snapshot()
         schema = _checked(replace(snap.schema, fields=(*snap.schema.fields, new)))
         if not new.nullable:
-            _no_nulls(ddl.add_column(self._read(snap, snap.parts), new, default), new.name)
+            _no_nulls(ddl.add_column(self._rows(snap), new, default), new.name)
         self._rewrite_all(snap, schema, lambda df: ddl.add_column(df, new, default))
 
     def drop_column(self, name: str) -> None:
@@ -439,7 +472,7 @@ class Collection:
         snap = self.snapshot()
         fields = tuple(new if f.name == new.name else f for f in snap.schema.fields)
         schema = replace(snap.schema, fields=fields).validate()
-        changed, errors = ddl.cast_column(self._read(snap, snap.parts), new)
+        changed, errors = ddl.cast_column(self._rows(snap), new)
         if not new.nullable:
             _no_nulls(changed, new.name)
         self._rewrite_all(snap, schema, lambda df: ddl.cast_column(df, new)[0])
@@ -447,8 +480,11 @@ class Collection:
 
     # -- indexes and maintenance ---------------------------------------------
 
-    def create_index(self, name: str, index: Index, *, keep: Sequence[str] | None = None) -> None:
-        """Record an index on a field; vector indexes other than flat build a table."""
+    def create_index(self, name: str, index: Index, *, keep: Sequence[str] | None = None, cells=None) -> None:
+        """Record an index on a field; vector indexes other than flat build a table.
+
+        ``cells`` are trained centroids to use instead of new ones.
+        """
         from ..operators import index as ivf
 
         snap = self.snapshot()
@@ -457,8 +493,8 @@ class Collection:
         indexes = dict(snap.indexes)
         number = snap.version + 1
         if index.type in ("ivf", "hnsw"):
-            df = self._read(snap, snap.parts).drop(GROUP, DOC_ID)
-            cells = ivf.train_centroids(
+            df = self._rows(snap).drop(GROUP, DOC_ID)
+            cells = cells or ivf.train_centroids(
                 df,
                 name,
                 n_list=index.n_list or ivf.N_LIST,
@@ -522,21 +558,33 @@ class Collection:
         lo, hi = ([r[c] for r in rows] for c in ("lo", "hi"))
         return Quantizer(facts["quantize"], np.array(lo), np.array(hi))
 
-    def optimize(self, sort_by: Sequence[str] | None = None) -> None:
-        """Rewrite the snapshot as few sorted files and rebuild index tables."""
+    def optimize(self, sort_by: Sequence[str] | None = None, *, retrain: bool = False, group_digits: int | None = None) -> None:
+        """Rewrite the snapshot as few sorted files and rebuild index tables.
+
+        Trained cells are used again, unless ``retrain`` or a vector has outgrown the norm
+        that ip and mipsl2 cells were trained for. ``group_digits`` changes the number of
+        key groups.
+        """
         snap = self.snapshot()
         keys = list(sort_by or snap.schema.names("indexed"))
         keys = [c for c in keys if not snap.schema[c].is_vector]
+        if group_digits is not None:
+            snap = replace(snap, digits=group_digits)
         self._rewrite_all(snap, snap.schema, lambda df: df, sort_by=[*keys, snap.schema.pk])
         for name, facts in snap.indexes.items():
             keep = facts.get("keep")
             held = None if keep is None else [c for c in keep if c in snap.schema]
-            self.create_index(name, snap.schema[name].index, keep=held)
+            cells = None if retrain else self._index(facts)[1]
+            if cells is not None and cells.max_norm is not None:
+                now = self.snapshot()
+                if largest_norm(self._rows(now), name, cells.dimension) > cells.max_norm:
+                    cells = None
+            self.create_index(name, snap.schema[name].index, keep=held, cells=cells)
 
     def stats(self) -> DataFrame:
         """Rows ``(metric, field, value)``: document count, index completeness."""
         snap = self.snapshot()
-        df = self._read(snap, snap.parts)
+        df = self._rows(snap)
         out = stats.doc_count(df).select(
             F.lit("doc_count").alias("metric"),
             F.lit(None).cast("string").alias("field"),
@@ -544,12 +592,10 @@ class Collection:
         )
         for name, facts in snap.indexes.items():
             held = df.where(F.col(name).isNotNull())
-            rewritten, valid, _ = self._index_state(snap, facts)
-            if valid:
+            state = self._index_state(snap, facts)
+            if state.valid:
                 # What a search would not use does not count as indexed.
-                table = self.spark.read.parquet(f"{facts['table']}/cells")
-                if rewritten:
-                    table = table.where(~writes.key_group(snap.schema.pk, snap.digits).isin(rewritten))
+                table = self._current(snap, self.spark.read.parquet(f"{facts['table']}/cells"), state)
             else:
                 table = held.select(snap.schema.pk).limit(0)
             share = stats.index_completeness(held, table, pk=snap.schema.pk)
@@ -584,7 +630,7 @@ class Collection:
             },
             sort_keys=True,
         )
-        folders = F.from_json(F.lit(json.dumps(snap.parts)), "array<string>")
+        folders = F.from_json(F.lit(json.dumps([*snap.parts, *(CHANGE + c for c in snap.changes)])), "array<string>")
         entry = self.spark.range(0, 1, 1, 1).select(
             F.lit(facts).alias("facts"), F.explode_outer(folders).alias("part")
         )
@@ -604,21 +650,54 @@ class Collection:
             ]
         )
 
-    def _read(self, snap: Snapshot, parts: Sequence[str]) -> DataFrame:
-        struct = self._struct(snap.schema)
+    def _files(self, snap: Snapshot, kind: str, parts: Sequence[str]) -> DataFrame:
+        """Rows of folders of ``data`` or ``changes``, with the commit that wrote them."""
+        extra = [T.StructField(OP, T.StringType())] if kind == "changes" else []
+        struct = T.StructType([*self._struct(snap.schema).fields, *extra])
         if not parts:
-            return self.spark.createDataFrame([], struct)
+            return self.spark.createDataFrame([], struct.add(SEQUENCE, T.LongType()))
         reader = self.spark.read.schema(T.StructType([*struct.fields, T.StructField("_commit", T.StringType())]))
-        base = f"{self.path}/data"
+        base = f"{self.path}/{kind}"
         df = reader.option("basePath", base).parquet(*[f"{base}/{p}" for p in parts])
-        return df.select(*[F.col(f"`{f.name}`").alias(f.name, metadata=f.metadata) for f in struct.fields])
+        sequence = F.substring_index("_commit", "-", 1).cast("long").alias(SEQUENCE)
+        return df.select(*[F.col(f"`{f.name}`").alias(f.name, metadata=f.metadata) for f in struct.fields], sequence)
+
+    def _rows(self, snap: Snapshot, groups: set[str] | None = None) -> DataFrame:
+        """Current rows, of all or of some key groups."""
+        if groups is None:
+            return self._laid(snap, snap.parts, snap.changes)
+        return self._laid(snap, self._of(snap.parts, groups), self._of(snap.changes, groups))
+
+    def _laid(self, snap: Snapshot, parts: Sequence[str], changes: Sequence[str], since: int = -1) -> DataFrame:
+        """Rows of the folders with the changes laid over them; those after commit ``since`` add theirs."""
+        struct, pk = self._struct(snap.schema), snap.schema.pk
+
+        def plain(df: DataFrame) -> DataFrame:
+            return df.select(*[F.col(f"`{f.name}`").alias(f.name, metadata=f.metadata) for f in struct.fields])
+
+        touched = {self._group_of(c) for c in changes}
+        clean = [p for p in parts if self._group_of(p) not in touched]
+        rows = plain(self._files(snap, "data", clean))
+        if not changes:
+            return rows
+        every = self._files(snap, "changes", changes)
+        # A commit has one change for a key.
+        last = every.groupBy(pk).agg(F.max_by(F.struct(*[F.col(f"`{c}`") for c in every.columns]), SEQUENCE).alias("c"))
+        put = last.where(f"c.{OP} = 'put'").where(F.col(f"c.{SEQUENCE}") > since).select("c.*")
+        covered = every.groupBy(pk).agg(F.max(SEQUENCE).alias("_last"))
+        under = self._files(snap, "data", self._of(parts, touched)).join(covered, pk, "left")
+        over = under.where(F.col("_last").isNull() | (F.col(SEQUENCE) > F.col("_last")))
+        rest = plain(over).unionByName(plain(put))
+        return rest if not clean else rows.unionByName(rest)
 
     @staticmethod
     def _group_of(part: str) -> str:
-        return part.rsplit("=", 1)[1]
+        name = part.rsplit("=", 1)[1]
+        return "" if name == "__HIVE_DEFAULT_PARTITION__" else name
 
-    def _parts_of(self, snap: Snapshot, groups: set[str]) -> list[str]:
-        return [p for p in snap.parts if self._group_of(p) in groups]
+    @classmethod
+    def _of(cls, parts: Sequence[str], groups: set[str]) -> list[str]:
+        return [p for p in parts if cls._group_of(p) in groups]
 
     @staticmethod
     def _groups(rows: DataFrame) -> set[str]:
@@ -651,8 +730,7 @@ class Collection:
             "update": writes.classify_update,
             "upsert": writes.classify_upsert,
         }[op]
-        parts = [] if op == "upsert" else self._parts_of(snap, self._groups(good))
-        done = classify(self._read(snap, parts), good, pk=snap.schema.pk)
+        done = classify(self._rows(snap, set() if op == "upsert" else self._groups(good)), good, pk=snap.schema.pk)
         rejected = judged.where("_bad is not null").select(
             *[c for c in judged.columns if c != "_bad"],
             F.lit(op).alias("op"),
@@ -667,13 +745,15 @@ class Collection:
         return writes.assign_doc_ids(rows, pk=snap.schema.pk, start=snap.next_id, digits=max(snap.digits, 2))
 
     def _write(
-        self, rows: DataFrame, snap: Snapshot, number: int, sort_by: Sequence[str] = ()
+        self, rows: DataFrame, snap: Snapshot, number: int, sort_by: Sequence[str] = (), kind: str = "data"
     ) -> tuple[list[str], int]:
         """Write rows of commit ``number``: the folders that came out and the next id."""
         struct = self._struct(snap.schema)
+        if kind == "changes":
+            struct = T.StructType([*struct.fields, T.StructField(OP, T.StringType())])
         # A name of its own, so that a writer that loses the race harms nothing.
         commit = f"_commit={number}-{uuid.uuid4().hex[:8]}"
-        table = f"{self.path}/data/{commit}"
+        table = f"{self.path}/{kind}/{commit}"
         # AQE merges small groups and splits large ones after this shuffle.
         top = Observation()
         spread = rows.select(*struct.names).hint("rebalance", F.col(GROUP))
@@ -698,27 +778,32 @@ class Collection:
         added, next_id = self._write(rows, snap, number)
         self._log(replace(snap, version=number, parts=(*snap.parts, *added), next_id=next_id))
 
-    def _rewrite(self, snap: Snapshot, groups: set[str], change, *, applied: dict | None = None) -> None:
-        number = snap.version + 1
-        old = self._parts_of(snap, groups)
-        base = self._read(snap, old)
-        rows = change(base.drop(GROUP)).withColumn(GROUP, writes.key_group(snap.schema.pk, snap.digits))
-        added, next_id = self._write(rows, snap, number) if groups else ([], snap.next_id)
-        kept = tuple(p for p in snap.parts if p not in set(old))
-        self._log(
-            replace(
-                snap,
-                version=number,
-                parts=(*kept, *added),
-                next_id=next_id,
-                applied={**snap.applied, **(applied or {})},
-            )
-        )
+    def _change(self, snap: Snapshot, put: DataFrame | None = None, gone: DataFrame | None = None, *, applied: dict | None = None) -> None:
+        """Commit new rows of keys (``put``, whole) or keys that go (``gone``)."""
+        struct, number = self._struct(snap.schema), snap.version + 1
+        rows = put
+        if put is None:
+            nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in struct.fields if f.name not in (snap.schema.pk, GROUP)]
+            rows = gone.select(snap.schema.pk, *nulls)
+        rows = rows.withColumn(GROUP, writes.key_group(snap.schema.pk, snap.digits)).withColumn(OP, F.lit("put" if gone is None else "gone"))
+        added, next_id = self._write(rows, snap, number, kind="changes")
+        after = replace(snap, version=number, next_id=next_id, applied={**snap.applied, **(applied or {})}, changes=(*snap.changes, *added))
+        self._log(after)
+        if len({c.split("/", 1)[0] for c in after.changes}) >= FOLD_AFTER:
+            self._fold(after)
+
+    def _fold(self, snap: Snapshot) -> None:
+        """Rewrite the key groups that have changes, without them."""
+        groups = {self._group_of(c) for c in snap.changes}
+        rows = self._rows(snap, groups)
+        added, _ = self._write(rows, snap, snap.version + 1)
+        kept = tuple(p for p in snap.parts if self._group_of(p) not in groups)
+        self._log(replace(snap, version=snap.version + 1, parts=(*kept, *added), changes=()))
 
     def _rewrite_all(self, snap: Snapshot, schema: Schema, change, sort_by: Sequence[str] = ()) -> None:
         number = snap.version + 1
-        base = self._read(snap, snap.parts)
-        changed = replace(snap, schema=schema)
+        base = self._rows(snap)
+        changed = replace(snap, schema=schema, changes=())
         rows = change(base.drop(GROUP)).withColumn(GROUP, writes.key_group(schema.pk, snap.digits))
         added, _ = self._write(rows, changed, number, sort_by)
         self._log(replace(changed, version=number, parts=tuple(added)))
