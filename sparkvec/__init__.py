@@ -1,6 +1,6 @@
 """Vector search and document tables on Spark DataFrames."""
 
-from .errors import AlreadyExists, CollectionError, FailedPrecondition, InvalidArgument, NotFound
+from .errors import AlreadyExists, CollectionError, FailedPrecondition, InvalidArgument, NotFound, NotSupported
 from .schema import Field, Index, Schema
 from .sources.collection import Collection
 
@@ -13,5 +13,6 @@ __all__ = [
     "Index",
     "InvalidArgument",
     "NotFound",
+    "NotSupported",
     "Schema",
 ]

@@ -41,3 +41,7 @@ class NotFound(CollectionError):
 
 class AlreadyExists(CollectionError):
     code = "already_exists"
+
+
+class NotSupported(CollectionError):
+    code = "not_supported"

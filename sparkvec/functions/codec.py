@@ -223,9 +223,13 @@ def bit_words(column: Column | str) -> Column:
     def words(cells: pa.Array) -> pa.Array:
         lengths = pc.fill_null(pc.binary_length(cells), 0).to_numpy(zero_copy_only=False)
         counts = -(-lengths // 8)
-        joined = b"".join((c or b"").ljust(8 * n, b"\0") for c, n in zip(cells.to_pylist(), counts.tolist()))
-        offsets = pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32))
-        body = pa.array(np.frombuffer(joined, dtype=">i8").astype(np.int64))
+        ends = np.concatenate([[0], np.cumsum(counts)])
+        # Each value's bytes go to the start of its words; the rest stays zero.
+        padded = np.zeros(8 * ends[-1], np.uint8)
+        raw = _binary_bytes(pc.fill_null(cells, b"").cast(pa.binary()))
+        shift = 8 * ends[:-1] - (np.cumsum(lengths) - lengths)
+        padded[np.arange(len(raw)) + np.repeat(shift, lengths)] = raw
+        offsets, body = pa.array(ends.astype(np.int32)), pa.array(padded.view(">i8").astype(np.int64))
         return pa.ListArray.from_arrays(offsets, body, mask=cells.is_null() if cells.null_count else None)
 
     return words(column)

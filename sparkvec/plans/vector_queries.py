@@ -7,8 +7,12 @@ from pyspark.sql import functions as F
 
 from ..functions import codec, sparse
 from ..functions.quantize import Quantizer, quantizer_ranges
+from ..operators.hamming import hamming_join
 from ..operators.quantized import knn_quantized, knn_quantized_refined, quantize_table
 from ..operators.search import knn_bits
+from ..schema import Schema
+from ..session import scratch_path
+from ..sources.collection import Collection
 from ..sources.records import observed_dimension
 from . import shared
 from .registry import Tables, query
@@ -141,6 +145,34 @@ def knn_binary_words(spark, folder):
     return rounded(df.orderBy("score", "vec_id").limit(10))
 
 
+def _bit_join_sql(where: str = "true", key: str = "vec_id") -> str:
+    return f"""WITH b AS (
+      SELECT {key} AS vec_id, label, CAST(array_to_string([CASE WHEN x > 0 THEN '1' ELSE '0' END for x in embedding], '') AS BIT) AS b FROM embeddings),
+    s AS (SELECT a.vec_id AS qid, m.vec_id AS pk, bit_count(xor(a.b, m.b)) AS d FROM b a, b m WHERE {where}),
+    r AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY d, pk) AS n FROM s)
+    SELECT qid, n::INTEGER AS rank, pk, round(sqrt(d), 6) AS score FROM r WHERE n <= 10"""
+
+
+@query("knn_join_binary", _bit_join_sql())
+def knn_join_binary(spark, folder):
+    """The ten nearest sign vectors of each, by chunks of their bits."""
+    df = Tables(spark, folder).embeddings.select("vec_id", codec.sign_bits("embedding").alias("bits"))
+    return rounded(hamming_join(df, df, qid="vec_id", pk="vec_id", field="bits"))
+
+
+_BITS_SCHEMA = (
+    Schema("bits").add("vec_id", "string", primary_key=True).add("label", "int32", nullable=True).add("bits", "vector_binary64", dimension=DIMENSION)
+)
+
+
+@query("collection_search_binary", _bit_join_sql("m.label = 3", "vec_id::VARCHAR"))
+def collection_search_binary(spark, folder):
+    """The same from a stored collection, under a filter."""
+    df = Tables(spark, folder).embeddings.select(F.col("vec_id").cast("string"), "label", codec.sign_bits("embedding").alias("bits"))
+    made = Collection.create(spark, scratch_path(spark, "bits"), _BITS_SCHEMA, df)
+    return rounded(made.search_many(made.scan(), "bits", qid="vec_id", filter="label = 3", k=10))
+
+
 @query(
     "quantize_fp16",
     f"""WITH {_ELEMENTS}, f AS (

@@ -28,14 +28,15 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..errors import AlreadyExists, InvalidArgument, NotFound
+from ..errors import AlreadyExists, InvalidArgument, NotFound, NotSupported
 from ..functions.metrics import closest_first
 from ..functions.predicates import predicate
 from ..functions.quantize import HalfQuantizer, Quantizer, trained
 from ..operators import ddl, stats, writes
 from ..operators.fetch import fetch
+from ..operators.hamming import hamming_join
 from ..operators.knn_join import as_mips, fold_queries, knn_join, largest_norm
-from ..operators.search import DOC_ID, knn
+from ..operators.search import DOC_ID, knn, knn_bits
 from ..operators.tiles import rank_hits
 from ..schema import Field, Index, Schema, schema_from_json, schema_to_json
 from ..session import settle
@@ -249,6 +250,8 @@ class Collection:
         worth it when the output fields are wide.
         """
         snap = self.snapshot()
+        if field in snap.schema and is_bits(snap.schema[field].type):
+            return self._search_bits(snap, snap.schema[field], vector, metric, n_probe is not None or ef is not None, late_fetch, options)
         declared = self._vector_field(snap, field)
         if len(vector) != declared.dimension:
             raise InvalidArgument(
@@ -282,6 +285,15 @@ class Collection:
         order = closest_first(options["metric"], F.col("score"))
         return hits.join(wanted, pk).select(full.columns).orderBy(order, F.col(pk).asc())
 
+    def _search_bits(self, snap: Snapshot, declared: Field, bits: bytes, metric, probed: bool, late_fetch: bool, options: dict) -> DataFrame:
+        if probed or late_fetch:
+            raise NotSupported("searches of bit vectors are exact scans of their column")
+        if len(bits) != -(-declared.dimension // 8):
+            raise InvalidArgument(f"query vector has {8 * len(bits)} bits, expected {declared.dimension}")
+        self._check_filter(snap, options.get("filter"))
+        rows = self._rows(snap).drop(GROUP)
+        return knn_bits(rows, declared.name, bytes(bits), pk=snap.schema.pk, metric=metric or _metric(declared), **options)
+
     def search_many(
         self,
         queries: DataFrame,
@@ -313,8 +325,11 @@ class Collection:
         Without an index, or with ``linear``, the search is exact.
         """
         snap = self.snapshot()
-        chosen = metric or _metric(self._vector_field(snap, field))
-        found = self._hits(
+        bits = field in snap.schema and is_bits(snap.schema[field].type)
+        chosen = metric or _metric(snap.schema[field] if bits else self._vector_field(snap, field))
+        if bits and (chosen != "l2" or n_probe is not None or ef is not None):
+            raise NotSupported("tables of bit vectors are joined exactly, by l2")
+        found = self._bit_hits(snap, queries, field, qid, query_field, k, filter) if bits else self._hits(
             snap, queries, field, chosen, qid=qid, query_field=query_field, k=k, filter=filter,
             n_probe=n_probe, ef=ef, scale_factor=scale_factor, linear=linear,
         )
@@ -340,6 +355,11 @@ class Collection:
         if condition is not None:
             predicate(self._rows(snap, set()), condition, columns=snap.schema.names())
 
+    def _bit_hits(self, snap: Snapshot, queries, field, qid, query_field, k, filter) -> DataFrame:
+        self._check_filter(snap, filter)
+        rows = self._rows(snap).drop(GROUP)
+        return hamming_join(queries, rows, qid=qid, pk=snap.schema.pk, field=field, query_field=query_field, k=k, filter=filter)
+
     def _hits(
         self, snap: Snapshot, queries, field, chosen, *, qid, query_field, k, filter, n_probe, ef, scale_factor, linear
     ) -> DataFrame:
@@ -493,6 +513,8 @@ class Collection:
         indexes = dict(snap.indexes)
         number = snap.version + 1
         if index.type in ("ivf", "hnsw"):
+            if is_sparse(schema[name].type) or is_bits(schema[name].type):
+                raise NotSupported(f"field '{name}': cells are for dense vectors; bit vectors are searched exactly without an index")
             df = self._rows(snap).drop(GROUP, DOC_ID)
             cells = cells or ivf.train_centroids(
                 df,
