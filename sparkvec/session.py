@@ -63,3 +63,21 @@ def settle(df: DataFrame, spark: SparkSession | None = None) -> DataFrame:
     path = scratch_path(df.sparkSession, "settled")
     df.write.mode("errorifexists").parquet(path)
     return (spark or df.sparkSession).read.schema(df.schema).parquet(path)
+
+
+def written(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """Like :func:`settle`, densely packed, for large tables that :func:`discard` removes; with their path."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("errorifexists").option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a table of this run that nothing reads any more.
+
+    Call it once all that was made from the table is written itself: a lost executor
+    must find what it has to read again.
+    """
+    context = spark.sparkContext
+    folder = context._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
