@@ -9,10 +9,11 @@ of k words that overlap in all but their ends, so only occurrences whose both ha
 frequent are extended.
 
 Groups are counted inside their block before anything is shuffled; a block sends a row for
-each distinct phrase in it. The frequent groups get a number, and the semi-join hands each
-block the numbers of its own groups (again a row for each group and block, so a phrase that
-a third of all places hold is as many rows as there are blocks). No phrase table is
-broadcast by this module or collected, and no count is approximate.
+each distinct phrase in it. That one shuffle sums a group's rows, drops it if it is not
+frequent, and gives the rows that stay the group's number: the semi-join hands each block
+the numbers of its own groups. A phrase that a third of all places hold is as many rows as
+there are blocks. No phrase table is broadcast by this module or collected, and no count
+is approximate.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import settle
+from ..session import discard, settle, written
 from .text import chunks
 
 LONGEST, LEAST, BEST = 4, 30, 2000
@@ -164,35 +165,53 @@ def _groups(relation: DataFrame, *key: str) -> DataFrame:
     return each.select("block", *(c for c in key if c == "lang"), "group.*")
 
 
+def _frequent(relation: DataFrame, key: tuple[str, ...], least: int) -> tuple[DataFrame, str]:
+    """``(block, local, id, own, key..., a)``: the groups that are frequent over all blocks, in each block.
+
+    One row of a group is its ``own``, and has its key and its count ``a``. A group has at
+    most one row for each block, so the most frequent word is as many rows as blocks.
+    """
+    whole = Window.partitionBy(*key)
+    numbered = _groups(relation, *key).withColumn("code", F.monotonically_increasing_id())
+    counted = numbered.withColumn("a", F.sum("seen").over(whole)).withColumn("id", F.min("code").over(whole)).where(F.col("a") >= least)
+    own = F.col("code") == F.col("id")
+    return written(counted.select("block", "local", "id", own.alias("own"), *(F.when(own, F.col(c)).alias(c) for c in (*key, "a"))), "groups")
+
+
 def frequent(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, text_col: str = "text", lang_col: str = "lang") -> tuple[DataFrame, list[DataFrame]]:
     """``(lang, n)``, and for each length the frequent phrases ``(id, lang, phrase, a, heads, tails, first, last)``.
 
     ``heads`` and ``tails`` count the phrase's first and last 1, 2, ... words, without the
-    whole; ``first`` and ``last`` are the ids of the phrases one word shorter.
+    whole; ``first`` and ``last`` are the ids of the phrases one word shorter. A relation
+    is removed when the next one is written.
     """
+    spark = docs.sparkSession
     texts = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.col(text_col).alias("text"))
-    relation = settle(texts.mapInArrow(_occurrences(BLOCK, SLICE), _SCHEMA))
-    groups = _groups(relation, "lang", "word")
-    totals = groups.groupBy("lang").agg(F.sum("seen").alias("n"))
+    relation, path = written(texts.mapInArrow(_occurrences(BLOCK, SLICE), _SCHEMA), "words")
+    totals = settle(_groups(relation, "lang", "word").groupBy("lang").agg(F.sum("seen").alias("n")))
+    levels, key = [], ("lang", "word")
+    for size in range(1, longest + 1):
+        groups, groups_path = _frequent(relation, key, least)
+        counted = settle(groups.where("own").select("id", *key, "a"))
+        levels.append(settle(_described(counted, levels[-1])) if levels else _words(counted))
+        following = None
+        if size < longest:
+            local = groups.select(F.col("block").alias("place"), "local", "id")
+            step = relation.where("ids is not null").select("block", "part", "ids").groupBy("block").cogroup(local.groupBy("place"))
+            following = written(step.applyInArrow(_extended, _SCHEMA), "phrases")
+        for done in (path, groups_path):
+            discard(spark, done)
+        if following:
+            (relation, path), key = following, ("first", "last")
+    return totals, levels
 
-    def numbered(found: DataFrame) -> DataFrame:
-        return settle(found.where(F.col("a") >= least).withColumn("id", F.monotonically_increasing_id()))
 
-    counted = numbered(groups.groupBy("lang", "word").agg(F.sum("seen").alias("a")))
+def _words(counted: DataFrame) -> DataFrame:
     none = F.array().cast("array<long>")
-    words = counted.select(
+    return counted.select(
         "id", "lang", F.col("word").alias("phrase"), "a", none.alias("heads"), none.alias("tails"), F.col("word").alias("end"),
         *(F.lit(None).cast("long").alias(c) for c in ("first", "last")),
     )
-    levels, key = [words], ("lang", "word")
-    for _ in range(1, longest):
-        local = _groups(relation, *key).drop("seen").join(counted.select(*key, "id").hint("shuffle_hash"), list(key))
-        local = local.select(F.col("block").alias("place"), "local", "id")
-        step = relation.where("ids is not null").select("block", "part", "ids").groupBy("block").cogroup(local.groupBy("place"))
-        relation, key = settle(step.applyInArrow(_extended, _SCHEMA)), ("first", "last")
-        counted = numbered(_groups(relation, *key).groupBy(*key).agg(F.sum("seen").alias("a")))
-        levels.append(settle(_described(counted, levels[-1])))
-    return totals, levels
 
 
 def _described(counted: DataFrame, shorter: DataFrame) -> DataFrame:
