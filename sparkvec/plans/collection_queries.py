@@ -89,6 +89,16 @@ def create_index(spark, folder):
     return made.stats()
 
 
+@query("optimize_interleaved", "SELECT doc_id, lang, n_chars FROM documents WHERE n_chars BETWEEN 500 AND 900 OR source = 'src3'")
+def optimize_interleaved(spark, folder):
+    """A layout along a space-filling key of three fields keeps every row."""
+    path = scratch_path(spark, "layout")
+    documents = Tables(spark, folder).documents
+    write_arranged(documents, path, sort_by=["n_chars", "lang", "source"], pk="doc_id", files=8, interleave=True)
+    found = spark.read.parquet(path).where("n_chars between 500 and 900 or source = 'src3'")
+    return found.select("doc_id", "lang", "n_chars")
+
+
 # -- index tables ----------------------------------------------------------------
 
 

@@ -24,7 +24,7 @@ from dataclasses import dataclass, field, replace
 
 import numpy as np
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,6 +35,7 @@ from ..functions.quantize import HalfQuantizer, Quantizer, trained
 from ..operators import ddl, stats, writes
 from ..operators.fetch import fetch
 from ..operators.hamming import hamming_join
+from ..operators.layout import interleaved_key
 from ..operators.knn_join import as_mips, fold_queries, knn_join, largest_norm
 from ..operators.search import DOC_ID, knn, knn_bits
 from ..operators.tiles import rank_hits
@@ -580,9 +581,14 @@ class Collection:
         lo, hi = ([r[c] for r in rows] for c in ("lo", "hi"))
         return Quantizer(facts["quantize"], np.array(lo), np.array(hi))
 
-    def optimize(self, sort_by: Sequence[str] | None = None, *, retrain: bool = False, group_digits: int | None = None) -> None:
+    def optimize(
+        self, sort_by: Sequence[str] | None = None, *, retrain: bool = False, group_digits: int | None = None, interleave: bool = False
+    ) -> None:
         """Rewrite the snapshot as few sorted files and rebuild index tables.
 
+        With ``interleave`` rows lie along a space-filling key of the sort fields instead of
+        in their order, so that a filter on any one of them skips row groups.
+
         Trained cells are used again, unless ``retrain`` or a vector has outgrown the norm
         that ip and mipsl2 cells were trained for. ``group_digits`` changes the number of
         key groups.
@@ -592,6 +598,8 @@ class Collection:
         keys = [c for c in keys if not snap.schema[c].is_vector]
         if group_digits is not None:
             snap = replace(snap, digits=group_digits)
+        if interleave and keys:
+            keys = [interleaved_key(self._rows(snap), keys), *keys]
         self._rewrite_all(snap, snap.schema, lambda df: df, sort_by=[*keys, snap.schema.pk])
         for name, facts in snap.indexes.items():
             keep = facts.get("keep")
@@ -767,7 +775,7 @@ class Collection:
         return writes.assign_doc_ids(rows, pk=snap.schema.pk, start=snap.next_id, digits=max(snap.digits, 2))
 
     def _write(
-        self, rows: DataFrame, snap: Snapshot, number: int, sort_by: Sequence[str] = (), kind: str = "data"
+        self, rows: DataFrame, snap: Snapshot, number: int, sort_by: Sequence[str | Column] = (), kind: str = "data"
     ) -> tuple[list[str], int]:
         """Write rows of commit ``number``: the folders that came out and the next id."""
         struct = self._struct(snap.schema)
