@@ -63,6 +63,13 @@ class Snapshot:
     applied: dict = field(default_factory=dict)
     indexes: dict = field(default_factory=dict)
     changes: tuple[str, ...] = ()
+    #: Columns whose name in the files is another one, and names that dropped columns have there.
+    stored: dict = field(default_factory=dict)
+    retired: tuple[str, ...] = ()
+
+    def column(self, name: str) -> str:
+        """The name of a field in the files."""
+        return self.stored.get(name, name)
 
 
 @dataclass(frozen=True)
@@ -145,6 +152,8 @@ class Collection:
             facts["applied"],
             facts["indexes"],
             tuple(sorted(r["part"][len(CHANGE) :] for r in found if r["part"] and r["part"].startswith(CHANGE))),
+            facts.get("stored", {}),
+            tuple(facts.get("retired", ())),
         )
 
     def scan(self, version: int | None = None, *, internal: bool = False) -> DataFrame:
@@ -379,11 +388,13 @@ class Collection:
             # After a change of the schema the index has nothing current to give.
             return knn_join(queries, self._rows(snap).drop(GROUP), **scan)
         table, cells = self._index(facts)
+        table = self._renamed(snap, facts, table)
         if filter is not None and not self._covers(table, filter):
             return knn_join(queries, self._rows(snap).drop(GROUP), **scan)
         table, known = self._current(snap, table, state), None
         if facts.get("stats"):  # else the index is older than these statistics and is measured
             known = ivf.StoredStats.read(self.spark, f"{facts['table']}/cells/{ivf.STATS}", grouped=True)
+            known = replace(known, sketches=self._renamed(snap, facts, known.sketches))
             known = known.lacking(state.rewritten, loose=bool(state.changes))
         top = None
         if chosen == "mipsl2":
@@ -463,8 +474,15 @@ class Collection:
     # -- schema changes ------------------------------------------------------
 
     def add_column(self, new: Field, default: str | None = None) -> None:
+        """A nullable column without a default only enters the log: older files read as null."""
         snap = self.snapshot()
         schema = _checked(replace(snap.schema, fields=(*snap.schema.fields, new)))
+        if new.nullable and default is None:
+            taken = {*snap.retired, *(snap.column(c) for c in snap.schema.names())}
+            name = new.name if new.name not in taken else f"{new.name}@{snap.version + 1}"
+            stored = snap.stored if name == new.name else {**snap.stored, new.name: name}
+            self._log(replace(snap, version=snap.version + 1, schema=schema, stored=stored))
+            return
         if not new.nullable:
             _no_nulls(ddl.add_column(self._rows(snap), new, default), new.name)
         self._rewrite_all(snap, schema, lambda df: ddl.add_column(df, new, default))
@@ -475,18 +493,29 @@ class Collection:
         if name == snap.schema.pk:
             raise InvalidArgument("the primary key cannot be dropped")
         fields = tuple(f for f in snap.schema.fields if f.name != name)
+        retired = (*snap.retired, snap.column(name)) if name in snap.schema else snap.retired
         indexes = {k: v for k, v in snap.indexes.items() if k != name}
+        stored = {k: v for k, v in snap.stored.items() if k != name}
         schema = replace(snap.schema, fields=fields)
-        self._log(replace(snap, version=snap.version + 1, schema=schema, indexes=indexes))
+        self._log(replace(snap, version=snap.version + 1, schema=schema, indexes=indexes, stored=stored, retired=retired))
 
     def rename_column(self, name: str, new_name: str) -> None:
+        """Only the log changes: files and indexes keep the old name, and readers look there."""
         snap = self.snapshot()
+        ddl.rename_column(self._rows(snap, set()), name, new_name)  # the rules of a rename
         fields = tuple(
             replace(f, name=new_name) if f.name == name else f for f in snap.schema.fields
         )
         schema = _checked(replace(snap.schema, fields=fields))
-        indexes = {new_name if k == name else k: v for k, v in snap.indexes.items()}
-        self._rewrite_all(replace(snap, indexes=indexes), schema, lambda df: ddl.rename_column(df, name, new_name))
+        stored = {k: v for k, v in snap.stored.items() if k != name} | {new_name: snap.column(name)}
+        stored = {k: v for k, v in stored.items() if k != v}
+
+        def renamed(facts: dict) -> dict:
+            keep = facts.get("keep")
+            return {**facts, "keep": keep and [new_name if c == name else c for c in keep]}
+
+        indexes = {new_name if k == name else k: renamed(v) for k, v in snap.indexes.items()}
+        self._log(replace(snap, version=snap.version + 1, schema=schema, indexes=indexes, stored=stored))
 
     def cast_column(self, new: Field) -> DataFrame:
         """Change type, nullability or dimension; returns the rows that failed."""
@@ -548,6 +577,7 @@ class Collection:
                 "max_norm": cells.max_norm,
                 "keep": None if keep is None else list(keep),
                 "stats": True,
+                "names": {c: snap.column(c) for c in rows.columns},
             }
         self._log(replace(snap, version=number, schema=schema, indexes=indexes))
 
@@ -561,10 +591,22 @@ class Collection:
 
     def index(self, name: str):
         """``(index table, centroids)`` of an indexed vector field."""
-        facts = self.snapshot().indexes.get(name)
+        snap = self.snapshot()
+        facts = snap.indexes.get(name)
         if facts is None:
             raise NotFound(f"field '{name}' has no index table")
-        return self._index(facts)
+        table, cells = self._index(facts)
+        return self._renamed(snap, facts, table), cells
+
+    @staticmethod
+    def _renamed(snap: Snapshot, facts: dict, table: DataFrame) -> DataFrame:
+        """An index's table with today's names of its columns, without those of dropped ones."""
+        names = facts.get("names", {})
+        now = {snap.column(c): c for c in snap.schema.names()}
+        if all(now.get(column) == then for then, column in names.items()):
+            return table
+        kept = [(c, now.get(names[c]) if c in names else c) for c in table.columns]
+        return table.select(*[F.col(f"`{c}`").alias(name) for c, name in kept if name is not None])
 
     def _index(self, facts: dict):
         from ..operators.index import Centroids
@@ -625,7 +667,7 @@ class Collection:
             state = self._index_state(snap, facts)
             if state.valid:
                 # What a search would not use does not count as indexed.
-                table = self._current(snap, self.spark.read.parquet(f"{facts['table']}/cells"), state)
+                table = self._current(snap, self._renamed(snap, facts, self.spark.read.parquet(f"{facts['table']}/cells")), state)
             else:
                 table = held.select(snap.schema.pk).limit(0)
             share = stats.index_completeness(held, table, pk=snap.schema.pk)
@@ -657,6 +699,8 @@ class Collection:
                 "next_id": snap.next_id,
                 "applied": snap.applied,
                 "indexes": snap.indexes,
+                "stored": snap.stored,
+                "retired": snap.retired,
             },
             sort_keys=True,
         )
@@ -686,11 +730,12 @@ class Collection:
         struct = T.StructType([*self._struct(snap.schema).fields, *extra])
         if not parts:
             return self.spark.createDataFrame([], struct.add(SEQUENCE, T.LongType()))
-        reader = self.spark.read.schema(T.StructType([*struct.fields, T.StructField("_commit", T.StringType())]))
+        there = [T.StructField(snap.column(f.name), f.dataType) for f in struct.fields]
+        reader = self.spark.read.schema(T.StructType([*there, T.StructField("_commit", T.StringType())]))
         base = f"{self.path}/{kind}"
         df = reader.option("basePath", base).parquet(*[f"{base}/{p}" for p in parts])
         sequence = F.substring_index("_commit", "-", 1).cast("long").alias(SEQUENCE)
-        return df.select(*[F.col(f"`{f.name}`").alias(f.name, metadata=f.metadata) for f in struct.fields], sequence)
+        return df.select(*[F.col(f"`{snap.column(f.name)}`").alias(f.name, metadata=f.metadata) for f in struct.fields], sequence)
 
     def _rows(self, snap: Snapshot, groups: set[str] | None = None) -> DataFrame:
         """Current rows, of all or of some key groups."""
@@ -790,10 +835,11 @@ class Collection:
         spread = spread.observe(top, F.max(DOC_ID).alias("id"))
         if sort_by:
             spread = spread.sortWithinPartitions(GROUP, *sort_by)
+        spread = spread.select(*[F.col(f"`{c}`").alias(snap.column(c)) for c in struct.names])
         writer = spread.write.mode("errorifexists").partitionBy(GROUP)
         for f in snap.schema.fields:
             if f.index is not None and f.index.type == "invert":
-                writer = writer.option(f"parquet.bloom.filter.enabled#{f.name}", "true")
+                writer = writer.option(f"parquet.bloom.filter.enabled#{snap.column(f.name)}", "true")
         if snap.schema.max_doc_count_per_segment:
             writer = writer.option("maxRecordsPerFile", snap.schema.max_doc_count_per_segment)
         writer.parquet(table)
@@ -833,7 +879,7 @@ class Collection:
     def _rewrite_all(self, snap: Snapshot, schema: Schema, change, sort_by: Sequence[str] = ()) -> None:
         number = snap.version + 1
         base = self._rows(snap)
-        changed = replace(snap, schema=schema, changes=())
+        changed = replace(snap, schema=schema, changes=(), stored={}, retired=())
         rows = change(base.drop(GROUP)).withColumn(GROUP, writes.key_group(schema.pk, snap.digits))
         added, _ = self._write(rows, changed, number, sort_by)
         self._log(replace(changed, version=number, parts=tuple(added)))

@@ -153,3 +153,35 @@ def test_cells_are_trained_again_when_norms_grow(spark, tmp_path):
     assert c.index("v")[1].max_norm > first.max_norm
     assert ivf.PER_CELL * 4 > 61 and c.search("v", [0.0, 0.0, 1.0], k=1, metric="ip", n_probe=1).first()["id"] == "long"
     assert c.scan().agg(F.count("*")).first()[0] == 61
+
+
+def test_column_changes_in_the_log(spark, tmp_path):
+    c = Collection.create(spark, str(tmp_path / "c"), SCHEMA, frame(spark, [(f"k{i}", i) for i in range(80)]))
+    c.create_index("v", Index("ivf", metric="l2", n_list=4, n_iters=2), keep=["n"])
+    before, parts = size(c.path), c.snapshot().parts
+    c.rename_column("n", "count")
+    c.rename_column("v", "place")
+    c.add_column(Field("note", "string", nullable=True))
+    c.rename_column("id", "name")
+    assert size(c.path) == before and c.snapshot().parts == parts
+    assert c.scan().columns == ["name", "place", "count", "note"]
+    assert c.scan().where("count = 7 and note is null").first()["name"] == "k7"
+    assert c._index_state(c.snapshot(), c.snapshot().indexes["place"]).valid
+    ask = dict(qid="name", k=3, filter="count between 10 and 40")
+    near = c.search_many(c.scan(), "place", n_probe=4, **ask)
+    assert sorted(near.collect()) == sorted(c.search_many(c.scan(), "place", linear=True, **ask).collect()) and near.count() == 240
+    assert c.stats().where("metric = 'index_completeness'").first()["value"] == 1.0
+    with pytest.raises(InvalidArgument):
+        c.rename_column("count", "name")
+    with pytest.raises(InvalidArgument):
+        c.rename_column("n", "m")
+    # A dropped column does not come back under its name, nor a renamed one under its old name.
+    c.drop_column("count")
+    c.add_column(Field("count", "int64", nullable=True))
+    c.add_column(Field("n", "int64", nullable=True))
+    assert c.scan().where("count is not null or n is not null").count() == 0
+    c.upsert(spark.createDataFrame([("k1", vector(1), "new", 5, 6)], "name string, place array<float>, note string, count long, n long"))
+    assert [tuple(r)[2:] for r in c.scan().where("name = 'k1'").select("name", "place", "note", "count", "n").collect()] == [("new", 5, 6)]
+    c.optimize()
+    assert c.snapshot().stored == {} and c.scan().where("n = 6").count() == 1 and c.scan().count() == 80
+    assert c.search_many(c.scan(), "place", qid="name", k=1, n_probe=1).count() == 80
