@@ -79,13 +79,11 @@ def _key_facts(batch: DataFrame, base: DataFrame, pk: str) -> DataFrame:
 
 def _classified(batch, base, pk, code: Column, message: Column, op: str) -> DataFrame:
     facts = _key_facts(batch, base, pk)
-    return (
-        batch.join(facts, pk, "left")
-        .withColumn("op", F.lit(op))
-        .withColumn("code", F.when(F.col(pk).isNull(), F.lit("invalid_argument")).otherwise(code))
-        .withColumn("message", F.when(F.col(pk).isNull(), F.lit(_NO_KEY)).otherwise(message))
-        .drop("_first", "_held")
-    )
+    keyed = batch.where(F.col(pk).isNotNull()).join(facts, pk, "left")
+    keyed = keyed.withColumn("op", F.lit(op)).withColumn("code", code).withColumn("message", message).drop("_first", "_held")
+    # Rows without a key meet nothing: however many there are, they are not shuffled to one task.
+    keyless = batch.where(F.col(pk).isNull()).withColumn("op", F.lit(op))
+    return keyed.unionByName(keyless.withColumn("code", F.lit("invalid_argument")).withColumn("message", F.lit(_NO_KEY)))
 
 
 def _results(classified: DataFrame, pk: str) -> DataFrame:

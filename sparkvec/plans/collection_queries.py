@@ -383,7 +383,8 @@ def indexed_rename_columns(spark, folder):
     for old, new in (("id", "key"), ("label", "kind"), ("embedding", "v")):
         made.rename_column(old, new)
     made.stats()
-    before = made.search_many(_asked(spark, folder, "id"), "v", qid="qid", query_field="embedding", filter="kind >= 2")
+    # The index outlives a rename; all its cells are probed, under the new names.
+    before = made.search_many(_asked(spark, folder, "id"), "v", qid="qid", query_field="embedding", filter="kind >= 2", n_probe=16)
     made.optimize()
     after = made.search_many(_asked(spark, folder, "id"), "v", qid="qid", query_field="embedding", filter="kind >= 2", n_probe=16)
     return rounded(before.intersectAll(after))

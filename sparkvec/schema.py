@@ -118,40 +118,48 @@ class Schema:
         return self
 
 
-def _problems(schema: Schema):
-    """Yield rule violations in the order they are reported.
+# The rules' texts, which callers match on, in the order in which they are reported.
+RULES = {
+    "name": "collection name must be a non-empty string",
+    "fields": "schema must have at least one field",
+    "one key": "schema must have exactly one primary key field",
+    "string key": "primary key field must be of type string",
+    "unique": "field names must be unique",
+    "type": "unknown data type: {type}",
+    "dimension": "vector field '{name}' must have dimension > 0",
+    "index": "index type {index} is incompatible with data type {type} on field '{name}'",
+    "segment": "max_doc_count_per_segment must be a positive integer",
+}
+
 
-    The order of the rules is fixed: callers see the first violation only.
-    """
+def _problems(schema: Schema):
+    """Yield rule violations; callers see the first one only."""
     if not isinstance(schema.name, str) or not schema.name:
-        yield "collection name must be a non-empty string"
+        yield RULES["name"]
     if not schema.fields:
-        yield "schema must have at least one field"
+        yield RULES["fields"]
     keys = [f for f in schema.fields if f.primary_key]
     if len(keys) != 1:
-        yield "schema must have exactly one primary key field"
+        yield RULES["one key"]
     elif keys[0].type != "string":
-        yield "primary key field must be of type string"
+        yield RULES["string key"]
     if len({f.name for f in schema.fields}) != len(schema.fields):
-        yield "field names must be unique"
+        yield RULES["unique"]
     for f in schema.fields:
         if f.type not in vt.ALL:
-            yield f"unknown data type: {f.type}"
+            yield RULES["type"].format(type=f.type)
     for f in schema.fields:
         if f.is_vector and f.dimension <= 0:
-            yield f"vector field '{f.name}' must have dimension > 0"
+            yield RULES["dimension"].format(name=f.name)
     for f in schema.fields:
         if f.index is None:
             continue
         allowed = vt.VECTOR_INDEXES if f.is_vector else vt.SCALAR_INDEXES
         if f.index.type not in allowed:
-            yield (
-                f"index type {f.index.type} is incompatible with data type "
-                f"{f.type} on field '{f.name}'"
-            )
+            yield RULES["index"].format(index=f.index.type, type=f.type, name=f.name)
     size = schema.max_doc_count_per_segment
     if size is not None and (isinstance(size, bool) or not isinstance(size, int) or size <= 0):
-        yield "max_doc_count_per_segment must be a positive integer"
+        yield RULES["segment"]
 
 
 def field_of(struct_field: T.StructField) -> Field:
