@@ -12,6 +12,7 @@ import pytest
 from made_texts import prose
 from pyspark.sql import functions as F
 
+from sparkvec import session
 from sparkvec.llm import language, lattice_lm, minhash, packing, pieces, pii, quality, text, token_counts
 
 SMALL = "/root/testdata/sf0.001"
@@ -368,6 +369,33 @@ def test_pieces(spark, docs, odd_docs, no_docs):
     assert len(rows(pieces.digest(odd_docs, table))) == 10 and rows(pieces.digest(no_docs, table)) == []
 
 
+def test_pieces_leave_no_scratch_and_decode_without_shuffle(spark, docs, monkeypatch, tmp_path):
+    table = pieces.piece_table(spark)
+    monkeypatch.setattr(session, "_shared_dir", lambda _: str(tmp_path))
+    some = docs.where("doc_id < 20")
+    got = rows(pieces.digest(some, table))
+    made = sorted(f.name.split("-")[1] for f in tmp_path.iterdir())
+    assert len(got) == some.count() and made == ["pieces"]
+    # Rows of many Arrow batches, with equal and null keys: every row comes back in its own order.
+    ids = {r.piece: r.id for r in table.where("not is_byte").collect()}
+    line = [ids[pieces.MARK + "the"], ids["x"], ids["y"]]
+    encoded = spark.range(30_000).selectExpr("if(id % 3 = 0, null, id % 5) as k", f"if(id % 2 = 0, array({','.join(map(str, line))}), array({line[1]})) as ids")
+    back = pieces.decode(encoded, table, "k")
+    assert "Exchange hashpartitioning" not in back._jdf.queryExecution().toString()
+    want = collections.Counter((None if i % 3 == 0 else i % 5, "x" if i % 2 else "thexy") for i in range(30_000))
+    assert collections.Counter((r.k, r.text) for r in back.collect()) == want
+
+
+def test_words_of_many_batches_are_folded_whole(spark):
+    table = pieces.piece_table(spark)
+    scores = {r.piece: (r.score, r.id) for r in table.where("not is_byte").collect()}
+    unknown = min(s for s, _ in scores.values() if s > -1e6) - 10
+    words = sorted({pieces.MARK + w + str(i) + "é😀𐍈"[i % 4 :] for i, w in enumerate(prose(11, 3000).split())})
+    df = spark.createDataFrame([(w, None if i % 2 else i) for i, w in enumerate(words)], "word string, seen long")
+    want = {w: (None if i % 2 else i, *pieces.best_path(w, scores, max(map(len, scores)), unknown, 3)) for i, w in enumerate(words)}
+    assert {r.word: (r.seen, r.ids, r.path_score) for r in pieces.encode_words(df, table).collect()} == want
+
+
 def test_lattice_language_model(docs, odd_docs, no_docs):
     names, logs = lattice_lm.vocabulary_pieces(lattice_lm.VOCABULARY)
     known, lattice = dict(zip(names, logs, strict=True)), lattice_lm.Lattice(names)
