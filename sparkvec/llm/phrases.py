@@ -8,19 +8,22 @@ place: in sorted arrays these are neighbours. A phrase of k + 1 words is a pair
 of k words that overlap in all but their ends, so only occurrences whose both halves are
 frequent are extended.
 
-Groups are counted inside their block before anything is shuffled; a block sends a row for
-each distinct phrase in it. That one shuffle sums a group's rows, drops it if it is not
-frequent, and gives the rows that stay the group's number: the semi-join hands each block
-the numbers of its own groups. A phrase that a third of all places hold is as many rows as
-there are blocks. No phrase table is broadcast by this module or collected, and no count
-is approximate.
+Groups are counted inside their block before anything is shuffled, and are dealt to buckets
+by a hash of their key, so that a block sends one row to each bucket: the keys and counts of
+all its groups there, as packed columns. A bucket sums the counts of a group over all
+blocks, drops it if it is not frequent, and numbers the rest; the semi-join sends each block
+the numbers of its own groups, in the order in which they came. Buckets are as many as the
+text is long, so none grows with the table; a phrase that a third of all places hold is one
+entry for each block. No phrase table is broadcast by this module or collected, and no
+count is approximate.
 """
 
 from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterator
-from itertools import count
+from itertools import count, repeat
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -30,14 +33,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import discard, settle, written
-from .text import chunks
+from .text import chunks, mix
 
 LONGEST, LEAST, BEST = 4, 30, 2000
 #: A phrase goes if a longer one with its words has this share of its occurrences, in percent.
 COVERED = 80
 SCALE = 2_000_000
-#: Places of a block and of a step in it, places or groups of a row, and bytes of a text taken apart at a time.
+#: Places of a block and of a step in it, places of a row, and bytes of a text taken apart at a time.
 BLOCK, STEP, ROW, SLICE = 1 << 20, 1 << 18, 1 << 16, 1 << 20
+#: Bytes of text for each bucket of groups.
+BUCKET = 8 << 20
 _END = b"."
 #: Letters are folded; a tab becomes a blank, and all that ends a piece becomes one mark.
 _FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t,;:!?\n\x0b\x0c\r", b"abcdefghijklmnopqrstuvwxyz " + _END * 9)
@@ -69,39 +74,84 @@ class _Block:
         self.parts.append(np.fromiter(map(self.words[lang].__getitem__, tokens), np.int32, len(tokens)))
         self.size += len(tokens)
 
-    def rows(self) -> Iterator[pa.RecordBatch]:
+    def rows(self, buckets: int) -> pa.RecordBatch:
         ids = np.concatenate([np.zeros(0, np.int32), *self.parts])
-        seen = np.bincount(ids[ids >= 0], minlength=1)
-        yield from _places(self.number, ids)
-        for lang, words in self.words.items():
-            held = [(w, i) for w, i in words.items() if i >= 0]
-            for at in range(0, len(held), ROW):
-                local = np.array([i for _, i in held[at : at + ROW]])
-                yield _row(self.number, lang=lang, word=pa.array([w for w, _ in held[at : at + ROW]], pa.string()), local=local, seen=seen[local])
-
-
-#: Rows of a block with its places in order, and rows with its groups.
-_TYPES = {
-    "block": pa.int64(), "part": pa.int32(), "ids": pa.list_(pa.int32()), "lang": pa.string(), "word": pa.list_(pa.string()), "first": pa.list_(pa.int64()),
-    "last": pa.list_(pa.int64()), "local": pa.list_(pa.int32()), "seen": pa.list_(pa.int64()),
-}
-_SCHEMA = "block long, part int, ids array<int>, lang string, word array<string>, first array<long>, last array<long>, local array<int>, seen array<long>"
-
-
-def _row(block: int, **values) -> pa.RecordBatch:
-    values["block"] = block
-    return pa.RecordBatch.from_arrays([pa.array([values.get(c)], t) for c, t in _TYPES.items()], names=list(_TYPES))
-
-
-def _places(block: int, ids: np.ndarray) -> Iterator[pa.RecordBatch]:
+        names: list[bytes] = [b""] * sum(len(w) - 1 for w in self.words.values())
+        bucket, langs = np.zeros(len(names), np.int64), np.zeros(len(names), np.int64)
+        for i, (lang, words) in enumerate(self.words.items()):
+            held = [w for w in words if w != _END]
+            local = np.fromiter(map(words.__getitem__, held), np.int64, len(held))
+            bucket[local] = np.fromiter(map(crc32, held, repeat(crc32(lang.encode()))), np.int64, len(held)) % buckets
+            langs[local] = i
+            for j, w in zip(local.tolist(), held, strict=True):
+                names[j] = w
+        order = np.lexsort((langs, bucket))
+        number = np.full(len(names) + 1, -1, np.int32)  # the last is read by gaps
+        number[order] = np.arange(len(order))
+        ids = number[ids]
+        seen = np.bincount(ids[ids >= 0], minlength=len(names))
+        rows, known = _places(self.number, ids), list(self.words)
+        for a, b in _runs(bucket[order] * len(known) + langs[order]):
+            line = b" ".join([names[j] for j in order[a:b].tolist()])
+            rows.append({
+                "block": self.number, "bucket": int(bucket[order[a]]), "base": a, "n": b - a, "lang": known[langs[order[a]]],
+                "words": pa.compress(line, "zstd", asbytes=True), "size": len(line), "seen": _pack(seen[a:b]), "total": int(seen[a:b].sum()),
+            })
+        return pa.RecordBatch.from_pylist(rows, schema=_ARROW)
+
+
+#: Rows of a block with its places in order, and rows with its groups in a bucket.
+_ARROW = pa.schema({
+    "block": pa.int64(), "part": pa.int32(), "n": pa.int32(), "ids": pa.binary(), "bucket": pa.int64(), "base": pa.int32(), "lang": pa.string(),
+    "words": pa.binary(), "size": pa.int64(), "first": pa.binary(), "last": pa.binary(), "seen": pa.binary(), "total": pa.int64(),
+})
+_SCHEMA = (
+    "block long, part int, n int, ids binary, bucket long, base int, lang string, words binary, size long, first binary, last binary, seen binary, total long"
+)
+#: Numbers of a block's groups, and the frequent groups themselves.
+_NUMBERED = pa.schema({
+    "block": pa.int64(), "base": pa.int32(), "n": pa.int32(), "ids": pa.binary(), "id": pa.int64(), "lang": pa.string(), "word": pa.string(),
+    "first": pa.int64(), "last": pa.int64(), "a": pa.int64(),
+})
+_NUMBERS = "block long, base int, n int, ids binary, id long, lang string, word string, first long, last long, a long"
+
+
+def _pack(values: np.ndarray, kind: str = "<i8") -> bytes:
+    """Whole numbers, byte by byte of all of them, compressed."""
+    planes = np.ascontiguousarray(values, kind).view(np.uint8).reshape(len(values), np.dtype(kind).itemsize).T
+    return pa.compress(planes.tobytes(), "zstd", asbytes=True)
+
+
+def _unpack(packed: bytes, n: int, kind: str = "<i8") -> np.ndarray:
+    if not n:
+        return np.zeros(0, kind)
+    size = np.dtype(kind).itemsize
+    planes = np.frombuffer(pa.decompress(packed, n * size, "zstd"), np.uint8).reshape(size, n)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
+
+
+def _unpacked(table: pa.Table, column: str) -> np.ndarray:
+    parts = [_unpack(v, n) for v, n in zip(table[column].to_pylist(), table["n"].to_pylist(), strict=True)]
+    return np.concatenate([np.zeros(0, np.int64), *parts])
+
+
+def _runs(values: np.ndarray) -> list[tuple[int, int]]:
+    """Begin and end of the runs of equal values."""
+    if not len(values):
+        return []
+    at = [0, *(np.flatnonzero(values[1:] != values[:-1]) + 1).tolist(), len(values)]
+    return list(zip(at[:-1], at[1:], strict=True))
+
+
+def _places(block: int, ids: np.ndarray) -> list[dict]:
     """The rows of a block's places, each run of gaps as one gap."""
     gap = ids < 0
     ids = ids[~(gap & np.append(False, gap[:-1]))]
-    for part, at in enumerate(range(0, max(len(ids), 1), ROW)):
-        yield _row(block, part=part, ids=ids[at : at + ROW])
+    parts = [ids[at : at + ROW] for at in range(0, max(len(ids), 1), ROW)]
+    return [{"block": block, "part": i, "n": len(x), "ids": _pack(x + 1, "<i4")} for i, x in enumerate(parts)]
 
 
-def _occurrences(places: int, most: int):
+def _occurrences(places: int, most: int, buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         numbers = count(TaskContext.get().partitionId() << 32)
         block = _Block(next(numbers))
@@ -113,26 +163,34 @@ def _occurrences(places: int, most: int):
                     for piece in _slices(text.translate(_FOLD), most):
                         block.add(lang, piece)
                         if block.size >= places and piece.endswith(_END):
-                            yield from block.rows()
+                            yield block.rows(buckets)
                             block = _Block(next(numbers))
                     block.add(lang, _END)
                 if block.size >= places:
-                    yield from block.rows()
+                    yield block.rows(buckets)
                     block = _Block(next(numbers))
-        yield from block.rows()
+        yield block.rows(buckets)
 
     return run
 
 
-def _extended(left: pa.Table, right: pa.Table) -> pa.Table:
+def _extender(buckets: int):
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        return _extended(left, right, buckets)
+
+    return run
+
+
+def _extended(left: pa.Table, right: pa.Table, buckets: int) -> pa.Table:
     """The next relation of one block: pairs of neighbours whose both groups are frequent."""
     if not left.num_rows or not right.num_rows:
-        return pa.schema(list(_TYPES.items())).empty_table()
+        return _ARROW.empty_table()
     block, left = left["block"][0].as_py(), left.sort_by("part")
-    ids = left["ids"].combine_chunks().flatten().to_numpy(zero_copy_only=False)
+    ids = np.concatenate([_unpack(v, n, "<i4") for v, n in zip(left["ids"].to_pylist(), left["n"].to_pylist(), strict=True)]) - 1
     width = int(ids.max(initial=-1)) + 1
     number = np.full(width + 1, -1, np.int64)
-    number[right["local"].to_numpy()] = right["id"].to_numpy()
+    for base, n, held in zip(right["base"].to_pylist(), right["n"].to_pylist(), right["ids"].to_pylist(), strict=True):
+        number[base : base + n] = _unpack(held, n) - 1
     held = (number >= 0)[ids]  # a gap reads the last number, which is none
     both = held[:-1] & held[1:]
 
@@ -143,39 +201,87 @@ def _extended(left: pa.Table, right: pa.Table) -> pa.Table:
     # In steps, so that little more than the block itself is held.
     steps = range(0, len(both), STEP)
     pairs = np.unique(np.concatenate([np.zeros(0, np.int64), *(np.unique(codes(a)) for a in steps)]))
+    # A group's place in the block is its place among those of its bucket.
+    first, last = number[pairs // width] if width else pairs, number[pairs % width] if width else pairs
+    bucket = (mix(mix(first.astype(np.uint64)) + last.astype(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    rank = np.empty(len(order), np.int32)
+    rank[order] = np.arange(len(order))
     found, seen = np.full(len(ids), -1, np.int32), np.zeros(len(pairs), np.int64)
     for a in steps:
-        place = np.searchsorted(pairs, codes(a))
+        place = rank[np.searchsorted(pairs, codes(a))]
         found[:-1][a : a + STEP][both[a : a + STEP]] = place
         seen += np.bincount(place, minlength=len(pairs))
+    first, last, bucket = first[order], last[order], bucket[order]
+    rows = _places(block, found)
+    for a, b in _runs(bucket):
+        packed = {"first": _pack(first[a:b]), "last": _pack(last[a:b]), "seen": _pack(seen[a:b])}
+        rows.append({"block": block, "bucket": int(bucket[a]), "base": a, "n": b - a, **packed})
     # Workers stay; what earlier blocks took goes back before the next stage needs it.
     pa.default_memory_pool().release_unused()
-    rows = list(_places(block, found))
-    for a in range(0, len(pairs), ROW):
-        part = slice(a, a + ROW)
-        local = np.arange(len(pairs))[part]
-        rows.append(_row(block, first=number[pairs[part] // width], last=number[pairs[part] % width], local=local, seen=seen[part]))
-    return pa.Table.from_batches(rows)
+    return pa.Table.from_pylist(rows, schema=_ARROW)
 
 
-def _groups(relation: DataFrame, *key: str) -> DataFrame:
-    """``(block, local, key..., seen)``: the groups of each block."""
-    lists = [c for c in (*key, "local", "seen") if c != "lang"]
-    each = relation.where("ids is null").select("block", *(c for c in key if c == "lang"), F.explode(F.arrays_zip(*lists)).alias("group"))
-    return each.select("block", *(c for c in key if c == "lang"), "group.*")
+def _summed(index: np.ndarray, groups: int, seen: np.ndarray, least: int, id_of) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The id of each entry or -1, and which groups are frequent, with their counts."""
+    a = np.zeros(groups, np.int64)
+    np.add.at(a, index, seen)
+    kept = np.flatnonzero(a >= least)
+    number = np.full(groups, -1, np.int64)
+    number[kept] = id_of(np.arange(len(kept)))
+    return number[index], kept, a[kept]
 
 
-def _frequent(relation: DataFrame, key: tuple[str, ...], least: int) -> tuple[DataFrame, str]:
-    """``(block, local, id, own, key..., a)``: the groups that are frequent over all blocks, in each block.
+def _numbers(table: pa.Table, ids: np.ndarray) -> pa.Table:
+    """A row with the ids of its groups for each row of a bucket."""
+    at = np.cumsum([0, *table["n"].to_pylist()])
+    held = pa.array([_pack(ids[a:b] + 1) for a, b in zip(at[:-1], at[1:], strict=True)], pa.binary())
+    return pa.table({"block": table["block"], "base": table["base"], "n": table["n"], "ids": held})
 
-    One row of a group is its ``own``, and has its key and its count ``a``. A group has at
-    most one row for each block, so the most frequent word is as many rows as blocks.
-    """
-    whole = Window.partitionBy(*key)
-    numbered = _groups(relation, *key).withColumn("code", F.monotonically_increasing_id())
-    counted = numbered.withColumn("a", F.sum("seen").over(whole)).withColumn("id", F.min("code").over(whole)).where(F.col("a") >= least)
-    own = F.col("code") == F.col("id")
-    return written(counted.select("block", "local", "id", own.alias("own"), *(F.when(own, F.col(c)).alias(c) for c in (*key, "a"))), "groups")
+
+def _conformed(*tables: pa.Table) -> pa.Table:
+    return pa.concat_tables([_NUMBERED.empty_table(), *tables], promote_options="default")
+
+
+def _word_counter(least: int, buckets: int):
+    def run(table: pa.Table) -> pa.Table:
+        bucket, done, out = table["bucket"][0].as_py(), 0, []
+        for lang in sorted(set(table["lang"].to_pylist())):
+            part = table.filter(pc.equal(table["lang"], lang))
+            lines = [pa.decompress(w, size, "zstd", asbytes=True) for w, size in zip(part["words"].to_pylist(), part["size"].to_pylist(), strict=True)]
+            words = pa.array(b" ".join(lines).split(b" "), pa.binary()).dictionary_encode()
+            index = words.indices.to_numpy()
+            ids, kept, a = _summed(index, len(words.dictionary), _unpacked(part, "seen"), least, lambda k, done=done: (k + done) * buckets + bucket)
+            own = {"id": (np.arange(len(kept)) + done) * buckets + bucket, "word": words.dictionary.take(pa.array(kept)).cast(pa.string()), "a": a}
+            out += [_numbers(part, ids), pa.table({**own, "lang": pa.array([lang] * len(kept), pa.string())})]
+            done += len(kept)
+        return _conformed(*out)
+
+    return run
+
+
+def _pair_counter(least: int, buckets: int):
+    def run(table: pa.Table) -> pa.Table:
+        bucket, first, last = table["bucket"][0].as_py(), _unpacked(table, "first"), _unpacked(table, "last")
+        heads, tails = first, last
+        if int(first.max(initial=0)) >= (1 << 62) // (int(last.max(initial=0)) + 1):
+            heads, tails = (np.unique(x, return_inverse=True)[1] for x in (first, last))
+        _, at, index = np.unique(heads * (int(tails.max(initial=0)) + 1) + tails, return_index=True, return_inverse=True)
+        ids, kept, a = _summed(index, len(at), _unpacked(table, "seen"), least, lambda k: k * buckets + bucket)
+        own = pa.table({"id": np.arange(len(kept)) * buckets + bucket, "first": first[at[kept]], "last": last[at[kept]], "a": a})
+        pa.default_memory_pool().release_unused()
+        return _conformed(_numbers(table, ids), own)
+
+    return run
+
+
+def _frequent(relation: DataFrame, key: tuple[str, ...], least: int, buckets: int) -> tuple[DataFrame, str]:
+    """``(block, base, n, ids)``: numbers of each block's groups, 0 for those that are not frequent over all blocks;
+    and ``(id, key..., a)``: the frequent groups with their counts."""
+    counter = _word_counter(least, buckets) if "word" in key else _pair_counter(least, buckets)
+    columns = ("lang", "words", "size") if "word" in key else ("first", "last")
+    dealt = relation.where("bucket is not null").select("block", "bucket", "base", "n", *columns, "seen").repartition(buckets, "bucket")
+    return written(dealt.groupBy("bucket").applyInArrow(counter, _NUMBERS), "groups")
 
 
 def frequent(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, text_col: str = "text", lang_col: str = "lang") -> tuple[DataFrame, list[DataFrame]]:
@@ -187,18 +293,19 @@ def frequent(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, text_c
     """
     spark = docs.sparkSession
     texts = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.col(text_col).alias("text"))
-    relation, path = written(texts.mapInArrow(_occurrences(BLOCK, SLICE), _SCHEMA), "words")
-    totals = settle(_groups(relation, "lang", "word").groupBy("lang").agg(F.sum("seen").alias("n")))
+    buckets = 1 + (texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // BUCKET
+    relation, path = written(texts.mapInArrow(_occurrences(BLOCK, SLICE, buckets), _SCHEMA), "words")
+    totals = settle(relation.where("words is not null").groupBy("lang").agg(F.sum("total").alias("n")))
     levels, key = [], ("lang", "word")
     for size in range(1, longest + 1):
-        groups, groups_path = _frequent(relation, key, least)
-        counted = settle(groups.where("own").select("id", *key, "a"))
+        groups, groups_path = _frequent(relation, key, least, buckets)
+        counted = settle(groups.where("id is not null").select("id", *key, "a"))
         levels.append(settle(_described(counted, levels[-1])) if levels else _words(counted))
         following = None
         if size < longest:
-            local = groups.select(F.col("block").alias("place"), "local", "id")
-            step = relation.where("ids is not null").select("block", "part", "ids").groupBy("block").cogroup(local.groupBy("place"))
-            following = written(step.applyInArrow(_extended, _SCHEMA), "phrases")
+            places = relation.where("part is not null").select("block", "part", "n", "ids").repartition(buckets, "block")
+            numbers = groups.where("ids is not null").select("block", "base", "n", "ids").repartition(buckets, "block")
+            following = written(places.groupBy("block").cogroup(numbers.groupBy("block")).applyInArrow(_extender(buckets), _SCHEMA), "phrases")
         for done in (path, groups_path):
             discard(spark, done)
         if following:

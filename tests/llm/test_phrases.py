@@ -4,6 +4,10 @@ import collections
 import random
 import re
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
 from sparkvec.llm import phrases
 
 
@@ -86,3 +90,37 @@ def test_products_beyond_64_bits(spark):
         f"cast({phrases.SCALE} as decimal(7,0)) * cast(a as decimal(20,0)) div cast(a + a + 1 as decimal(20,0)) as score"
     )
     assert row.first()[0] == 2_000_000 * big // (2 * big + 1)
+
+
+def test_blocks_send_a_row_to_a_bucket(spark, monkeypatch):
+    monkeypatch.setattr(phrases, "BLOCK", 512)
+    written, made = phrases.written, []
+
+    def counting(df, name):
+        table, path = written(df, name)
+        made.append((name, table.count(), table.where("a is not null").count() if "a" in table.columns else 0))
+        return table, path
+
+    monkeypatch.setattr(phrases, "written", counting)
+    docs = [("en", " ".join(f"w{(i * j) % 40}" for i in range(400))) for j in range(1, 60)]
+    got = {tuple(r) for r in phrases.collocations(frame(spark, docs)).collect()}
+    assert got and got == plain(docs, 30, 2000)
+    # What is sent for the groups is a row for each block (and bucket), not for each of their groups.
+    sent = [rows - own for name, rows, own in made if name == "groups"]
+    assert len(sent) == 4 and max(sent) <= 20 and max(own for *_, own in made) >= 40
+
+
+def test_buckets_and_wide_numbers(spark, monkeypatch):
+    docs = made(5, 300)
+    monkeypatch.setattr(phrases, "BLOCK", 256)
+    monkeypatch.setattr(phrases, "BUCKET", 2000)
+    got = phrases.collocations(frame(spark, docs), least=8, best=100).collect()
+    assert {tuple(r) for r in got} == plain(docs, 8, 100)
+    wide = np.array([0, 1, 255, 256, 2**40, 2**62])
+    for values, kind in ((wide, "<i8"), (wide[:4], "<i4"), (wide[:0], "<i8")):
+        assert phrases._unpack(phrases._pack(values, kind), len(values), kind).tolist() == values.tolist()
+    # Ids whose product passes a long are told apart all the same.
+    first, last = np.array([2**61, 2**61, 5, 2**61]), np.array([7, 2**60, 7, 7])
+    row = {"block": 0, "bucket": 3, "base": 0, "n": 4, "first": phrases._pack(first), "last": phrases._pack(last), "seen": phrases._pack(np.array([1, 2, 3, 4]))}
+    own = phrases._pair_counter(3, 8)(pa.Table.from_pylist([row], schema=phrases._ARROW)).filter(pc.field("id").is_valid())
+    assert {(r["first"], r["last"], r["a"]) for r in own.to_pylist()} == {(2**61, 7, 5), (5, 7, 3)}
