@@ -77,15 +77,15 @@ class _Block:
     def rows(self, buckets: int) -> pa.RecordBatch:
         ids = np.concatenate([np.zeros(0, np.int32), *self.parts])
         names: list[bytes] = [b""] * sum(len(w) - 1 for w in self.words.values())
-        bucket, langs = np.zeros(len(names), np.int64), np.zeros(len(names), np.int64)
+        bucket, langs, rank = (np.zeros(len(names), np.int64) for _ in range(3))
         for i, (lang, words) in enumerate(self.words.items()):
-            held = [w for w in words if w != _END]
+            held = sorted(w for w in words if w != _END)
             local = np.fromiter(map(words.__getitem__, held), np.int64, len(held))
             bucket[local] = np.fromiter(map(crc32, held, repeat(crc32(lang.encode()))), np.int64, len(held)) % buckets
-            langs[local] = i
+            langs[local], rank[local] = i, np.arange(len(held))
             for j, w in zip(local.tolist(), held, strict=True):
                 names[j] = w
-        order = np.lexsort((langs, bucket))
+        order = np.lexsort((rank, langs, bucket))  # in order of the words they are packed best
         number = np.full(len(names) + 1, -1, np.int32)  # the last is read by gaps
         number[order] = np.arange(len(order))
         ids = number[ids]
@@ -201,10 +201,10 @@ def _extended(left: pa.Table, right: pa.Table, buckets: int) -> pa.Table:
     # In steps, so that little more than the block itself is held.
     steps = range(0, len(both), STEP)
     pairs = np.unique(np.concatenate([np.zeros(0, np.int64), *(np.unique(codes(a)) for a in steps)]))
-    # A group's place in the block is its place among those of its bucket.
+    # A group's place in the block is its place among those of its bucket, in order of their first phrases.
     first, last = number[pairs // width] if width else pairs, number[pairs % width] if width else pairs
     bucket = (mix(mix(first.astype(np.uint64)) + last.astype(np.uint64)) % np.uint64(buckets)).astype(np.int64)
-    order = np.argsort(bucket, kind="stable")
+    order = np.lexsort((first, bucket))
     rank = np.empty(len(order), np.int32)
     rank[order] = np.arange(len(order))
     found, seen = np.full(len(ids), -1, np.int32), np.zeros(len(pairs), np.int64)
@@ -215,7 +215,7 @@ def _extended(left: pa.Table, right: pa.Table, buckets: int) -> pa.Table:
     first, last, bucket = first[order], last[order], bucket[order]
     rows = _places(block, found)
     for a, b in _runs(bucket):
-        packed = {"first": _pack(first[a:b]), "last": _pack(last[a:b]), "seen": _pack(seen[a:b])}
+        packed = {"first": _pack(np.diff(first[a:b], prepend=0)), "last": _pack(last[a:b]), "seen": _pack(seen[a:b])}
         rows.append({"block": block, "bucket": int(bucket[a]), "base": a, "n": b - a, **packed})
     # Workers stay; what earlier blocks took goes back before the next stage needs it.
     pa.default_memory_pool().release_unused()
@@ -262,7 +262,8 @@ def _word_counter(least: int, buckets: int):
 
 def _pair_counter(least: int, buckets: int):
     def run(table: pa.Table) -> pa.Table:
-        bucket, first, last = table["bucket"][0].as_py(), _unpacked(table, "first"), _unpacked(table, "last")
+        bucket, last = table["bucket"][0].as_py(), _unpacked(table, "last")
+        first = np.concatenate([np.cumsum(_unpack(v, n)) for v, n in zip(table["first"].to_pylist(), table["n"].to_pylist(), strict=True)])
         heads, tails = first, last
         if int(first.max(initial=0)) >= (1 << 62) // (int(last.max(initial=0)) + 1):
             heads, tails = (np.unique(x, return_inverse=True)[1] for x in (first, last))

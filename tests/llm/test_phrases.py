@@ -120,7 +120,8 @@ def test_buckets_and_wide_numbers(spark, monkeypatch):
     for values, kind in ((wide, "<i8"), (wide[:4], "<i4"), (wide[:0], "<i8")):
         assert phrases._unpack(phrases._pack(values, kind), len(values), kind).tolist() == values.tolist()
     # Ids whose product passes a long are told apart all the same.
-    first, last = np.array([2**61, 2**61, 5, 2**61]), np.array([7, 2**60, 7, 7])
-    row = {"block": 0, "bucket": 3, "base": 0, "n": 4, "first": phrases._pack(first), "last": phrases._pack(last), "seen": phrases._pack(np.array([1, 2, 3, 4]))}
+    first, last = np.array([5, 2**61, 2**61, 2**61]), np.array([7, 7, 2**60, 7])
+    packed = {"first": np.diff(first, prepend=0), "last": last, "seen": np.array([3, 1, 2, 4])}
+    row = {"block": 0, "bucket": 3, "base": 0, "n": 4, **{k: phrases._pack(v) for k, v in packed.items()}}
     own = phrases._pair_counter(3, 8)(pa.Table.from_pylist([row], schema=phrases._ARROW)).filter(pc.field("id").is_valid())
     assert {(r["first"], r["last"], r["a"]) for r in own.to_pylist()} == {(2**61, 7, 5), (5, 7, 3)}
