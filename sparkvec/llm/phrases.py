@@ -246,8 +246,10 @@ def _conformed(*tables: pa.Table) -> pa.Table:
 def _word_counter(least: int, buckets: int):
     def run(table: pa.Table) -> pa.Table:
         bucket, done, out = table["bucket"][0].as_py(), 0, []
-        for lang in sorted(set(table["lang"].to_pylist())):
-            part = table.filter(pc.equal(table["lang"], lang))
+        table = table.sort_by("lang")
+        langs = np.array(table["lang"].to_pylist(), object)
+        for start, stop in _runs(langs):
+            lang, part = langs[start], table.slice(start, stop - start)
             lines = [pa.decompress(w, size, "zstd", asbytes=True) for w, size in zip(part["words"].to_pylist(), part["size"].to_pylist(), strict=True)]
             words = pa.array(b" ".join(lines).split(b" "), pa.binary()).dictionary_encode()
             index = words.indices.to_numpy()

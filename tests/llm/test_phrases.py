@@ -125,3 +125,9 @@ def test_buckets_and_wide_numbers(spark, monkeypatch):
     row = {"block": 0, "bucket": 3, "base": 0, "n": 4, **{k: phrases._pack(v) for k, v in packed.items()}}
     own = phrases._pair_counter(3, 8)(pa.Table.from_pylist([row], schema=phrases._ARROW)).filter(pc.field("id").is_valid())
     assert {(r["first"], r["last"], r["a"]) for r in own.to_pylist()} == {(2**61, 7, 5), (5, 7, 3)}
+
+
+def test_many_languages(spark):
+    docs = [(f"l{i % 150}", "a b c. " * 20 + f"w{i}") for i in range(600)]
+    got = phrases.collocations(frame(spark, docs)).collect()
+    assert {tuple(r) for r in got} == plain(docs, 30, 2000) and len({r.lang for r in got}) == 150
