@@ -23,7 +23,7 @@ from ..functions.arrow import dense_block, list_column
 from ..functions.predicates import predicate, where
 from ..session import settle
 from .cell_stats import CellCounts, StoredStats
-from .knn_join import CellStats, as_mips, bounded_block, fold_queries, knn_join, largest_norm, route, vector_dimension
+from .knn_join import CellStats, as_mips, bounded_block, fold_queries, knn_join, largest_norm, vector_dimension
 from .search import knn
 from .tiles import BLOCK_BYTES, arrow_schema, probe_scan, rank_hits, tile_topk
 
@@ -241,7 +241,7 @@ def _probe_join(queries, index, cells: Centroids, choose, *, qid, pk, field, que
     need = 2 * k if repeats else k
     metric = "ip" if cells.metric == "mipsl2" else cells.metric
     raw = queries.select(F.col(qid).alias("qid"), F.col(query_field or field).alias("vector"))
-    members = passing.select(F.col(pk).alias("pk"), F.col(field).alias("vector"), "cell")
+    members = passing.select(F.col(pk).alias("pk"), F.col(field).alias("vector"), "cell", *(["spill"] if repeats else []))
 
     def picked(lifted, known):
         mask = choose(lifted, known) | known.first_cells(lifted, need)
@@ -251,14 +251,33 @@ def _probe_join(queries, index, cells: Centroids, choose, *, qid, pk, field, que
     block = bounded_block(raw, cells.dimension, block_bytes)
     if block is not None and len(block[1]) * len(cells.points) <= PLANNED:
         lifted = cells.lift_queries(block[1])
-        mask = picked(lifted, counts.settled(passing, lambda known: picked(lifted, known)))
+        known = counts.settled(passing, lambda known: picked(lifted, known))
+        mask = picked(lifted, known)
+        if repeats and (mask | (known.count == 0)).all():
+            # Every cell is visited: the second place of a row adds nothing.
+            members = members.where(~F.col("spill"))
         hits = probe_scan(members, *block, mask, k=need, metric=metric, read=read, block_bytes=block_bytes)
         asked = fold_queries(raw, cells.dimension)
     else:
         known = counts.settled(passing, lambda known: known.count > 0)
-        asked = settle(fold_queries(raw, cells.dimension))
-        probes = settle(route(asked, lambda queries, _: picked(cells.lift_queries(queries), known), cells.dimension))
-        hits = tile_topk(members, probes, k=k, metric=metric, dimension=cells.dimension, block_bytes=block_bytes, read=read)
+        asked, count = settle(fold_queries(raw, cells.dimension)), known.count
+        if repeats:
+            # Rows in their second place are cells of their own, which a query of all cells does without.
+            members = members.withColumn("cell", (F.col("cell") * 2 + F.col("spill").cast("int")).cast("int"))
+            count = np.zeros(2 * len(known.count), np.int64)
+            for row in members.groupBy("cell").agg(F.count("*").alias("n")).collect():  # two rows per cell
+                count[row["cell"]] = row["n"]
+
+        def chosen(vectors, _):
+            mask = picked(cells.lift_queries(vectors), known)
+            if repeats:
+                whole = (mask | (known.count == 0)).all(axis=1)
+                mask = np.repeat(mask, 2, axis=1)
+                mask[whole, 1::2] = False
+            return mask
+
+        shape = dict(k=need, metric=metric, dimension=cells.dimension, block_bytes=block_bytes, read=read)
+        hits = tile_topk(members, asked, asked.count(), count, chosen, **shape)
     ranked = rank_hits(hits, k, metric, repeats)
     if cells.metric == "mipsl2":
         ranked = as_mips(ranked, asked, cells.max_norm if max_norm is None else max_norm)

@@ -3,7 +3,8 @@
 Two plans, chosen by the measured size of the query side:
 
 * ``scan`` - the queries fit the broadcast bound: one pass over the collection,
-  a running best k per task, one small merge.
+  a running best k per task, one small merge. Asked for beyond the bound, blocks of
+  queries meet blocks of members, each pair once.
 * ``pivot`` - any number of queries: members are assigned to pivots, a first
   round over the nearest cells gives every query an upper bound on its k-th
   distance, and a second round visits only the cells the triangle inequality and
@@ -104,11 +105,13 @@ def knn_join(
     strategy: str = "auto",
     max_norm: float | None = None,
     pivots: int = PIVOTS,
-    block_bytes: int = BLOCK_BYTES,
+    block_bytes: int | None = None,
 ) -> DataFrame:
     """Rows ``(qid, rank, pk, score)``: the k nearest of ``df`` for each query.
 
-    ``max_norm`` fixes the norm mipsl2 refers to when ``df`` is part of a whole.
+    ``max_norm`` fixes the norm mipsl2 refers to when ``df`` is part of a whole. The bound
+    counts distinct well-formed queries; a ``block_bytes`` of the caller's is one that a
+    scan must not pass.
     """
     metrics.check_metric(metric)
     if k <= 0:
@@ -116,26 +119,43 @@ def knn_join(
     asked = queries.select(F.col(qid).alias("qid"), F.col(query_field or field).alias("vector"))
     members = where(df, filter).select(F.col(pk).alias("pk"), F.col(field).alias("vector"))
     dimension = vector_dimension(df, field)
-
-    if strategy in ("auto", "scan"):
-        block = bounded_block(asked, dimension, block_bytes)
+    if strategy not in ("auto", "scan", "pivot"):
+        raise InvalidArgument(f"unknown strategy '{strategy}'")
+    bound = BLOCK_BYTES if block_bytes is None else block_bytes
+
+    block = None if strategy == "pivot" else bounded_block(asked, dimension, bound)
+    if block is None:
+        asked = settle(fold_queries(asked, dimension))
+        # Repeated and malformed rows may have been what was too much.
+        block = None if strategy == "pivot" else bounded_block(asked, dimension, bound)
+    if block is not None or strategy == "scan":
+        top = max_norm
+        if metric == "mipsl2" and top is None:
+            top = largest_norm(df, field, dimension)
         if block is not None:
-            top = max_norm
-            if metric == "mipsl2" and top is None:
-                top = largest_norm(df, field, dimension)
             tasks = 4 * df.sparkSession.sparkContext.defaultParallelism
             hits = scan_topk(members, *block, k=k, metric=metric, max_norm=top, tasks=tasks)
-            return rank_hits(hits, k, metric)
-        if strategy == "scan":
+        elif block_bytes is not None:
             raise InvalidArgument("the query side is over the broadcast bound")
-    elif strategy != "pivot":
-        raise InvalidArgument(f"unknown strategy '{strategy}'")
+        else:
+            hits = _all_pairs(asked, members, k=k, metric=metric, dimension=dimension, max_norm=top)
+        return rank_hits(hits, k, metric)
     top = largest_norm(df, field, dimension) if metric in ("ip", "mipsl2") else None
     if metric != "mipsl2" or max_norm is None:
-        return _pivot_join(asked, members, k, metric, dimension, top, pivots, block_bytes)
+        return _pivot_join(asked, members, k, metric, dimension, top, pivots, bound)
     # Same order as ip; the score refers to the norm that was asked for.
-    ranked = _pivot_join(asked, members, k, "ip", dimension, top, pivots, block_bytes)
-    return as_mips(ranked, fold_queries(asked, dimension), max_norm)
+    ranked = _pivot_join(asked, members, k, "ip", dimension, top, pivots, bound)
+    return as_mips(ranked, asked, max_norm)
+
+
+def _all_pairs(queries, members, **tiles) -> DataFrame:
+    """Hits of each block of queries with each block of members."""
+
+    def choose(block, _):
+        return np.ones((len(block), 1), bool)
+
+    one = members.withColumn("cell", F.lit(0))
+    return tile_topk(one, queries, queries.count(), np.array([members.count()]), choose, **tiles)
 
 
 def as_mips(ranked: DataFrame, asked: DataFrame, max_norm: float) -> DataFrame:
@@ -148,27 +168,37 @@ def as_mips(ranked: DataFrame, asked: DataFrame, max_norm: float) -> DataFrame:
 # -- exact join by pivots ---------------------------------------------------
 
 
-def _pivot_join(asked, members, k, metric, dimension, top, pivots, block_bytes) -> DataFrame:
-    queries = settle(fold_queries(asked, dimension))
+def _pivot_join(queries, members, k, metric, dimension, top, pivots, block_bytes) -> DataFrame:
+    """``queries`` are folded and settled."""
     points = pivot_points(members, metric, dimension, top, pivots)
     # Used by both rounds and by the cell statistics: written once.
     assigned = settle(assign_cells(members, points, metric, dimension, top))
-    stats = CellStats.measure(assigned, points)
+    stats, n = CellStats.measure(assigned, points), queries.count()
     tiles = dict(k=k, metric=metric, dimension=dimension, max_norm=top, block_bytes=block_bytes)
 
+    def nearest(block, _):
+        return stats.first_cells(spaces.lift_queries(metric, block), k)
+
+    def others(block, batch):
+        lifted = spaces.lift_queries(metric, block)
+        reach = batch["reach"].to_numpy(zero_copy_only=False).astype(np.float64)
+        reach = np.where(np.isnan(reach), np.inf, reach)
+        return stats.reachable(lifted, reach) & ~stats.first_cells(lifted, k)
+
     cells = assigned.select("pk", "vector", "cell")
-    first = settle(tile_topk(cells, route_first(queries, stats, k, metric, dimension), **tiles))
+    first = settle(tile_topk(cells, queries, n, stats.count, nearest, **tiles))
     bound = (
         rank_hits(first, k, metric)
         .join(queries.select("qid", metrics.squared_norm("vector").alias("q_sq")), "qid")
         .withColumn("d", spaces.lifted_distance(metric, F.col("score"), F.col("q_sq"), top))
         .groupBy("qid")
-        .agg(F.count(F.lit(1)).alias("n"), F.max("d").alias("d"))
+        .agg(F.count(F.lit(1)).alias("n"), F.max("d").alias("d"), (F.min if metric == "ip" else F.max)("score").alias("worst"))
     )
+    full = F.col("n") >= k
     bounded = queries.join(bound, "qid", "left").select(
-        "qid", "vector", F.when(F.col("n") >= k, F.col("d")).alias("reach")
+        "qid", "vector", F.when(full, F.col("d")).alias("reach"), F.when(full, F.col("worst")).alias("bound")
     )
-    rest = tile_topk(cells, route_rest(bounded, stats, k, metric, dimension), **tiles)
+    rest = tile_topk(cells, bounded, n, stats.count, others, **tiles)
     return rank_hits(first.unionByName(rest), k, metric)
 
 
@@ -263,43 +293,3 @@ class CellStats:
         mask = np.column_stack([open_, np.ones(len(lifted), dtype=bool)])
         mask[:, self.count == 0] = False
         return mask
-
-
-def route_first(queries, stats: CellStats, k, metric, dimension) -> DataFrame:
-    def cells(block, _):
-        return stats.first_cells(spaces.lift_queries(metric, block), k)
-
-    return route(queries, cells, dimension)
-
-
-def route_rest(queries, stats: CellStats, k, metric, dimension) -> DataFrame:
-    def cells(block, batch):
-        lifted = spaces.lift_queries(metric, block)
-        reach = batch["reach"].to_numpy(zero_copy_only=False).astype(np.float64)
-        reach = np.where(np.isnan(reach), np.inf, reach)
-        return stats.reachable(lifted, reach) & ~stats.first_cells(lifted, k)
-
-    return route(queries, cells, dimension)
-
-
-def route(queries: DataFrame, cells, dimension: int) -> DataFrame:
-    """Emit one probe ``(qid, vector, cell)`` per query and chosen cell."""
-    schema = T.StructType(
-        [*queries.select("qid", "vector").schema.fields, T.StructField("cell", T.IntegerType())]
-    )
-    out = arrow_schema(schema)
-
-    def emit(batches):
-        for batch in batches:
-            rows, block = dense_block(batch["vector"], dimension)
-            kept = batch.take(pa.array(rows))
-            at, cell = np.nonzero(cells(block, kept))
-            # Bounded output batches: a query may visit many cells.
-            for start in range(0, len(at), 16_384):
-                part = slice(start, start + 16_384)
-                chosen = kept.select(["qid", "vector"]).take(pa.array(at[part]))
-                yield pa.RecordBatch.from_arrays(
-                    [*chosen.columns, pa.array(cell[part].astype(np.int32))], schema=out
-                )
-
-    return queries.mapInArrow(emit, schema)

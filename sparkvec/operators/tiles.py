@@ -1,16 +1,19 @@
-"""Distributed scoring of (query, cell) probes in tiles of bounded size.
+"""Distributed scoring of queries against the cells they chose, in tiles of bounded size.
 
-Members and probes meet by equi-join on the cell. A cell too large for one task
-is cut into member blocks and query blocks by hash, so no task ever holds more
-than one block of each, however many rows one cell has. A tile returns k hits per
-query, never its pairs.
+Small cells share a block of members, a cell too large for one task is cut into several
+by hash, and so are the queries: no task ever holds more than one block of each, however
+many rows one cell has. A query is copied once for each block that holds a cell of its
+choice, with the choice as bits, not once for each cell. A tile returns k hits per query,
+never its pairs.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,7 +23,8 @@ from ..functions.topk import Hits, Scorer, best_by_key
 
 BLOCK_BYTES = 64 << 20
 SPREAD_QUERIES = 256
-STATIC_CELLS = 1024
+#: Rows of a block that are not cut for the sake of more tasks, and tiles for each core.
+LEAST_ROWS, TILES = 4096, 8
 
 
 def block_rows(dimension: int, block_bytes: int = BLOCK_BYTES) -> int:
@@ -51,13 +55,17 @@ def hits_table(hits: Hits, qids: pa.Array, schema: pa.Schema) -> pa.Table:
     return pa.Table.from_arrays(
         [
             qids.take(pa.array(hits.query)).cast(schema.field("qid").type),
-            pa.array(list(hits.key), type=schema.field("pk").type),
+            _key_column(hits.key, schema.field("pk").type),
             pa.array(hits.score),
         ],
         schema=schema,
     )
 
 
+def _key_column(keys: np.ndarray, kind: pa.DataType) -> pa.Array:
+    return pa.array(keys).cast(kind) if keys.dtype.kind in "iu" else pa.array(list(keys), type=kind)
+
+
 def arrow_schema(schema: T.StructType) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -82,44 +90,38 @@ def rank_hits(hits: DataFrame, k: int, metric: str, repeats: bool = False) -> Da
     return ranked.select("qid", "rank", "pk", "score")
 
 
-def tile_sizes(members: DataFrame, probes: DataFrame, limit: int) -> dict[int, tuple[int, int]]:
-    """Member and query blocks of every cell that has both, from one small job.
+class Blocks:
+    """Blocks of members: each holds a run of cells, or a part of one that is larger than a block."""
 
-    The result has one entry per cell, and the number of cells is fixed when the
-    cells are made.
-    """
+    def __init__(self, count: np.ndarray, rows: int):
+        self.first, self.parts = np.zeros(len(count), np.int64), np.zeros(len(count), np.int64)
+        self.low, self.high, held = [], [], 0
+        for cell in np.flatnonzero(count).tolist():
+            n = int(count[cell])
+            if held and held + n <= rows:
+                self.high[-1], held = cell + 1, held + n
+            else:
+                parts = -(-n // rows)
+                self.low += [cell] * parts
+                self.high += [cell + 1] * parts
+                held = n if parts == 1 else 0
+            self.parts[cell] = 1 if held else -(-n // rows)
+            self.first[cell] = len(self.low) - self.parts[cell]
 
-    def counted(rows: DataFrame, side: int) -> DataFrame:
-        return rows.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).withColumn("side", F.lit(side))
-
-    found: dict[int, list[int]] = {}
-    for row in counted(members, 0).unionByName(counted(probes, 1)).collect():
-        found.setdefault(row["cell"], [0, 0])[row["side"]] = -(-row["n"] // limit)
-    return {cell: (m, q) for cell, (m, q) in found.items() if m and q and cell is not None}
-
-
-def _tiled(rows: DataFrame, sizes, *, own: str, other: str, n_own: str, n_other: str, key: str) -> DataFrame:
-    """Place each row in one block of its own side and in every block of the other."""
-    columns = ["cell", "mb", "qb", key, "vector"]
-    if all(m == q == 1 for m, q in sizes.values()) and len(sizes) <= STATIC_CELLS:
-        # One tile per cell: a plain filter, which also prunes directories.
-        alone = rows.where(F.col("cell").isin(sorted(sizes)))
-        return alone.withColumn("mb", F.lit(0)).withColumn("qb", F.lit(0)).select(*columns)
-    # The list of cells is a filter too: a join alone would read every directory.
-    rows = rows.where(F.col("cell").isin(sorted(sizes)))
-    local = [(cell, m, q) for cell, (m, q) in sorted(sizes.items())]
-    table = rows.sparkSession.createDataFrame(local, "cell int, n_m int, n_q int")
-    return (
-        rows.join(F.broadcast(table), "cell")
-        .withColumn(own, F.pmod(F.xxhash64(key), F.col(n_own)).cast("int"))
-        .withColumn(other, F.explode(F.sequence(F.lit(0), F.col(n_other) - 1)))
-        .select(*columns)
-    )
+    def __len__(self) -> int:
+        return len(self.low)
+
+    def table(self, spark: SparkSession) -> DataFrame:
+        cells = [(c, int(self.first[c]), int(self.parts[c])) for c in np.flatnonzero(self.parts).tolist()]
+        return spark.createDataFrame(cells, "cell int, first int, parts int")
 
 
 def tile_topk(
     members: DataFrame,
-    probes: DataFrame,
+    queries: DataFrame,
+    n_queries: int,
+    count: np.ndarray,
+    choose,
     *,
     k: int,
     metric: str,
@@ -130,26 +132,72 @@ def tile_topk(
 ) -> DataFrame:
     """Hits ``(qid, pk, score)``: up to k per query and tile.
 
-    ``members`` is ``(pk, vector, cell)``, ``probes`` is ``(qid, vector, cell)``,
-    both with one row per key and cell. ``read(column, dimension)`` gives the positions
-    and the block of the members' vectors, which may be codes.
+    ``members`` is ``(pk, vector, cell)`` with one row per key and cell, and ``count`` the
+    number of rows of each cell. ``queries`` is ``(qid, vector, ...)`` with ``n_queries``
+    rows of distinct ids; ``choose(block, batch)`` gives the mask of the cells that each
+    query of a batch meets. A column ``bound`` of the queries is a score that their k-th
+    hit is known to reach. ``read(column, dimension)`` gives the positions and the block of
+    the members' vectors, which may be codes.
     """
-    sizes = tile_sizes(members, probes, block_rows(dimension, block_bytes))
-    left = _tiled(members, sizes, own="mb", other="qb", n_own="n_m", n_other="n_q", key="pk")
-    right = _tiled(probes, sizes, own="qb", other="mb", n_own="n_q", n_other="n_m", key="qid")
-    schema = hit_schema(probes.schema["qid"].dataType, members.schema["pk"].dataType)
+    most, tiles = block_rows(dimension, block_bytes), TILES * members.sparkSession.sparkContext.defaultParallelism
+    side = math.ceil(math.sqrt(tiles))
+
+    def rows(n: int) -> int:
+        return max(1, min(most, max(LEAST_ROWS, -(-n // side))))
+
+    blocks, of_queries = Blocks(count, rows(int(count.sum()))), -(-n_queries // rows(n_queries))
+    schema = hit_schema(queries.schema["qid"].dataType, members.schema["pk"].dataType)
     out = arrow_schema(schema)
+    if not len(blocks) or not of_queries:
+        return members.sparkSession.createDataFrame([], schema)
+    bounded = "bound" in queries.columns
+    sent = [queries.schema[c] for c in ("qid", "vector", *(["bound"] if bounded else []))]
+    spec = T.StructType([*sent, T.StructField("cells", T.BinaryType()), T.StructField("mb", T.IntegerType())])
+    low, high = blocks.low, blocks.high
+
+    def send(batches):
+        for batch in batches:
+            at, block = dense_block(batch["vector"], dimension)
+            kept = batch.take(pa.array(at))
+            mask = choose(block, kept)
+            kept = kept.select([f.name for f in sent])
+            for mb in range(len(low)):
+                part = mask[:, low[mb] : high[mb]]
+                asked = np.flatnonzero(part.any(axis=1))
+                # Bounded output batches: a query may visit many blocks.
+                if len(asked):
+                    bits = np.packbits(part[asked], axis=1)
+                    width = bits.shape[1]
+                    packed = pa.array([bits.data.tobytes()[i : i + width] for i in range(0, bits.size, width)], pa.binary())
+                    numbers = pa.array(np.full(len(asked), mb, np.int32))
+                    yield pa.RecordBatch.from_arrays([*kept.take(pa.array(asked)).columns, packed, numbers], schema=arrow_schema(spec))
+
+    def dealt(key: str, n: int):
+        return F.pmod(F.xxhash64(key), F.lit(n)).cast("int")
+
+    right = queries.mapInArrow(send, spec).withColumn("qb", dealt("qid", of_queries))
+    placed = members.join(F.broadcast(blocks.table(members.sparkSession)), "cell")
+    left = placed.select(
+        "cell", "pk", "vector",
+        (F.col("first") + F.pmod(F.xxhash64("pk"), F.col("parts"))).cast("int").alias("mb"),
+        F.explode(F.sequence(F.lit(0), F.lit(of_queries - 1))).alias("qb"),
+    )
 
     def tile(m: pa.Table, q: pa.Table) -> pa.Table:
         if not m.num_rows or not q.num_rows:
             return out.empty_table()
-        qrows, queries = dense_block(q["vector"], dimension)
+        mb = m["mb"][0].as_py()
+        qrows, asked = dense_block(q["vector"], dimension)
         mrows, block = read(m["vector"], dimension)
         qids = q["qid"].combine_chunks().take(pa.array(qrows))
-        hits = Scorer(metric, queries, k, max_norm).top(block, keys_of(m["pk"])[mrows])
+        bits = np.frombuffer(b"".join(q["cells"].to_pylist()), np.uint8).reshape(q.num_rows, -1)[qrows]
+        mask = np.unpackbits(bits, axis=1, count=high[mb] - low[mb]).astype(bool)
+        cells = m["cell"].to_numpy()[mrows].astype(np.int64) - low[mb]
+        bound = q["bound"].to_numpy(zero_copy_only=False).astype(np.float64)[qrows] if bounded else None
+        hits = Scorer(metric, asked, k, max_norm, bound).top(block, keys_of(m["pk"])[mrows], cells=cells, mask=mask)
         return hits_table(hits, qids, out)
 
-    key = ["cell", "mb", "qb"]
+    key = ["mb", "qb"]
     return left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(tile, schema)
 
 
