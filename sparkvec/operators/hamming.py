@@ -8,9 +8,11 @@ within m * (c + 1) - 1 bits has been seen, and a query whose k-th hit lies withi
 done. A pair is looked at in one place only, the first of its most alike chunks.
 
 Lookups are equi-joins on (chunk, value); equal codes are one row with their k lowest
-keys, so copies cost one row. When a round would look up as many values as codes fall to,
-the queries that are still open meet all codes in blocks instead, and the answer is the
-same. Only the number of open queries and of codes reaches the driver.
+keys, so copies cost one row. A pair that is looked up costs as much as some thousand that
+are compared in a block: each round's pairs are counted first, from the numbers of queries
+and codes of each value, and when they would cost more, the queries that are still open
+meet all codes in blocks instead, and the answer is the same. Only the numbers of open
+queries, of codes and of a round's pairs reach the driver.
 """
 
 from __future__ import annotations
@@ -29,12 +31,14 @@ from ..functions.codec import bit_words
 from ..functions.predicates import where
 from ..session import settle
 from .knn_join import REPEATED
-from .tiles import arrow_schema
+from .tiles import LEAST_ROWS, TILES, arrow_schema
 
 #: Bits of a chunk: for few codes, and from so many codes on.
 NARROW, WIDE, MANY = 8, 16, 1 << 14
-#: Codes and queries of a block, and cells of a distance matrix.
-CODES, QUERIES, CELLS = 1 << 16, 1 << 12, 1 << 22
+#: Codes or queries of a block at most, and that are compared at a time.
+BLOCK, QUERIES, CODES = 1 << 16, 1 << 7, 1 << 11
+#: Pairs compared in a block in the time that one takes to be looked up.
+LOOKUP = 5000
 
 
 def _width(df: DataFrame, field: str) -> int:
@@ -100,9 +104,11 @@ def hamming_join(
     chunks = -(-8 * width // bits)
     listed = classes.select("words", "pks", F.posexplode(F.array(*(_chunk(F.col("words"), j, bits) for j in range(chunks)))).alias("j", "value"))
 
-    best, seen = None, False
+    best, seen, left = None, False, open_.count() if codes else 0
     for away in range(bits + 1) if codes else ():
-        if chunks * math.comb(bits, away) > (1 << bits) // 2:
+        turned = chunks * math.comb(bits, away)
+        # What even chunks would meet, and then what these do.
+        if turned > (1 << bits) // 2 or turned * LOOKUP > 1 << bits or _pairs(open_, listed, away, bits, chunks) * LOOKUP > left * codes:
             break
         found = _looked_up(open_, listed, away, bits, chunks, k)
         # A query's earlier hits go on with it.
@@ -112,11 +118,11 @@ def hamming_join(
         done = full.where((F.col("n") >= k) & (F.col("d") < chunks * (away + 1))).select("qid")
         open_ = settle(open_.join(done, "qid", "left_anti"))
         # Beyond all bits of a chunk there is nothing left to look up.
-        seen = away == bits or not open_.limit(1).count()
+        left = open_.count()
+        seen = away == bits or not left
         if seen:
             break
-    left = 0 if seen or not codes else open_.count()
-    if left:
+    if left and not seen:
         scanned = _scanned(open_, classes, codes, left, k)
         best = scanned if best is None else best.join(open_.select("qid"), "qid", "left_anti").unionByName(scanned)
     if best is None:
@@ -126,12 +132,25 @@ def hamming_join(
     return ranked if radius is None else ranked.where(F.col("score") <= radius)
 
 
+def _masks(away: int, bits: int) -> Column:
+    """A row for each number with ``away`` of ``bits`` bits."""
+    masks = ",".join(str(sum(1 << b for b in picked)) for picked in itertools.combinations(range(bits), away))
+    return F.explode(F.split(F.lit(masks), ",").cast("array<bigint>"))
+
+
+def _pairs(open_: DataFrame, listed: DataFrame, away: int, bits: int, chunks: int) -> int:
+    """The number of pairs that a round looks at."""
+    values = F.posexplode(F.array(*(_chunk(F.col("words"), j, bits) for j in range(chunks))))
+    asked = open_.select(values.alias("j", "own")).groupBy("j", "own").agg(F.count("*").alias("asked"))
+    asked = asked.select("j", "asked", "own", _masks(away, bits).alias("mask")).withColumn("value", F.col("own").bitwiseXOR(F.col("mask")))
+    met = asked.join(listed.groupBy("j", "value").agg(F.count("*").alias("known")), ["j", "value"])
+    return met.agg(F.sum(F.col("asked") * F.col("known")).alias("n")).first()["n"] or 0
+
+
 def _looked_up(open_: DataFrame, listed: DataFrame, away: int, bits: int, chunks: int, k: int) -> DataFrame:
     """``(qid, pk, d)``: the k nearest of each query among codes with a chunk exactly ``away`` bits off."""
-    masks = ",".join(str(sum(1 << b for b in picked)) for picked in itertools.combinations(range(bits), away))
-    turned = F.explode(F.split(F.lit(masks), ",").cast("array<bigint>"))
     values = F.posexplode(F.array(*(_chunk(F.col("words"), j, bits) for j in range(chunks))))
-    probes = open_.select("qid", F.col("words").alias("asked"), values.alias("j", "own")).select("qid", "asked", "j", "own", turned.alias("mask"))
+    probes = open_.select("qid", F.col("words").alias("asked"), values.alias("j", "own")).select("qid", "asked", "j", "own", _masks(away, bits).alias("mask"))
     probes = probes.select("qid", "asked", "j", F.col("own").bitwiseXOR(F.col("mask")).alias("value"))
     met = probes.join(listed, ["j", "value"])
     apart = F.array(*(F.bit_count(_chunk(F.col("words"), j, bits).bitwiseXOR(_chunk(F.col("asked"), j, bits))) for j in range(chunks)))
@@ -143,26 +162,62 @@ def _looked_up(open_: DataFrame, listed: DataFrame, away: int, bits: int, chunks
 
 
 def nearest_codes(asked: np.ndarray, codes: np.ndarray, lowest: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """``(query, code, bits apart)``: the k nearest codes of each query, ties by the codes' order in ``lowest``."""
-    place = np.empty(len(codes), np.int64)
-    place[np.argsort(lowest, kind="stable")] = np.arange(len(codes))
+    """``(query, code, bits apart)``: the k nearest codes of each query, ties by the codes' order in ``lowest``.
+
+    A cache's worth of pairs at a time. Codes come in the order of their keys, so once a
+    query has k hits only a nearer code can be one.
+    """
+    order = np.argsort(lowest, kind="stable")
+    words = np.ascontiguousarray(codes[order].T)
+    small = codes.shape[1] == 1
     out = []
-    for at in range(0, len(asked), max(1, CELLS // len(codes))):
-        part = asked[at : at + max(1, CELLS // len(codes))]
-        apart = np.zeros((len(part), len(codes)), np.int64)
-        for w in range(codes.shape[1]):
-            apart += np.bitwise_count(part[:, w, None] ^ codes[None, :, w])
-        # The k smallest of (bits, place) as one number.
-        key = apart * len(codes) + place
-        near = np.argpartition(key, k - 1, axis=1)[:, :k] if len(codes) > k else np.broadcast_to(np.arange(len(codes)), apart.shape)
-        out.append((np.repeat(np.arange(len(part)) + at, near.shape[1]), near.ravel(), np.take_along_axis(apart, near, 1).ravel()))
+    for at in range(0, len(asked), QUERIES):
+        part = np.ascontiguousarray(asked[at : at + QUERIES].T)[:, :, None]
+        n = part.shape[1]
+        worst = np.full(n, -1, np.int64)
+        held, fresh, n_fresh = (np.empty(0, np.int64),) * 3, [], 0
+
+        def merged():
+            query, code, apart = (np.concatenate(x) for x in zip(held, *fresh, strict=True))
+            by = np.lexsort((code, apart, query))
+            query = query[by]
+            first = np.flatnonzero(np.append(True, query[1:] != query[:-1])) if len(query) else by
+            place = np.arange(len(query)) - np.repeat(first, np.diff(np.append(first, len(query))))
+            query, code, apart, place = (x[place < k] for x in (query, code[by], apart[by], place))
+            last = place == k - 1
+            worst[query[last]] = apart[last]
+            return query, code, apart
+
+        for a in range(0, len(order), CODES):
+            block = words[:, a : a + CODES]
+            apart = np.bitwise_count(part[0] ^ block[0])
+            if not small:
+                apart = apart.astype(np.int32)
+                for w in range(1, len(words)):
+                    apart += np.bitwise_count(part[w] ^ block[w])
+            full = worst >= 0
+            if full.all():
+                near = apart < worst.astype(apart.dtype)[:, None]
+            else:
+                cut = worst - 1
+                cut[~full] = np.iinfo(apart.dtype).max if block.shape[1] <= k else np.partition(apart[~full], k - 1, axis=1)[:, k - 1]
+                # Of a query without k hits all may count; below nothing is none.
+                near = (apart <= np.maximum(cut, 0).astype(apart.dtype)[:, None]) & (cut >= 0)[:, None]
+            hit = np.flatnonzero(near)
+            if len(hit):
+                fresh.append((hit // block.shape[1], a + hit % block.shape[1], apart.ravel()[hit].astype(np.int64)))
+                n_fresh += len(hit)
+                if n_fresh > 2 * n or not full.all():
+                    held, fresh, n_fresh = merged(), [], 0
+        query, code, apart = merged()
+        out.append((query + at, order[code], apart))
     return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
 
 def _scanned(open_: DataFrame, classes: DataFrame, codes: int, left: int, k: int) -> DataFrame:
     """``(qid, pk, d)``: the k nearest of each query among all codes, block by block."""
-    spread = open_.sparkSession.sparkContext.defaultParallelism
-    of_codes, of_queries = max(-(-codes // CODES), min(spread, -(-codes // 1024))), -(-left // QUERIES)
+    side = math.ceil(math.sqrt(TILES * open_.sparkSession.sparkContext.defaultParallelism))
+    of_codes, of_queries = (-(-n // min(BLOCK, max(LEAST_ROWS, -(-n // side)))) for n in (codes, left))
 
     def dealt(side: DataFrame, key: str, own: str, n_own: int, other: str, n_other: int) -> DataFrame:
         block = F.pmod(F.xxhash64(key), F.lit(n_own)).cast("int").alias(own)

@@ -89,3 +89,23 @@ def test_bits_in_a_collection(spark, tmp_path):
         c.search("bits", b"123")
     with pytest.raises((NotSupported, InvalidArgument)):
         c.create_index("bits", Index("ivf", n_list=2))
+
+
+def test_shared_chunks_are_not_looked_up(spark, monkeypatch):
+    rng = np.random.default_rng(11)
+    members = dict(enumerate(codes(rng, 400, 8, 3)))
+    df = spark.createDataFrame([*members.items()], "m long, b binary")
+    join = dict(qid="m", pk="m", field="b", k=5)
+    want = plain(members, members, 5)
+
+    def got():
+        return {(r.qid, r.rank, r.pk, round(r.score, 9)) for r in hamming.hamming_join(df, df, **join).collect()}
+
+    # Eight clusters: a value of a chunk is that of an eighth of the codes, so pairs grow with their square.
+    met, looked_up = [], hamming._looked_up
+    monkeypatch.setattr(hamming, "_looked_up", lambda *a: met.append(a) or looked_up(*a))
+    for many in (hamming.MANY, 0):
+        monkeypatch.setattr(hamming, "MANY", many)
+        assert got() == want and not met
+    monkeypatch.setattr(hamming, "LOOKUP", 0)
+    assert got() == want and met
