@@ -76,6 +76,16 @@ def best_by_key(hits: Hits, k: int, descending: bool) -> Hits:
     return Hits(kept.query, names[kept.key], kept.score)
 
 
+def best_once(hits: Hits, k: int, descending: bool) -> Hits:
+    """:func:`best_by_key` where a hit may come twice."""
+    names, rank = ranked_keys(hits.key)
+    order = np.lexsort((rank, -hits.score if descending else hits.score, hits.query))
+    query, key, score = hits.query[order], rank[order], hits.score[order]
+    first = np.append(True, (query[1:] != query[:-1]) | (key[1:] != key[:-1]) | (score[1:] != score[:-1]))[: len(query)]
+    kept = best(Hits(query[first], key[first], score[first]), k, descending)
+    return Hits(kept.query, names[kept.key], kept.score)
+
+
 def ranked_keys(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The keys in their order, and the place of each; a null comes first, as in Spark."""
     if keys.dtype != object:

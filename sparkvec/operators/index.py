@@ -276,7 +276,7 @@ def _probe_join(queries, index, cells: Centroids, choose, *, qid, pk, field, que
                 mask[whole, 1::2] = False
             return mask
 
-        shape = dict(k=need, metric=metric, dimension=cells.dimension, block_bytes=block_bytes, read=read)
+        shape = dict(k=k, metric=metric, dimension=cells.dimension, block_bytes=block_bytes, read=read, repeats=repeats)
         hits = tile_topk(members, asked, asked.count(), count, chosen, **shape)
     ranked = rank_hits(hits, k, metric, repeats)
     if cells.metric == "mipsl2":

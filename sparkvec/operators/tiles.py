@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from ..functions import metrics
 from ..functions.arrow import dense_block
-from ..functions.topk import Hits, Scorer, best_by_key
+from ..functions.topk import Hits, Scorer, best_once
 
 BLOCK_BYTES = 64 << 20
 SPREAD_QUERIES = 256
@@ -129,6 +129,7 @@ def tile_topk(
     max_norm: float | None = None,
     block_bytes: int = BLOCK_BYTES,
     read=dense_block,
+    repeats: bool = False,
 ) -> DataFrame:
     """Hits ``(qid, pk, score)``: up to k per query and tile.
 
@@ -137,7 +138,7 @@ def tile_topk(
     rows of distinct ids; ``choose(block, batch)`` gives the mask of the cells that each
     query of a batch meets. A column ``bound`` of the queries is a score that their k-th
     hit is known to reach. ``read(column, dimension)`` gives the positions and the block of
-    the members' vectors, which may be codes.
+    the members' vectors, which may be codes. With ``repeats`` a member may be in two cells.
     """
     most, tiles = block_rows(dimension, block_bytes), TILES * members.sparkSession.sparkContext.defaultParallelism
     side = math.ceil(math.sqrt(tiles))
@@ -194,7 +195,8 @@ def tile_topk(
         mask = np.unpackbits(bits, axis=1, count=high[mb] - low[mb]).astype(bool)
         cells = m["cell"].to_numpy()[mrows].astype(np.int64) - low[mb]
         bound = q["bound"].to_numpy(zero_copy_only=False).astype(np.float64)[qrows] if bounded else None
-        hits = Scorer(metric, asked, k, max_norm, bound).top(block, keys_of(m["pk"])[mrows], cells=cells, mask=mask)
+        hits = Scorer(metric, asked, 2 * k if repeats else k, max_norm, bound).top(block, keys_of(m["pk"])[mrows], cells=cells, mask=mask)
+        hits = best_once(hits, k, metric == "ip") if repeats else hits
         return hits_table(hits, qids, out)
 
     key = ["mb", "qb"]
@@ -252,39 +254,32 @@ def probe_scan(
 
     ``mask`` says which queries (rows) probe which cells; only probed cells are scanned.
     ``members`` is ``(pk, vector, cell)``. A task gathers members by cell up to the block
-    bound, scores each cell against its queries and keeps the best k per query.
+    bound, scores them against the queries of their cells and keeps the best k per query.
     ``read(column, dimension)`` gives the positions and the block of a column of vectors.
     """
     dimension, most = queries.shape[1], block_rows(queries.shape[1], block_bytes)
-    probed = {int(c): np.flatnonzero(mask[:, c]) for c in np.flatnonzero(mask.any(axis=0))}
+    probed = np.flatnonzero(mask.any(axis=0)).tolist()
     schema = hit_schema(_spark_type(qids.type), members.schema["pk"].dataType)
     out = arrow_schema(schema)
 
     def scan(batches):
-        held, gathered, n = Hits.empty(), {}, 0
+        scorer, held, gathered, n = Scorer(metric, queries, k, max_norm), Hits.empty(), [], 0
 
         def scored() -> Hits:
-            found = [held] if len(held) else []
-            for cell, parts in gathered.items():
-                own = probed[cell]
-                block, keys = (np.concatenate(x) for x in zip(*parts, strict=True))
-                hits = Scorer(metric, queries[own], k, max_norm).top(block, keys)
-                if len(hits):
-                    found.append(Hits(own[hits.query], hits.key, hits.score))
-            return best_by_key(Hits.joined(found), k, metric == "ip") if found else Hits.empty()
+            if not gathered:
+                return held
+            block, keys, cells = (np.concatenate(x) for x in zip(*gathered, strict=True))
+            return scorer.top(block, keys, held, cells=cells, mask=mask)
 
         for batch in batches:
             rows, block = read(batch["vector"], dimension)
-            keys, cells = keys_of(batch["pk"])[rows], batch["cell"].to_numpy(zero_copy_only=False)[rows]
-            for cell in np.unique(cells):
-                at = cells == cell
-                gathered.setdefault(int(cell), []).append((block[at], keys[at]))
+            gathered.append((block, keys_of(batch["pk"])[rows], batch["cell"].to_numpy(zero_copy_only=False)[rows].astype(np.int64)))
             n += len(rows)
             if n >= most:
-                held, gathered, n = scored(), {}, 0
+                held, gathered, n = scored(), [], 0
         yield from hits_table(scored(), qids, out).to_batches()
 
-    inside = members.where(F.col("cell").isin(sorted(probed))) if probed else members.limit(0)
+    inside = members.where(F.col("cell").isin(probed)) if probed else members.limit(0)
     return inside.select("pk", "vector", "cell").mapInArrow(scan, schema)
 
 
